@@ -2,12 +2,40 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import as_column
 
 
+def to_cents(amount: Column | str) -> Column:
+    """Whole cents of an amount with two decimals.
+
+    Sums and products of cents are 64-bit arithmetic in generated code; the same on decimals
+    allocates an object per operation and row. The conversion is exact below 90 trillion.
+    """
+    return F.rint(as_column(amount).cast("double") * 100).cast("bigint")
+
+
+def from_cents(cents: Column | str) -> Column:
+    """Exact decimal amount, for results."""
+    return (as_column(cents).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
+def dollars_of(cents: Column | str) -> Column:
+    """Amount as a double, for ratios."""
+    return as_column(cents).cast("double") / 100
+
+
+def round_quotient(numerator: Column, denominator: Column) -> Column:
+    """Whole-number quotient rounded half away from zero; ``denominator`` is positive or NULL."""
+    twice = F.abs(numerator) * 2 + denominator
+    size = whole_division(twice, denominator * 2)
+    return F.when(numerator < 0, -size).otherwise(size)
+
+
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """numerator / denominator as a double, NULL when the denominator is zero."""
     below = as_column(denominator).cast("double")
@@ -24,6 +52,16 @@ def mean_of(value: Column | str) -> Column:
     return ratio(F.sum(measured), F.count(measured))
 
 
+def mean_dollars(cents: Column | str) -> Column:
+    """Aggregate: mean of a cents column, in dollars."""
+    return ratio(dollars_of(F.sum(as_column(cents))), F.count(as_column(cents)))
+
+
+def money_percentage(numerator: Column | str, denominator: Column | str) -> Column:
+    """Share of one cents amount in another, in percent."""
+    return percentage(dollars_of(numerator), dollars_of(denominator))
+
+
 def sample_stdev(count: Column, total: Column, total_of_squares: Column) -> Column:
     """Sample standard deviation from mergeable moments; NULL for fewer than two values."""
     n = count.cast("double")

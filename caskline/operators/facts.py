@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import rank_of_label
+from caskline.functions.measures import from_cents, round_quotient, to_cents
 
 # Flat margin on revenue, and the sort position of each attainment status.
 MARGIN_RATE = Decimal("0.30")
@@ -27,41 +28,49 @@ def sales_measures(
     *,
     margin_rate: Decimal = MARGIN_RATE,
 ) -> DataFrame:
-    """Valid sales with their derived money columns.
+    """Valid sales with their derived money columns, in whole cents.
 
-    Gross revenue and discount need the list price: they are added when ``products`` is given, and
-    the join with the products is left out otherwise. Id columns ``transactions`` lacks are left
-    out too, so a caller can leave away what it does not group by.
+    Gross revenue and discount need the list price: they are added when ``products`` is given, or
+    when ``transactions`` already carries ``price_per_case_usd``; otherwise the join with the
+    products is left out. Id columns ``transactions`` lacks are left out too, so a caller can leave
+    away what it does not group by. ``discount_points`` are hundredths of a percent.
     """
     sales = transactions.filter("is_valid")
-    revenue, cases = F.col("revenue_usd"), F.col("cases_sold")
+    if products is not None:
+        sales = with_price(sales, products)
     columns = [F.col(c) for c in _CARRIED if c in sales.columns]
     if "txn_date" in sales.columns:
         columns.append(F.col("txn_date").alias("order_date"))
     columns += [
-        cases,
-        F.col("discount_pct"),
-        revenue,
-        F.round(revenue / F.nullif(cases, F.lit(0)), 2).alias("revenue_per_case"),
-        F.round(revenue * F.lit(margin_rate), 2).alias("estimated_margin_usd"),
+        F.col("cases_sold"),
+        to_cents("discount_pct").alias("discount_points"),
+        to_cents("revenue_usd").alias("revenue_cents"),
     ]
-    if products is None:
-        return sales.select(*columns)
-    prices = products.select(
-        "sku_id", F.col("price_per_case_usd").alias("_price")
-    )
-    gross = cases * F.coalesce(F.col("_price"), F.lit(0).cast("decimal(10,2)"))
-    fraction = F.col("discount_pct") * F.lit(Decimal("0.01"))
-    return sales.join(prices, "sku_id", "left").select(
-        *columns,
-        gross.alias("gross_revenue_usd"),
-        F.round(gross * fraction, 2).alias("discount_usd"),
-    )
+    priced = "price_per_case_usd" in sales.columns
+    if priced:
+        price = F.coalesce(to_cents("price_per_case_usd"), F.lit(0))
+        columns.append((F.col("cases_sold") * price).alias("gross_cents"))
+    sales = sales.select(*columns)
+    revenue = F.col("revenue_cents")
+    part, whole = margin_rate.as_integer_ratio()
+    derived = {
+        "per_case_cents": round_quotient(revenue, F.nullif(F.col("cases_sold"), F.lit(0))),
+        "margin_cents": round_quotient(revenue * part, F.lit(whole)),
+    }
+    if priced:
+        given = F.col("gross_cents") * F.col("discount_points")
+        derived["discount_cents"] = round_quotient(given, F.lit(10_000))
+    return sales.withColumns(derived)
+
+
+def with_price(transactions: DataFrame, products: DataFrame) -> DataFrame:
+    """Add the list price of each sale's product; NULL when the product is unknown."""
+    return transactions.join(products.select("sku_id", "price_per_case_usd"), "sku_id", "left")
 
 
 def fact_sales(
     transactions: DataFrame,
-    products: DataFrame,
+    products: DataFrame | None,
     reps_dim: DataFrame,
     accounts_dim: DataFrame,
     products_dim: DataFrame,
@@ -79,6 +88,10 @@ def fact_sales(
     ):
         lookup = dim.select(F.col(source_id).alias(own_id), key)
         sales = sales.join(lookup, own_id, "left")
+
+    def amount(cents: str, name: str) -> Column:
+        return from_cents(cents).cast("decimal(14,2)").alias(name)
+
     return sales.select(
         "txn_id",
         "rep_key",
@@ -87,12 +100,12 @@ def fact_sales(
         "supplier_key",
         "order_date",
         "cases_sold",
-        "discount_pct",
-        "revenue_usd",
-        "revenue_per_case",
-        "gross_revenue_usd",
-        "discount_usd",
-        "estimated_margin_usd",
+        from_cents("discount_points").cast("decimal(5,2)").alias("discount_pct"),
+        amount("revenue_cents", "revenue_usd"),
+        amount("per_case_cents", "revenue_per_case"),
+        amount("gross_cents", "gross_revenue_usd"),
+        amount("discount_cents", "discount_usd"),
+        amount("margin_cents", "estimated_margin_usd"),
         "channel",
         F.lit(True).alias("is_valid"),
     )

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caskline.functions.measures import ratio
-
 
 def lookup(dim: DataFrame, source_id: str, own_id: str, *attributes: str) -> DataFrame:
     """The attributes of a dimension under the fact's id column."""
@@ -40,8 +38,3 @@ def join_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFr
     for key in keys:
         match = match & df[key].eqNullSafe(renamed[f"_{key}"])
     return df.join(renamed, match, "left").drop(*[f"_{k}" for k in keys])
-
-
-def mean_from(total: str, count: str) -> Column:
-    """Mean from a sum and a count kept side by side."""
-    return ratio(total, count)

@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import rank_of_label, threshold_label
-from caskline.functions.measures import mean_of, percentage, ratio
+from caskline.functions.measures import (
+    dollars_of,
+    from_cents,
+    mean_dollars,
+    mean_of,
+    money_percentage,
+    percentage,
+    ratio,
+)
 from caskline.operators.global_window import global_rank, global_running_sum
-from caskline.plans.common import join_totals, known_ids, lookup, mean_from, with_dates
+from caskline.plans.common import join_totals, known_ids, lookup, with_dates
 from caskline.session import materialise
 
 # Default thresholds and labels.
@@ -28,12 +36,12 @@ def kpi_card(sales: DataFrame, accounts: DataFrame, reps: DataFrame) -> DataFram
         F.max("order_date").alias("_to"),
         F.count_distinct("txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
-        F.sum("revenue_usd").alias("_net"),
-        F.sum("gross_revenue_usd").alias("_gross"),
-        F.sum("discount_usd").alias("_discount"),
-        F.sum("estimated_margin_usd").alias("_margin"),
-        F.sum("revenue_per_case").alias("_per_case"),
-        F.count("revenue_per_case").alias("_lines"),
+        F.sum("revenue_cents").alias("_net"),
+        F.sum("gross_cents").alias("_gross"),
+        F.sum("discount_cents").alias("_discount"),
+        F.sum("margin_cents").alias("_margin"),
+        F.sum("per_case_cents").alias("_per_case"),
+        F.count("per_case_cents").alias("_lines"),
     )
     known = known_ids(per_account, accounts, "account_src_id", "account_id")
     known = known_ids(known, reps, "rep_src_id", "rep_id")
@@ -44,13 +52,13 @@ def kpi_card(sales: DataFrame, accounts: DataFrame, reps: DataFrame) -> DataFram
         F.count_distinct("account_id").alias("active_accounts"),
         F.count_distinct("rep_id").alias("active_reps"),
         F.sum("_cases").alias("total_cases"),
-        F.sum("_net").alias("total_net_revenue"),
-        F.sum("_gross").alias("total_gross_revenue"),
-        F.sum("_discount").alias("total_discounts"),
-        F.sum("_margin").alias("total_est_margin"),
-        percentage(F.sum("_margin"), F.sum("_net")).alias("overall_margin_pct"),
-        percentage(F.sum("_discount"), F.sum("_gross")).alias("overall_discount_rate"),
-        ratio(F.sum("_per_case"), F.sum("_lines")).alias("avg_rev_per_case"),
+        from_cents(F.sum("_net")).alias("total_net_revenue"),
+        from_cents(F.sum("_gross")).alias("total_gross_revenue"),
+        from_cents(F.sum("_discount")).alias("total_discounts"),
+        from_cents(F.sum("_margin")).alias("total_est_margin"),
+        money_percentage(F.sum("_margin"), F.sum("_net")).alias("overall_margin_pct"),
+        money_percentage(F.sum("_discount"), F.sum("_gross")).alias("overall_discount_rate"),
+        ratio(dollars_of(F.sum("_per_case")), F.sum("_lines")).alias("avg_rev_per_case"),
     )
 
 
@@ -64,9 +72,9 @@ def monthly_trend(sales: DataFrame, dates: DataFrame) -> DataFrame:
     ).groupBy("year_month", "year", "month_num", "month_name", "year_quarter", "season").agg(
         F.count_distinct("txn_id").alias("transactions"),
         F.sum("cases_sold").alias("cases_sold"),
-        F.sum("revenue_usd").alias("net_revenue"),
-        F.sum("estimated_margin_usd").alias("est_margin"),
-        F.sum("discount_usd").alias("discounts"),
+        from_cents(F.sum("revenue_cents")).alias("net_revenue"),
+        from_cents(F.sum("margin_cents")).alias("est_margin"),
+        from_cents(F.sum("discount_cents")).alias("discounts"),
     )
     by_month = Window.orderBy("year_month")
     last_three = by_month.rowsBetween(-2, 0)
@@ -99,23 +107,23 @@ def rep_scorecard(
     per_account = sales.groupBy("rep_id", "account_id").agg(
         F.count_distinct("txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
-        F.sum("revenue_usd").alias("_net"),
-        F.sum("estimated_margin_usd").alias("_margin"),
-        F.sum("discount_usd").alias("_discount"),
-        F.sum("gross_revenue_usd").alias("_gross"),
-        F.sum("revenue_per_case").alias("_per_case"),
-        F.count("revenue_per_case").alias("_lines"),
+        F.sum("revenue_cents").alias("_net"),
+        F.sum("margin_cents").alias("_margin"),
+        F.sum("discount_cents").alias("_discount"),
+        F.sum("gross_cents").alias("_gross"),
+        F.sum("per_case_cents").alias("_per_case"),
+        F.count("per_case_cents").alias("_lines"),
     )
     known = known_ids(per_account, accounts, "account_src_id", "account_id")
     per_rep = known.groupBy("rep_id").agg(
         F.sum("_orders").alias("transactions"),
         F.count("account_id").alias("accounts_covered"),
         F.sum("_cases").alias("cases_sold"),
-        F.sum("_net").alias("net_revenue"),
-        F.sum("_margin").alias("est_margin"),
-        F.sum("_discount").alias("discounts_given"),
-        F.sum("_gross").alias("_gross"),
-        F.sum("_per_case").alias("_per_case"),
+        from_cents(F.sum("_net")).alias("net_revenue"),
+        from_cents(F.sum("_margin")).alias("est_margin"),
+        from_cents(F.sum("_discount")).alias("discounts_given"),
+        from_cents(F.sum("_gross")).alias("_gross"),
+        from_cents(F.sum("_per_case")).alias("_per_case"),
         F.sum("_lines").alias("_lines"),
     )
     named = per_rep.join(
@@ -140,7 +148,7 @@ def rep_scorecard(
         "est_margin",
         "discounts_given",
         percentage("discounts_given", "_gross").alias("discount_rate_pct"),
-        mean_from("_per_case", "_lines").alias("avg_rev_per_case"),
+        ratio("_per_case", "_lines").alias("avg_rev_per_case"),
         "revenue_rank",
         "avg_quota_attainment_pct",
         threshold_label("net_revenue", levels, lowest).alias("performance_status"),
@@ -152,9 +160,9 @@ def supplier_mix(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
     per_supplier = sales.groupBy("supplier_id").agg(
         F.count_distinct("txn_id").alias("transactions"),
         F.sum("cases_sold").alias("cases_sold"),
-        F.sum("revenue_usd").alias("net_revenue"),
-        F.sum("estimated_margin_usd").alias("est_margin"),
-        F.sum("discount_usd").alias("discounts"),
+        from_cents(F.sum("revenue_cents")).alias("net_revenue"),
+        from_cents(F.sum("margin_cents")).alias("est_margin"),
+        from_cents(F.sum("discount_cents")).alias("discounts"),
     )
     named = per_supplier.join(
         lookup(
@@ -194,8 +202,8 @@ def channel_split(
         .agg(
             F.count_distinct("txn_id").alias("_orders"),
             F.sum("cases_sold").alias("_cases"),
-            F.sum("revenue_usd").alias("_net"),
-            F.sum("estimated_margin_usd").alias("_margin"),
+            F.sum("revenue_cents").alias("_net"),
+            F.sum("margin_cents").alias("_margin"),
         )
     )
     known = known_ids(per_account, accounts, "account_src_id", "account_id")
@@ -205,8 +213,8 @@ def channel_split(
         F.count_distinct("rep_id").alias("reps"),
         F.count_distinct("account_id").alias("accounts"),
         F.sum("_cases").alias("cases_sold"),
-        F.sum("_net").alias("net_revenue"),
-        F.sum("_margin").alias("est_margin"),
+        from_cents(F.sum("_net")).alias("net_revenue"),
+        from_cents(F.sum("_margin")).alias("est_margin"),
     )
     return channels.select(
         "*",
@@ -269,9 +277,9 @@ def price_tier_mix(
     mix = labelled.groupBy("price_tier", "category", "sub_category", "channel", "year").agg(
         F.count_distinct("txn_id").alias("transactions"),
         F.sum("cases_sold").alias("cases_sold"),
-        F.sum("revenue_usd").alias("net_revenue"),
-        F.sum("estimated_margin_usd").alias("est_margin"),
-        mean_of("revenue_per_case").alias("avg_rev_per_case"),
+        from_cents(F.sum("revenue_cents")).alias("net_revenue"),
+        from_cents(F.sum("margin_cents")).alias("est_margin"),
+        mean_dollars("per_case_cents").alias("avg_rev_per_case"),
     )
     channel_year = F.sum("cases_sold").over(Window.partitionBy("channel", "year"))
     return mix.select(
@@ -284,8 +292,8 @@ def geo_density(sales: DataFrame, accounts: DataFrame) -> DataFrame:
     per_account = sales.groupBy("account_id").agg(
         F.count_distinct("txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
-        F.sum("revenue_usd").alias("_net"),
-        F.sum("estimated_margin_usd").alias("_margin"),
+        F.sum("revenue_cents").alias("_net"),
+        F.sum("margin_cents").alias("_margin"),
     )
     towns = (
         per_account.join(
@@ -297,8 +305,8 @@ def geo_density(sales: DataFrame, accounts: DataFrame) -> DataFrame:
             F.count("account_id").alias("accounts"),
             F.sum("_orders").alias("transactions"),
             F.sum("_cases").alias("cases_sold"),
-            F.sum("_net").alias("net_revenue"),
-            F.sum("_margin").alias("est_margin"),
+            from_cents(F.sum("_net")).alias("net_revenue"),
+            from_cents(F.sum("_margin")).alias("est_margin"),
         )
         .withColumn("revenue_per_account", ratio("net_revenue", "accounts"))
     )

@@ -7,8 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caskline.functions.measures import mean_of, percentage, ratio, sample_stdev
-from caskline.plans.common import known_ids, lookup, mean_from
+from caskline.functions.measures import (
+    dollars_of,
+    from_cents,
+    mean_dollars,
+    mean_of,
+    money_percentage,
+    percentage,
+    ratio,
+    sample_stdev,
+)
+from caskline.plans.common import known_ids, lookup
 
 # Group labels and limits.
 WINNER, COMPARISON = "Winner", "Comparison"
@@ -23,35 +32,33 @@ TREATMENT, CONTROL = "Treatment", "Control"
 def ab_channel(sales: DataFrame, accounts: DataFrame) -> DataFrame:
     """Channels as test groups: size, mean and spread of sales, margin, discount, and a winner.
 
-    The spread comes from the sum and the sum of squares, kept exact in decimals, because those can
-    be merged after the distinct counts have been taken per account.
+    The spread comes from the sum and the sum of squares, because those can be merged after the
+    distinct counts have been taken per account.
     """
-    revenue = F.col("revenue_usd")
+    revenue = F.col("revenue_cents")
     per_account = sales.groupBy("channel", "account_id").agg(
         F.count_distinct("txn_id").alias("_orders"),
         F.count(revenue).alias("_n"),
         F.sum(revenue).alias("_net"),
-        F.sum(revenue * revenue).alias("_net_squared"),
-        F.sum("revenue_per_case").alias("_per_case"),
-        F.count("revenue_per_case").alias("_cases_n"),
-        F.sum("estimated_margin_usd").alias("_margin"),
-        F.count("estimated_margin_usd").alias("_margin_n"),
-        F.sum("discount_usd").alias("_discount"),
-        F.sum("gross_revenue_usd").alias("_gross"),
+        F.sum(dollars_of(revenue) * dollars_of(revenue)).alias("_net_squared"),
+        F.sum("per_case_cents").alias("_per_case"),
+        F.count("per_case_cents").alias("_cases_n"),
+        F.sum("margin_cents").alias("_margin"),
+        F.sum("discount_cents").alias("_discount"),
+        F.sum("gross_cents").alias("_gross"),
     )
     known = known_ids(per_account, accounts, "account_src_id", "account_id")
+    net, margin, n = dollars_of(F.sum("_net")), dollars_of(F.sum("_margin")), F.sum("_n")
     groups = known.groupBy(F.col("channel").alias("test_group")).agg(
         F.sum("_orders").alias("n_transactions"),
         F.count_distinct("account_id").alias("n_accounts"),
-        F.sum("_net").alias("total_revenue"),
-        ratio(F.sum("_net"), F.sum("_n")).alias("avg_order_value"),
-        sample_stdev(F.sum("_n"), F.sum("_net"), F.sum("_net_squared")).alias("stdev_order_value"),
-        ratio(F.sum("_per_case"), F.sum("_cases_n")).alias("avg_rev_per_case"),
-        F.sum("_margin").alias("total_margin"),
-        percentage(
-            ratio(F.sum("_margin"), F.sum("_margin_n")), ratio(F.sum("_net"), F.sum("_n"))
-        ).alias("avg_margin_pct"),
-        percentage(F.sum("_discount"), F.sum("_gross")).alias("discount_rate"),
+        from_cents(F.sum("_net")).alias("total_revenue"),
+        ratio(net, n).alias("avg_order_value"),
+        sample_stdev(n, net, F.sum("_net_squared")).alias("stdev_order_value"),
+        ratio(dollars_of(F.sum("_per_case")), F.sum("_cases_n")).alias("avg_rev_per_case"),
+        from_cents(F.sum("_margin")).alias("total_margin"),
+        percentage(ratio(margin, n), ratio(net, n)).alias("avg_margin_pct"),
+        money_percentage(F.sum("_discount"), F.sum("_gross")).alias("discount_rate"),
     )
     # One row per channel label.
     best = F.max("avg_margin_pct").over(Window.partitionBy())
@@ -63,33 +70,35 @@ def ab_channel(sales: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def discount_band(
-    discount: Column, bands: Sequence[tuple[object, object, str]], otherwise: str
+    points: Column, bands: Sequence[tuple[float, float, str]], otherwise: str
 ) -> Column:
-    """Band of a discount percentage; a value between two bands falls to ``otherwise``."""
+    """Band of a discount in hundredths of a percent; between two bands it is ``otherwise``."""
     result = F.lit(otherwise)
     for low, high, label in reversed(list(bands)):
-        result = F.when(discount.between(low, high), label).otherwise(result)
-    return F.when(discount == 0, NO_DISCOUNT).otherwise(result)
+        inside = points.between(round(low * 100), round(high * 100))
+        result = F.when(inside, label).otherwise(result)
+    return F.when(points == 0, NO_DISCOUNT).otherwise(result)
 
 
 def ab_discount_lift(
     sales: DataFrame,
     *,
-    bands: Sequence[tuple[object, object, str]] = DISCOUNT_BANDS,
+    bands: Sequence[tuple[float, float, str]] = DISCOUNT_BANDS,
     other: str = OTHER_DISCOUNT,
 ) -> DataFrame:
     """Discount bands: means per sale, uplift in cases over undiscounted sales, discount yield."""
-    groups = sales.groupBy(discount_band(F.col("discount_pct"), bands, other).alias("test_group")).agg(
+    band = discount_band(F.col("discount_points"), bands, other)
+    groups = sales.groupBy(band.alias("test_group")).agg(
         F.count(F.lit(1)).alias("n_transactions"),
-        mean_of("discount_pct").alias("avg_discount_applied"),
+        mean_dollars("discount_points").alias("avg_discount_applied"),
         mean_of("cases_sold").alias("avg_cases_per_order"),
-        mean_of("revenue_usd").alias("avg_net_revenue_per_order"),
-        mean_of("gross_revenue_usd").alias("avg_gross_per_order"),
-        mean_of("discount_usd").alias("avg_discount_given"),
-        mean_of("revenue_per_case").alias("avg_rev_per_case"),
-        mean_of("estimated_margin_usd").alias("avg_margin_per_order"),
-        F.sum("discount_usd").alias("total_discounts_given"),
-        F.sum("revenue_usd").alias("_net"),
+        mean_dollars("revenue_cents").alias("avg_net_revenue_per_order"),
+        mean_dollars("gross_cents").alias("avg_gross_per_order"),
+        mean_dollars("discount_cents").alias("avg_discount_given"),
+        mean_dollars("per_case_cents").alias("avg_rev_per_case"),
+        mean_dollars("margin_cents").alias("avg_margin_per_order"),
+        from_cents(F.sum("discount_cents")).alias("total_discounts_given"),
+        from_cents(F.sum("revenue_cents")).alias("_net"),
     )
     # The undiscounted sales are the control band itself; the window sees one row per band.
     baseline = F.max(
@@ -104,17 +113,15 @@ def ab_discount_lift(
 
 def ab_discount_roi(sales: DataFrame) -> DataFrame:
     """One row: revenue with and without discount, and what discounts cost."""
-    discount, revenue = F.col("discount_pct"), F.col("revenue_usd")
-    gross, given = F.sum("gross_revenue_usd"), F.sum("discount_usd")
+    points, revenue = F.col("discount_points"), F.col("revenue_cents")
+    gross, given = F.sum("gross_cents"), F.sum("discount_cents")
     return sales.agg(
-        F.sum(F.when(discount == 0, revenue).otherwise(0)).alias("full_price_revenue"),
-        F.sum(F.when(discount > 0, revenue).otherwise(0)).alias("discounted_revenue"),
-        given.alias("total_discounts_given"),
-        (gross - F.sum(revenue)).alias("revenue_left_on_table"),
-        percentage(given, gross).alias("overall_discount_rate"),
-        percentage(given, F.sum(F.col("gross_revenue_usd") - F.col("discount_usd"))).alias(
-            "breakeven_uplift_needed"
-        ),
+        from_cents(F.sum(F.when(points == 0, revenue).otherwise(0))).alias("full_price_revenue"),
+        from_cents(F.sum(F.when(points > 0, revenue).otherwise(0))).alias("discounted_revenue"),
+        from_cents(given).alias("total_discounts_given"),
+        from_cents(gross - F.sum(revenue)).alias("revenue_left_on_table"),
+        money_percentage(given, gross).alias("overall_discount_rate"),
+        money_percentage(given, gross - given).alias("breakeven_uplift_needed"),
     )
 
 
@@ -136,23 +143,23 @@ def ab_premium_mix(
         .agg(
             F.sum("cases_sold").alias("_cases"),
             premium_cases.alias("_premium"),
-            F.sum("revenue_usd").alias("_net"),
-            F.sum("revenue_per_case").alias("_per_case"),
-            F.count("revenue_per_case").alias("_lines"),
-            F.sum("estimated_margin_usd").alias("_margin"),
+            F.sum("revenue_cents").alias("_net"),
+            F.sum("per_case_cents").alias("_per_case"),
+            F.count("per_case_cents").alias("_lines"),
+            F.sum("margin_cents").alias("_margin"),
         )
         .join(lookup(reps, "rep_src_id", "rep_id"), "rep_id")
         .withColumn("_mix", percentage("_premium", "_cases"))
-        .withColumn("_rep_per_case", mean_from("_per_case", "_lines"))
+        .withColumn("_rep_per_case", ratio(dollars_of("_per_case"), "_lines"))
     )
     groups = mixes.groupBy(
         F.when(F.col("_mix") >= cutpoint, TREATMENT).otherwise(CONTROL).alias("ab_group")
     ).agg(
         F.count(F.lit(1)).alias("n_reps"),
         F.avg("_mix").alias("avg_premium_mix"),
-        ratio(F.sum("_net"), F.count("_net")).alias("avg_rep_revenue"),
+        mean_dollars("_net").alias("avg_rep_revenue"),
         F.avg("_rep_per_case").alias("avg_rev_per_case"),
-        ratio(F.sum("_margin"), F.count("_margin")).alias("avg_rep_margin"),
+        mean_dollars("_margin").alias("avg_rep_margin"),
         F.sum("_cases").alias("_cases"),
     )
     # Two rows at most from here on.

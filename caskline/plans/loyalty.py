@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import ceiling_label, threshold_label
-from caskline.functions.measures import month_boundaries, percentage, ratio, whole_division
+from caskline.functions.measures import (
+    dollars_of,
+    from_cents,
+    money_percentage,
+    month_boundaries,
+    ratio,
+    whole_division,
+)
 from caskline.operators.global_window import global_running_sum
 from caskline.plans.common import lookup, with_dates
 from caskline.session import materialise
@@ -41,9 +48,9 @@ def customer_ltv(
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
         F.sum("cases_sold").alias("lifetime_cases"),
-        F.sum("revenue_usd").alias("lifetime_revenue"),
-        F.sum("estimated_margin_usd").alias("lifetime_margin"),
-        F.count("revenue_usd").alias("_lines"),
+        F.sum("revenue_cents").alias("_revenue"),
+        F.sum("margin_cents").alias("_margin"),
+        F.count("revenue_cents").alias("_lines"),
     )
     named = lifetimes.join(
         lookup(
@@ -64,11 +71,11 @@ def customer_ltv(
         "last_order",
         F.datediff("last_order", "first_order").alias("relationship_days"),
         "lifetime_cases",
-        "lifetime_revenue",
-        "lifetime_margin",
-        ratio("lifetime_revenue", "_lines").alias("avg_order_value"),
-        ratio("lifetime_revenue", months).alias("monthly_ltv"),
-        threshold_label("lifetime_revenue", tiers, lowest_tier).alias("ltv_tier"),
+        from_cents("_revenue").alias("lifetime_revenue"),
+        from_cents("_margin").alias("lifetime_margin"),
+        ratio(dollars_of("_revenue"), "_lines").alias("avg_order_value"),
+        ratio(dollars_of("_revenue"), months).alias("monthly_ltv"),
+        threshold_label(from_cents("_revenue"), tiers, lowest_tier).alias("ltv_tier"),
     ).orderBy(F.desc("lifetime_revenue"))
 
 
@@ -94,7 +101,7 @@ def account_retention(
         .groupBy("account_id", "rep_id", "_year")
         .agg(
             F.count_distinct(F.when(F.col("_year") != 0, F.col("txn_id"))).alias("_orders"),
-            F.sum("revenue_usd").alias("_revenue"),
+            F.sum("revenue_cents").alias("_revenue"),
         )
     )
 
@@ -128,14 +135,14 @@ def account_retention(
             "channel",
             "town",
             "rep_name",
-            old,
-            new,
-            change.alias("yoy_change"),
-            percentage(change, old).alias("yoy_growth_pct"),
+            from_cents(old).alias(old),
+            from_cents(new).alias(new),
+            from_cents(change).alias("yoy_change"),
+            money_percentage(change, old).alias("yoy_growth_pct"),
             f"orders_{before}",
             f"orders_{after}",
             status.alias("retention_status"),
-            F.when(churned, F.col(old)).otherwise(0).alias("at_risk_revenue"),
+            from_cents(F.when(churned, F.col(old)).otherwise(0)).alias("at_risk_revenue"),
         )
         .orderBy(F.when(F.col("retention_status") == "Churned", 0).otherwise(1), F.desc(old))
     )
@@ -149,15 +156,15 @@ def revenue_pareto(
     slices: int | None = None,
 ) -> DataFrame:
     """Accounts by falling revenue with rank, share and running share of all revenue."""
-    known = sales.groupBy("account_id").agg(F.sum("revenue_usd").alias("account_revenue"))
+    known = sales.groupBy("account_id").agg(F.sum("revenue_cents").alias("_revenue"))
     known = known.join(accounts.select(F.col("account_src_id").alias("account_id")), "account_id")
     ranked = global_running_sum(
         known,
-        "account_revenue",
-        [("account_revenue", "desc"), ("account_id", "asc")],
+        "_revenue",
+        [("_revenue", "desc"), ("account_id", "asc")],
         name="_running",
         total="_total",
-        rank=("revenue_rank", ["account_revenue"]),
+        rank=("revenue_rank", ["_revenue"]),
         slices=slices,
     )
     named = ranked.join(
@@ -172,9 +179,9 @@ def revenue_pareto(
         "account_name",
         "account_type",
         "channel",
-        "account_revenue",
-        percentage("account_revenue", "_total").alias("pct_of_total"),
-        percentage("_running", "_total").alias("cumulative_pct"),
+        from_cents("_revenue").alias("account_revenue"),
+        money_percentage("_revenue", "_total").alias("pct_of_total"),
+        money_percentage("_running", "_total").alias("cumulative_pct"),
         F.when(within, "Top Revenue").otherwise("Tail Revenue").alias("pareto_group"),
     ).orderBy("revenue_rank", "account_name")
 
@@ -196,8 +203,8 @@ def order_gaps(
     """
     days = sales.groupBy("account_id", "order_date", "rep_id").agg(
         F.count(F.lit(1)).alias("_sales"),
-        F.sum("revenue_usd").alias("_revenue"),
-        F.min(F.struct("txn_id", "revenue_usd")).alias("_earliest"),
+        F.sum("revenue_cents").alias("_revenue"),
+        F.min(F.struct("txn_id", "revenue_cents")).alias("_earliest"),
     )
     known = days.join(
         lookup(accounts, "account_src_id", "account_id", "account_name", "channel"), "account_id"
@@ -213,13 +220,13 @@ def order_gaps(
         "rep_name",
         (F.col("_sales") - F.when(first, 1).otherwise(0)).alias("_counted"),
         (
-            F.col("_revenue") - F.when(first, F.col("_earliest.revenue_usd")).otherwise(0)
+            F.col("_revenue") - F.when(first, F.col("_earliest.revenue_cents")).otherwise(0)
         ).alias("_revenue"),
         F.coalesce("_gap", F.lit(0)).alias("_gap"),
     )
     rhythm = blocks.groupBy("account_id", "rep_id", "account_name", "channel", "rep_name").agg(
         F.sum("_counted").alias("total_orders"),
-        F.sum("_revenue").alias("total_revenue"),
+        F.sum("_revenue").alias("_revenue"),
         F.sum("_gap").alias("_days"),
         F.max(F.when(F.col("_counted") > 0, F.col("_gap"))).alias("longest_gap_days"),
     )
@@ -232,7 +239,7 @@ def order_gaps(
             "channel",
             "rep_name",
             "total_orders",
-            "total_revenue",
+            from_cents("_revenue").alias("total_revenue"),
             "avg_days_between_orders",
             "longest_gap_days",
             ceiling_label("avg_days_between_orders", rhythms, slowest).alias("engagement_health"),
@@ -250,14 +257,14 @@ def discount_leakage(
 ) -> DataFrame:
     """Representatives' discount rates against the unweighted mean of all representatives."""
     per_rep = sales.groupBy("rep_id").agg(
-        F.sum("revenue_usd").alias("net_revenue"),
-        F.sum("gross_revenue_usd").alias("_gross"),
-        F.sum("discount_usd").alias("total_discounts"),
+        F.sum("revenue_cents").alias("_net"),
+        F.sum("gross_cents").alias("_gross"),
+        F.sum("discount_cents").alias("_discount"),
     )
     # One row per representative, read twice below.
     rated = materialise(
         per_rep.join(lookup(reps, "rep_src_id", "rep_id", "rep_name", "division", "channel"), "rep_id")
-        .withColumn("rep_disc_rate", percentage("total_discounts", "_gross"))
+        .withColumn("rep_disc_rate", money_percentage("_discount", "_gross"))
     )
     company = rated.agg(F.avg("rep_disc_rate")).scalar()
     above = F.col("rep_disc_rate") - F.col("company_avg")
@@ -272,12 +279,12 @@ def discount_leakage(
             "rep_name",
             "division",
             "channel",
-            "net_revenue",
-            "total_discounts",
+            from_cents("_net").alias("net_revenue"),
+            from_cents("_discount").alias("total_discounts"),
             "rep_disc_rate",
             "company_avg",
             above.alias("above_avg_by"),
-            F.when(above > 0, F.col("_gross").cast("double") * above / 100)
+            F.when(above > 0, dollars_of("_gross") * above / 100)
             .otherwise(0.0)
             .alias("recoverable_revenue"),
             action.alias("action"),

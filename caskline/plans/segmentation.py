@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import rank_of_label
-from caskline.functions.measures import ratio
+from caskline.functions.measures import dollars_of, from_cents, mean_dollars, ratio
 from caskline.operators.global_window import global_ntile
 from caskline.plans.common import lookup
 
@@ -98,9 +98,9 @@ def _base(sales: DataFrame, ids: Sequence[str], anchor: dt.date) -> DataFrame:
         .agg(
             F.max("order_date").alias("_last"),
             F.count_distinct("txn_id").alias("frequency"),
-            F.sum("revenue_usd").alias("monetary"),
-            F.sum("estimated_margin_usd").alias("total_margin"),
-            F.count("revenue_usd").alias("_lines"),
+            F.sum("revenue_cents").alias("monetary"),
+            F.sum("margin_cents").alias("total_margin"),
+            F.count("revenue_cents").alias("_lines"),
         )
         .withColumn("recency_days", F.datediff(F.lit(anchor), "_last"))
         .drop("_last")
@@ -142,9 +142,9 @@ def rfm_segments(
         "rep_name",
         "recency_days",
         "frequency",
-        F.col("monetary").alias("lifetime_revenue"),
-        F.col("total_margin").alias("lifetime_margin"),
-        ratio("monetary", "_lines").alias("avg_order_value"),
+        from_cents("monetary").alias("lifetime_revenue"),
+        from_cents("total_margin").alias("lifetime_margin"),
+        ratio(dollars_of("monetary"), "_lines").alias("avg_order_value"),
         code.alias("rfm_code"),
         (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_total"),
         "segment",
@@ -152,7 +152,7 @@ def rfm_segments(
         "f_score",
         "m_score",
         _by_label("segment", PLAYBOOKS, F.lit(None).cast("string")).alias("action_playbook"),
-        (F.col("monetary") * factor).alias("revenue_at_risk_if_churned"),
+        (from_cents("monetary") * factor).alias("revenue_at_risk_if_churned"),
     ).orderBy(rank_of_label("segment", SEGMENT_ORDER), F.desc("lifetime_revenue"))
 
 
@@ -173,9 +173,9 @@ def rfm_summary(
         scored.groupBy(segment_of().alias("segment"))
         .agg(
             F.count(F.lit(1)).alias("account_count"),
-            F.sum("monetary").alias("total_revenue"),
-            ratio(F.sum("monetary"), F.count("monetary")).alias("avg_revenue_per_account"),
-            F.sum("total_margin").alias("total_margin"),
+            from_cents(F.sum("monetary")).alias("total_revenue"),
+            mean_dollars("monetary").alias("avg_revenue_per_account"),
+            from_cents(F.sum("total_margin")).alias("total_margin"),
             ratio(F.sum("recency_days"), F.count("recency_days")).alias("avg_recency"),
             ratio(F.sum("frequency"), F.count("frequency")).alias("avg_frequency"),
         )

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caskline.functions.measures import to_cents, whole_division
 from caskline.sources.schemas import LOADED_AT
 from registry.tables import table
 
@@ -15,7 +16,10 @@ def _text(column: Column | str) -> Column:
 
 
 def _money_text(column: str) -> Column:
-    return F.col(column).cast("decimal(12,2)").cast("string")
+    cents = to_cents(column)
+    return F.concat(
+        _text(whole_division(cents, F.lit(100))), F.lit("."), F.lpad(_text(cents % 100), 2, "0")
+    )
 
 
 def _day_text(column: str) -> Column:
@@ -137,7 +141,7 @@ def sales_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("l_suppkey").alias("supplier_id"),
         F.when(quantity == 17, "0").otherwise(_text(quantity)).alias("cases_sold"),
         F.when(quantity % 19 == 0, None)
-        .otherwise(_text((F.col("l_discount").cast("decimal(5,2)") * 100).cast("decimal(5,2)")))
+        .otherwise(F.concat(_text(to_cents("l_discount")), F.lit(".00")))
         .alias("discount_pct"),
         F.when(quantity == 23, "0.00")
         .when(quantity == 29, None)

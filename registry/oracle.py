@@ -53,7 +53,7 @@ accounts AS (
 PRODUCTS = """
 products AS (
   SELECT p_partkey AS sku_id, p_name AS product_name, CAST(p_size AS BIGINT) AS supplier_id,
-         p_type AS category, p_brand AS sub_category, p_size * 50 AS size_ml,
+         p_type AS category, p_brand AS sub_category, CAST(p_size * 50 AS BIGINT) AS size_ml,
          CAST(p_retailprice AS DECIMAL(10,2)) AS price,
          CASE WHEN CAST(p_retailprice AS DECIMAL(10,2)) < 925 THEN 'Value'
               WHEN CAST(p_retailprice AS DECIMAL(10,2)) < 950 THEN 'Mid-Range'
@@ -285,7 +285,7 @@ FROM fs WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP B
 SELECT supplier_name, rep_name, r.division, quarter, 'Volume (cases)' AS program_type,
        {dbl("attainment_pct")} AS attainment_pct, {dbl("goal - actual")} AS gap_to_goal,
        {dbl("earned")} AS bonus_earned_usd, {dbl("missed")} AS bonus_missed_usd, status,
-       CASE status WHEN 'Achieved' THEN 1 WHEN 'At Risk' THEN 2 WHEN 'Behind' THEN 3 ELSE 9 END
+       CAST(CASE status WHEN 'Achieved' THEN 1 WHEN 'At Risk' THEN 2 WHEN 'Behind' THEN 3 ELSE 9 END AS BIGINT)
          AS status_sort_order,
        CASE WHEN attainment_pct >= 100 THEN '1_Achieved' WHEN attainment_pct >= 85 THEN '2_Push_Now'
             WHEN attainment_pct >= 60 THEN '3_Focus' ELSE '4_At_Risk' END AS urgency_bucket,
@@ -457,7 +457,7 @@ SELECT d AS full_date, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, year(d
        strftime(d, '%A') AS day_of_week_name, quarter(d) AS quarter_num,
        'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_label,
        CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS year_quarter,
-       CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CAST(dayofweek(d) IN (0, 6) AS BIGINT) AS is_weekend,
        CASE WHEN month(d) IN (11, 12) THEN 'Holiday Season' WHEN month(d) IN (6, 7, 8) THEN 'Summer Peak'
             ELSE 'Standard' END AS season
 FROM days""",
@@ -466,10 +466,11 @@ rk AS (SELECT n_nationkey AS id, ROW_NUMBER() OVER (ORDER BY n_nationkey) AS rep
 ak AS (SELECT c_custkey AS id, ROW_NUMBER() OVER (ORDER BY c_custkey) AS account_key FROM customer),
 pk AS (SELECT p_partkey AS id, ROW_NUMBER() OVER (ORDER BY p_partkey) AS product_key FROM part),
 sk AS (SELECT s_suppkey AS id, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS supplier_key FROM supplier)
-SELECT txn_id, rep_key, account_key, product_key, supplier_key, order_date, cases AS cases_sold,
+SELECT txn_id, rep_key, account_key, product_key, supplier_key, order_date,
+       CAST(cases AS BIGINT) AS cases_sold,
        {dbl("disc")} AS discount_pct, {dbl("revenue")} AS revenue_usd, {dbl("rpc")} AS revenue_per_case,
        {dbl("gross")} AS gross_revenue_usd, {dbl("discount")} AS discount_usd,
-       {dbl("margin")} AS estimated_margin_usd, channel, 1 AS is_valid
+       {dbl("margin")} AS estimated_margin_usd, channel, CAST(1 AS BIGINT) AS is_valid
 FROM fs LEFT JOIN rk ON rep_id = rk.id LEFT JOIN ak ON account_id = ak.id
      LEFT JOIN pk ON sku_id = pk.id LEFT JOIN sk ON supplier_id = sk.id""",
         "fact_quota": with_(SALES, REPS, QUOTAS) + f"""
@@ -491,7 +492,8 @@ SELECT rep_id + 1 AS rep_key, supplier_key, program_key, quarter, {dbl("goal")}
        {dbl("actual")} AS actual_value, {dbl("attainment_pct")} AS attainment_pct,
        {dbl("earned")} AS bonus_earned_usd, {dbl("goal - actual")} AS gap_to_goal,
        {dbl("missed")} AS bonus_missed_usd, status,
-       CASE status WHEN 'Achieved' THEN 1 WHEN 'At Risk' THEN 2 ELSE 3 END AS status_sort_order,
+       CAST(CASE status WHEN 'Achieved' THEN 1 WHEN 'At Risk' THEN 2 ELSE 3 END AS BIGINT)
+         AS status_sort_order,
        'Volume (cases)' AS program_type, r.division, rep_name, channel, supplier_name,
        category AS supplier_category
 FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)
@@ -714,7 +716,7 @@ CLEANSED: dict[str, str] = {
        CASE WHEN TRY_CAST(revenue_usd AS DECIMAL(12,2)) IS NULL THEN 0
             WHEN TRY_CAST(revenue_usd AS DECIMAL(12,2)) <= 0 THEN 0
             WHEN CAST(cases_sold AS INTEGER) <= 0 THEN 0
-            WHEN TRY_CAST(txn_date AS DATE) IS NULL THEN 0 ELSE 1 END AS is_valid""",
+            WHEN TRY_CAST(txn_date AS DATE) IS NULL THEN 0 ELSE CAST(1 AS BIGINT) END AS is_valid""",
     "rep_quota_actuals": f"""{big("rep_id")} AS rep_id, trim(rep_name) AS rep_name,
        trim(division) AS division, trim(month) AS month_year, {big("quota_cases")} AS quota_cases,
        {big("actual_cases")} AS actual_cases, {money("attainment_pct", "DECIMAL(6,2)")} AS attainment_pct,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caskline.functions.measures import from_cents
 from caskline.operators import dimensions as dims
 from caskline.operators import facts, quality
 from caskline.operators.cleanse import CLEANERS, split_supplier_programs
@@ -59,8 +60,9 @@ class Star:
         return getattr(tables, name)(self.spark, self.sf_dir)
 
     def sales(self, *header: str, priced: bool = False) -> DataFrame:
-        transactions = tables.sales_transactions(self.spark, self.sf_dir, header)
-        return facts.sales_measures(transactions, self.entity("products") if priced else None)
+        return facts.sales_measures(
+            tables.sales_transactions(self.spark, self.sf_dir, header, priced)
+        )
 
     def reps(self, keyed: bool = False) -> DataFrame:
         return dims.dim_reps(self.entity("sales_reps"), as_of=AS_OF, keyed=keyed)
@@ -82,8 +84,8 @@ class Star:
 
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
-            tables.sales_transactions(self.spark, self.sf_dir),
-            self.entity("products"),
+            tables.sales_transactions(self.spark, self.sf_dir, priced=True),
+            None,
             self.reps(keyed=True),
             self.accounts(keyed=True),
             self.products(keyed=True),
@@ -150,7 +152,9 @@ def _orphans(star: Star) -> DataFrame:
 
 def _running_revenue(star: Star) -> DataFrame:
     """Order lines folded to products, accumulated from the best-selling product down."""
-    revenue = star.sales().groupBy("sku_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
+    revenue = star.sales().groupBy("sku_id").agg(
+        from_cents(F.sum("revenue_cents")).alias("revenue_usd")
+    )
     return global_running_sum(
         revenue,
         "revenue_usd",

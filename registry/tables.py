@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caskline.functions.labels import threshold_label
-from caskline.functions.measures import whole_division, year_quarter
+from caskline.functions.measures import dollars_of, from_cents, round_quotient, to_cents, year_quarter
+from caskline.operators.facts import with_price
 from caskline.operators.cleanse import PERFORMANCE_CUTPOINTS, PERFORMANCE_FLOOR, positive_amounts
 
 PROGRAM_BONUS = "5000.00"
@@ -29,11 +30,6 @@ def _channel_of_segment() -> Column:
     return F.when(on_premise, "On-Premise").otherwise("Off-Premise")
 
 
-def half_up(numerator: Column, denominator: Column) -> Column:
-    """Whole-number quotient of non-negative numbers, rounded half up."""
-    return whole_division(numerator * 2 + denominator, denominator * 2)
-
-
 def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     return (
@@ -99,26 +95,35 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HEADER = ("txn_date", "account_id", "rep_id", "channel")
+
+
 def sales_transactions(
-    spark: SparkSession, sf_dir: str, header: tuple[str, ...] = ("txn_date", "account_id", "rep_id", "channel")
+    spark: SparkSession, sf_dir: str, header: tuple[str, ...] = HEADER, priced: bool = False
 ) -> DataFrame:
     """One row per order line, with the wanted columns of its order's ``header``.
 
     Headers are completed at order grain first, so lines are shuffled by order once, whatever the
-    header needs from the customer; and a header column nobody asked for costs no join. An order
-    always has a date in these tables, so a line is judged by its amounts.
+    header needs from the customer; and a header column nobody asked for costs no join. List prices
+    come before the header: lines are then left partitioned by order, and counting orders per
+    account needs no further shuffle of the lines. An order always has a date in these tables, so a
+    line is judged by its amounts.
     """
-    discount = F.col("l_discount").cast("decimal(5,2)")
+    percent_off = F.rint(F.col("l_discount") * 100).cast("int")
+    revenue = round_quotient(to_cents("l_extendedprice") * (100 - percent_off), F.lit(100))
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("txn_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_quantity").cast("int").alias("cases_sold"),
-        (discount * 100).cast("decimal(5,2)").alias("discount_pct"),
-        F.round(_money("l_extendedprice") * (F.lit(1).cast("decimal(1,0)") - discount), 2)
-        .cast("decimal(12,2)")
-        .alias("revenue_usd"),
+        percent_off.cast("double").alias("discount_pct"),
+        dollars_of(revenue).alias("revenue_usd"),
     )
+    if priced:
+        prices = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("sku_id"), F.col("p_retailprice").alias("price_per_case_usd")
+        )
+        lines = with_price(lines, prices)
     if header:
         orders = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("txn_id"),
@@ -147,24 +152,24 @@ def rep_quota_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rep_id", F.date_format("txn_date", "yyyy-MM").alias("month_year")
     ).agg(
         F.sum("cases_sold").alias("actual_cases"),
-        F.sum("revenue_usd").cast("decimal(16,2)").alias("actual_revenue_usd"),
+        F.sum(to_cents("revenue_usd")).alias("_revenue"),
     )
     rep = Window.partitionBy("rep_id")
     months = F.count(F.lit(1)).over(rep)
-    quota = half_up(F.sum("actual_cases").over(rep), months)
-    quota_revenue = F.round(F.sum("actual_revenue_usd").over(rep) / months, 2)
-    attainment = F.round(
-        F.col("actual_cases").cast("decimal(18,0)") * 100 / F.col("quota_cases").cast("decimal(18,0)"), 2
-    ).cast("decimal(8,2)")
+    quota = round_quotient(F.sum("actual_cases").over(rep), months)
+    quota_revenue = round_quotient(F.sum("_revenue").over(rep), months)
+    attainment = round_quotient(F.col("actual_cases") * 10_000, F.col("quota_cases"))
     names = sales_reps(spark, sf_dir).select("rep_id", "rep_name", "division")
     return (
         monthly.withColumn("quota_cases", quota)
-        .withColumn("quota_revenue_usd", quota_revenue.cast("decimal(16,2)"))
-        .withColumn("attainment_pct", attainment)
+        .withColumn("quota_revenue_usd", from_cents(quota_revenue))
+        .withColumn("actual_revenue_usd", from_cents("_revenue"))
+        .withColumn("attainment_pct", from_cents(attainment))
         .withColumn(
             "performance_flag",
             threshold_label("attainment_pct", PERFORMANCE_CUTPOINTS, PERFORMANCE_FLOOR),
         )
+        .drop("_revenue")
         .join(names, "rep_id")
     )
 
@@ -186,9 +191,7 @@ def _quarter_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _programs_of(volumes: DataFrame) -> DataFrame:
     """One programme per supplier and quarter; the goal is the mean of its representatives."""
-    goal = (
-        half_up(F.sum("cases") * 100, F.count(F.lit(1))).cast("decimal(18,0)") / 100
-    ).cast("decimal(12,2)")
+    goal = from_cents(round_quotient(F.sum("cases") * 100, F.count(F.lit(1))))
     quarter_start = F.make_date(
         F.substring("quarter", 1, 4).cast("int"),
         F.substring("quarter", 7, 1).cast("int") * 3 - 2,
@@ -216,7 +219,7 @@ def program_attainments(spark: SparkSession, sf_dir: str) -> DataFrame:
     volumes = _quarter_volumes(spark, sf_dir)
     goals = _programs_of(volumes).select("program_id", "program_type", "goal_value", "bonus_usd")
     actual = F.col("cases").cast("decimal(12,2)")
-    attainment = F.round(actual * 100 / F.col("goal_value"), 2).cast("decimal(8,2)")
+    attainment = from_cents(round_quotient(F.col("cases") * 1_000_000, to_cents("goal_value")))
     status = threshold_label("attainment_pct", PERFORMANCE_CUTPOINTS, PERFORMANCE_FLOOR)
     earned = (
         F.when(F.col("status") == "Achieved", F.col("bonus_usd"))
