@@ -6,6 +6,7 @@ adds the surrogate keys by four more joins, which only a consumer of those keys
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,18 +28,20 @@ def sales_measures(
     products: DataFrame | None = None,
     *,
     margin_rate: Decimal = MARGIN_RATE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Valid sales with their derived money columns, in whole cents.
 
     Gross revenue and discount need the list price: they are added when ``products`` is given, or
     when ``transactions`` already carries ``price_per_case_usd``; otherwise the join with the
     products is left out. Id columns ``transactions`` lacks are left out too, so a caller can leave
-    away what it does not group by. ``discount_points`` are hundredths of a percent.
+    away what it does not group by; ``carry`` names further columns to keep. ``discount_points``
+    are hundredths of a percent.
     """
     sales = transactions.filter("is_valid")
     if products is not None:
         sales = with_price(sales, products)
-    columns = [F.col(c) for c in _CARRIED if c in sales.columns]
+    columns = [F.col(c) for c in (*_CARRIED, *carry) if c in sales.columns]
     if "txn_date" in sales.columns:
         columns.append(F.col("txn_date").alias("order_date"))
     columns += [
@@ -70,7 +73,6 @@ def with_price(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
 def fact_sales(
     transactions: DataFrame,
-    products: DataFrame | None,
     reps_dim: DataFrame,
     accounts_dim: DataFrame,
     products_dim: DataFrame,
@@ -78,12 +80,21 @@ def fact_sales(
     *,
     margin_rate: Decimal = MARGIN_RATE,
 ) -> DataFrame:
-    """Sales with surrogate keys; a key is NULL when the id is unknown to its dimension."""
-    sales = sales_measures(transactions, products, margin_rate=margin_rate)
+    """Sales with surrogate keys; a key is NULL when the id is unknown to its dimension.
+
+    One join with the products brings both the list price and the key.
+    """
+    priced = products_dim.select(
+        F.col("sku_src_id").alias("sku_id"), "product_key", "price_per_case_usd"
+    )
+    sales = sales_measures(
+        transactions.join(priced, "sku_id", "left"),
+        margin_rate=margin_rate,
+        carry=["product_key"],
+    )
     for dim, source_id, key, own_id in (
         (reps_dim, "rep_src_id", "rep_key", "rep_id"),
         (accounts_dim, "account_src_id", "account_key", "account_id"),
-        (products_dim, "sku_src_id", "product_key", "sku_id"),
         (suppliers_dim, "supplier_src_id", "supplier_key", "supplier_id"),
     ):
         lookup = dim.select(F.col(source_id).alias(own_id), key)

@@ -45,22 +45,31 @@ def _slice_rows(df: DataFrame, order: Order, slices: int | None) -> DataFrame:
     )
 
 
-def _slice_offsets(sliced: DataFrame, summed: str | None) -> DataFrame:
-    """One row per slice: rows (and sum) before it and in total. As small as the slice count."""
-    sums = [F.sum(summed).alias("_sum")] if summed else []
-    stats = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"), *sums)
+def _slice_offsets(
+    sliced: DataFrame, summed: str | None = None, ranked: Sequence[str] = ()
+) -> DataFrame:
+    """One row per slice: rows (and sum) before it and in total. As small as the slice count.
+
+    With ``ranked`` also the slice's first value and how many rows of the table come before it.
+    """
+    wanted = [F.count(F.lit(1)).alias("_rows")]
+    if summed:
+        wanted.append(F.sum(summed).alias("_sum"))
+    if ranked:
+        wanted.append(F.min_by(_value(ranked), "_position").alias("_first"))
+        wanted.append(F.max_by(_value(ranked), "_position").alias("_last"))
+    stats = sliced.groupBy("_slice").agg(*wanted)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    offsets = [
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
-        F.sum("_rows").over(everything).alias("_rows_total"),
-    ]
+    offsets = {
+        "_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+        "_rows_total": F.sum("_rows").over(everything),
+    }
     if summed:
-        offsets += [
-            F.sum("_sum").over(before).alias("_sum_before"),
-            F.sum("_sum").over(everything).alias("_sum_total"),
-        ]
-    return stats.select("_slice", *offsets)
+        offsets["_sum_before"] = F.sum("_sum").over(before)
+        offsets["_sum_total"] = F.sum("_sum").over(everything)
+    table = stats.withColumns(offsets)
+    return _with_first_before(sliced, table, ranked) if ranked else table
 
 
 def _attach(sliced: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -73,7 +82,7 @@ def global_row_number(
 ) -> DataFrame:
     """``row_number() over (order by ...)``; ``order`` must be unique."""
     sliced = _slice_rows(df, order, slices)
-    numbered = _attach(sliced, _slice_offsets(sliced, None))
+    numbered = _attach(sliced, _slice_offsets(sliced))
     number = F.col("_rows_before") + F.col("_position") + 1
     return numbered.select(*df.columns, number.alias(name))
 
@@ -83,7 +92,7 @@ def global_ntile(
 ) -> DataFrame:
     """``ntile(k) over (order by ...)``; ``order`` must be unique."""
     sliced = _slice_rows(df, order, slices)
-    numbered = _attach(sliced, _slice_offsets(sliced, None))
+    numbered = _attach(sliced, _slice_offsets(sliced))
     row = F.col("_rows_before") + F.col("_position")
     total = F.col("_rows_total")
     small = F.call_function("div", total, F.lit(k))
@@ -109,7 +118,7 @@ def global_running_sum(
     leading ``columns`` of the order, from the same sorted slices.
     """
     sliced = _slice_rows(df, order, slices)
-    offsets = _slice_offsets(sliced, value)
+    offsets = _slice_offsets(sliced, value, rank[1] if rank else ())
     upto = (
         Window.partitionBy("_slice").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -118,7 +127,6 @@ def global_running_sum(
         extra.append(F.col("_sum_total").alias(total))
     if rank:
         rank_name, rank_columns = rank
-        offsets = offsets.join(_tie_edges(sliced, offsets, rank_columns), "_slice")
         extra.append(_rank_column(rank_columns).alias(rank_name))
         sliced = _with_tie_start(sliced, rank_columns)
     summed = sliced.withColumn("_upto", F.sum(value).over(upto))
@@ -144,8 +152,7 @@ def global_rank(
     """
     columns = [c for c, _ in order]
     sliced = _slice_rows(df, [*order, *tiebreak], slices)
-    offsets = _slice_offsets(sliced, None)
-    offsets = offsets.join(_tie_edges(sliced, offsets, columns), "_slice")
+    offsets = _slice_offsets(sliced, ranked=columns)
     ranked = _attach(_with_tie_start(sliced, columns), offsets)
     return ranked.select(*df.columns, _rank_column(columns).alias(name))
 
@@ -167,36 +174,34 @@ def _with_tie_start(sliced: DataFrame, columns: Sequence[str]) -> DataFrame:
     return opens.withColumn("_tie_start", start).drop("_opens")
 
 
-def _tie_edges(
+def _with_first_before(
     sliced: DataFrame, offsets: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Per slice: its first value, and how many rows of the table come before that value."""
-    edges = sliced.groupBy("_slice").agg(
-        F.min_by(_value(columns), "_position").alias("_first"),
-        F.max_by(_value(columns), "_position").alias("_last"),
-    )
+    """Add ``_first_before``: rows of the table before the slice's first value.
+
+    That value may already end the slice before, and fill whole slices before that one.
+    """
     last_start = (
-        sliced.join(F.broadcast(edges.select("_slice", "_last")), "_slice")
+        sliced.join(F.broadcast(offsets.select("_slice", "_last")), "_slice")
         .filter(_value(columns).eqNullSafe(F.col("_last")))
         .groupBy("_slice")
         .agg(F.min("_position").alias("_last_start"))
     )
-    same_last = Window.partitionBy("_last")
     by_slice = Window.orderBy("_slice")
+    last_before = F.min(F.col("_rows_before") + F.col("_last_start")).over(
+        Window.partitionBy("_last")
+    )
+    continues = F.lag("_last").over(by_slice).eqNullSafe(F.col("_first"))
     return (
-        edges.join(last_start, "_slice")
-        .join(offsets.select("_slice", "_rows_before"), "_slice")
-        .withColumn(
-            "_last_before", F.min(F.col("_rows_before") + F.col("_last_start")).over(same_last)
-        )
+        offsets.join(F.broadcast(last_start), "_slice")
+        .withColumn("_last_before", last_before)
         .withColumn(
             "_first_before",
             F.when(
-                F.lag("_last").over(by_slice).eqNullSafe(F.col("_first")),
-                F.coalesce(F.lag("_last_before").over(by_slice), F.col("_rows_before")),
+                continues & F.lag("_last").over(by_slice).isNotNull(),
+                F.lag("_last_before").over(by_slice),
             ).otherwise(F.col("_rows_before")),
         )
-        .select("_slice", "_first", "_first_before")
     )
 
 

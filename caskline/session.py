@@ -15,13 +15,21 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the aggregate above would have reused the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Before a join runs only compressed file sizes are known, so little is broadcast on trust;
+    # once its shuffle has been measured, a side of up to 10 MB is broadcast after all, and sides
+    # whose partitions are all small are hashed instead of sorted.
+    "spark.sql.autoBroadcastJoinThreshold": "2m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings; everything sized to the cluster is left to the caller."""
+    """Apply the runtime settings, except those the cluster's own configuration already sets."""
+    own = spark.sparkContext.getConf()
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if not own.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 

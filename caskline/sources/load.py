@@ -17,11 +17,16 @@ from caskline.sources.schemas import ENTITIES
 AUDIT_SCHEMA = "table_name string, rows bigint, elapsed_ms bigint, ok boolean, error string"
 
 
-def load_table(name: str, build: Callable[[], DataFrame], root: str) -> tuple:
+Writer = Callable[[DataFrame, str], str]
+
+
+def load_table(
+    name: str, build: Callable[[], DataFrame], root: str, write: Writer = publish
+) -> tuple:
     """Build and publish one table; the row count is observed by the write itself."""
     started = time.monotonic()
     counted = Observation(f"load_{name}")
-    publish(build().observe(counted, F.count(F.lit(1)).alias("rows")), root)
+    write(build().observe(counted, F.count(F.lit(1)).alias("rows")), root)
     elapsed = int((time.monotonic() - started) * 1000)
     return (name, counted.get["rows"], elapsed, True, None)
 
@@ -33,6 +38,7 @@ def load_all(
     *,
     fail_fast: bool,
     parallel: int = 1,
+    writers: Mapping[str, Writer] | None = None,
 ) -> DataFrame:
     """Publish every table under ``out`` and return one audit row per table.
 
@@ -41,16 +47,20 @@ def load_all(
     at a time.
     """
 
+    def load(name: str) -> tuple:
+        write = (writers or {}).get(name, publish)
+        return load_table(name, builders[name], f"{out}/{name}", write)
+
     def attempt(name: str) -> tuple:
         started = time.monotonic()
         try:
-            return load_table(name, builders[name], f"{out}/{name}")
+            return load(name)
         except Exception as problem:
             elapsed = int((time.monotonic() - started) * 1000)
             return (name, None, elapsed, False, str(problem))
 
     if fail_fast:
-        results = [load_table(name, builders[name], f"{out}/{name}") for name in builders]
+        results = [load(name) for name in builders]
     else:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             results = list(pool.map(attempt, builders))

@@ -872,5 +872,202 @@ FROM clean_accounts a LEFT JOIN (SELECT * FROM clean_sales_reps WHERE rep_id % 5
     }
 
 
+def load_sql() -> dict[str, str]:
+    columns = ", ".join(name for name, _ in FEEDS["accounts"][2])
+    return {
+        "bronze_accounts": with_(raw_cte("accounts")).replace(
+            "CAST(o_custkey AS VARCHAR) AS account_id", "CAST(o_custkey AS VARCHAR) || ' ' AS account_id"
+        )
+        + f"\nSELECT {columns} FROM raw_accounts",
+        "load_audit": """
+SELECT 'bronze' AS layer, 'sales_reps' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS ok
+FROM customer UNION ALL
+SELECT 'bronze', 'accounts', COUNT(*), 1 FROM orders UNION ALL
+SELECT 'silver', 'sales_reps', COUNT(DISTINCT c_nationkey), 1 FROM customer UNION ALL
+SELECT 'silver', 'accounts', COUNT(DISTINCT o_custkey), 1 FROM orders""",
+    }
+
+
+def _shown(column: str, digits: int) -> str:
+    exact = f"round(CAST({column} AS DECIMAL(38,10)), {digits})"
+    return f"format('{{:,.{digits}f}}', CAST({exact} AS DOUBLE))"
+
+
+def usd(column: str, digits: int = 0) -> str:
+    return f"'$' || {_shown(column, digits)}"
+
+
+def percent(column: str, digits: int) -> str:
+    return f"{_shown(column, digits)} || '%'"
+
+
+def words(column: str, **texts: str) -> str:
+    cases = " ".join(f"WHEN '{k.replace('_', ' ')}' THEN '{v}'" for k, v in texts.items())
+    return f"CASE {column} {cases} END"
+
+
+# Per report, the columns shown differently from the analysis.
+REPORTS: dict[str, dict[str, str]] = {
+    "customer_ltv": {
+        "lifetime_revenue": usd("lifetime_revenue"),
+        "lifetime_margin": usd("lifetime_margin"),
+        "avg_order_value": usd("avg_order_value", 2),
+        "monthly_ltv": usd("monthly_ltv"),
+        "ltv_tier": words(
+            "ltv_tier", Platinum="💎 Platinum", Gold="🥇 Gold", Silver="🥈 Silver", Bronze="🥉 Bronze"
+        ),
+    },
+    "account_retention": {
+        "revenue_1999": usd("revenue_1999"),
+        "revenue_2000": usd("revenue_2000"),
+        "yoy_change": usd("yoy_change"),
+        "yoy_growth_pct": percent("yoy_growth_pct", 1),
+        "retention_status": words(
+            "retention_status",
+            Churned="🔴 CHURNED — Needs Win-Back",
+            New="🟢 NEW in 2000",
+            Growing="📈 Growing (+10%)",
+            Declining="📉 Declining (-10%)",
+            Stable="➡️  Stable",
+        ),
+        "at_risk_revenue": usd("at_risk_revenue"),
+    },
+    "revenue_pareto": {
+        "account_revenue": usd("account_revenue"),
+        "pct_of_total": percent("pct_of_total", 2),
+        "cumulative_pct": percent("cumulative_pct", 1),
+        "pareto_group": words(
+            "pareto_group", Top_Revenue="⭐ Top 80% Revenue", Tail_Revenue="   Tail Revenue"
+        ),
+    },
+    "order_gaps": {
+        "total_revenue": usd("total_revenue"),
+        "engagement_health": words(
+            "engagement_health",
+            Weekly_Buyer="🟢 Weekly Buyer",
+            Monthly_Buyer="🟡 Monthly Buyer",
+            Occasional="🟠 Occasional",
+            Infrequent="🔴 Infrequent — Churn Risk",
+        ),
+    },
+    "discount_leakage": {
+        "net_revenue": usd("net_revenue"),
+        "total_discounts": usd("total_discounts"),
+        "rep_disc_rate": percent("rep_disc_rate", 2),
+        "company_avg": percent("company_avg", 2),
+        "above_avg_by": percent("above_avg_by", 2),
+        "recoverable_revenue": usd("recoverable_revenue"),
+        "action": words(
+            "action",
+            Investigate_Now="🚨 Investigate Now",
+            Monitor_Closely="⚠️  Monitor Closely",
+            Within_Policy="✅ Within Policy",
+        ),
+    },
+    "kpi_card": {
+        **{
+            c: usd(c)
+            for c in (
+                "total_net_revenue",
+                "total_gross_revenue",
+                "total_discounts",
+                "total_est_margin",
+            )
+        },
+        "overall_margin_pct": percent("overall_margin_pct", 1),
+        "overall_discount_rate": percent("overall_discount_rate", 1),
+        "avg_rev_per_case": usd("avg_rev_per_case", 2),
+    },
+    "rfm_segments": {
+        "lifetime_revenue": usd("lifetime_revenue"),
+        "lifetime_margin": usd("lifetime_margin"),
+        "avg_order_value": usd("avg_order_value", 2),
+        "revenue_at_risk_if_churned": usd("revenue_at_risk_if_churned"),
+    },
+    "rfm_summary": {
+        "total_revenue": usd("total_revenue"),
+        "avg_revenue_per_account": usd("avg_revenue_per_account"),
+        "total_margin": usd("total_margin"),
+        "avg_recency": f"{_shown('avg_recency', 0)} || ' days'",
+        "avg_frequency": f"{_shown('avg_frequency', 1)} || ' orders'",
+        "priority": words(
+            "priority",
+            P1="🔴 P1 — Immediate Action",
+            P2="🟢 P2 — Nurture & Grow",
+            P3="🟡 P3 — Develop",
+            P4="⚪ P4 — Low-cost Re-engage",
+        ),
+    },
+    "ab_channel": {
+        "total_revenue": usd("total_revenue"),
+        "avg_order_value": usd("avg_order_value", 2),
+        "stdev_order_value": _shown("stdev_order_value", 2),
+        "avg_rev_per_case": usd("avg_rev_per_case", 2),
+        "total_margin": usd("total_margin"),
+        "avg_margin_pct": percent("avg_margin_pct", 1),
+        "discount_rate": percent("discount_rate", 1),
+        "revenue_per_account": usd("revenue_per_account"),
+        "margin_winner": words(
+            "margin_winner", Winner="🏆 Higher Margin Winner", Comparison="   Comparison"
+        ),
+    },
+    "ab_discount_lift": {
+        "avg_discount_applied": percent("avg_discount_applied", 1),
+        **{
+            c: usd(c, 2)
+            for c in (
+                "avg_cases_per_order",
+                "avg_net_revenue_per_order",
+                "avg_gross_per_order",
+                "avg_discount_given",
+                "avg_rev_per_case",
+                "avg_margin_per_order",
+                "revenue_per_dollar_discounted",
+            )
+        },
+        "total_discounts_given": usd("total_discounts_given"),
+        "case_uplift_vs_no_discount": percent("case_uplift_vs_no_discount", 1),
+    },
+    "ab_discount_roi": {
+        "full_price_revenue": usd("full_price_revenue"),
+        "discounted_revenue": usd("discounted_revenue"),
+        "total_discounts_given": usd("total_discounts_given"),
+        "revenue_left_on_table": usd("revenue_left_on_table"),
+        "overall_discount_rate": percent("overall_discount_rate", 2),
+        "breakeven_uplift_needed": percent("breakeven_uplift_needed", 2),
+    },
+    "ab_premium_mix": {
+        "ab_group": words(
+            "ab_group",
+            Treatment="Treatment: High Premium Mix (≥50%)",
+            Control="Control: Low Premium Mix (<50%)",
+        ),
+        "avg_premium_mix": percent("avg_premium_mix", 1),
+        "avg_rep_revenue": usd("avg_rep_revenue"),
+        "avg_rev_per_case": usd("avg_rev_per_case", 2),
+        "avg_rep_margin": usd("avg_rep_margin"),
+        "rev_per_case_lift": usd("rev_per_case_lift", 2),
+        "potential_incremental_revenue": usd("potential_incremental_revenue"),
+    },
+}
+
+
+def report_sql() -> dict[str, str]:
+    analyses = analysis_sql()
+    return {
+        f"report_{name}": "SELECT * REPLACE ("
+        + ", ".join(f"{shown} AS {column}" for column, shown in columns.items())
+        + f") FROM ({analyses[name]})"
+        for name, columns in REPORTS.items()
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**analysis_sql(), **star_sql(), **cleansing_sql(), **quality_sql()}
+    return {
+        **analysis_sql(),
+        **star_sql(),
+        **cleansing_sql(),
+        **quality_sql(),
+        **load_sql(),
+        **report_sql(),
+    }

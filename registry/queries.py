@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,11 @@ from caskline.operators import facts, quality
 from caskline.operators.cleanse import CLEANERS, split_supplier_programs
 from caskline.operators.global_window import global_running_sum
 from caskline.plans import dashboard, experiments, loyalty, segmentation
-from caskline.session import configure
-from caskline.sources.schemas import LOADED_AT, SOURCE
+from caskline.plans.presentation import formats, present
+from caskline.session import configure, ensure_checkpoint_dir
+from caskline.sources.ingest import ingest
+from caskline.sources.load import load_bronze, load_silver
+from caskline.sources.schemas import ENTITIES, LOADED_AT, SOURCE
 from registry import feeds, tables
 
 # The business values that fit the test tables.
@@ -84,8 +88,7 @@ class Star:
 
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
-            tables.sales_transactions(self.spark, self.sf_dir, priced=True),
-            None,
+            tables.sales_transactions(self.spark, self.sf_dir),
             self.reps(keyed=True),
             self.accounts(keyed=True),
             self.products(keyed=True),
@@ -150,6 +153,34 @@ def _orphans(star: Star) -> DataFrame:
     ).unionByName(accounts.select(F.lit("5d").alias("check_id"), "rep_id", "account_name"))
 
 
+def _csv_feed(star: Star, name: str) -> str:
+    """Write a raw feed as headed delimited files in the shared folder and return their path."""
+    path = f"{ensure_checkpoint_dir(star.spark)}/feeds-{uuid.uuid4().hex}/{name}"
+    writer = star.raw(name).drop(LOADED_AT).write.option("header", True).option("quote", "")
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path)
+    return path
+
+
+def _ingested(star: Star) -> DataFrame:
+    return ingest(star.spark, _csv_feed(star, "accounts"), ENTITIES["accounts"]).drop(LOADED_AT)
+
+
+def _load_audit(star: Star) -> DataFrame:
+    """Load two entities from delimited files to raw and on to cleansed tables."""
+    names = ("sales_reps", "accounts")
+    root = f"{ensure_checkpoint_dir(star.spark)}/load-{uuid.uuid4().hex}"
+    files = {name: _csv_feed(star, name) for name in names}
+    bronze = load_bronze(star.spark, files, f"{root}/bronze", parallel=2)
+    silver = load_silver(star.spark, f"{root}/bronze", f"{root}/silver", names)
+    return (
+        bronze.withColumn("layer", F.lit("bronze"))
+        .unionByName(silver.withColumn("layer", F.lit("silver")))
+        .select("layer", "table_name", "rows", "ok")
+    )
+
+
 def _running_revenue(star: Star) -> DataFrame:
     """Order lines folded to products, accumulated from the best-selling product down."""
     revenue = star.sales().groupBy("sku_id").agg(
@@ -326,4 +357,21 @@ def queries() -> dict[str, Query]:
         "qc_pct_gap": _on_star(lambda s: quality.attainment_gaps(s.cleansed("program_attainments"))),
         "qc_orphans": _on_star(_orphans),
     }
+    registry |= {
+        # Raw files and load control
+        "bronze_accounts": _on_star(_ingested),
+        "load_audit": _on_star(_load_audit),
+    }
+    # Report texts of the analyses that are shown as text
+    for name in formats(retention_years=RETENTION_YEARS):
+        registry[f"report_{name}"] = _report(name, registry[name])
     return registry
+
+
+def _report(name: str, query: Query) -> Query:
+    return lambda spark, sf_dir: present(
+        name,
+        query(spark, sf_dir),
+        retention_years=RETENTION_YEARS,
+        premium_cutpoint=PREMIUM_CUTPOINT,
+    )
