@@ -889,7 +889,8 @@ SELECT 'silver', 'accounts', COUNT(DISTINCT o_custkey), 1 FROM orders""",
 
 
 def _shown(column: str, digits: int) -> str:
-    exact = f"round(CAST({column} AS DECIMAL(38,10)), {digits})"
+    # Six decimals: with more, scaling a double of this size loses its last digits.
+    exact = f"round(CAST({column} AS DECIMAL(28,6)), {digits})"
     return f"format('{{:,.{digits}f}}', CAST({exact} AS DOUBLE))"
 
 
