@@ -199,41 +199,42 @@ def order_gaps(
     An account's first sale has no gap and is left out of its counts and revenue. Sales of one day
     are ordered by representative, then transaction. Sales are folded to one row per account, day
     and representative before the window, since further sales of a day only add zero gaps: the
-    window sees at most one row per day and representative, however many sales an account has.
+    window sees at most one row per day and representative, however many sales an account has. Ids
+    the dimensions do not hold are dropped before it, names are joined to the few rows after it.
     """
     days = sales.groupBy("account_id", "order_date", "rep_id").agg(
         F.count(F.lit(1)).alias("_sales"),
         F.sum("revenue_cents").alias("_revenue"),
         F.min(F.struct("txn_id", "revenue_cents")).alias("_earliest"),
     )
-    known = days.join(
-        lookup(accounts, "account_src_id", "account_id", "account_name", "channel"), "account_id"
-    ).join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
+    known = days.join(lookup(accounts, "account_src_id", "account_id"), "account_id").join(
+        lookup(reps, "rep_src_id", "rep_id"), "rep_id"
+    )
     in_order = Window.partitionBy("account_id").orderBy("order_date", "rep_id")
     gap = F.datediff("order_date", F.lag("order_date").over(in_order))
     first = F.col("_gap").isNull()
     blocks = known.withColumn("_gap", gap).select(
         "account_id",
         "rep_id",
-        "account_name",
-        "channel",
-        "rep_name",
         (F.col("_sales") - F.when(first, 1).otherwise(0)).alias("_counted"),
         (
             F.col("_revenue") - F.when(first, F.col("_earliest.revenue_cents")).otherwise(0)
         ).alias("_revenue"),
         F.coalesce("_gap", F.lit(0)).alias("_gap"),
     )
-    rhythm = blocks.groupBy("account_id", "rep_id", "account_name", "channel", "rep_name").agg(
+    rhythm = blocks.groupBy("account_id", "rep_id").agg(
         F.sum("_counted").alias("total_orders"),
         F.sum("_revenue").alias("_revenue"),
         F.sum("_gap").alias("_days"),
         F.max(F.when(F.col("_counted") > 0, F.col("_gap"))).alias("longest_gap_days"),
     )
     mean_gap = whole_division(F.col("_days"), F.col("total_orders")).cast("int")
+    names = lookup(accounts, "account_src_id", "account_id", "account_name", "channel")
     return (
         rhythm.filter("total_orders > 0")
         .withColumn("avg_days_between_orders", mean_gap)
+        .join(names, "account_id")
+        .join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
         .select(
             "account_name",
             "channel",

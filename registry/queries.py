@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from caskline.operators.cleanse import CLEANERS, split_supplier_programs
 from caskline.operators.global_window import global_running_sum
 from caskline.plans import dashboard, experiments, loyalty, segmentation
 from caskline.plans.presentation import formats, present
-from caskline.session import configure, ensure_checkpoint_dir
+from caskline.session import configure, ensure_checkpoint_dir, materialise
 from caskline.sources.ingest import ingest
 from caskline.sources.load import load_bronze, load_silver
 from caskline.sources.schemas import ENTITIES, LOADED_AT, SOURCE
@@ -61,8 +62,17 @@ class Star:
         self.spark, self.sf_dir = configure(spark), sf_dir
 
     def entity(self, name: str) -> DataFrame:
+        if name == "supplier_programs":
+            return tables.supplier_programs(self.volumes)
+        if name == "program_attainments":
+            return tables.program_attainments(self.volumes, self.entity("sales_reps"))
         return getattr(tables, name)(self.spark, self.sf_dir)
 
+    @cached_property
+    def volumes(self) -> DataFrame:
+        """Written once: programmes and attainments both read it, in several places of a plan."""
+        return materialise(tables.quarter_volumes(self.spark, self.sf_dir))
+
     def sales(self, *header: str, priced: bool = False) -> DataFrame:
         return facts.sales_measures(
             tables.sales_transactions(self.spark, self.sf_dir, header, priced)

@@ -204,7 +204,8 @@ def _program_id() -> Column:
     return F.col("supplier_id") * 100_000 + quarter
 
 
-def _quarter_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quarter_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases per supplier, quarter and representative: what programmes and results derive from."""
     sales = sales_transactions(spark, sf_dir, ("txn_date", "rep_id")).filter("is_valid")
     return (
         sales.groupBy("supplier_id", year_quarter("txn_date").alias("quarter"), "rep_id")
@@ -213,7 +214,7 @@ def _quarter_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _programs_of(volumes: DataFrame) -> DataFrame:
+def supplier_programs(volumes: DataFrame) -> DataFrame:
     """One programme per supplier and quarter; the goal is the mean of its representatives."""
     goal = from_cents(round_quotient(F.sum("cases") * 100, F.count(F.lit(1))))
     quarter_start = F.make_date(
@@ -234,14 +235,9 @@ def _programs_of(volumes: DataFrame) -> DataFrame:
     )
 
 
-def supplier_programs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _programs_of(_quarter_volumes(spark, sf_dir))
-
-
-def program_attainments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def program_attainments(volumes: DataFrame, reps: DataFrame) -> DataFrame:
     """Every representative's cases of a supplier's quarter against the programme's goal."""
-    volumes = _quarter_volumes(spark, sf_dir)
-    goals = _programs_of(volumes).select("program_id", "program_type", "goal_value", "bonus_usd")
+    goals = supplier_programs(volumes).select("program_id", "program_type", "goal_value", "bonus_usd")
     actual = F.col("cases").cast("decimal(12,2)")
     attainment = from_cents(round_quotient(F.col("cases") * 1_000_000, to_cents("goal_value")))
     status = threshold_label("attainment_pct", PERFORMANCE_CUTPOINTS, PERFORMANCE_FLOOR)
@@ -250,7 +246,7 @@ def program_attainments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("status") == "At Risk", (F.col("bonus_usd") / 2).cast("decimal(12,2)"))
         .otherwise(F.lit(0).cast("decimal(12,2)"))
     )
-    names = sales_reps(spark, sf_dir).select("rep_id", "rep_name", "division")
+    names = reps.select("rep_id", "rep_name", "division")
     return (
         volumes.join(goals, "program_id")
         .withColumn("attainment_pct", attainment)
