@@ -189,7 +189,7 @@ def supplier_mix(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
         "discounts",
         percentage("net_revenue", "_total").alias("revenue_share_pct"),
         "revenue_rank",
-    ).orderBy(F.desc("net_revenue"))
+    ).orderBy("revenue_rank", "supplier_name")
 
 
 def channel_split(
@@ -255,8 +255,9 @@ def bonus_tracker(
     pools = rows.groupBy(*group).agg(
         F.sum(F.col("bonus_earned_usd") + F.col("bonus_missed_usd")).alias("supplier_total_pool")
     )
+    # Status and bonus have few values; the names behind them spread equal rows over many tasks.
     return join_totals(rows, pools, group).orderBy(
-        "status_sort_order", F.desc("bonus_missed_usd")
+        "status_sort_order", F.desc("bonus_missed_usd"), "supplier_name", "quarter", "rep_name"
     )
 
 

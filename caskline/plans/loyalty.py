@@ -60,7 +60,7 @@ def customer_ltv(
         "account_id",
     ).join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
     months = month_boundaries("first_order", "last_order")
-    return named.select(
+    return named.orderBy(F.desc("_revenue"), "account_id", "rep_id").select(
         "account_name",
         "account_type",
         "channel",
@@ -76,7 +76,7 @@ def customer_ltv(
         ratio(dollars_of("_revenue"), "_lines").alias("avg_order_value"),
         ratio(dollars_of("_revenue"), months).alias("monthly_ltv"),
         threshold_label(from_cents("_revenue"), tiers, lowest_tier).alias("ltv_tier"),
-    ).orderBy(F.desc("lifetime_revenue"))
+    )
 
 
 def account_retention(
@@ -130,6 +130,7 @@ def account_retention(
             "account_id",
         )
         .join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
+        .orderBy(F.when(churned, 0).otherwise(1), F.desc(old), "account_id", "rep_id")
         .select(
             "account_name",
             "channel",
@@ -144,7 +145,6 @@ def account_retention(
             status.alias("retention_status"),
             from_cents(F.when(churned, F.col(old)).otherwise(0)).alias("at_risk_revenue"),
         )
-        .orderBy(F.when(F.col("retention_status") == "Churned", 0).otherwise(1), F.desc(old))
     )
 
 
@@ -174,7 +174,7 @@ def revenue_pareto(
         "account_id",
     )
     within = F.col("_running") <= F.col("_total") * F.lit(share)
-    return named.select(
+    return named.orderBy("revenue_rank", "account_id").select(
         "revenue_rank",
         "account_name",
         "account_type",
@@ -183,7 +183,7 @@ def revenue_pareto(
         money_percentage("_revenue", "_total").alias("pct_of_total"),
         money_percentage("_running", "_total").alias("cumulative_pct"),
         F.when(within, "Top Revenue").otherwise("Tail Revenue").alias("pareto_group"),
-    ).orderBy("revenue_rank", "account_name")
+    )
 
 
 def order_gaps(
@@ -235,6 +235,7 @@ def order_gaps(
         .withColumn("avg_days_between_orders", mean_gap)
         .join(names, "account_id")
         .join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
+        .orderBy(F.desc("avg_days_between_orders"), "account_id", "rep_id")
         .select(
             "account_name",
             "channel",
@@ -245,7 +246,6 @@ def order_gaps(
             "longest_gap_days",
             ceiling_label("avg_days_between_orders", rhythms, slowest).alias("engagement_health"),
         )
-        .orderBy(F.desc("avg_days_between_orders"))
     )
 
 

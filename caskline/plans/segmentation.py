@@ -121,16 +121,21 @@ def rfm_segments(
     base = (
         _base(sales, ids, anchor)
         .join(lookup(accounts, "account_src_id", "account_id"), "account_id")
-        .join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
+        .join(lookup(reps, "rep_src_id", "rep_id"), "rep_id")
     )
     scored = score_rfm(base, ids, best_is_high=best_is_high, slices=slices)
-    named = scored.join(
-        lookup(
-            accounts, "account_src_id", "account_id",
-            "account_name", "account_type", "channel", "town", "division",
-        ),
-        "account_id",
-    ).withColumn("segment", segment_of())
+    named = (
+        scored.join(
+            lookup(
+                accounts, "account_src_id", "account_id",
+                "account_name", "account_type", "channel", "town", "division",
+            ),
+            "account_id",
+        )
+        .join(lookup(reps, "rep_src_id", "rep_id", "rep_name"), "rep_id")
+        .withColumn("segment", segment_of())
+        .orderBy(rank_of_label("segment", SEGMENT_ORDER), F.desc("monetary"), *ids)
+    )
     code = F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")])
     factor = _by_label("segment", RISK_FACTORS, F.lit(Decimal("0.0")))
     return named.select(
@@ -153,7 +158,7 @@ def rfm_segments(
         "m_score",
         _by_label("segment", PLAYBOOKS, F.lit(None).cast("string")).alias("action_playbook"),
         (from_cents("monetary") * factor).alias("revenue_at_risk_if_churned"),
-    ).orderBy(rank_of_label("segment", SEGMENT_ORDER), F.desc("lifetime_revenue"))
+    )
 
 
 def rfm_summary(

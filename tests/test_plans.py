@@ -202,3 +202,46 @@ def test_report_texts(spark, accounts, reps):
     assert row.total_net_revenue == "$1,234,568" and row.overall_margin_pct == "30.0%"
     row = present("customer_ltv", loyalty.customer_ltv(sales, accounts, reps)).collect()[0]
     assert (row.ltv_tier, row.avg_order_value, row.monthly_ltv) == ("💎 Platinum", "$1,234,567.50", None)
+
+
+def test_a_hot_product_is_split_over_tasks(spark):
+    """Two thirds of the sales are of one product: the price join reads its partition in pieces."""
+    from caskline.operators.facts import with_price
+
+    sales = spark.range(60_000).repartition(8).select(
+        F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000).alias("sku_id"),
+        (F.col("id") % 40).alias("cases_sold"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    )
+    products = spark.range(1000).select(
+        F.col("id").alias("sku_id"), F.lit(Decimal("1.00")).alias("price_per_case_usd")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = with_price(sales, products).groupBy("sku_id").agg(
+            F.count("price_per_case_usd").alias("n"), F.max("note").alias("last")
+        )
+        counts = {r.sku_id: r.n for r in joined.collect()}
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert counts[7] == 40_000 + 20
+    assert "skew=true" in plan
+
+
+def test_gaps_of_a_hot_account_need_one_row_per_day(spark, accounts, reps):
+    """Many sales a day of one account: results as counted by hand from the days."""
+    rows = [(i, f"2024-01-{1 + i % 3 * 10:02d}", 3, 1, 1, 0, 1) for i in range(3000)]
+    got = loyalty.order_gaps(sales_of(spark, *rows), accounts, reps).collect()
+    assert [(r.total_orders, r.total_revenue, r.longest_gap_days, r.avg_days_between_orders) for r in got] == [
+        (2999, 2999, 10, 0)
+    ]
