@@ -422,6 +422,20 @@ FROM per_sku""",
     }
 
 
+QUOTA_FACT = f"""
+SELECT {{key}}, month_year, quota_cases, actual_cases,
+       {dbl("attainment_pct")} AS attainment_pct, {dbl("quota_revenue")} AS quota_revenue_usd,
+       {dbl("actual_revenue")} AS actual_revenue_usd, actual_cases - quota_cases AS cases_variance,
+       {dbl("actual_revenue - quota_revenue")} AS revenue_variance_usd,
+       CAST(SUM(actual_cases) OVER ytd AS BIGINT) AS ytd_actual_cases,
+       CAST(SUM(quota_cases) OVER ytd AS BIGINT) AS ytd_quota_cases,
+       CASE WHEN attainment_pct >= 100 THEN 'Achieved' WHEN attainment_pct >= 75 THEN 'At Risk'
+            ELSE 'Behind' END AS performance_flag, rep_name, division, channel
+FROM quotas
+WINDOW ytd AS (PARTITION BY rep_id, left(month_year, 4) ORDER BY month_year
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
 def star_sql() -> dict[str, str]:
     return {
         "dim_reps": with_(REPS) + """
@@ -473,18 +487,7 @@ SELECT txn_id, rep_key, account_key, product_key, supplier_key, order_date,
        {dbl("margin")} AS estimated_margin_usd, channel, CAST(1 AS BIGINT) AS is_valid
 FROM fs LEFT JOIN rk ON rep_id = rk.id LEFT JOIN ak ON account_id = ak.id
      LEFT JOIN pk ON sku_id = pk.id LEFT JOIN sk ON supplier_id = sk.id""",
-        "fact_quota": with_(SALES, REPS, QUOTAS) + f"""
-SELECT rep_id + 1 AS rep_key, month_year, quota_cases, actual_cases,
-       {dbl("attainment_pct")} AS attainment_pct, {dbl("quota_revenue")} AS quota_revenue_usd,
-       {dbl("actual_revenue")} AS actual_revenue_usd, actual_cases - quota_cases AS cases_variance,
-       {dbl("actual_revenue - quota_revenue")} AS revenue_variance_usd,
-       CAST(SUM(actual_cases) OVER ytd AS BIGINT) AS ytd_actual_cases,
-       CAST(SUM(quota_cases) OVER ytd AS BIGINT) AS ytd_quota_cases,
-       CASE WHEN attainment_pct >= 100 THEN 'Achieved' WHEN attainment_pct >= 75 THEN 'At Risk'
-            ELSE 'Behind' END AS performance_flag, rep_name, division, channel
-FROM quotas
-WINDOW ytd AS (PARTITION BY rep_id, left(month_year, 4) ORDER BY month_year
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "fact_quota": with_(SALES, REPS, QUOTAS) + QUOTA_FACT.format(key="rep_id + 1 AS rep_key"),
         "fact_attainment": with_(SALES, REPS, SUPPLIERS, PROGRAMS) + f""",
 pk AS (SELECT program_id, ROW_NUMBER() OVER (ORDER BY program_id) AS program_key FROM programs),
 sk AS (SELECT supplier_id, ROW_NUMBER() OVER (ORDER BY supplier_id) AS supplier_key FROM suppliers)
@@ -498,6 +501,16 @@ SELECT rep_id + 1 AS rep_key, supplier_key, program_key, quarter, {dbl("goal")}
        category AS supplier_category
 FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)
      JOIN pk USING (program_id) JOIN sk USING (supplier_id)""",
+        "quota_by_attainment": with_(SALES, REPS, QUOTAS) + QUOTA_FACT.format(key="rep_id"),
+        "attainment_behind": with_(SALES, REPS, SUPPLIERS, PROGRAMS) + f"""
+SELECT rep_id, supplier_id, program_id, quarter, {dbl("goal")} AS goal_value,
+       {dbl("actual")} AS actual_value, {dbl("attainment_pct")} AS attainment_pct,
+       {dbl("earned")} AS bonus_earned_usd, {dbl("goal - actual")} AS gap_to_goal,
+       {dbl("missed")} AS bonus_missed_usd, status, CAST(3 AS BIGINT) AS status_sort_order,
+       'Volume (cases)' AS program_type, r.division, rep_name, channel, supplier_name,
+       category AS supplier_category
+FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)
+WHERE attainment_pct < 75""",
         "row_count_summary": with_(SALES, REPS, QUOTAS, PROGRAMS) + """
 SELECT 'dim_reps' AS table_name, COUNT(*) AS row_count FROM nation UNION ALL
 SELECT 'dim_accounts', COUNT(*) FROM customer UNION ALL
@@ -862,6 +875,10 @@ def quality_sql() -> dict[str, str]:
            AS calc_pct
   FROM clean_program_attainments)
 SELECT *, abs(stored_pct - calc_pct) AS gap FROM gaps WHERE abs(stored_pct - calc_pct) > 1""",
+        "qc_row_counts": clean(*FEEDS)
+        + union(
+            [f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM clean_{name}" for name in FEEDS]
+        ),
         "qc_orphans": clean("sales_reps", "sales_transactions", "accounts")
         + """SELECT DISTINCT '5c' AS check_id, t.rep_id, CAST(NULL AS VARCHAR) AS account_name
 FROM clean_sales_transactions t LEFT JOIN clean_sales_reps r ON t.rep_id = r.rep_id WHERE r.rep_id IS NULL

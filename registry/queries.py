@@ -319,6 +319,12 @@ def queries() -> dict[str, Query]:
         ),
         "fact_attainment": _on_star(lambda s: s.fact_attainment(keyed=True)),
         "row_count_summary": _on_star(_row_counts),
+        "quota_by_attainment": _on_star(
+            lambda s: facts.fact_quota(s.entity("rep_quota_actuals"), s.reps()).orderBy(
+                F.desc("attainment_pct"), "rep_id", "month_year"
+            )
+        ),
+        "attainment_behind": _on_star(lambda s: s.fact_attainment().filter("status = 'Behind'")),
         # Global window operator
         "global_running_sum": _on_star(_running_revenue),
         # Cleansing
@@ -366,6 +372,7 @@ def queries() -> dict[str, Query]:
         "qc_invalid_sales": _on_star(_invalid_sales),
         "qc_pct_gap": _on_star(lambda s: quality.attainment_gaps(s.cleansed("program_attainments"))),
         "qc_orphans": _on_star(_orphans),
+        "qc_row_counts": _on_star(lambda s: quality.row_counts(s.cleansed_tables(*ENTITIES))),
     }
     registry |= {
         # Raw files and load control
