@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from caskline.functions.measures import (
     money_percentage,
     percentage,
     ratio,
+    round_quotient,
     sample_stdev,
 )
 from caskline.plans.common import known_ids, lookup
@@ -125,6 +127,12 @@ def ab_discount_roi(sales: DataFrame) -> DataFrame:
     )
 
 
+def _scaled_mean(total: str, count: str, factor: int) -> Column:
+    """total * factor / count as a whole number; decimals hold the large product."""
+    product = F.col(total).cast("decimal(20,0)") * F.lit(Decimal(factor))
+    return round_quotient(product, F.nullif(F.col(count), F.lit(0)).cast("decimal(20,0)"))
+
+
 def ab_premium_mix(
     sales: DataFrame,
     reps: DataFrame,
@@ -133,7 +141,11 @@ def ab_premium_mix(
     cutpoint: float = PREMIUM_CUTPOINT,
     premium: Sequence[str] = PREMIUM_TIERS,
 ) -> DataFrame:
-    """Representatives with a high share of premium cases against the others."""
+    """Representatives with a high share of premium cases against the others.
+
+    Each representative's means are kept as whole numbers with eight decimals before they are
+    averaged, so that the lift does not depend on the order in which rows arrive.
+    """
     tiered = sales.join(lookup(products, "sku_src_id", "sku_id", "price_tier"), "sku_id")
     premium_cases = F.sum(
         F.when(F.col("price_tier").isin(*premium), F.col("cases_sold")).otherwise(0)
@@ -150,15 +162,20 @@ def ab_premium_mix(
         )
         .join(lookup(reps, "rep_src_id", "rep_id"), "rep_id")
         .withColumn("_mix", percentage("_premium", "_cases"))
-        .withColumn("_rep_per_case", ratio(dollars_of("_per_case"), "_lines"))
+        .withColumn("_mix_units", _scaled_mean("_premium", "_cases", 10**10))
+        .withColumn("_per_case_units", _scaled_mean("_per_case", "_lines", 10**6))
     )
+
+    def mean_of_units(column: str) -> Column:
+        return ratio(F.sum(column), F.count(column)) / 1e8
+
     groups = mixes.groupBy(
         F.when(F.col("_mix") >= cutpoint, TREATMENT).otherwise(CONTROL).alias("ab_group")
     ).agg(
         F.count(F.lit(1)).alias("n_reps"),
-        F.avg("_mix").alias("avg_premium_mix"),
+        mean_of_units("_mix_units").alias("avg_premium_mix"),
         mean_dollars("_net").alias("avg_rep_revenue"),
-        F.avg("_rep_per_case").alias("avg_rev_per_case"),
+        mean_of_units("_per_case_units").alias("avg_rev_per_case"),
         mean_dollars("_margin").alias("avg_rep_margin"),
         F.sum("_cases").alias("_cases"),
     )

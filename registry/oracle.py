@@ -395,11 +395,15 @@ FROM fs""",
 mixes AS (
   SELECT rep_id, SUM(cases) AS cases, SUM(revenue) AS net, SUM(margin) AS margin,
          {pct("SUM(CASE WHEN price_tier IN ('Premium', 'Ultra-Premium') THEN cases ELSE 0 END)", "SUM(cases)")}
-           AS mix, {mean("rpc")} AS per_case
+           AS mix,
+         {half_up("CAST(SUM(CASE WHEN price_tier IN ('Premium', 'Ultra-Premium') THEN cases ELSE 0 END) AS HUGEINT) * 10000000000",
+                  "SUM(cases)")} AS mix_units,
+         {half_up("CAST(SUM(rpc) * 100 AS HUGEINT) * 1000000", "COUNT(rpc)")} AS per_case_units
   FROM fs JOIN products USING (sku_id) JOIN reps USING (rep_id) GROUP BY rep_id),
 groups AS (
   SELECT CASE WHEN mix >= 50 THEN 'Treatment' ELSE 'Control' END AS ab_group, COUNT(*) AS n_reps,
-         AVG(mix) AS mix, {mean("net")} AS net, AVG(per_case) AS per_case, {mean("margin")} AS margin,
+         {mean("mix_units")} / 1e8 AS mix, {mean("net")} AS net,
+         {mean("per_case_units")} / 1e8 AS per_case, {mean("margin")} AS margin,
          SUM(cases) AS cases
   FROM mixes GROUP BY 1),
 lift AS (
@@ -410,7 +414,7 @@ lift AS (
 SELECT ab_group, n_reps, round(mix, 4) AS avg_premium_mix, net AS avg_rep_revenue,
        round(per_case, 4) AS avg_rev_per_case, margin AS avg_rep_margin,
        round(lift, 4) AS rev_per_case_lift,
-       round(lift * control_cases, 4) AS potential_incremental_revenue
+       round(lift * CAST(control_cases AS DOUBLE), 4) AS potential_incremental_revenue
 FROM groups CROSS JOIN lift""",
         "global_running_sum": with_(SALES) + f""",
 per_sku AS (SELECT sku_id, SUM(revenue) AS revenue FROM fs GROUP BY sku_id)
