@@ -89,7 +89,8 @@ def _land(chance: np.ndarray, size: np.ndarray, dice: np.ndarray) -> np.ndarray:
 
 def _decide(last: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_order", "_row", "_size"], kind="stable", na_position="last")
+        # Longest first, so that the rows left open are short ones and landing costs few words.
+        group = group.sort_values(["_size", "_order", "_row"], ascending=[False, True, True], kind="stable")
         seed = int(group["_order"].iloc[0]) % _SPAN
         dice = np.random.default_rng(seed).random(2 * len(group) + 8)
         move = _land if last else _fly
