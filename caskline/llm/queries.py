@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.common import table
 from caskline.llm.mixing import balanced_mix
 from caskline.llm.quality import quality_verdicts
+from caskline.llm.urls import filter_as_of, url_keys
+from caskline.llm.warc import archive_pages
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +21,92 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_pages(table(spark, sf_dir, "pages"))
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _digit_groups(text: Column, start: int) -> Column:
+    """Four hexadecimal digits of a text's MD5 as a number."""
+    return F.conv(F.substring(F.md5(text), start, 4), 16, 10).cast("int")
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, each with a fetch date between 2020 and 2023 that follows from its URL."""
+    day = (_digit_groups(F.col("url"), 1) % 1400).cast("int")
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.date_add(F.lit("2020-01-01").cast("date"), day).alias("fetched"))
+
+
+def _list_entries(captures: DataFrame) -> DataFrame:
+    """A blocklist's history for every key of the pages: listed, later taken off, later listed again."""
+    key = F.col("key")
+    first = F.date_add(F.lit("2019-06-01").cast("date"), _digit_groups(key, 1) % 900)
+    second = F.date_add(first, 1 + _digit_groups(key, 5) % 300)
+    third = F.date_add(second, 1 + _digit_groups(key, 9) % 600)
+    pick = lambda start: F.when(_digit_groups(key, start) % 3 == 0, "block").otherwise("allow")
+    keys = captures.select(F.explode(F.transform(url_keys(F.col("url")), lambda x: x["key"])).alias("key")).distinct()
+    dated = F.array(
+        F.struct(first.alias("since"), pick(13).alias("verdict")),
+        F.struct(second.alias("since"), F.lit("remove").alias("verdict")),
+        F.struct(third.alias("since"), pick(17).alias("verdict")),
+    )
+    return keys.select("key", F.inline(dated))
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = _captures(spark, sf_dir)
+    return filter_as_of(captures, _list_entries(captures))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
+    "op5_url_lists": op5_url_lists,
+}
+#: Base32 of a SHA-1 in groups of 20 bits: five hexadecimal digits are four letters.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"(((('0x' || substr(sha1, {k}, 5))::BIGINT >> {shift}) & 31) + 1)::INT, 1)"
+    for k in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+
+SQL: dict[str, str] = {
+    "op4_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha1 FROM pages),
+        w AS (SELECT *, max(page_id) OVER (PARTITION BY sha1) AS top FROM p)
+        SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM w""",
+    "op5_url_lists": """
+        WITH c AS (
+            SELECT page_id, url, DATE '2020-01-01' + (('0x' || substr(md5(url), 1, 4))::BIGINT % 1400)::INT AS fetched,
+                   lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^:/?#]+)', 1)) AS host,
+                   regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS segment
+            FROM pages),
+        l AS (SELECT *, string_split(host, '.') AS labels FROM c WHERE host <> ''),
+        k AS (
+            SELECT page_id, url, fetched, 'h:' || host AS key, 1000 AS rank FROM l
+            UNION ALL SELECT page_id, url, fetched, 'p:' || host || '/' || segment, 2000 FROM l
+            UNION ALL SELECT page_id, url, fetched, 'd:' || array_to_string(labels[i:len(labels)], '.'), len(labels) - i + 1
+            FROM (SELECT *, unnest(range(1, greatest(len(labels), 2))) AS i FROM l)),
+        h AS (
+            SELECT key, DATE '2019-06-01' + (('0x' || substr(md5(key), 1, 4))::BIGINT % 900)::INT AS first,
+                   (1 + ('0x' || substr(md5(key), 5, 4))::BIGINT % 300)::INT AS gap1,
+                   (1 + ('0x' || substr(md5(key), 9, 4))::BIGINT % 600)::INT AS gap2,
+                   CASE WHEN ('0x' || substr(md5(key), 13, 4))::BIGINT % 3 = 0 THEN 'block' ELSE 'allow' END AS v1,
+                   CASE WHEN ('0x' || substr(md5(key), 17, 4))::BIGINT % 3 = 0 THEN 'block' ELSE 'allow' END AS v2
+            FROM (SELECT DISTINCT key FROM k)),
+        i AS (
+            SELECT key, v1 AS verdict, first AS valid_from, first + gap1 AS valid_to FROM h
+            UNION ALL SELECT key, v2, first + gap1 + gap2, NULL FROM h),
+        a AS (
+            SELECT k.page_id, k.key, i.verdict, i.valid_from,
+                   row_number() OVER (PARTITION BY k.page_id ORDER BY k.rank DESC, k.key DESC) AS n
+            FROM k JOIN i ON k.key = i.key AND k.fetched >= i.valid_from AND (i.valid_to IS NULL OR k.fetched < i.valid_to))
+        SELECT c.page_id, c.url, c.fetched, a.verdict, a.key AS matched_key, a.valid_from AS listed_on,
+               coalesce(a.verdict, 'allow') <> 'block' AS kept
+        FROM c LEFT JOIN a ON c.page_id = a.page_id AND a.n = 1""",
 }
-SQL: dict[str, str] = {}
