@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Separators between words: blank and the five control characters from tab to carriage return.
@@ -63,7 +64,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into pieces of about ``limit`` text bytes; a longer text stays whole, alone."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))
         start = 0
         while start < len(lengths):
