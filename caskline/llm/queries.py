@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.common import table
 from caskline.llm.language import language_predictions
+from caskline.llm.licenses import scan_licenses
 from caskline.llm.mixing import balanced_mix
 from caskline.llm.quality import quality_verdicts
 from caskline.llm.urls import filter_as_of, url_keys
@@ -63,12 +64,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_url_lists": op5_url_lists,
     "op8_language": op8_language,
+    "op9_licenses": op9_licenses,
 }
 #: Base32 of a SHA-1 in groups of 20 bits: five hexadecimal digits are four letters.
 _BASE32 = " || ".join(
