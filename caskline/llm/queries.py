@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.common import table
+from caskline.llm.html import extract_articles
 from caskline.llm.language import language_predictions
 from caskline.llm.licenses import scan_licenses
 from caskline.llm.mixing import balanced_mix
@@ -19,6 +20,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_mix(table(spark, sf_dir, "documents"))
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_articles(table(spark, sf_dir, "pages"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +75,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op2_extract": op2_extract,
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_url_lists": op5_url_lists,
