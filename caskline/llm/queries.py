@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.common import table
 from caskline.llm.html import extract_articles
+from caskline.llm.jaccard import near_duplicates
 from caskline.llm.language import language_predictions
 from caskline.llm.licenses import scan_licenses
 from caskline.llm.mixing import balanced_mix
@@ -73,6 +74,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_extract": op2_extract,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_lists": op5_url_lists,
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 #: Base32 of a SHA-1 in groups of 20 bits: five hexadecimal digits are four letters.
 _BASE32 = " || ".join(
