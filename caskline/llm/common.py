@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Separators between words: blank and the five control characters from tab to carriage return.
@@ -47,6 +50,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+
+
+def make_folder(path: str) -> None:
+    fs, name = filesystem(path)
+    fs.create_dir(name, recursive=True)
+
+
+@contextmanager
+def written_shared(path: str) -> Iterator[BinaryIO]:
+    """Write a file of the shared folder under a name of this attempt's own and move it to ``path`` at
+    the end, so that a repeated or doubled task leaves one whole file."""
+    fs, name = filesystem(path)
+    attempt = f"{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(attempt, compression=None) as out:
+        yield out
+    fs.move(attempt, name)
+
+
+def open_shared(path: str) -> BinaryIO:
+    fs, name = filesystem(path)
+    return fs.open_input_file(name)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column in one array, and each row's bounds; null counts as empty."""
     column = column.cast(pa.large_string())

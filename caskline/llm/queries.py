@@ -13,6 +13,7 @@ from caskline.llm.language import language_predictions
 from caskline.llm.licenses import scan_licenses
 from caskline.llm.mixing import balanced_mix
 from caskline.llm.quality import quality_verdicts
+from caskline.llm.suffixes import remove_repeats
 from caskline.llm.urls import filter_as_of, url_keys
 from caskline.llm.warc import archive_pages
 
@@ -66,6 +67,11 @@ def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_as_of(captures, _list_entries(captures))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
 
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_url_lists": op5_url_lists,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
     "op10_near_duplicates": op10_near_duplicates,

@@ -6,17 +6,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from typing import BinaryIO
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from caskline.llm.common import new_folder, staged
+from caskline.llm.common import filesystem, make_folder, new_folder, open_shared, staged, written_shared
 
 #: Bytes read, inflated or deflated at a time.
 PIECE = 1 << 20
@@ -26,21 +23,6 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 INDEX = "archive string, offset long, length long, record_key string, record_type string"
 
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
-
-
-@contextmanager
-def _written(path: str) -> Iterator[BinaryIO]:
-    """Write under a name of this attempt's own and move it to ``path`` at the end, so that a repeated
-    or doubled task leaves one whole file."""
-    fs, name = _filesystem(path)
-    attempt = f"{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(attempt, compression=None) as out:
-        yield out
-    fs.move(attempt, name)
-
-
 def base32_sha1(digest_hex: Column) -> Column:
     """Bare upper-case base32 of a SHA-1 given in hexadecimal: four letters for each five digits."""
     letters = [
@@ -119,8 +101,7 @@ def write_monolithic(records: DataFrame, folder: str, archive_bytes: int = ARCHI
 
     One archive after another in each task, a record at a time. A row's key is its id, or ``null``.
     """
-    fs, name = _filesystem(folder)
-    fs.create_dir(name, recursive=True)
+    make_folder(folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -130,7 +111,7 @@ def write_monolithic(records: DataFrame, folder: str, archive_bytes: int = ARCHI
         while row is not None:
             path = f"{folder}/part-{TaskContext.get().partitionId():06d}-{part:05d}.warc.gz"
             size = 0
-            with _written(path) as out:
+            with written_shared(path) as out:
                 stream = zlib.compressobj(6, zlib.DEFLATED, 31)
                 while row is not None and (not size or size < archive_bytes):
                     key, url, digest, n, refers_to, payload = (x.as_py() for x in row)
@@ -222,15 +203,14 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
     beside it ``<name>.idx`` with a line of offset, length, key and type for every record. Memory is
     one piece of text, whatever the length of a record or file. Returns the index rows.
     """
-    fs, name = _filesystem(folder)
-    fs.create_dir(name, recursive=True)
+    make_folder(folder)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 target, rows, at = f"{folder}/{os.path.basename(path)}", [], 0
-                source_fs, source = _filesystem(path)
-                with source_fs.open_input_stream(source, compression=None) as raw, _written(target) as out:
+                source_fs, source = filesystem(path)
+                with source_fs.open_input_stream(source, compression=None) as raw, written_shared(target) as out:
                     stream = _Inflated(raw)
                     for fields, head, length in _records(stream):
                         member, begun = zlib.compressobj(6, zlib.DEFLATED, 31), at
@@ -240,7 +220,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         out.write(member.compress(b"\r\n\r\n") + member.flush())
                         at = out.tell()
                         rows.append((target, begun, at - begun, _key(fields["warc-record-id"]), fields["warc-type"]))
-                with _written(f"{target}.idx") as out:
+                with written_shared(f"{target}.idx") as out:
                     out.write("".join(f"{o} {n} {key} {kind}\n" for _, o, n, key, kind in rows).encode())
                 for k in range(0, len(rows), 10_000):
                     part = list(zip(*rows[k : k + 10_000], strict=True))
@@ -264,8 +244,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 if path != name:
                     if handle:
                         handle.close()
-                    fs, plain = _filesystem(path)
-                    name, handle = path, fs.open_input_file(plain)
+                    name, handle = path, open_shared(path)
                 handle.seek(offset)
                 raw = zlib.decompress(handle.read(length), 31)
                 head, _, rest = raw.partition(b"\r\n\r\n")
