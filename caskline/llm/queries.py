@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.common import table
+from caskline.llm.decontaminate import benchmark_leaks
 from caskline.llm.html import extract_articles
 from caskline.llm.jaccard import near_duplicates
 from caskline.llm.language import language_predictions
@@ -67,6 +68,10 @@ def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_as_of(captures, _list_entries(captures))
 
 
+def op6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_url_lists": op5_url_lists,
+    "op6_leaks": op6_leaks,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
