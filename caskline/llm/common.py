@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Separators between words: blank and the five control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +46,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A text that names a row by id and text hash; it sorts as ids from 0 do, null ids come last."""
+    number = F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit("null"))
+    return F.concat(number, F.lit(":"), F.xxhash64(text_col).cast("string"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from caskline.llm.common import slices, spread, staged, text_bytes, word_hashes
+from caskline.llm.common import row_key, slices, spread, staged, text_bytes, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Buckets up to this size are compared at once; larger ones are split on another shared token.
@@ -57,7 +57,7 @@ def runs_for(recall: float, similarity: float) -> int:
 
 
 def _sketches(docs: DataFrame, coordinates: int, k: int) -> DataFrame:
-    """(_id, _print, n, s1, s2, mins) of rows (_id, _print, _t): set size, set hash, sampled tokens."""
+    """(_id, _name, n, s1, s2, mins) of rows (_id, _name, _t): set size, set hash, sampled tokens."""
     kind = docs.schema["_id"].dataType.simpleString()
     odd = spread(np.arange(1, coordinates + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -81,16 +81,16 @@ def _sketches(docs: DataFrame, coordinates: int, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
-                    batch.column("_print"),
+                    batch.column("_name"),
                     pa.array(n),
                     pa.array(s1.view(np.int64)),
                     pa.array(s2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(mins.ravel().view(np.int64))),
                 ],
-                names=["_id", "_print", "n", "s1", "s2", "mins"],
+                names=["_id", "_name", "n", "s1", "s2", "mins"],
             )
 
-    return docs.mapInArrow(run, f"_id {kind}, _print bigint, n bigint, s1 bigint, s2 bigint, mins array<bigint>")
+    return docs.mapInArrow(run, f"_id {kind}, _name string, n bigint, s1 bigint, s2 bigint, mins array<bigint>")
 
 
 def chosen_paths(sets: DataFrame, runs: int, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
@@ -243,10 +243,10 @@ def near_duplicates(
 ) -> DataFrame:
     """Join texts whose sets of word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Returns id, copies_id, n_copies, n_links, class_id for every row. ``copies_id`` is the smallest id
+    Returns id, copies_id, n_copies, n_links, class_id, row_key and class_key for every row. ``copies_id`` is the smallest id
     among the rows of the same shingle set, ``n_copies`` their number, ``n_links`` the number of
     different sets that are similar, ``class_id`` the smallest id of all rows that links lead to,
-    through others too. Sets are taken once, whatever the number of their copies. Candidates come from
+    through others too. ``row_key`` names a row by id and text, ``class_key`` the row its class is named by. Sets are taken once, whatever the number of their copies. Candidates come from
     chosen paths; each pair of a bucket is compared on its full sets, and counted in one bucket only.
     A pair at the threshold is missed with probability 1 - ``recall`` at most.
 
@@ -255,18 +255,17 @@ def near_duplicates(
     are copies. Null ids stay null and count after all others. An empty table gives an empty result.
     """
     runs = runs_for(recall, similarity)
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_print"), F.col(text_col).alias("_t"))
+    rows = docs.select(F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_name"), F.col(text_col).alias("_t"))
     sketched = staged(_sketches(rows, runs + 2 * (DEPTH - 1), shingle), "jaccard-sketches")
-    name = F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.lit(":"), F.col("_print").cast("string"))
     sets = staged(
         sketched.where("n > 0")
         .groupBy("s1", "s2")
-        .agg(F.min(name).alias("rep"), F.min("_id").alias("least"), F.count("*").alias("copies"), F.first("mins").alias("mins")),
+        .agg(F.min("_name").alias("rep"), F.min("_id").alias("least"), F.count("*").alias("copies"), F.first("mins").alias("mins")),
         "jaccard-sets",
     )
     buckets = staged(chosen_paths(sets.select("rep", "mins"), runs, small), "jaccard-buckets")
     homes = buckets.groupBy("rep").agg(F.collect_list(F.struct("bucket", "size")).alias("homes"))
-    texts = rows.select(name.alias("rep"), "_t").join(homes, "rep")
+    texts = rows.select(F.col("_name").alias("rep"), "_t").join(homes, "rep")
     tiles = F.ceil(F.col("home.size") / tile).cast("int")
     side = F.pmod(F.xxhash64("rep"), F.when(tiles > 1, tiles).otherwise(1)).cast("int")
     placed = (
@@ -286,7 +285,9 @@ def near_duplicates(
         "jaccard-known",
     )
     classes = known.where("links > 0").groupBy("root").agg(F.min("least").alias("class"))
-    known = known.join(classes, "root", "left").select("s1", "s2", "least", "copies", "links", F.coalesce("class", "least").alias("class"))
+    known = known.join(classes, "root", "left").select(
+        "s1", "s2", "root", "least", "copies", "links", F.coalesce("class", "least").alias("class")
+    )
     result = sketched.drop("mins").join(known, ["s1", "s2"], "left")
     return result.select(
         F.col("_id").alias(id_col),
@@ -294,4 +295,16 @@ def near_duplicates(
         F.when(F.col("n") > 0, F.col("copies")).otherwise(1).alias("n_copies"),
         F.when(F.col("n") > 0, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
         F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("_id")).alias("class_id"),
+        F.col("_name").alias("row_key"),
+        F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("_name")).alias("class_key"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row of each class of ``near_duplicates`` stays: the one of the smallest id."""
+    found = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **how).select("row_key", "class_key"), "jaccard-classes")
+    stay = found.where("row_key = class_key").groupBy("row_key").agg(F.count("*").alias("times"))
+    kept = docs.withColumn("_key", row_key(id_col, text_col)).join(stay.select(F.col("row_key").alias("_key")), "_key", "left_semi")
+    if not stay.where("times > 1").isEmpty():  # rows that repeat id and text
+        kept = kept.dropDuplicates(["_key"])
+    return kept.drop("_key")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from caskline.llm.common import WORD, staged
+from caskline.llm.common import WORD
 
 #: Statistics the rules may test; every one is a number for every text.
 FEATURES = (
@@ -24,21 +24,22 @@ FEATURES = (
 TRAIN_ROWS = 20_000
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Count words, word characters, symbols, repeated lines and words in repeated 3-word windows.
 
     Null or empty texts count 0 everywhere. Windows are told apart by 64-bit hashes within a text.
-    Time is n log n in the words of a text. Every row of ``docs`` gives one row, in any number of copies.
+    Time is n log n in the words of a text. Every row of ``docs`` gives one row, in any number of copies;
+    ``_row`` holds all its columns.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     count = lambda pattern: F.regexp_count("_t", F.lit(pattern)).cast("long")
     lines = F.filter(F.split("_t", "\n"), lambda line: line.rlike(WORD))
     w = F.regexp_extract_all("_t", F.lit(WORD), F.lit(0))
     words = (
-        docs.select(F.col(id_col).alias("_id"), text.alias("_t"))
+        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), text.alias("_t"))
         .withColumns({"_w": w, "_lines": lines})
         .select(
-            "_id",
+            "_row",
             "_w",
             F.size("_w").cast("long").alias("n_words"),
             (F.length("_t") - count(r"[\x20\x09-\x0D]")).cast("long").alias("word_chars"),
@@ -67,7 +68,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda a: a["n"],
     )
     return words.withColumn("_s", sorted_windows).select(
-        F.col("_id").alias(id_col),
+        "_row",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -211,20 +212,23 @@ def rejected_by(rules: list[Rule], by: dict[str, Column]) -> Column:
     return out
 
 
-def train_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", rows: int = TRAIN_ROWS, **how) -> list[Rule]:
-    """Learn from labelled statistics. Labels other than 0 and 1 and rows without statistics don't count;
-    a document labelled both ways counts as good."""
+def train_rules(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, **how
+) -> list[Rule]:
+    """Learn from the statistics of labelled documents, at most ``rows``. Labels other than 0 and 1 don't
+    count; a document labelled both ways counts as good."""
     wanted = (
-        labels.where(F.col("quality").isin(0, 1))
+        labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max("quality").alias("_good"))
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(wanted), "_id")
     sample = (
-        stats.join(wanted, F.col(id_col) == F.col("_id"))
+        text_statistics(texts, "_text")
+        .select("_row._id", "_row._good", *[c.alias(f"_{name}") for name, c in features().items()])
         .dropDuplicates(["_id"])
-        .select("_id", "_good", *[c.alias(f"_{name}") for name, c in features().items()])
         .collect()
     )
     sample.sort(key=lambda r: r["_id"])
@@ -232,9 +236,18 @@ def train_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", row
     return learn_decision_list(x, np.array([r["_good"] == 0 for r in sample], bool), **how)
 
 
-def quality_verdicts(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
-) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, how: dict) -> DataFrame:
+    """Statistics with base_failed, rule and kept."""
+    rule = rejected_by(train_rules(docs, labels, id_col, text_col, **how), features())
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (
+        text_statistics(docs, text_col)
+        .withColumns({"base_failed": failed, "rule": rule})
+        .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    )
+
+
+def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """Judge every document: base rules (under 50 words, or over half of the words in repeated 3-word
     windows), then the learned decision list.
 
@@ -242,18 +255,14 @@ def quality_verdicts(
     Null and empty texts have no words and fail the base rule. Repeated rows are judged one by one.
     Without usable labels only the base rules hold; an empty table gives an empty result.
     """
-    stats = staged(text_statistics(docs, id_col, text_col), "quality-stats")
-    rules = train_rules(stats, labels, id_col, **how)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rule = rejected_by(rules, features())
-    return stats.select(
-        id_col,
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        failed.alias("base_failed"),
-        rule.alias("rule"),
-        (~failed & rule.isNull()).alias("kept"),
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return _judged(docs, labels, id_col, text_col, how).select(
+        F.col(f"_row.{id_col}").alias(id_col), *counts, "base_failed", "rule", "kept"
     )
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that ``quality_verdicts`` keeps, with their columns."""
+    judged = _judged(docs, labels, id_col, text_col, how)
+    # A filter is not moved below a row number, where it would count the windows anew for each of them.
+    return judged.withColumn("_pass", F.monotonically_increasing_id()).where("kept and _pass >= 0").select("_row.*")

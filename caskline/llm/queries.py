@@ -74,7 +74,7 @@ def op6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key", "class_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

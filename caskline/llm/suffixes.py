@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from caskline.llm.common import make_folder, new_folder, open_shared, powers, slices, spread, staged, text_bytes, written_shared
+from caskline.llm.common import WORD, make_folder, new_folder, open_shared, powers, slices, spread, staged, text_bytes, written_shared
 
 LENGTH, GRAM = 100, 24
 #: Text of a block, of which a task handles one at a time; text whose anchors form a shard; bytes sorted at once.
@@ -486,21 +486,21 @@ def _sort_stretches(length: int):
 def _cut_out(length: int):
     """Remove what is covered, and describe what is left of each row of a block."""
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        (path,) = key
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        path = key[0].as_py()
         rows, data, bounds = _read_block(path)
         with open_shared(f"{path}.units") as source:
             u = np.load(io.BytesIO(source.read()))
         begin, end = u["begin"].astype(np.int64), u["end"].astype(np.int64)
         whole = ~u["first"]
         depth = np.zeros(len(data) + 1, np.int64)
-        for x in group.itertuples():
-            if x.flags is not None:
-                whole[u["sent"][u["home"] == x.shard][np.frombuffer(x.flags, np.uint8) == 1]] = True
+        for x in group.to_pylist():
+            if x["flags"] is not None:
+                whole[u["sent"][u["home"] == x["shard"]][np.frombuffer(x["flags"], np.uint8) == 1]] = True
             else:
-                unit = np.frombuffer(x.units, np.int32)
-                np.add.at(depth, begin[unit] + np.frombuffer(x.firsts, np.int32), 1)
-                np.add.at(depth, begin[unit] + np.frombuffer(x.lasts, np.int32) + length, -1)
+                unit = np.frombuffer(x["units"], np.int32)
+                np.add.at(depth, begin[unit] + np.frombuffer(x["firsts"], np.int32), 1)
+                np.add.at(depth, begin[unit] + np.frombuffer(x["lasts"], np.int32) + length, -1)
         np.add.at(depth, begin[whole], 1)
         np.add.at(depth, end[whole], -1)
         gone = np.cumsum(depth)[:-1] > 0
@@ -510,16 +510,15 @@ def _cut_out(length: int):
         opens[inner] = gone[inner]
         totals = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
         kept = [data[b:e][~gone[b:e]].tobytes() for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        return pd.DataFrame(
-            {
-                "id": rows.column("id").to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
-                "print": rows.column("print").to_numpy(),
-                "n_bytes": np.diff(bounds),
-                "n_removed": totals(gone),
-                "n_spans": totals(opens),
-                "kept": kept,
-            }
-        )
+        out = {
+            "row": rows.column("row"),
+            "n_bytes": np.diff(bounds),
+            "n_removed": totals(gone),
+            "n_spans": totals(opens),
+            "kept": pa.array(kept, pa.binary()),
+            "kept_text": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()),
+        }
+        return pa.table(out)
 
     return run
 
@@ -536,8 +535,8 @@ def remove_repeats(
     """Remove every byte of every text that a string of ``length`` bytes covers which also starts earlier:
     in a text of smaller id, or further ahead in the same text. Strings are judged on the input.
 
-    Returns id, print (hash of the text), n_bytes, n_removed, n_spans, kept (the bytes that stay; a cut
-    may fall inside a character). Null and empty texts keep nothing of nothing; texts shorter than
+    Returns row (a struct of the row's columns but the text), n_bytes, n_removed, n_spans, kept (the
+    bytes that stay; a cut may fall inside a character) and kept_text (without such parts). Null and empty texts keep nothing of nothing; texts shorter than
     ``length`` stay whole. A null id comes after all others; texts of one id follow each other by their
     hash; rows that repeat id and text count once, and each gives that one result.
 
@@ -546,7 +545,13 @@ def remove_repeats(
     the bytes of those whose windows only sorting can tell. The order of rows in a scan is the blocks'.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("print"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    others = [docs[c] for c in docs.columns if c != text_col]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(text_col).alias("print"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.struct(*others).alias("row"),
+    )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     folder = new_folder(spark, "suffix-blocks")
@@ -565,8 +570,14 @@ def remove_repeats(
     parts = flags.select("block", "shard", "flags", none.alias("units"), none.alias("firsts"), none.alias("lasts")).unionByName(
         runs.select("block", F.lit(None).cast("int").alias("shard"), none.alias("flags"), "units", "firsts", "lasts")
     )
-    return (
-        parts.groupBy("block")
-        .applyInPandas(_cut_out(length), "id long, print long, n_bytes long, n_removed long, n_spans long, kept binary")
-        .withColumnRenamed("id", id_col)
+    row = rows.schema["row"].dataType.simpleString()
+    return parts.groupBy("block").applyInArrow(
+        _cut_out(length), f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
     )
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` with what stays of their texts; rows of which no word stays are left out."""
+    cut = remove_repeats(docs, id_col=id_col, text_col=text_col, **how)
+    left = cut.where(F.col("kept_text").rlike(WORD))
+    return left.select(*[(F.col("kept_text") if c == text_col else F.col(f"row.{c}")).alias(c) for c in docs.columns])
