@@ -359,6 +359,11 @@ def laid_out(heading: str, paragraphs: Sequence[str], words: Sequence[str], rng:
     elif rng.random() < 0.9:
         put("h1", heading, 1)
     for text in paragraphs:
+        # Paragraphs of other pages may be short, or end without a stop.
+        if rng.random() < 0.15:
+            text = " ".join(text.split()[: rng.randint(1, 5)])
+        if rng.random() < 0.4:
+            text = text.rstrip(".!? ") or text
         put(rng.choice(("p", "p", "p", "p", "p", "h2", "blockquote", "li", "div")), text, 1)
         if rng.random() < 0.12:
             part(rng.choice(("advert", "notice", "sidebar", "share", "form")))

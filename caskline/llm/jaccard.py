@@ -303,8 +303,9 @@ def near_duplicates(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of each class of ``near_duplicates`` stays: the one of the smallest id."""
     found = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **how).select("row_key", "class_key"), "jaccard-classes")
+    key = "_jaccard_row_key"
     stay = found.where("row_key = class_key").groupBy("row_key").agg(F.count("*").alias("times"))
-    kept = docs.withColumn("_key", row_key(id_col, text_col)).join(stay.select(F.col("row_key").alias("_key")), "_key", "left_semi")
+    kept = docs.withColumn(key, row_key(id_col, text_col)).join(stay.select(F.col("row_key").alias(key)), key, "left_semi")
     if not stay.where("times > 1").isEmpty():  # rows that repeat id and text
-        kept = kept.dropDuplicates(["_key"])
-    return kept.drop("_key")
+        kept = kept.dropDuplicates([key])
+    return kept.drop(key)

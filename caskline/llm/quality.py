@@ -96,7 +96,7 @@ def features() -> dict[str, Column]:
 
 
 @dataclass(frozen=True)
-class Test:
+class Threshold:
     """One threshold: ``feature > value`` or ``feature <= value``."""
 
     feature: str
@@ -113,7 +113,7 @@ class Test:
         return f"{self.feature} {'>' if self.above else '<='} {self.value:g}"
 
 
-Rule = tuple[Test, ...]
+Rule = tuple[Threshold, ...]
 
 
 def _all_hold(rule: Rule, x: dict[str, np.ndarray], n: int) -> np.ndarray:
@@ -145,7 +145,7 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, cuts: int, longest: int) ->
                     gains = np.where(p > 0, p * (np.log2(p / np.maximum(total, 1)) - np.log2(p0 / (p0 + n0))), -1.0)
                 k = int(np.argmax(gains)) if len(gains) else 0
                 if len(gains) and gains[k] > gain:
-                    best, gain = Test(name, above, float(points[k])), float(gains[k])
+                    best, gain = Threshold(name, above, float(points[k])), float(gains[k])
         if best is None:
             break
         rule += (best,)

@@ -70,13 +70,16 @@ def filter_as_of(captures: DataFrame, entries: DataFrame, url_col: str = "url",
     Columns of these names in ``captures`` are replaced.
     """
     added = ("verdict", "matched_key", "listed_on", "kept")
-    rows = captures.drop(*added)
+    columns = [captures[c] for c in captures.columns if c not in added]
+    rows = captures.select(
+        F.struct(*columns).alias("_row"), F.col(url_col).alias("_page"), F.col(time_col).cast("date").alias("_day")
+    )
     lists = (
         validity_intervals(entries)
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("valid_from", "valid_to", "verdict"))).alias("_held"))
     )
-    visits = rows.select(F.col(url_col).alias("_url"), F.col(time_col).cast("date").alias("_at")).where("_url is not null and _at is not null").distinct()
+    visits = rows.select(F.col("_page").alias("_url"), F.col("_day").alias("_at")).where("_url is not null and _at is not null").distinct()
     active = F.get(
         F.filter(
             "_held",
@@ -93,10 +96,8 @@ def filter_as_of(captures: DataFrame, entries: DataFrame, url_col: str = "url",
         .groupBy("_url", "_at")
         .agg(F.max(F.struct("_rank", "key", "_hit")).alias("_best"))
     )
-    return rows.join(
-        judged, (F.col(url_col) == F.col("_url")) & (F.col(time_col).cast("date") == F.col("_at")), "left"
-    ).select(
-        *[rows[c] for c in rows.columns],
+    return rows.join(judged, (F.col("_page") == F.col("_url")) & (F.col("_day") == F.col("_at")), "left").select(
+        "_row.*",
         F.col("_best._hit.verdict").alias("verdict"),
         F.col("_best.key").alias("matched_key"),
         F.col("_best._hit.valid_from").alias("listed_on"),
