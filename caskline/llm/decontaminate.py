@@ -15,8 +15,8 @@ from caskline.llm.common import slices, staged, text_bytes, word_hashes
 HALF = 16
 #: Words of a benchmark passage at most, and passages that share a latent space (and a pass over the corpus).
 PASSAGE, BANK = 64, 256
-#: Words in more than this share of all documents carry no weight.
-COMMON = 0.2
+#: Words in more than these shares of all documents and of all passages (three at least) carry no weight.
+COMMON, COMMON_ITEMS = 0.2, 0.05
 #: Least cosine of a candidate; common subsequence that is a leak by itself; and one that is with the answer.
 COSINE, SURE, LIKELY = 0.4, 0.8, 0.6
 _PIECE = 2 << 20
@@ -266,7 +266,7 @@ def benchmark_leaks(
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered. Benchmark passages
     (items, long ones cut) are TF-IDF rows over the benchmark's words; document frequencies come from all
-    documents, and words in over a fifth of them carry no weight. A randomised SVD gives the latent space
+    documents; words in over a fifth of them and in many passages carry no weight. A randomised SVD gives the latent space
     of up to ``bank`` passages; its rank is theirs, so folding in keeps cosines with them. Every window of
     32 words of every text is folded in. Candidates of a cosine of ``cosine`` or more are checked on their
     words that carry weight: a common subsequence with 80% of the passage's, or with 60% and the answer
@@ -281,9 +281,10 @@ def benchmark_leaks(
     raw = _items(benchmark, answer_col)
     vocabulary = Vocabulary(np.concatenate([w for _, w, _ in raw] + [a for _, _, a in raw]) if raw else np.empty(0, np.uint64))
     counts, n = document_frequencies(docs, vocabulary, text_col)
-    weight = np.where(counts > COMMON * n, 0.0, np.log((n + 1) / (counts + 1)) + 1) if n else np.ones(len(vocabulary))
-    if n < 10:  # shares of so few documents say nothing
-        weight = np.ones(len(vocabulary))
+    weight = np.log((n + 1) / (counts + 1)) + 1
+    # A passage given away by very many documents is no common wording: that stands in many items too.
+    within = np.bincount(np.concatenate([np.unique(vocabulary.numbers(w)) for _, w, _ in raw] or [np.empty(0, int)]), minlength=len(vocabulary))
+    weight[(counts > COMMON * n) & (within >= max(3, COMMON_ITEMS * len(raw)))] = 0
     items = []
     for item, words, answer in raw:
         own, last = vocabulary.numbers(words), vocabulary.numbers(answer)

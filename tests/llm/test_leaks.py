@@ -82,3 +82,11 @@ def test_awkward(spark):
     assert {(r.doc_id, r.item_id) for r in d.benchmark_leaks(awkward(spark), bench).collect()} == {(5, 3), (6, 3)}
     assert d.benchmark_leaks(nothing(spark), bench).count() == 0
     assert d.benchmark_leaks(awkward(spark), bench.limit(0)).count() == 0
+
+
+def test_a_passage_in_a_third_of_all_documents_is_found(spark):
+    items = [words(30, 70 + k, "abcdefghijklmnop") for k in range(12)]
+    rows = [(k, " ".join([words(40, 500 + k), *([items[3]] if k % 3 == 0 else [])])) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = benchmark(spark, [(k, t, 1, "") for k, t in enumerate(items)])
+    assert {(r.doc_id, r.item_id) for r in d.benchmark_leaks(docs, bench).collect()} == {(k, 3) for k in range(0, 120, 3)}
