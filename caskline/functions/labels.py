@@ -55,10 +55,10 @@ def safe_cast(value: Column | str, data_type: str) -> Column:
 
 
 def text_to_flag(value: Column | str, default: bool = False) -> Column:
-    """'1'/'0', any other whole number, or 'true'/'false' to boolean; NULL takes the default."""
+    """'1'/'0', any other whole number, or 'true'/'false' to boolean; NULL and blank take the default."""
     text = F.lower(F.trim(as_column(value)))
     return (
-        F.when(text.isNull(), F.lit(default))
+        F.when(text.isNull() | (text == ""), F.lit(default))
         .when(text.isin("true", "false"), text == "true")
         .otherwise(strict_cast(text, "int") != 0)
     )

@@ -27,9 +27,20 @@ PERFORMANCE_FLOOR = "Behind"
 
 
 def _latest(raw: DataFrame, entity: str) -> DataFrame:
-    """Rows with a usable key, one per key, the key compared without surrounding spaces."""
+    """Rows with a usable key, one per key; keys are compared as the numbers they are cast to.
+
+    A key that does not read as a number stays as it is, and the cast to come fails on it.
+    """
     keys = ENTITIES[entity].key
-    keyed = raw.withColumns({k: F.trim(F.col(k)) for k in keys})
+    types = dict(ENTITIES[entity].clean_columns)
+
+    def same(key: str) -> Column:
+        text = F.trim(F.col(key))
+        if types.get(key, "string") == "string":
+            return text
+        return F.coalesce(text.try_cast(types[key]).cast("string"), text)
+
+    keyed = raw.withColumns({k: same(k) for k in keys})
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull() & (F.col(key) != ""))
     tiebreak = [c for c in ENTITIES[entity].raw_columns if c not in keys]

@@ -131,29 +131,33 @@ def dim_date_covering(df: DataFrame, column: str) -> DataFrame:
     return _calendar(bounds, F.trunc("first", "year"), last_day)
 
 
-def _calendar(one_row: DataFrame, start: Column, end: Column) -> DataFrame:
-    days = one_row.select(
-        F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("full_date")
-    )
-    day = F.col("full_date")
+def date_attributes(day: Column) -> dict[str, Column]:
+    """What the calendar says of a day, as functions of the date."""
     weekday = F.dayofweek(day)
     season = F.lit(USUAL_SEASON)
     for label, months in SEASONS.items():
         season = F.when(F.month(day).isin(*months), label).otherwise(season)
-    return days.select(
-        day,
-        F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"),
-        F.year(day).alias("year"),
-        F.month(day).alias("month_num"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.left(F.date_format(day, "MMMM"), F.lit(3)).alias("month_short"),
-        F.date_format(day, "yyyy-MM").alias("year_month"),
-        F.dayofmonth(day).alias("day_of_month"),
-        weekday.alias("day_of_week_num"),
-        F.date_format(day, "EEEE").alias("day_of_week_name"),
-        F.quarter(day).alias("quarter_num"),
-        F.concat(F.lit("Q"), F.quarter(day).cast("string")).alias("quarter_label"),
-        year_quarter(day).alias("year_quarter"),
-        F.when(weekday.isin(1, 7), 1).otherwise(0).alias("is_weekend"),
-        season.alias("season"),
+    return {
+        "date_key": F.date_format(day, "yyyyMMdd").cast("int"),
+        "year": F.year(day),
+        "month_num": F.month(day),
+        "month_name": F.date_format(day, "MMMM"),
+        "month_short": F.left(F.date_format(day, "MMMM"), F.lit(3)),
+        "year_month": F.date_format(day, "yyyy-MM"),
+        "day_of_month": F.dayofmonth(day),
+        "day_of_week_num": weekday,
+        "day_of_week_name": F.date_format(day, "EEEE"),
+        "quarter_num": F.quarter(day),
+        "quarter_label": F.concat(F.lit("Q"), F.quarter(day).cast("string")),
+        "year_quarter": year_quarter(day),
+        "is_weekend": F.when(weekday.isin(1, 7), 1).otherwise(0),
+        "season": season,
+    }
+
+
+def _calendar(one_row: DataFrame, start: Column, end: Column) -> DataFrame:
+    days = one_row.select(
+        F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("full_date")
     )
+    attributes = date_attributes(F.col("full_date"))
+    return days.select("full_date", *[c.alias(name) for name, c in attributes.items()])

@@ -79,9 +79,12 @@ def fact_sales(
     suppliers_dim: DataFrame,
     *,
     margin_rate: Decimal = MARGIN_RATE,
+    loaded_at: Column | None = None,
 ) -> DataFrame:
     """Sales with surrogate keys; a key is NULL when the id is unknown to its dimension.
 
+    ``dwh_create_date`` tells the load a row came from: ``loaded_at``, else the time of the query.
+
     One join with the products brings both the list price and the key.
     """
     priced = products_dim.select(
@@ -119,10 +122,17 @@ def fact_sales(
         amount("margin_cents", "estimated_margin_usd"),
         "channel",
         F.lit(True).alias("is_valid"),
+        _stamp(loaded_at),
     )
 
 
-def fact_quota(quotas: DataFrame, reps_dim: DataFrame) -> DataFrame:
+def _stamp(loaded_at: Column | None) -> Column:
+    return (F.current_timestamp() if loaded_at is None else loaded_at).alias("dwh_create_date")
+
+
+def fact_quota(
+    quotas: DataFrame, reps_dim: DataFrame, *, loaded_at: Column | None = None
+) -> DataFrame:
     """Monthly quota against actuals with year-to-date totals.
 
     A window partition is one representative's year: twelve rows at most.
@@ -158,6 +168,7 @@ def fact_quota(quotas: DataFrame, reps_dim: DataFrame) -> DataFrame:
         "rep_name",
         "division",
         "channel",
+        _stamp(loaded_at),
     )
 
 
@@ -166,6 +177,8 @@ def fact_attainment(
     reps_dim: DataFrame,
     suppliers_dim: DataFrame,
     programs_dim: DataFrame,
+    *,
+    loaded_at: Column | None = None,
 ) -> DataFrame:
     """Programme results per representative, with the gap to goal and the bonus missed."""
     lookups = (
@@ -203,4 +216,5 @@ def fact_attainment(
         "channel",
         "supplier_name",
         F.col("category").alias("supplier_category"),
+        _stamp(loaded_at),
     )

@@ -90,7 +90,9 @@ def duplicate_keys(
         repeated = (
             tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
         )
-        text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        # A part that is NULL shows as such, so that different keys never read alike.
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]
+        text = F.concat(*[p for part in parts for p in (F.lit("|"), part)][1:])
         results.append(
             repeated.select(
                 F.lit(check_id).alias("check_id"),

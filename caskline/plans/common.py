@@ -7,19 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caskline.operators.dimensions import date_attributes
+
 
 def lookup(dim: DataFrame, source_id: str, own_id: str, *attributes: str) -> DataFrame:
     """The attributes of a dimension under the fact's id column."""
     return dim.select(F.col(source_id).alias(own_id), *attributes)
 
 
-def with_dates(sales: DataFrame, dates: DataFrame, *attributes: str) -> DataFrame:
-    """Inner join with the calendar on the order date.
+def with_dates(sales: DataFrame, dates: DataFrame | None, *attributes: str) -> DataFrame:
+    """Add calendar attributes of the order date; every sale stays.
 
-    Bounded broadcast: a calendar of all years 1 to 9999 has 3.7 million rows of a few columns.
+    They are functions of the date. A calendar of the caller's own (one row per full_date) takes their
+    place on the days it holds.
     """
-    calendar = dates.select(F.col("full_date").alias("order_date"), *attributes)
-    return sales.join(F.broadcast(calendar), "order_date")
+    usual = date_attributes(F.col("order_date"))
+    if dates is None:
+        return sales.withColumns({name: usual[name] for name in attributes})
+    own = dates.select(
+        F.col("full_date").alias("_day"), *[F.col(name).alias(f"_own_{name}") for name in attributes]
+    )
+    joined = sales.join(own, F.col("order_date") == F.col("_day"), "left")
+    held = F.col("_day").isNotNull()
+    return joined.withColumns(
+        {name: F.when(held, F.col(f"_own_{name}")).otherwise(usual[name]) for name in attributes}
+    ).drop("_day", *[f"_own_{name}" for name in attributes])
 
 
 def known_ids(df: DataFrame, dim: DataFrame, source_id: str, own_id: str) -> DataFrame:

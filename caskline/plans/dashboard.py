@@ -19,7 +19,6 @@ from caskline.functions.measures import (
 )
 from caskline.operators.global_window import global_rank, global_running_sum
 from caskline.plans.common import join_totals, known_ids, lookup, with_dates
-from caskline.session import materialise
 
 # Default thresholds and labels.
 REP_STATUS = ((400_000, "Top Performer"), (250_000, "On Track"))
@@ -62,10 +61,11 @@ def kpi_card(sales: DataFrame, accounts: DataFrame, reps: DataFrame) -> DataFram
     )
 
 
-def monthly_trend(sales: DataFrame, dates: DataFrame) -> DataFrame:
+def monthly_trend(sales: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Months with the previous month, the change, a 3-month mean and the same month last year.
 
-    The windows run over the calendar's months (12 rows a year), after the aggregation.
+    Months are compared by the calendar: a month without sales is missing, not skipped. The windows
+    run over months (12 rows a year), after the aggregation.
     """
     months = with_dates(
         sales, dates, "year_month", "year", "month_num", "month_name", "year_quarter", "season"
@@ -76,9 +76,9 @@ def monthly_trend(sales: DataFrame, dates: DataFrame) -> DataFrame:
         from_cents(F.sum("margin_cents")).alias("est_margin"),
         from_cents(F.sum("discount_cents")).alias("discounts"),
     )
-    by_month = Window.orderBy("year_month")
-    last_three = by_month.rowsBetween(-2, 0)
-    previous = F.lag("net_revenue").over(by_month)
+    by_month = Window.orderBy(F.col("year") * 12 + F.col("month_num"))
+    last_three = by_month.rangeBetween(-2, 0)
+    previous = F.first("net_revenue").over(by_month.rangeBetween(-1, -1))
     return months.select(
         "*",
         previous.alias("prev_month_revenue"),
@@ -86,7 +86,7 @@ def monthly_trend(sales: DataFrame, dates: DataFrame) -> DataFrame:
         ratio(
             F.sum("net_revenue").over(last_three), F.count("net_revenue").over(last_three)
         ).alias("rolling_3mo_avg"),
-        F.lag("net_revenue", 12).over(by_month).alias("same_month_prior_year"),
+        F.first("net_revenue").over(by_month.rangeBetween(-12, -12)).alias("same_month_prior_year"),
     ).orderBy("year_month")
 
 
@@ -152,7 +152,7 @@ def rep_scorecard(
         "revenue_rank",
         "avg_quota_attainment_pct",
         threshold_label("net_revenue", levels, lowest).alias("performance_status"),
-    ).orderBy(F.desc("net_revenue"))
+    ).orderBy(F.desc("net_revenue"), "rep_id")
 
 
 def supplier_mix(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
@@ -189,11 +189,11 @@ def supplier_mix(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
         "discounts",
         percentage("net_revenue", "_total").alias("revenue_share_pct"),
         "revenue_rank",
-    ).orderBy("revenue_rank", "supplier_name")
+    ).orderBy("revenue_rank", "supplier_name", "supplier_id")
 
 
 def channel_split(
-    sales: DataFrame, accounts: DataFrame, reps: DataFrame, dates: DataFrame
+    sales: DataFrame, accounts: DataFrame, reps: DataFrame, dates: DataFrame | None = None
 ) -> DataFrame:
     """Channels by year: volume, margin, revenue per representative and per account."""
     per_account = (
@@ -221,7 +221,7 @@ def channel_split(
         percentage("est_margin", "net_revenue").alias("margin_pct"),
         ratio("net_revenue", "reps").alias("revenue_per_rep"),
         ratio("net_revenue", "accounts").alias("revenue_per_account"),
-    ).orderBy("year", F.desc("net_revenue"))
+    ).orderBy("year", F.desc("net_revenue"), "channel")
 
 
 def bonus_tracker(
@@ -232,39 +232,41 @@ def bonus_tracker(
 ) -> DataFrame:
     """Programme results with an urgency bucket and the supplier's bonus pool of the quarter.
 
-    The pool is summed and joined back rather than windowed: a window would move all results of a
+    Pools are kept by supplier id, so namesakes stay apart. The pool is summed from the columns it
+    needs and joined back rather than windowed: a window would move all results of a
     supplier's quarter into one task, the sum is combined on the map side first.
     """
-    rows = materialise(
-        attainment.select(
-            "supplier_name",
-            "rep_name",
-            "division",
-            "quarter",
-            "program_type",
-            "attainment_pct",
-            "gap_to_goal",
-            "bonus_earned_usd",
-            "bonus_missed_usd",
-            "status",
-            "status_sort_order",
-            threshold_label("attainment_pct", levels, highest).alias("urgency_bucket"),
-        )
-    )
-    group = ["supplier_name", "quarter"]
-    pools = rows.groupBy(*group).agg(
+    supplier = "supplier_key" if "supplier_key" in attainment.columns else "supplier_id"
+    group = [supplier, "quarter"]
+    pools = attainment.groupBy(*group).agg(
         F.sum(F.col("bonus_earned_usd") + F.col("bonus_missed_usd")).alias("supplier_total_pool")
     )
-    # Status and bonus have few values; the names behind them spread equal rows over many tasks.
-    return join_totals(rows, pools, group).orderBy(
-        "status_sort_order", F.desc("bonus_missed_usd"), "supplier_name", "quarter", "rep_name"
+    rows = join_totals(attainment, pools, group)
+    # Status and bonus have few values; the names and ids behind them spread equal rows over many tasks.
+    ids = [c for c in ("attainment_id", "program_key", "program_id", "rep_key", "rep_id", supplier) if c in rows.columns]
+    return rows.orderBy(
+        "status_sort_order", F.desc("bonus_missed_usd"), "supplier_name", "quarter", "rep_name", *ids
+    ).select(
+        "supplier_name",
+        "rep_name",
+        "division",
+        "quarter",
+        "program_type",
+        "attainment_pct",
+        "gap_to_goal",
+        "bonus_earned_usd",
+        "bonus_missed_usd",
+        "status",
+        "status_sort_order",
+        threshold_label("attainment_pct", levels, highest).alias("urgency_bucket"),
+        "supplier_total_pool",
     )
 
 
 def price_tier_mix(
     sales: DataFrame,
     products: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None = None,
     *,
     tier_order: Sequence[str] = TIER_ORDER,
 ) -> DataFrame:
@@ -285,7 +287,9 @@ def price_tier_mix(
     channel_year = F.sum("cases_sold").over(Window.partitionBy("channel", "year"))
     return mix.select(
         "*", percentage("cases_sold", channel_year).alias("pct_of_channel_volume")
-    ).orderBy("year", "channel", rank_of_label("price_tier", tier_order))
+    ).orderBy(
+        "year", "channel", rank_of_label("price_tier", tier_order), "price_tier", "category", "sub_category"
+    )
 
 
 def geo_density(sales: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -314,4 +318,4 @@ def geo_density(sales: DataFrame, accounts: DataFrame) -> DataFrame:
     division_mean = F.avg("revenue_per_account").over(Window.partitionBy("division"))
     return towns.select(
         "*", percentage("revenue_per_account", division_mean).alias("pct_of_division_avg")
-    ).orderBy(F.desc("net_revenue"))
+    ).orderBy(F.desc("net_revenue"), "division", "state", "town")

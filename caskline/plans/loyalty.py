@@ -83,7 +83,7 @@ def account_retention(
     sales: DataFrame,
     accounts: DataFrame,
     reps: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None = None,
     *,
     years: tuple[int, int] = RETENTION_YEARS,
     growth: Decimal = GROWTH_FACTOR,
@@ -290,5 +290,5 @@ def discount_leakage(
             .alias("recoverable_revenue"),
             action.alias("action"),
         )
-        .orderBy(F.desc("rep_disc_rate"))
+        .orderBy(F.desc("rep_disc_rate"), "rep_id")
     )

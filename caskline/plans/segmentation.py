@@ -185,5 +185,5 @@ def rfm_summary(
             ratio(F.sum("frequency"), F.count("frequency")).alias("avg_frequency"),
         )
         .withColumn("priority", _by_label("segment", PRIORITIES, F.lit(LOWEST_PRIORITY)))
-        .orderBy(F.desc("total_revenue"))
+        .orderBy(F.desc("total_revenue"), "segment")
     )

@@ -40,15 +40,16 @@ def build_gold(
     out: str,
     *,
     as_of: dt.date,
-    first_day: dt.date = dims.FIRST_DAY,
-    last_day: dt.date = dims.LAST_DAY,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
     tiers: Sequence[tuple[object, str]] = dims.PRICE_TIERS,
     margin_rate: Decimal = facts.MARGIN_RATE,
 ) -> DataFrame:
     """Publish six dimensions and three facts under ``out``; one audit row per table.
 
     Dimensions come first, and the facts look their keys up in the published ones, so that keys
-    agree between all tables of a build.
+    agree between all tables of a build. The calendar holds all years with sales, unless both its
+    days are given.
     """
 
     def gold(name: str) -> DataFrame:
@@ -62,7 +63,11 @@ def build_gold(
             "dim_products": lambda: dims.dim_products(silver["products"], tiers=tiers),
             "dim_suppliers": lambda: dims.dim_suppliers(silver["suppliers"]),
             "dim_programs": lambda: dims.dim_programs(silver["supplier_programs"]),
-            "dim_date": lambda: dims.dim_date(spark, first_day, last_day),
+            "dim_date": lambda: (
+                dims.dim_date(spark, first_day, last_day)
+                if first_day and last_day
+                else dims.dim_date_covering(silver["sales_transactions"], "txn_date")
+            ),
             "fact_sales": lambda: facts.fact_sales(
                 silver["sales_transactions"],
                 gold("dim_reps"),

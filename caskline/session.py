@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the plans rely on. All are runtime SQL settings, so they can be applied to a session
 # that somebody else created.
 RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,10 +24,13 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings, except those the cluster's own configuration already sets."""
-    own = spark.sparkContext.getConf()
+    """Apply the runtime settings, except those the user or the cluster has set.
+
+    The time zone is left alone: plans use dates, and current timestamps show in the session's zone.
+    """
+    explicit = {row["key"] for row in spark.sql("SET").collect()}
     for key, value in RUNTIME_SETTINGS.items():
-        if not own.contains(key):
+        if key not in explicit:
             spark.conf.set(key, value)
     return spark
 

@@ -18,10 +18,11 @@ def ingest(
     loaded_at: Column | None = None,
     delimiter: str = ",",
     malformed: str = "fail",
+    quote: str = "",
 ) -> DataFrame:
     """Read a headed delimited file (or folder of files) as text columns plus the load time.
 
-    Quotes have no special meaning and the header must carry the entity's column names. ``malformed``
+    ``quote`` encloses values that hold the delimiter; by default no character does. The header must carry the entity's column names. ``malformed``
     is ``"fail"`` (stop the load) or ``"keep"`` (keep the line in ``_corrupt_record``).
     """
     if malformed not in ("fail", "keep"):
@@ -30,7 +31,7 @@ def ingest(
     reader = (
         spark.read.option("header", True)
         .option("sep", delimiter)
-        .option("quote", "")
+        .option("quote", quote)
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
     )

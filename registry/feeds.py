@@ -53,9 +53,11 @@ def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line restates its supplier."""
+    """Every order line restates its supplier, half of them with a zero before its id."""
     return table(spark, sf_dir, "lineitem").select(
-        _text("l_suppkey").alias("supplier_id"),
+        F.concat(
+            F.when(F.col("l_linenumber") % 2 == 0, "0").otherwise(""), _text("l_suppkey")
+        ).alias("supplier_id"),
         F.concat(F.lit(" Supplier "), _text("l_suppkey"), F.lit(" ")).alias("supplier_name"),
         F.when(F.col("l_returnflag") == "A", " WINE ")
         .when(F.col("l_returnflag") == "N", "wines and spirits")
@@ -94,8 +96,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Town "), "o_orderstatus").alias("town"),
         F.lit(" ct ").alias("state"),
         F.concat(F.lit("Division "), "o_orderstatus").alias("division"),
-        _text(F.col("o_custkey") % 25).alias("rep_id"),
-        _pick(key, "1", "0", None, "2", "true").alias("active"),
+        _text(F.col("o_custkey") % 28).alias("rep_id"),
+        _pick(key, "1", "0", None, "2", "true", "  ").alias("active"),
         F.col("o_orderdate").alias(LOADED_AT),
     )
 

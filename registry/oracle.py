@@ -164,7 +164,6 @@ yearly AS (
          COUNT(DISTINCT CASE WHEN {years} = 1999 THEN txn_id END) AS orders_1999,
          COUNT(DISTINCT CASE WHEN {years} = 2000 THEN txn_id END) AS orders_2000
   FROM fs JOIN accounts a USING (account_id) JOIN reps r ON fs.rep_id = r.rep_id
-  WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
   GROUP BY account_id, account_name, a.channel, town, fs.rep_id, rep_name)
 SELECT account_name, channel, town, rep_name, {dbl("old")} AS revenue_1999,
        {dbl("new")} AS revenue_2000, {dbl("new - old")} AS yoy_change,
@@ -237,16 +236,16 @@ months AS (
               WHEN month(order_date) IN (6, 7, 8) THEN 'Summer Peak' ELSE 'Standard' END AS season,
          COUNT(DISTINCT txn_id) AS transactions, CAST(SUM(cases) AS BIGINT) AS cases_sold,
          SUM(revenue) AS net, SUM(margin) AS margin, SUM(discount) AS discount
-  FROM fs WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+  FROM fs
   GROUP BY 1, 2, 3, 4, 5, 6)
 SELECT year_month, year, month_num, month_name, year_quarter, season, transactions, cases_sold,
        {dbl("net")} AS net_revenue, {dbl("margin")} AS est_margin, {dbl("discount")} AS discounts,
-       {dbl("LAG(net) OVER (ORDER BY year_month)")} AS prev_month_revenue,
-       {dbl("net - LAG(net) OVER (ORDER BY year_month)")} AS mom_change,
-       {ratio("SUM(net) OVER (ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
-              "COUNT(net) OVER (ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")}
+       {dbl("FIRST(net) OVER (ORDER BY year * 12 + month_num RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)")} AS prev_month_revenue,
+       {dbl("net - FIRST(net) OVER (ORDER BY year * 12 + month_num RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)")} AS mom_change,
+       {ratio("SUM(net) OVER (ORDER BY year * 12 + month_num RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)",
+              "COUNT(net) OVER (ORDER BY year * 12 + month_num RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)")}
          AS rolling_3mo_avg,
-       {dbl("LAG(net, 12) OVER (ORDER BY year_month)")} AS same_month_prior_year
+       {dbl("FIRST(net) OVER (ORDER BY year * 12 + month_num RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING)")} AS same_month_prior_year
 FROM months""",
         "rep_scorecard": with_(SALES, REPS, QUOTAS) + f""",
 attained AS (SELECT rep_id, {mean("attainment_pct")} AS attained FROM quotas GROUP BY rep_id),
@@ -280,7 +279,7 @@ SELECT channel, year(order_date) AS year, COUNT(DISTINCT txn_id) AS transactions
        {dbl("SUM(margin)")} AS est_margin, {pct("SUM(margin)", "SUM(revenue)")} AS margin_pct,
        {ratio("SUM(revenue)", "COUNT(DISTINCT rep_id)")} AS revenue_per_rep,
        {ratio("SUM(revenue)", "COUNT(DISTINCT account_id)")} AS revenue_per_account
-FROM fs WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1, 2""",
+FROM fs GROUP BY 1, 2""",
         "bonus_tracker": with_(SALES, REPS, SUPPLIERS, PROGRAMS) + f"""
 SELECT supplier_name, rep_name, r.division, quarter, 'Volume (cases)' AS program_type,
        {dbl("attainment_pct")} AS attainment_pct, {dbl("goal - actual")} AS gap_to_goal,
@@ -289,7 +288,7 @@ SELECT supplier_name, rep_name, r.division, quarter, 'Volume (cases)' AS program
          AS status_sort_order,
        CASE WHEN attainment_pct >= 100 THEN '1_Achieved' WHEN attainment_pct >= 85 THEN '2_Push_Now'
             WHEN attainment_pct >= 60 THEN '3_Focus' ELSE '4_At_Risk' END AS urgency_bucket,
-       {dbl("SUM(earned + missed) OVER (PARTITION BY supplier_name, quarter)")} AS supplier_total_pool
+       {dbl("SUM(earned + missed) OVER (PARTITION BY supplier_id, quarter)")} AS supplier_total_pool
 FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)""",
         "price_tier_mix": with_(SALES, PRODUCTS) + f""",
 mix AS (
@@ -297,8 +296,7 @@ mix AS (
          COUNT(DISTINCT txn_id) AS transactions, CAST(SUM(cases) AS BIGINT) AS cases_sold,
          {dbl("SUM(revenue)")} AS net_revenue, {dbl("SUM(margin)")} AS est_margin,
          {mean("rpc")} AS avg_rev_per_case
-  FROM fs JOIN products USING (sku_id)
-  WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1, 2, 3, 4, 5)
+  FROM fs JOIN products USING (sku_id) GROUP BY 1, 2, 3, 4, 5)
 SELECT *, {pct("cases_sold", "SUM(cases_sold) OVER (PARTITION BY channel, year)")}
        AS pct_of_channel_volume FROM mix""",
         "geo_density": with_(SALES, ACCOUNTS) + f""",
@@ -434,7 +432,8 @@ SELECT {{key}}, month_year, quota_cases, actual_cases,
        CAST(SUM(actual_cases) OVER ytd AS BIGINT) AS ytd_actual_cases,
        CAST(SUM(quota_cases) OVER ytd AS BIGINT) AS ytd_quota_cases,
        CASE WHEN attainment_pct >= 100 THEN 'Achieved' WHEN attainment_pct >= 75 THEN 'At Risk'
-            ELSE 'Behind' END AS performance_flag, rep_name, division, channel
+            ELSE 'Behind' END AS performance_flag, rep_name, division, channel,
+       DATE '2001-12-31' AS dwh_create_date
 FROM quotas
 WINDOW ytd AS (PARTITION BY rep_id, left(month_year, 4) ORDER BY month_year
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
@@ -488,7 +487,8 @@ SELECT txn_id, rep_key, account_key, product_key, supplier_key, order_date,
        CAST(cases AS BIGINT) AS cases_sold,
        {dbl("disc")} AS discount_pct, {dbl("revenue")} AS revenue_usd, {dbl("rpc")} AS revenue_per_case,
        {dbl("gross")} AS gross_revenue_usd, {dbl("discount")} AS discount_usd,
-       {dbl("margin")} AS estimated_margin_usd, channel, CAST(1 AS BIGINT) AS is_valid
+       {dbl("margin")} AS estimated_margin_usd, channel, CAST(1 AS BIGINT) AS is_valid,
+       DATE '2001-12-31' AS dwh_create_date
 FROM fs LEFT JOIN rk ON rep_id = rk.id LEFT JOIN ak ON account_id = ak.id
      LEFT JOIN pk ON sku_id = pk.id LEFT JOIN sk ON supplier_id = sk.id""",
         "fact_quota": with_(SALES, REPS, QUOTAS) + QUOTA_FACT.format(key="rep_id + 1 AS rep_key"),
@@ -502,7 +502,7 @@ SELECT rep_id + 1 AS rep_key, supplier_key, program_key, quarter, {dbl("goal")}
        CAST(CASE status WHEN 'Achieved' THEN 1 WHEN 'At Risk' THEN 2 ELSE 3 END AS BIGINT)
          AS status_sort_order,
        'Volume (cases)' AS program_type, r.division, rep_name, channel, supplier_name,
-       category AS supplier_category
+       category AS supplier_category, DATE '2001-12-31' AS dwh_create_date
 FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)
      JOIN pk USING (program_id) JOIN sk USING (supplier_id)""",
         "quota_by_attainment": with_(SALES, REPS, QUOTAS) + QUOTA_FACT.format(key="rep_id"),
@@ -512,7 +512,7 @@ SELECT rep_id, supplier_id, program_id, quarter, {dbl("goal")} AS goal_value,
        {dbl("earned")} AS bonus_earned_usd, {dbl("goal - actual")} AS gap_to_goal,
        {dbl("missed")} AS bonus_missed_usd, status, CAST(3 AS BIGINT) AS status_sort_order,
        'Volume (cases)' AS program_type, r.division, rep_name, channel, supplier_name,
-       category AS supplier_category
+       category AS supplier_category, DATE '2001-12-31' AS dwh_create_date
 FROM attainments JOIN suppliers USING (supplier_id) JOIN reps r USING (rep_id)
 WHERE attainment_pct < 75""",
         "row_count_summary": with_(SALES, REPS, QUOTAS, PROGRAMS) + """
@@ -521,7 +521,7 @@ SELECT 'dim_accounts', COUNT(*) FROM customer UNION ALL
 SELECT 'dim_products', COUNT(*) FROM part UNION ALL
 SELECT 'dim_suppliers', COUNT(*) FROM supplier UNION ALL
 SELECT 'dim_programs', COUNT(*) FROM programs UNION ALL
-SELECT 'dim_date', (year(MAX(o_orderdate)) - year(MIN(o_orderdate)) + 1) * 365 + 2 FROM orders UNION ALL
+SELECT 'dim_date', datediff('day', make_date(year(MIN(o_orderdate)), 1, 1), make_date(year(MAX(o_orderdate)), 12, 31)) + 1 FROM orders UNION ALL
 SELECT 'fact_sales', COUNT(*) FROM fs UNION ALL
 SELECT 'fact_quota', COUNT(*) FROM quotas UNION ALL
 SELECT 'fact_attainment', COUNT(*) FROM attainments""",
@@ -569,7 +569,7 @@ FEEDS: dict[str, tuple[str, list[str], list[tuple[str, str]], str]] = {
         "lineitem",
         ["supplier_id"],
         [
-            ("supplier_id", "CAST(l_suppkey AS VARCHAR)"),
+            ("supplier_id", "CASE WHEN l_linenumber % 2 = 0 THEN '0' ELSE '' END || CAST(l_suppkey AS VARCHAR)"),
             ("supplier_name", "' Supplier ' || CAST(l_suppkey AS VARCHAR) || ' '"),
             (
                 "category",
@@ -605,8 +605,8 @@ FEEDS: dict[str, tuple[str, list[str], list[tuple[str, str]], str]] = {
             ("town", "'Town ' || o_orderstatus"),
             ("state", "' ct '"),
             ("division", "'Division ' || o_orderstatus"),
-            ("rep_id", "CAST(o_custkey % 25 AS VARCHAR)"),
-            ("active", _pick("o_orderkey", "1", "0", None, "2", "true")),
+            ("rep_id", "CAST(o_custkey % 28 AS VARCHAR)"),
+            ("active", _pick("o_orderkey", "1", "0", None, "2", "true", "  ")),
         ],
         "o_orderdate",
     ),
@@ -719,7 +719,7 @@ CLEANSED: dict[str, str] = {
     "accounts": f"""{big("account_id")} AS account_id, trim(account_name) AS account_name,
        trim(account_type) AS account_type, {CHANNEL_TEXT} AS channel, trim(town) AS town,
        upper(trim(state)) AS state, trim(division) AS division, {big("rep_id")} AS rep_id,
-       CASE WHEN active IS NULL THEN 0 WHEN active = 'true' THEN 1
+       CASE WHEN active IS NULL OR trim(active) = '' THEN 0 WHEN active = 'true' THEN 1
             ELSE CAST(CAST(active AS INTEGER) <> 0 AS BIGINT) END AS is_active""",
     "supplier_programs": f"""{big("program_id")} AS program_id, {big("supplier_id")} AS supplier_id,
        trim(quarter) AS quarter, TRY_CAST(start_date AS DATE) AS start_date,
@@ -770,11 +770,12 @@ raw_{feed} AS (
 
 def latest_cte(feed: str) -> str:
     _, keys, columns, _ = FEEDS[feed]
+    numbers = [k if k == "month" else f"CAST({k} AS BIGINT)" for k in keys]
     ties = ", ".join(f"{name} ASC NULLS FIRST" for name, _ in columns if name not in keys)
     return raw_cte(feed) + f""",
 latest_{feed} AS (
   SELECT * FROM raw_{feed}
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY {", ".join(keys)} ORDER BY loaded DESC NULLS LAST, {ties}) = 1)"""
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY {", ".join(numbers)} ORDER BY loaded DESC NULLS LAST, {ties}) = 1)"""
 
 
 def clean_cte(feed: str) -> str:
@@ -888,8 +889,7 @@ SELECT *, abs(stored_pct - calc_pct) AS gap FROM gaps WHERE abs(stored_pct - cal
 FROM clean_sales_transactions t LEFT JOIN clean_sales_reps r ON t.rep_id = r.rep_id WHERE r.rep_id IS NULL
 UNION ALL
 SELECT DISTINCT '5d', a.rep_id, a.account_name
-FROM clean_accounts a LEFT JOIN (SELECT * FROM clean_sales_reps WHERE rep_id % 5 <> 0) r
-     ON a.rep_id = r.rep_id WHERE r.rep_id IS NULL""",
+FROM clean_accounts a LEFT JOIN clean_sales_reps r ON a.rep_id = r.rep_id WHERE r.rep_id IS NULL""",
     }
 
 

@@ -26,7 +26,6 @@ from registry import feeds, tables
 
 # The business values that fit the test tables.
 AS_OF = dt.date(2001, 12, 31)
-FIRST_DAY = dt.date(1995, 1, 1)
 PRICE_TIERS = ((925, "Value"), (950, "Mid-Range"), (975, "Premium"))
 LTV_TIERS = ((3_000_000, "Platinum"), (2_000_000, "Gold"), (1_000_000, "Silver"))
 REP_STATUS = ((95_000_000, "Top Performer"), (85_000_000, "On Track"))
@@ -93,9 +92,6 @@ class Star:
     def programs(self, keyed: bool = False) -> DataFrame:
         return dims.dim_programs(self.entity("supplier_programs"), keyed=keyed)
 
-    def dates(self) -> DataFrame:
-        return dims.dim_date(self.spark, FIRST_DAY, AS_OF)
-
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
             tables.sales_transactions(self.spark, self.sf_dir),
@@ -103,6 +99,7 @@ class Star:
             self.accounts(keyed=True),
             self.products(keyed=True),
             self.suppliers(keyed=True),
+            loaded_at=F.lit(AS_OF),
         )
 
     def fact_attainment(self, keyed: bool = False) -> DataFrame:
@@ -111,8 +108,12 @@ class Star:
             self.reps(keyed),
             self.suppliers(keyed),
             self.programs(keyed),
+            loaded_at=F.lit(AS_OF),
         )
 
+    def fact_quota(self, keyed: bool = False) -> DataFrame:
+        return facts.fact_quota(self.entity("rep_quota_actuals"), self.reps(keyed), loaded_at=F.lit(AS_OF))
+
     def raw(self, name: str) -> DataFrame:
         return feeds.FEEDS[name](self.spark, self.sf_dir)
 
@@ -140,10 +141,10 @@ def _row_counts(star: Star) -> DataFrame:
             "dim_products": star.products(),
             "dim_suppliers": star.suppliers(),
             "dim_programs": star.programs(),
-            "dim_date": star.dates(),
-            "fact_sales": star.sales(),
-            "fact_quota": star.entity("rep_quota_actuals"),
-            "fact_attainment": star.entity("program_attainments"),
+            "dim_date": dims.dim_date_covering(tables.table(star.spark, star.sf_dir, "orders"), "o_orderdate"),
+            "fact_sales": star.fact_sales(),
+            "fact_quota": star.fact_quota(),
+            "fact_attainment": star.fact_attainment(),
         }
     )
 
@@ -157,7 +158,7 @@ def _invalid_sales(star: Star) -> DataFrame:
 def _orphans(star: Star) -> DataFrame:
     reps = star.cleansed("sales_reps").select("rep_id")
     sales = quality.orphan_keys(star.cleansed("sales_transactions"), reps, ["rep_id"])
-    accounts = quality.orphan_keys(star.cleansed("accounts"), reps.filter("rep_id % 5 <> 0"), ["rep_id", "account_name"])
+    accounts = quality.orphan_keys(star.cleansed("accounts"), reps, ["rep_id", "account_name"])
     return sales.select(
         F.lit("5c").alias("check_id"), "rep_id", F.lit(None).cast("string").alias("account_name")
     ).unionByName(accounts.select(F.lit("5d").alias("check_id"), "rep_id", "account_name"))
@@ -219,7 +220,6 @@ def queries() -> dict[str, Query]:
                 s.sales("txn_date", "account_id", "rep_id"),
                 s.accounts(),
                 s.reps(),
-                s.dates(),
                 years=RETENTION_YEARS,
             )
         ),
@@ -242,7 +242,7 @@ def queries() -> dict[str, Query]:
             )
         ),
         "monthly_trend": _on_star(
-            lambda s: dashboard.monthly_trend(s.sales("txn_date", priced=True), s.dates())
+            lambda s: dashboard.monthly_trend(s.sales("txn_date", priced=True))
         ),
         "rep_scorecard": _on_star(
             lambda s: dashboard.rep_scorecard(
@@ -257,12 +257,12 @@ def queries() -> dict[str, Query]:
             lambda s: dashboard.supplier_mix(s.sales(priced=True), s.suppliers())
         ),
         "channel_split": _on_star(
-            lambda s: dashboard.channel_split(s.sales(*full), s.accounts(), s.reps(), s.dates())
+            lambda s: dashboard.channel_split(s.sales(*full), s.accounts(), s.reps())
         ),
         "bonus_tracker": _on_star(lambda s: dashboard.bonus_tracker(s.fact_attainment())),
         "price_tier_mix": _on_star(
             lambda s: dashboard.price_tier_mix(
-                s.sales("txn_date", "channel"), s.products(), s.dates()
+                s.sales("txn_date", "channel"), s.products()
             )
         ),
         "geo_density": _on_star(
@@ -314,13 +314,11 @@ def queries() -> dict[str, Query]:
             lambda s: dims.dim_date_covering(tables.table(s.spark, s.sf_dir, "orders"), "o_orderdate")
         ),
         "fact_sales": _on_star(lambda s: s.fact_sales()),
-        "fact_quota": _on_star(
-            lambda s: facts.fact_quota(s.entity("rep_quota_actuals"), s.reps(keyed=True))
-        ),
+        "fact_quota": _on_star(lambda s: s.fact_quota(keyed=True)),
         "fact_attainment": _on_star(lambda s: s.fact_attainment(keyed=True)),
         "row_count_summary": _on_star(_row_counts),
         "quota_by_attainment": _on_star(
-            lambda s: facts.fact_quota(s.entity("rep_quota_actuals"), s.reps()).orderBy(
+            lambda s: s.fact_quota().orderBy(
                 F.desc("attainment_pct"), "rep_id", "month_year"
             )
         ),

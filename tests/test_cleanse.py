@@ -64,7 +64,7 @@ def test_category_labels(spark, given, wanted):
 
 @pytest.mark.parametrize(
     "given, wanted",
-    [("1", True), ("0", False), (None, False), ("2", True), ("true", True), (" FALSE ", False)],
+    [("1", True), ("0", False), (None, False), ("2", True), ("true", True), (" FALSE ", False), ("", False), ("  ", False)],
 )
 def test_active_flag(spark, given, wanted):
     row = clean(spark, "accounts", account(active=given))[1]
@@ -183,3 +183,32 @@ def test_first_failed_rule_names_the_reason(spark):
     good, bad = split_rejects(df, {"a": F.col("a") < 5, "b": F.col("b") > 0})
     assert good.count() == 1
     assert sorted(r.reject_reason for r in bad.collect()) == ["a", "a"]
+
+
+def test_spellings_of_a_number_are_one_key(spark):
+    rows = CLEANERS["suppliers"](
+        raw(
+            spark,
+            "suppliers",
+            {"supplier_id": "01", "supplier_name": "old"},
+            {"supplier_id": " 1 ", "supplier_name": "new", LOADED_AT: DAY + dt.timedelta(days=1)},
+            {"supplier_id": "+2"},
+            {"supplier_id": "2"},
+        )
+    ).collect()
+    assert sorted((r.supplier_id, r.supplier_name) for r in rows if r.supplier_id == 1) == [(1, "new")]
+    assert [r.supplier_id for r in rows].count(2) == 1
+
+
+def test_a_key_that_is_no_number_stops_the_load(spark):
+    with pytest.raises(Exception, match="cannot cast"):
+        CLEANERS["suppliers"](raw(spark, "suppliers", {"supplier_id": "x1"})).collect()
+
+
+def test_null_parts_show_in_repeated_keys(spark):
+    from caskline.operators.quality import duplicate_keys
+
+    rows = [(None, "2024-01"), (None, "2024-01"), (1, None), (1, None)]
+    table = spark.createDataFrame(rows, "rep_id long, month_year string")
+    got = duplicate_keys({"t": table}, {"2d": ("t", ("rep_id", "month_year"))}).collect()
+    assert sorted(r.key for r in got) == ["1|NULL", "NULL|2024-01"]

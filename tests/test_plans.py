@@ -245,3 +245,52 @@ def test_gaps_of_a_hot_account_need_one_row_per_day(spark, accounts, reps):
     assert [(r.total_orders, r.total_revenue, r.longest_gap_days, r.avg_days_between_orders) for r in got] == [
         (2999, 2999, 10, 0)
     ]
+
+
+def test_no_sale_is_lost_to_a_calendar(spark, accounts, reps):
+    sales = sales_of(
+        spark, (1, "1987-12-31", 1, 1, 1, 0, 100), (2, "2024-03-01", 1, 1, 1, 0, 100), (3, "2093-01-01", 1, 1, 1, 0, 100)
+    )
+    whole = dashboard.kpi_card(sales, accounts, reps).first().total_net_revenue
+    dates = dims.dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31)).withColumn("season", F.lit("own"))
+    for calendar in (None, dates):
+        months = dashboard.monthly_trend(sales, calendar).collect()
+        assert sum(r.net_revenue for r in months) == whole == 300
+        assert [r.season == "own" for r in months] == [False, calendar is not None, False]
+    assert sum(r.net_revenue for r in dashboard.channel_split(sales, accounts, reps).collect()) == 300
+
+
+def test_months_without_sales_are_not_skipped(spark):
+    days = ["2024-01-10", "2024-02-10", "2024-03-10", "2024-05-10", "2025-01-10", "2025-02-10"]
+    rows = [(k, day, 1, 1, 1, 0, 10 * (k + 1)) for k, day in enumerate(days)]
+    got = by(dashboard.monthly_trend(sales_of(spark, *rows)), "year_month")
+    assert got["2024-05"].prev_month_revenue is None and got["2024-05"].rolling_3mo_avg == 35
+    assert got["2025-02"].same_month_prior_year == 20 and got["2025-01"].same_month_prior_year == 10
+    assert got["2024-03"].same_month_prior_year is None and got["2024-03"].mom_change == 10
+
+
+def test_bonus_pools_of_namesakes_stay_apart(spark):
+    schema = (
+        "rep_id long, supplier_id long, program_id long, quarter string, attainment_pct double, bonus_earned_usd double, "
+        "gap_to_goal double, bonus_missed_usd double, status string, status_sort_order int, program_type string, "
+        "division string, rep_name string, supplier_name string"
+    )
+    rows = [
+        (1, s, s, "2024-Q1", 90.0, earned, 1.0, 5.0, "At Risk", 2, "t", "d", "R", "Same") for s, earned in ((1, 10.0), (2, 100.0), (1, 20.0))
+    ]
+    frame = dashboard.bonus_tracker(spark.createDataFrame(rows, schema))
+    assert sorted((r.bonus_earned_usd, r.supplier_total_pool) for r in frame.collect()) == [(10, 40), (20, 40), (100, 105)]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan ExistingRDD" not in plan.replace("LogicalRDD", "")
+
+
+def test_settings_of_the_user_stay(spark):
+    from caskline.session import configure
+
+    threshold, zone = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.session.timeZone"
+    own = spark.newSession()
+    own.conf.set(threshold, "-1")
+    own.conf.set(zone, "Europe/Berlin")
+    configure(own)
+    assert (own.conf.get(threshold), own.conf.get(zone)) == ("-1", "Europe/Berlin")
+    assert own.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
