@@ -126,6 +126,40 @@ def fact_sales(
     )
 
 
+def sales_from_gold(
+    fact: DataFrame,
+    reps_dim: DataFrame | None = None,
+    accounts_dim: DataFrame | None = None,
+    products_dim: DataFrame | None = None,
+    suppliers_dim: DataFrame | None = None,
+) -> DataFrame:
+    """The measures of a (published) sales fact as the analyses take them.
+
+    Of the ids rep_id, account_id, sku_id and supplier_id those come whose keyed dimension is given;
+    an analysis that needs none reads the fact alone, and a filter on the fact's month column reaches
+    its folders.
+    """
+    sales = fact.withColumns(
+        {
+            "discount_points": to_cents("discount_pct"),
+            "revenue_cents": to_cents("revenue_usd"),
+            "per_case_cents": to_cents("revenue_per_case"),
+            "gross_cents": to_cents("gross_revenue_usd"),
+            "discount_cents": to_cents("discount_usd"),
+            "margin_cents": to_cents("estimated_margin_usd"),
+        }
+    )
+    for dim, source_id, key, own_id in (
+        (reps_dim, "rep_src_id", "rep_key", "rep_id"),
+        (accounts_dim, "account_src_id", "account_key", "account_id"),
+        (products_dim, "sku_src_id", "product_key", "sku_id"),
+        (suppliers_dim, "supplier_src_id", "supplier_key", "supplier_id"),
+    ):
+        if dim is not None:
+            sales = sales.join(dim.select(key, F.col(source_id).alias(own_id)), key, "left")
+    return sales
+
+
 def _stamp(loaded_at: Column | None) -> Column:
     return (F.current_timestamp() if loaded_at is None else loaded_at).alias("dwh_create_date")
 

@@ -1,54 +1,95 @@
 """Full reload of a table without a moment in which readers see it empty or half written.
 
-Every reload writes a new version folder under the table's root. A version counts once its
-``_SUCCESS`` marker exists, which the committer writes last; readers take the highest such version.
-Nothing is renamed, so this works on object stores as well.
+Every reload writes a version folder of its own under the table's root, numbered and with a random
+part, so that two writers never share one. When it is complete, a small pointer file naming it is
+written; readers take the version of the newest pointer. Nothing is renamed, so this works on object
+stores as well. Old versions stay until ``prune`` removes them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PREFIX = "version="
+_VERSION, _POINTER = "version=", "_current="
 
 
-def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if not name.startswith(_PREFIX):
-            continue
-        if committed_only and not fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            continue
-        found.append(int(name[len(_PREFIX):]))
-    return sorted(found)
+class _Folder:
+    """A folder on whatever file system Spark reaches it, by the session's Hadoop client."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._new = spark._jvm.org.apache.hadoop.fs.Path
+        self.root = root
+        self._fs = self._new(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self, prefix: str) -> list[str]:
+        folder = self._new(self.root)
+        if not self._fs.exists(folder):
+            return []
+        found = [status.getPath().getName() for status in self._fs.listStatus(folder)]
+        return sorted(name.removeprefix(prefix) for name in found if name.startswith(prefix))
+
+    def touch(self, name: str) -> None:
+        self._fs.create(self._new(f"{self.root}/{name}"), False).close()
+
+    def remove(self, name: str) -> None:
+        self._fs.delete(self._new(f"{self.root}/{name}"), True)
+
+
+def _next_number(folder: _Folder) -> int:
+    used = [int(name.split("-")[0]) for name in folder.names(_VERSION) + folder.names(_POINTER)]
+    return max(used, default=0) + 1
 
 
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as the next version of the table at ``root`` and return the version's path."""
-    used = _versions(df.sparkSession, root, committed_only=False)
-    path = f"{root}/{_PREFIX}{(used[-1] if used else 0) + 1:08d}"
+    """Write ``df`` as a new version of the table at ``root`` and return the version's path.
+
+    Of two reloads at a time, the one that ends last is current: pointers are numbered when written.
+    """
+    folder = _Folder(df.sparkSession, root)
+    version = f"{_next_number(folder):08d}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{_VERSION}{version}"
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    folder.touch(f"{_POINTER}{_next_number(folder):08d}-{version}")
     return path
 
 
+def _complete(folder: _Folder) -> list[str]:
+    """Complete versions, the current one last."""
+    pointers = folder.names(_POINTER)
+    return list(dict.fromkeys(name.split("-", 1)[1] for name in pointers))
+
+
 def current_path(spark: SparkSession, root: str) -> str:
-    """Path of the latest complete version."""
-    complete = _versions(spark, root, committed_only=True)
+    """Path of the current version."""
+    complete = _complete(_Folder(spark, root))
     if not complete:
         raise FileNotFoundError(f"no complete version of a table under {root}")
-    return f"{root}/{_PREFIX}{complete[-1]:08d}"
+    return f"{root}/{_VERSION}{complete[-1]}"
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(current_path(spark, root))
+
+
+def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all but the last ``keep`` complete versions; returns the names of those removed.
+
+    Versions without a pointer stay: a reload may be writing them. Readers of a removed version fail,
+    so ``keep`` has to cover the longest query.
+    """
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    folder = _Folder(spark, root)
+    old = _complete(folder)[:-keep]
+    for version in old:
+        for name in folder.names(_POINTER):
+            if name.split("-", 1)[1] == version:
+                folder.remove(f"{_POINTER}{name}")
+        folder.remove(f"{_VERSION}{version}")
+    return old

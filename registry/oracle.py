@@ -1085,8 +1085,11 @@ def report_sql() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
+    analyses = analysis_sql()
     return {
-        **analysis_sql(),
+        **analyses,
+        # The same analyses, read from the published fact.
+        **{f"gold_{key}": analyses[key] for key in ("monthly_trend", "customer_ltv", "channel_split")},
         **star_sql(),
         **cleansing_sql(),
         **quality_sql(),

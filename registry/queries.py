@@ -18,9 +18,11 @@ from caskline.operators.cleanse import CLEANERS, split_supplier_programs
 from caskline.operators.global_window import global_running_sum
 from caskline.plans import dashboard, experiments, loyalty, segmentation
 from caskline.plans.presentation import formats, present
+from caskline.plans.warehouse import publish_by_month
 from caskline.session import configure, ensure_checkpoint_dir, materialise
 from caskline.sources.ingest import ingest
 from caskline.sources.load import load_bronze, load_silver
+from caskline.sources.publish import read_published
 from caskline.sources.schemas import ENTITIES, LOADED_AT, SOURCE
 from registry import feeds, tables
 
@@ -192,6 +194,17 @@ def _load_audit(star: Star) -> DataFrame:
     )
 
 
+def _gold(build: Callable[[Star, DataFrame], DataFrame]) -> Query:
+    """Publish the sales fact by month in the shared folder, and run an analysis on what is there."""
+
+    def run(star: Star) -> DataFrame:
+        root = f"{ensure_checkpoint_dir(star.spark)}/gold-{uuid.uuid4().hex}/fact_sales"
+        publish_by_month(star.fact_sales(), root)
+        return build(star, read_published(star.spark, root))
+
+    return _on_star(run)
+
+
 def _running_revenue(star: Star) -> DataFrame:
     """Order lines folded to products, accumulated from the best-selling product down."""
     revenue = star.sales().groupBy("sku_id").agg(
@@ -323,6 +336,21 @@ def queries() -> dict[str, Query]:
             )
         ),
         "attainment_behind": _on_star(lambda s: s.fact_attainment().filter("status = 'Behind'")),
+        # Analyses of the published sales fact
+        "gold_monthly_trend": _gold(lambda s, fact: dashboard.monthly_trend(facts.sales_from_gold(fact))),
+        "gold_customer_ltv": _gold(
+            lambda s, fact: loyalty.customer_ltv(
+                facts.sales_from_gold(fact, s.reps(keyed=True), s.accounts(keyed=True)),
+                s.accounts(),
+                s.reps(),
+                tiers=LTV_TIERS,
+            )
+        ),
+        "gold_channel_split": _gold(
+            lambda s, fact: dashboard.channel_split(
+                facts.sales_from_gold(fact, s.reps(keyed=True), s.accounts(keyed=True)), s.accounts(), s.reps()
+            )
+        ),
         # Global window operator
         "global_running_sum": _on_star(_running_revenue),
         # Cleansing

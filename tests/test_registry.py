@@ -59,3 +59,24 @@ def test_lines_are_shuffled_by_order_once(spark):
         spark.conf.set(broadcast, before)
     # lines by order, orders by order, groups by account
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+@needs_tables
+def test_a_range_of_months_reads_only_its_folders(spark, tmp_path):
+    from caskline.operators.facts import sales_from_gold
+    from caskline.plans.dashboard import monthly_trend
+    from caskline.plans.warehouse import SALES_PARTITION, publish_by_month
+    from caskline.sources.publish import read_published
+    from registry.queries import Star
+
+    publish_by_month(Star(spark, SF_DIR).fact_sales(), str(tmp_path / "fact"))
+    fact = read_published(spark, str(tmp_path / "fact")).where(f"{SALES_PARTITION} between '1996-03' and '1996-04'")
+    plan = monthly_trend(sales_from_gold(fact))._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({SALES_PARTITION}" in plan and "rep_key" not in plan
+    assert {r.year_month for r in monthly_trend(sales_from_gold(fact)).collect()} == {"1996-03", "1996-04"}
+
+
+@needs_tables
+def test_orphans_of_both_kinds_are_found(spark):
+    found = {r.check_id for r in queries()["qc_orphans"](spark, SF_DIR).collect()}
+    assert found == {"5c", "5d"}

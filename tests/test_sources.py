@@ -4,7 +4,7 @@ import pytest
 
 from caskline.sources.ingest import CORRUPT, ingest
 from caskline.sources.load import load_all, load_bronze, load_silver
-from caskline.sources.publish import current_path, publish, read_published
+from caskline.sources.publish import current_path, prune, publish, read_published
 from caskline.sources.schemas import ENTITIES, LOADED_AT
 from caskline.plans.warehouse import build_gold, register_views
 
@@ -149,3 +149,22 @@ def test_files_to_star(spark, tmp_path):
     assert reps[0].years_tenure == 5
     attained = read_published(spark, f"{gold}/fact_attainment").collect()[0]
     assert (attained.bonus_missed_usd, attained.gap_to_goal, attained.status_sort_order) == (60, 2, 2)
+
+
+def test_versions_are_unique_and_old_ones_can_be_removed(spark, tmp_path):
+    root = str(tmp_path / "t")
+    paths = [publish(spark.range(n), root) for n in (1, 2, 3)]
+    assert len(set(paths)) == 3 and current_path(spark, root) == paths[-1]
+    # A committer that leaves no _SUCCESS marker changes nothing.
+    (tmp_path / "t" / paths[-1].rsplit("/", 1)[1] / "_SUCCESS").unlink()
+    assert read_published(spark, root).count() == 3
+    assert len(prune(spark, root, keep=1)) == 2 and prune(spark, root, keep=1) == []
+    assert read_published(spark, root).count() == 3
+    with pytest.raises(ValueError):
+        prune(spark, root, keep=0)
+
+
+def test_quoted_values_may_hold_the_delimiter(spark, tmp_path):
+    path = tmp_path / "reps.csv"
+    path.write_text('rep_id,rep_name,division,channel,hire_date,email\n1,"A, B",x,y,,z\n')
+    assert ingest(spark, str(path), ENTITIES["sales_reps"], quote='"').first().rep_name == "A, B"
