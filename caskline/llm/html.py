@@ -416,12 +416,15 @@ def extract_text(model: Field, source: str | None) -> str:
 
 
 def train_on(pages: DataFrame, html_col: str = "html", rows: int = TRAIN_PAGES) -> Field:
-    """Train on at most ``rows`` pages, those with the smallest hashes of their HTML.
+    """Train on at most ``rows`` different pages, those with the smallest hashes of their HTML.
 
+    The hashes are chosen first, so that no task sends pages to be thrown away; copies of a page are one.
     Without a page that marks its article the field is trained on layouts of a fixed sentence.
     """
-    key = F.xxhash64(html_col)
-    sample = pages.select(html_col, key.alias("_key")).where(F.col(html_col).isNotNull()).orderBy("_key", html_col).limit(rows).collect()
+    keyed = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(html_col).alias("_key"), F.col(html_col).alias("_html"))
+    keys = keyed.select("_key").distinct().orderBy("_key").limit(rows)
+    sample = keyed.join(F.broadcast(keys), "_key").groupBy("_key").agg(F.min("_html").alias(html_col)).collect()
+    sample.sort(key=lambda r: r["_key"])
     sequences = training_sequences([r[html_col] for r in sample])
     if not sequences:
         plain = "<article><h1>A heading</h1>" + "<p>One sentence of several plain words, and a second part.</p>" * 6 + "</article>"
