@@ -128,7 +128,7 @@ SQL: dict[str, str] = {
             SELECT page_id, url, fetched, 'h:' || host AS key, 1000 AS rank FROM l
             UNION ALL SELECT page_id, url, fetched, 'p:' || host || '/' || segment, 2000 FROM l
             UNION ALL SELECT page_id, url, fetched, 'd:' || array_to_string(labels[i:len(labels)], '.'), len(labels) - i + 1
-            FROM (SELECT *, unnest(range(1, greatest(len(labels), 2))) AS i FROM l)),
+            FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM l)),
         h AS (
             SELECT key, DATE '2019-06-01' + (('0x' || substr(md5(key), 1, 4))::BIGINT % 900)::INT AS first,
                    (1 + ('0x' || substr(md5(key), 5, 4))::BIGINT % 300)::INT AS gap1,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Kinds of list keys: a path's first segment on a host, a host, a domain with all its subdomains.
+#: Kinds of list keys: a path's first segment on a host, a host, a domain (or top level) with all below it.
 PREFIX, HOST, DOMAIN = "p:", "h:", "d:"
 
 
@@ -24,7 +24,7 @@ def url_keys(url: Column) -> Column:
     host, segment = url_host(url), url_segment(url)
     labels = F.split(host, r"\.")
     domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+        F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.struct(
             F.concat(F.lit(DOMAIN), F.array_join(F.slice(labels, i, F.size(labels)), ".")).alias("key"),
             (F.size(labels) - i + 1).alias("rank"),
