@@ -67,13 +67,15 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lambda a, i: F.struct(i.alias("at"), (a["n"] + F.least(F.lit(3), i - a["at"])).alias("n")),
         lambda a: a["n"],
     )
-    return words.withColumn("_s", sorted_windows).select(
+    # A filter on a result is not moved below a row number. Below this one it would sort the windows anew
+    # for each of them.
+    return words.withColumns({"_s": sorted_windows, "_guard": F.monotonically_increasing_id()}).select(
         "_row",
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        F.when(F.col("_guard") >= 0, F.coalesce(covered, F.lit(0))).cast("long").alias("n_repeat_words"),
         "_n_lines",
         "_stops",
         "_digits",
@@ -264,5 +266,5 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that ``quality_verdicts`` keeps, with their columns."""
     judged = _judged(docs, labels, id_col, text_col, how)
-    # A filter is not moved below a row number, where it would count the windows anew for each of them.
+    # As above: the counts are not worked out twice, for the filter and the result.
     return judged.withColumn("_pass", F.monotonically_increasing_id()).where("kept and _pass >= 0").select("_row.*")
