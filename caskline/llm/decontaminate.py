@@ -15,7 +15,7 @@ from caskline.llm.common import slices, staged, text_bytes, word_hashes
 HALF = 16
 #: Words of a benchmark passage at most, and passages that share a latent space (and a pass over the corpus).
 PASSAGE, BANK = 64, 256
-#: Words in more than these shares of all documents and of all passages (three at least) carry no weight.
+#: Words in more than these shares of all documents and of all different items (three at least) carry no weight.
 COMMON, COMMON_ITEMS = 0.2, 0.05
 #: Least cosine of a candidate; common subsequence that is a leak by itself; and one that is with the answer.
 COSINE, SURE, LIKELY = 0.4, 0.8, 0.6
@@ -153,13 +153,17 @@ def subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
-def _items(benchmark: DataFrame, answer_col: str | None) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(item, words, answer words) of all passages of all items; a benchmark is read whole."""
+def _items(benchmark: DataFrame, answer_col: str | None) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """(item, words, answer words) of all different passages of all items, and the words of all different
+    texts, which passages and repeated rows share; a benchmark is read whole."""
     columns = ["item_id", "text", *([answer_col] if answer_col else [])]
     rows = benchmark.select(*columns).where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).orderBy(*columns).collect()
-    out = []
+    out: dict[tuple, tuple[int, np.ndarray, np.ndarray]] = {}
+    texts: dict[bytes, np.ndarray] = {}
     for r in rows:
         words, _ = _words(pa.array([r["text"]], pa.string()))
+        if len(words):
+            texts[words.tobytes()] = np.unique(words)
         if answer_col and r[answer_col]:
             answer, _ = _words(pa.array([r[answer_col]], pa.string()))
         else:
@@ -167,8 +171,8 @@ def _items(benchmark: DataFrame, answer_col: str | None) -> list[tuple[int, np.n
         parts = max(1, -(-len(words) // PASSAGE))
         for part in np.array_split(words, parts):
             if len(part):
-                out.append((r["item_id"], part, answer))
-    return out
+                out[r["item_id"], part.tobytes(), answer.tobytes()] = (r["item_id"], part, answer)
+    return list(out.values()), list(texts.values())
 
 
 def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], latent: np.ndarray, cosine: float) -> DataFrame:
@@ -266,7 +270,8 @@ def benchmark_leaks(
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered. Benchmark passages
     (items, long ones cut) are TF-IDF rows over the benchmark's words; document frequencies come from all
-    documents; words in over a fifth of them and in many passages carry no weight. A randomised SVD gives the latent space
+    documents; words in over a fifth of them and in many different items carry no weight, but all words
+    of a passage that would lose most of its own keep theirs. A randomised SVD gives the latent space
     of up to ``bank`` passages; its rank is theirs, so folding in keeps cosines with them. Every window of
     32 words of every text is folded in. Candidates of a cosine of ``cosine`` or more are checked on their
     words that carry weight: a common subsequence with 80% of the passage's, or with 60% and the answer
@@ -278,13 +283,17 @@ def benchmark_leaks(
     a null id are one document. Empty tables give an empty result.
     """
     spark = docs.sparkSession
-    raw = _items(benchmark, answer_col)
+    raw, texts = _items(benchmark, answer_col)
     vocabulary = Vocabulary(np.concatenate([w for _, w, _ in raw] + [a for _, _, a in raw]) if raw else np.empty(0, np.uint64))
     counts, n = document_frequencies(docs, vocabulary, text_col)
     weight = np.log((n + 1) / (counts + 1)) + 1
     # A passage given away by very many documents is no common wording: that stands in many items too.
-    within = np.bincount(np.concatenate([np.unique(vocabulary.numbers(w)) for _, w, _ in raw] or [np.empty(0, int)]), minlength=len(vocabulary))
-    weight[(counts > COMMON * n) & (within >= max(3, COMMON_ITEMS * len(raw)))] = 0
+    within = np.bincount(np.concatenate([vocabulary.numbers(w) for w in texts] or [np.empty(0, int)]), minlength=len(vocabulary))
+    common = (counts > COMMON * n) & (within >= max(3, COMMON_ITEMS * len(texts)))
+    # A passage that items share is in many items and may be given away by many documents: its words stay.
+    kept = [own for own in (vocabulary.numbers(w) for _, w, _ in raw) if 2 * common[own].sum() > len(own)]
+    common[np.concatenate(kept or [np.empty(0, int)])] = False
+    weight[common] = 0
     items = []
     for item, words, answer in raw:
         own, last = vocabulary.numbers(words), vocabulary.numbers(answer)

@@ -90,3 +90,17 @@ def test_a_passage_in_a_third_of_all_documents_is_found(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = benchmark(spark, [(k, t, 1, "") for k, t in enumerate(items)])
     assert {(r.doc_id, r.item_id) for r in d.benchmark_leaks(docs, bench).collect()} == {(k, 3) for k in range(0, 120, 3)}
+
+
+def test_repeated_and_shared_passages_keep_their_weight(spark):
+    items = [words(30, 170 + k, "abcdefghijklmnop") for k in range(12)]
+    rows = [(k, " ".join([words(40, 900 + k), *([items[3]] if k % 3 == 0 else [])])) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = set(range(0, 120, 3))
+    plain = [(k, t, 1, "") for k, t in enumerate(items)]
+    repeated = d.benchmark_leaks(docs, benchmark(spark, plain + [(3, items[3], 1, "")] * 2)).collect()
+    assert {(r.doc_id, r.item_id) for r in repeated} == {(k, 3) for k in expected}
+    # Three questions on one passage.
+    asked = [(20 + k, f"{items[3]} q{k} r{k}", 1, "") for k in range(3)]
+    shared = d.benchmark_leaks(docs, benchmark(spark, [x for x in plain if x[0] != 3] + asked)).collect()
+    assert {(r.doc_id, r.item_id) for r in shared} == {(k, 20 + j) for k in expected for j in range(3)}
