@@ -19,6 +19,8 @@ PASSAGE, BANK = 64, 256
 COMMON, COMMON_ITEMS = 0.2, 0.05
 #: Least cosine of a candidate; common subsequence that is a leak by itself; and one that is with the answer.
 COSINE, SURE, LIKELY = 0.4, 0.8, 0.6
+#: Passages of up to so many words are leaks where all their words stand in a row, and not otherwise.
+FEW = 8
 _PIECE = 2 << 20
 
 _CODE = np.arange(256)
@@ -132,11 +134,36 @@ def randomised_svd(spark, passages: Sequence[np.ndarray], width: int, rank: int,
 
 @dataclass
 class Item:
-    """A benchmark passage: item id, numbers of its words that carry weight, and of its answer's words."""
+    """A benchmark passage: item id, numbers of its words and of its answer's, and the place of its rarest word."""
 
     item: int
     words: np.ndarray
     answer: np.ndarray
+    rarest: int
+
+
+def _in_a_row(number: np.ndarray, first: np.ndarray, items: Sequence[Item]) -> Iterator[tuple[int, int, int]]:
+    """(item's place, row, first word) wherever all words of an item stand in a row in one text.
+
+    Only places of an item's rarest word are looked at.
+    """
+    wanted = np.array([item.words[item.rarest] for item in items])
+    at = np.flatnonzero(np.isin(number, wanted))
+    at = at[np.argsort(number[at], kind="stable")]
+    lows, highs = (np.searchsorted(number[at], wanted, side=side) for side in ("left", "right"))
+    for k in np.flatnonzero(highs > lows).tolist():
+        own = items[k].words
+        begin = at[lows[k] : highs[k]] - items[k].rarest
+        row = np.searchsorted(first, begin + items[k].rarest, side="right") - 1
+        inside = (begin >= first[row]) & (begin + len(own) <= first[row + 1])
+        begin, row = begin[inside], row[inside]
+        for j, word in enumerate(own.tolist()):
+            if not len(begin):
+                break
+            same = number[begin + j] == word
+            begin, row = begin[same], row[same]
+        for r, b in zip(row.tolist(), begin.tolist(), strict=True):
+            yield k, r, b
 
 
 def subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -176,9 +203,11 @@ def _items(benchmark: DataFrame, answer_col: str | None) -> tuple[list[tuple[int
 
 
 def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], latent: np.ndarray, cosine: float) -> DataFrame:
-    """Windows of all texts whose fold-in is near an item's, with the checks of their words."""
-    queries = np.zeros((len(items), latent.shape[0]))
-    for k, item in enumerate(items):
+    """Windows of all texts whose fold-in is near an item's, with the checks of all their words, and the
+    items that stand there word by word."""
+    near_items = [item for item in items if len(item.words) > FEW]
+    queries = np.zeros((len(near_items), latent.shape[0]))
+    for k, item in enumerate(near_items):
         np.add.at(queries[k], item.words, weight[item.words])
     folded = queries @ latent
     folded /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
@@ -188,59 +217,75 @@ def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary,
     heavy = weight > 0
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def candidates(number: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(item's place, row, first word, cosine) of windows near an item."""
+        at = np.flatnonzero(number >= 0)
+        at = at[heavy[number[at]]]
+        if not len(at) or not near_items:
+            return
+        number = number[at]
+        row = np.searchsorted(first, at, side="right") - 1
+        # Halves are numbered through the batch with a gap after each text.
+        halves = -(-np.diff(first) // HALF) + 1
+        begins = np.cumsum(halves) - halves
+        half = begins[row] + (at - first[row]) // HALF
+        new = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
+        ids = half[new]
+        score = np.empty((len(new), len(near_items)), np.float32)
+        step = max(1, (4 << 20) // len(near_items))
+        ends = np.append(new[1:], len(at))
+        k = 0
+        while k < len(new):
+            stop = max(k + 1, int(np.searchsorted(ends, new[k] + step, side="right")))
+            score[k:stop] = np.add.reduceat(per_word[number[new[k] : ends[stop - 1]]], new[k:stop] - new[k], axis=0)
+            k = stop
+        norm = np.add.reduceat(square[number], new)
+        # A window is a half and the next, if that has weight too.
+        joined = np.flatnonzero(ids[1:] == ids[:-1] + 1)
+        total, power = score.copy(), norm.copy()
+        total[joined] += score[joined + 1]
+        power[joined] += norm[joined + 1]
+        # A half at a text's start or after an empty one is a window with what stands before it.
+        near = total / np.sqrt(power)[:, None].astype(np.float32)
+        window, item = np.nonzero(near >= cosine)
+        rows = row[new[window]]
+        places = first[rows] + (ids[window] - begins[rows]) * HALF
+        yield from zip(item.tolist(), rows.tolist(), places.tolist(), near[window, item].tolist(), strict=True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, _PIECE):
             words, first = _words(batch.column(text_col))
             number = vocabulary.numbers(words)
-            at = np.flatnonzero(number >= 0)
-            at = at[heavy[number[at]]]
-            if not len(at):
-                continue
-            number = number[at]
-            row = np.searchsorted(first, at, side="right") - 1
-            # Halves are numbered through the batch with a gap after each text.
-            halves = -(-np.diff(first) // HALF) + 1
-            begins = np.cumsum(halves) - halves
-            half = begins[row] + (at - first[row]) // HALF
-            new = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
-            ids = half[new]
-            score = np.empty((len(new), len(items)), np.float32)
-            step = max(1, (4 << 20) // max(1, len(items)))
-            ends = np.append(new[1:], len(at))
-            k = 0
-            while k < len(new):
-                stop = max(k + 1, int(np.searchsorted(ends, new[k] + step, side="right")))
-                score[k:stop] = np.add.reduceat(per_word[number[new[k] : ends[stop - 1]]], new[k:stop] - new[k], axis=0)
-                k = stop
-            norm = np.add.reduceat(square[number], new)
-            # A window is a half and the next, if that has weight too.
-            joined = np.flatnonzero(ids[1:] == ids[:-1] + 1)
-            total, power = score.copy(), norm.copy()
-            total[joined] += score[joined + 1]
-            power[joined] += norm[joined + 1]
-            # A half at a text's start or after an empty one is a window with what stands before it.
-            near = total / np.sqrt(power)[:, None].astype(np.float32)
-            window, item = np.nonzero(near >= cosine)
-            if not len(window):
-                continue
+
+            def around(own: Item, r: int, begin: int, size: int) -> np.ndarray:
+                slack = 2 * len(own.words)
+                here = number[max(int(first[r]), begin - slack) : min(int(first[r + 1]), begin + size + slack)]
+                return here[here >= 0]
+
+            def answered(own: Item, here: np.ndarray) -> bool:
+                return not len(own.answer) or subsequence(own.answer, here) == len(own.answer)
+
             found: dict[tuple[int, int], tuple] = {}
-            for w, i, c in zip(window.tolist(), item.tolist(), near[window, item].tolist(), strict=True):
-                own = items[i]
-                r = int(row[new[w]])
-                begin = int(first[r]) + int(ids[w] - begins[r]) * HALF
-                lo = np.searchsorted(at, max(int(first[r]), begin - len(own.words) * 2))
-                hi = np.searchsorted(at, min(int(first[r + 1]), begin + 2 * HALF + len(own.words) * 2))
-                here = number[lo:hi]
+            for i, r, begin, c in candidates(number, first):
+                own = near_items[i]
+                here = around(own, r, begin, 2 * HALF)
+                if len(here) < LIKELY * len(own.words):
+                    continue
                 share = subsequence(own.words, here) / len(own.words)
                 if share < LIKELY:
                     continue
-                answered = not len(own.answer) or subsequence(own.answer, here) == len(own.answer)
-                if share < SURE and not answered:
+                known = answered(own, here)
+                if share < SURE and not known:
                     continue
                 key = (r, own.item)
-                best = (share, c, bool(answered))
+                best = (share, c, known)
                 if key not in found or best > found[key]:
                     found[key] = best
+            for i, r, begin in _in_a_row(number, first, items):
+                own = items[i]
+                key = (r, own.item)
+                if key not in found or found[key][0] < 1:
+                    found[key] = (1.0, 1.0, answered(own, around(own, r, begin, len(own.words))))
             if found:
                 rows = sorted(found)
                 yield pa.RecordBatch.from_arrays(
@@ -273,13 +318,15 @@ def benchmark_leaks(
     documents; words in over a fifth of them and in many different items carry no weight, but all words
     of a passage that would lose most of its own keep theirs. A randomised SVD gives the latent space
     of up to ``bank`` passages; its rank is theirs, so folding in keeps cosines with them. Every window of
-    32 words of every text is folded in. Candidates of a cosine of ``cosine`` or more are checked on their
-    words that carry weight: a common subsequence with 80% of the passage's, or with 60% and the answer
-    (``answer_col``, else the item's last words) in the same order, is a leak. Larger benchmarks take a
+    32 words of every text is folded in. Candidates of a cosine of ``cosine`` or more are checked on all
+    words of the passage, also those without weight: a common subsequence with 80% of them, or with 60%
+    and the answer (``answer_col``, else the item's last words) in the same order, is a leak. A passage
+    whose words all stand in a row is one at any cosine (given as 1 if no window holds so much of it);
+    for passages of up to 8 words nothing else is, as a few of their words in order prove nothing. Larger benchmarks take a
     pass over the documents for each bank; what tasks get is bounded by it.
 
     Returns id, item_id, cosine, lcs, answered, one row a pair. Null and empty texts and items match
-    nothing, nor do items of which no word carries weight. Repeated rows give one pair. Documents with
+    nothing, nor do items without a word. Repeated rows give one pair. Documents with
     a null id are one document. Empty tables give an empty result.
     """
     spark = docs.sparkSession
@@ -297,18 +344,16 @@ def benchmark_leaks(
     items = []
     for item, words, answer in raw:
         own, last = vocabulary.numbers(words), vocabulary.numbers(answer)
-        own, last = own[weight[own] > 0], last[weight[last] > 0]
-        if len(own):
-            items.append(Item(item, own, last))
+        items.append(Item(item, own, last, int(np.argmin(counts[own]))))
     kind = docs.schema[id_col].dataType.simpleString()
     out = spark.createDataFrame([], f"{id_col} {kind}, item_id long, cosine double, lcs double, answered boolean")
     for k in range(0, len(items), bank):
         part = items[k : k + bank]
         rows = []
-        for item in part:
+        for item in (x for x in part if len(x.words) > FEW):
             column, times = np.unique(item.words, return_counts=True)
             rows.append({"column": column, "weight": times * weight[column]})
-        latent = randomised_svd(spark, rows, len(vocabulary), len(part))
+        latent = randomised_svd(spark, rows, len(vocabulary), len(rows))
         out = out.unionByName(_search(docs, id_col, text_col, vocabulary, weight, part, latent, cosine))
     best = F.max(F.struct("lcs", "cosine", "answered")).alias("b")
     return out.groupBy(id_col, "item_id").agg(best).select(id_col, "item_id", "b.cosine", "b.lcs", "b.answered")

@@ -104,3 +104,19 @@ def test_repeated_and_shared_passages_keep_their_weight(spark):
     asked = [(20 + k, f"{items[3]} q{k} r{k}", 1, "") for k in range(3)]
     shared = d.benchmark_leaks(docs, benchmark(spark, [x for x in plain if x[0] != 3] + asked)).collect()
     assert {(r.doc_id, r.item_id) for r in shared} == {(k, 20 + j) for k in expected for j in range(3)}
+
+
+def test_items_of_few_or_common_words(spark):
+    fill = lambda k: words(30, 1300 + k, "abcdefghijklmnop")
+    common = "what is the name of the first man who was in it"
+    items = ["What is the capital of France", "What is the speed of light", "of the man who was", common, *(words(30, 1200 + k, "abcdefghijklmnop") for k in range(8))]
+    spread_out = " ".join(f"{w} {x} {y}" for w, x, y in zip("the of is was who it in man".split(), *(words(8, 1400 + k).split() for k in (1, 2)), strict=True))
+    docs = [(k, f"{fill(k)} {spread_out} {fill(50 + k)}") for k in range(40)]
+    docs += [(100, f"{fill(100)} the capital city lies in northern France {fill(101)}"), (101, f"light has a speed {fill(102)}")]
+    docs += [(200 + k, f"{fill(200 + k)} {x}, {fill(300 + k)}") for k, x in enumerate(items)]
+    # Five words in the midst of words of another item.
+    rare = items[4].split()
+    docs += [(300, " ".join(rare[:15] + "zq zr zs zt zu".split() + rare[15:]))]
+    bench = [(k, x, 1, "") for k, x in enumerate([*items, "zq zr zs zt zu"])]
+    got = d.benchmark_leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark(spark, bench)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(200 + k, k) for k in range(len(items))} | {(300, 4), (300, len(items))}
