@@ -25,6 +25,8 @@ _BLOCK = frozenset(
     "search section select summary table tbody td tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Opening tags that a head may hold (beside those _TOKEN takes whole); any other one ends it, as text does.
+_IN_HEAD = frozenset("html head title meta link base basefont bgsound script style noscript template".split())
 #: An opening tag here ends an open element of the second kind, looked for up to one of the third.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -81,7 +83,8 @@ def leaf_blocks(source: str | None) -> list[Block]:
     """Cut a page into leaf blocks in page order: runs of text between block-level tags.
 
     Character references are decoded, white space (line breaks and <br> too) becomes one blank, blocks
-    without text are left out. Missing end tags are implied, stray ones ignored, comments and the
+    without text are left out. A head ends at its end tag, at the first tag it may not hold or at text.
+    Missing end tags are implied, stray ones ignored, comments and the
     content of scripts, styles, templates and the like are no text. A page cut off in a tag keeps what
     comes before it. Null: no blocks.
     """
@@ -101,7 +104,9 @@ def leaf_blocks(source: str | None) -> list[Block]:
         linked = 0
 
     def say(text: str) -> None:
-        nonlocal linked
+        nonlocal linked, in_head
+        if in_head and text.strip():
+            in_head = False
         if text and not in_head:
             text = entities.unescape(text) if "&" in text else text
             held.append(text)
@@ -133,6 +138,8 @@ def leaf_blocks(source: str | None) -> list[Block]:
                         del stack[k:]
                         break
             continue
+        if tag not in _IN_HEAD:
+            in_head = False
         if tag == "a":
             in_link = True
         elif tag == "br":
@@ -144,8 +151,6 @@ def leaf_blocks(source: str | None) -> list[Block]:
         elif tag in _BLOCK:
             flush()
             in_link = False
-            if tag == "body":
-                in_head = False
             if tag in _ENDS:
                 ends, upto = _ENDS[tag]
                 for k in range(len(stack) - 1, -1, -1):

@@ -88,3 +88,11 @@ def test_awkward_pages(spark, model):
     assert len(got) == 10 and {r.page_id for r in got if r.text == ""} >= {1, 2}
     assert max(r.n_chars for r in got) > 300_000
     assert html.extract_articles(pages.limit(0)).count() == 0
+
+
+def test_a_head_without_its_end_tag():
+    head = "<html><head><meta charset=utf-8><link rel=x>\n<title>t</title><script>s</script>"
+    for body in ("<p>Article</p>", "<article><p>Article", "<h1>Article</h1>", "Article", "<span>Article</span>", "<body>Article", "</head>Article"):
+        assert texts(head + body) == ["Article"]
+    assert texts("<p>a</p><head><p>b") == ["a", "b"]
+    assert texts(head) == []
