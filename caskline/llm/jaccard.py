@@ -265,7 +265,11 @@ def near_duplicates(
     )
     buckets = staged(chosen_paths(sets.select("rep", "mins"), runs, small), "jaccard-buckets")
     homes = buckets.groupBy("rep").agg(F.collect_list(F.struct("bucket", "size")).alias("homes"))
-    texts = rows.select(F.col("_name").alias("rep"), "_t").join(homes, "rep")
+    texts = rows.select(F.col("_name").alias("rep"), "_t")
+    if not sketched.where("n > 0").groupBy("_name").agg(F.count("*").alias("times")).where("times > 1").isEmpty():
+        # Rows that repeat id and text: each task folds its own before any text is sent.
+        texts = texts.groupBy("rep").agg(F.first("_t").alias("_t"))
+    texts = texts.join(homes, "rep")
     tiles = F.ceil(F.col("home.size") / tile).cast("int")
     side = F.pmod(F.xxhash64("rep"), F.when(tiles > 1, tiles).otherwise(1)).cast("int")
     placed = (
@@ -304,8 +308,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row of each class of ``near_duplicates`` stays: the one of the smallest id."""
     found = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **how).select("row_key", "class_key"), "jaccard-classes")
     key = "_jaccard_row_key"
-    stay = found.where("row_key = class_key").groupBy("row_key").agg(F.count("*").alias("times"))
-    kept = docs.withColumn(key, row_key(id_col, text_col)).join(stay.select(F.col("row_key").alias(key)), key, "left_semi")
-    if not stay.where("times > 1").isEmpty():  # rows that repeat id and text
-        kept = kept.dropDuplicates([key])
+    stay = found.where("row_key = class_key").select(F.col("row_key").alias(key)).distinct()
+    named = docs.withColumn(key, row_key(id_col, text_col))
+    if not found.groupBy("row_key").agg(F.count("*").alias("times")).where("times > 1").isEmpty():
+        named = named.dropDuplicates([key])  # rows that repeat id and text, folded before the join sends them
+    kept = named.join(stay, key, "left_semi")
     return kept.drop(key)

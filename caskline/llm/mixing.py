@@ -14,6 +14,8 @@ from caskline.llm.common import WORD, staged
 #: Rows of a flight block. A block leaves at most two rows undecided, so each level keeps 1/256 or less.
 BLOCK_ROWS = 512
 _SPAN = 1 << 53
+#: Rows of one id, source and size that one task numbers.
+_CHUNK = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -100,6 +102,20 @@ def _decide(last: bool):
     return run
 
 
+def _numbered(base: DataFrame) -> DataFrame:
+    """Rows (_id, _source, _size) with a number ``_copy`` from 0 among those alike in all three.
+
+    Rows that are alike are interchangeable, so they are counted and written out again in chunks.
+    """
+    alike = ["_id", "_source", "_size"]
+    counted = base.groupBy(*alike).agg(F.count("*").alias("_n"))
+    if counted.where("_n > 1").isEmpty():
+        return base.withColumn("_copy", F.lit(0).cast("long"))
+    chunks = counted.select(*alike, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {_CHUNK}"))).alias("_c"))
+    last = F.least(F.col("_n"), (F.col("_c") + 1) * _CHUNK) - 1
+    return chunks.repartition(*alike, "_c").select(*alike, F.explode(F.sequence(F.col("_c") * _CHUNK, last)).alias("_copy"))
+
+
 def balanced_mix(
     docs: DataFrame,
     weights: Sequence[float] = (1.0, 2.0, 3.0),
@@ -120,7 +136,7 @@ def balanced_mix(
     miss its target by less than its longest document.
 
     Returns id, size, source_size, target, taken, copies. Null or empty text: size 0, taken 0. A null
-    source is a source. Repeated rows are drawn one by one. An empty table gives an empty result.
+    source is a source. Repeated rows are drawn one by one, and dealt over the blocks as others are. An empty table gives an empty result.
     The draw depends on ids and sizes alone, so reruns agree. Sources are the mix's configuration:
     one number for each goes through the driver.
     """
@@ -151,12 +167,12 @@ def balanced_mix(
         plan = F.broadcast(plan)
     rate = F.when(F.col("_words") > 0, F.col("_target") / F.col("_words")).otherwise(0.0)
     units = (
-        base.join(plan, F.col("_source").eqNullSafe(F.col("_name")))
+        _numbered(base).join(plan, F.col("_source").eqNullSafe(F.col("_name")))
         .withColumn("_rate", rate)
         .withColumn("_whole", F.floor("_rate").cast("long"))
         .withColumn("_chance", F.when(F.col("_size") > 0, F.col("_rate") - F.col("_whole")).otherwise(0.0))
-        .withColumn("_order", F.xxhash64("_id", "_size"))
-        .withColumn("_block", F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_blocks")))
+        .withColumn("_order", F.xxhash64("_id", "_size", "_copy"))
+        .withColumn("_block", F.pmod(F.xxhash64("_id", "_size", "_copy", F.lit(1)), F.col("_blocks")))
         .withColumn("_row", F.col("_id"))
         .select("_k", "_block", "_order", "_row", "_size", "_words", "_target", "_whole", "_chance")
     )

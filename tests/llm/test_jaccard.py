@@ -89,3 +89,25 @@ def test_awkward(spark):
     left = j.keep_one_of_each(awkward(spark))
     assert left.columns == awkward(spark).columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "2", "3", "4", "5", "None", "None", "7", "8", "10"])
+
+
+def test_rows_that_repeat_id_and_text_are_compared_once(spark, monkeypatch):
+    compare = j._compare
+
+    def strict(similarity, k):
+        inner = compare(similarity, k)
+
+        def run(key, group):
+            assert not group["rep"].duplicated().any()
+            return inner(key, group)
+
+        return run
+
+    monkeypatch.setattr(j, "_compare", strict)
+    base = words(60, 1).split()
+    rows = [(1, " ".join(base))] * 60 + [(2, " ".join([*base[:-1], "end"]))] + [(None, words(50, 2))] * 20 + [(k, words(40, k)) for k in range(10, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = j.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r.copies_id, r.n_copies, r.n_links, r.class_id) for r in got if r.doc_id in (1, 2)} == {(1, 60, 1, 1), (2, 1, 1, 1)}
+    assert sorted(str(r.doc_id) for r in j.keep_one_of_each(docs).collect()) == sorted(["1", "None", *map(str, range(10, 30))])

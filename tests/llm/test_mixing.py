@@ -1,6 +1,7 @@
 import pytest
 from llm_cases import awkward, nothing
 
+from caskline.llm import mixing
 from caskline.llm.mixing import balanced_mix, targets
 
 
@@ -39,3 +40,29 @@ def test_awkward_rows_and_empty_table(spark):
     total = sum(r.size for r in rows)
     assert sum({r.source_size: r.target for r in rows}.values()) == pytest.approx(total)
     assert balanced_mix(nothing(spark)).count() == 0
+
+
+def test_rows_of_one_id_are_dealt_over_the_blocks(spark, monkeypatch):
+    decide, chunk = mixing._decide, 64
+
+    def strict(last):
+        inner = decide(last)
+
+        def run(group):
+            assert len(group) <= 3 * 64
+            return inner(group)
+
+        return run
+
+    monkeypatch.setattr(mixing, "_decide", strict)
+    monkeypatch.setattr(mixing, "_CHUNK", chunk, raising=False)
+    docs = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end as doc_id",
+        "repeat('w ', cast(case when id % 3 = 1 then 5 else 1 + id % 50 end as int)) as text",
+        "'s' as source",
+    )
+    rows = balanced_mix(docs, share=0.5, block_rows=64).collect()
+    assert len(rows) == 3000 and sum(r.doc_id is None for r in rows) == 1000 and sum(r.doc_id == 7 for r in rows) == 1000
+    assert abs(sum(r.taken for r in rows) - rows[0].target) <= 50
+    again = balanced_mix(docs.repartition(3), share=0.5, block_rows=64).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
