@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from caskline.llm.common import slices
 
-#: Pages the field is trained on (those with the smallest hashes), each in its own and in other layouts.
+#: Pages the field is trained on (of those that mark their article, the smallest hashes), each in its own and in other layouts.
 TRAIN_PAGES, LAYOUTS = 200, 4
 #: Blocks of a training sequence, and HTML bytes handled at a time inside a task.
 TRAIN_BLOCKS, PIECE = 120, 2 << 20
@@ -421,12 +421,13 @@ def extract_text(model: Field, source: str | None) -> str:
 
 
 def train_on(pages: DataFrame, html_col: str = "html", rows: int = TRAIN_PAGES) -> Field:
-    """Train on at most ``rows`` different pages, those with the smallest hashes of their HTML.
+    """Train on at most ``rows`` different pages: of those with an <article> or <main> tag, the ones with
+    the smallest hashes of their HTML.
 
     The hashes are chosen first, so that no task sends pages to be thrown away; copies of a page are one.
     Without a page that marks its article the field is trained on layouts of a fixed sentence.
     """
-    keyed = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(html_col).alias("_key"), F.col(html_col).alias("_html"))
+    keyed = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s/>]")).select(F.xxhash64(html_col).alias("_key"), F.col(html_col).alias("_html"))
     keys = keyed.select("_key").distinct().orderBy("_key").limit(rows)
     sample = keyed.join(F.broadcast(keys), "_key").groupBy("_key").agg(F.min("_html").alias(html_col)).collect()
     sample.sort(key=lambda r: r["_key"])

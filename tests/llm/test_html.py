@@ -96,3 +96,13 @@ def test_a_head_without_its_end_tag():
         assert texts(head + body) == ["Article"]
     assert texts("<p>a</p><head><p>b") == ["a", "b"]
     assert texts(head) == []
+
+
+def test_training_pages_are_those_that_mark_their_article(spark, monkeypatch):
+    rows = [(f"<p>{words(20, k)}</p>",) for k in range(300)] + [(f"<{t}><p>{words(20, 400 + k)}</p></{t.split()[0]}>",) for k, t in enumerate(["article", "MAIN", 'Article class="x"'] * 2)]
+    rows += [(f"<mainly>{k}</mainly>",) for k in range(3)] + [(None,)]
+    seen = []
+    train = html.training_sequences
+    monkeypatch.setattr(html, "training_sequences", lambda pages: seen.append(sorted(pages)) or train(pages))
+    html.train_on(spark.createDataFrame(rows, "html string").repartition(3), rows=5)
+    assert len(seen) == 1 and len(seen[0]) == 5 and all("article" in x.lower() or "main>" in x.lower() for x in seen[0])
