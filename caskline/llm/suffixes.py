@@ -128,7 +128,7 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Suffix array of small non-negative integers by induced sorting.
 
     Suffixes are classified, the leftmost S-type substrings sorted by induction and named, the string of
-    names sorted recursively, and all suffixes induced from it. With ``depth``, suffixes that agree in so
+    names sorted by prefix doubling (``_rank``; the dealt method recurses here), and all suffixes induced from it. With ``depth``, suffixes that agree in so
     many characters may stand in any order.
     """
     n = len(text)
