@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from caskline.llm.bpe import load_ranks, round_trip
 from caskline.llm.common import table
 from caskline.llm.decontaminate import benchmark_leaks
 from caskline.llm.html import extract_articles
@@ -89,6 +90,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key", "class_key")
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_extract": op2_extract,
@@ -100,7 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
     "op10_near_duplicates": op10_near_duplicates,
+    "op13_bpe": op13_bpe,
 }
+
 #: Base32 of a SHA-1 in groups of 20 bits: five hexadecimal digits are four letters.
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
