@@ -15,6 +15,7 @@ from caskline.llm.language import language_predictions
 from caskline.llm.licenses import scan_licenses
 from caskline.llm.mixing import balanced_mix
 from caskline.llm.quality import quality_verdicts
+from caskline.llm.search import build_index, search
 from caskline.llm.suffixes import remove_repeats
 from caskline.llm.urls import filter_as_of, url_keys
 from caskline.llm.warc import archive_pages
@@ -90,6 +91,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key", "class_key")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_licenses": op9_licenses,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_search": op11_search,
     "op13_bpe": op13_bpe,
 }
 
@@ -156,4 +162,32 @@ SQL: dict[str, str] = {
         SELECT c.page_id, c.url, c.fetched, a.verdict, a.key AS matched_key, a.valid_from AS listed_on,
                coalesce(a.verdict, 'allow') <> 'block' AS kept
         FROM c LEFT JOIN a ON c.page_id = a.page_id AND a.n = 1""",
+    "op11_search": """
+        WITH d AS (
+            SELECT doc_id, term, count(*) AS tf FROM (
+                SELECT doc_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+                FROM documents)
+            GROUP BY doc_id, term),
+        q AS (
+            SELECT item_id, term, count(*) AS often FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+                FROM benchmark)
+            GROUP BY item_id, term),
+        n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM d GROUP BY doc_id),
+        s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+        m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM n, s),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM d, s GROUP BY term, docs),
+        r AS (
+            SELECT item_id, doc_id, sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM q JOIN d USING (term) JOIN w USING (term) JOIN m USING (doc_id)
+            GROUP BY item_id, doc_id)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM r WHERE score > 0)
+        WHERE rank <= 20""",
 }
