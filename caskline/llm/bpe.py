@@ -97,8 +97,8 @@ class Transducer:
             if len(token) > 1:
                 (left, right), _ = merged(token, self.ranks, 2)
                 rank = self.ranks[token]
-                first = [(x, min(end, rank)) for x, end in self._spines(left)[0]]
-                last = [(x, min(end, rank)) for x, end in self._spines(right)[1]]
+                first = [*self._spines(left)[0][:-1], (left, rank)]
+                last = [*self._spines(right)[1][:-1], (right, rank)]
             got = self.spines[token] = ([*first, (token, _NEVER)], [*last, (token, _NEVER)])
         return got
 
@@ -106,8 +106,8 @@ class Transducer:
         """A number for what may follow a token: tokens whose ends meet the same merges share it."""
         number = self.before_of.get(token)
         if number is None:
-            ends = [(x, until) for x, until in self._spines(token)[1] if x in self.longer]
-            key = tuple((x, n) for x, until in ends if (n := bisect_left(self.longer[x], until)))
+            ends = [(x, until) for x, until in self._spines(token)[1] if x in self.longer and self.longer[x][0] < until]
+            key = tuple((x, bisect_left(self.longer[x], until)) for x, until in ends)
             number = self.befores.setdefault(key, len(self.ends_of))
             if number == len(self.ends_of):
                 self.ends_of.append(ends)
@@ -118,15 +118,18 @@ class Transducer:
         """Whether no merge crosses from the token before to this one while both are made."""
         got = self.allowed.get((before, token))
         if got is None:
-            rank = self.ranks.get
-            got = self.allowed[before, token] = not any(
+            got = self.allowed[before, token] = not self._crossed(before, token)
+        return got
+
+    def _crossed(self, before: int, token: bytes) -> bool:
+        rank = self.ranks.get
+        for x, until in self.ends_of[before]:
+            for y, till in self._spines(token)[0]:
                 # Of equal merges the leftmost comes first: that inside the left token, then this one, then
                 # that inside the right token.
-                (r := rank(x + y, _NEVER)) < until and r <= till and r < _NEVER
-                for x, until in self.ends_of[before]
-                for y, till in self._spines(token)[0]
-            )
-        return got
+                if (r := rank(x + y)) is not None and r < until and r <= till:
+                    return True
+        return False
 
     def _state(self, branches: tuple[tuple[bytes, int, tuple[int, ...]], ...]) -> int:
         number = self.numbers.setdefault(branches, len(self.states))
@@ -150,13 +153,14 @@ class Transducer:
         if opened is None:
             raise ValueError("a byte without a token")
         kept.append(opened)
-        written = opened[2]
-        for _, _, ids in kept:
-            while written != ids[: len(written)]:
-                written = written[:-1]
-        cut = len(written)
-        target = self._state(tuple((read, before, ids[cut:]) for read, before, ids in kept))
-        arc = self.arcs[state << 8 | byte] = target, written
+        written = kept[0][2]
+        if written:
+            for _, _, ids in kept:
+                while written != ids[: len(written)]:
+                    written = written[:-1]
+            if cut := len(written):
+                kept = [(read, before, ids[cut:]) for read, before, ids in kept]
+        arc = self.arcs[state << 8 | byte] = self._state(tuple(kept)), written
         return arc
 
     def encode(self, piece: bytes) -> list[int]:
