@@ -18,6 +18,7 @@ from caskline.llm.quality import quality_verdicts
 from caskline.llm.search import build_index, search
 from caskline.llm.suffixes import remove_repeats
 from caskline.llm.urls import filter_as_of, url_keys
+from caskline.llm.variants import spelling_variants
 from caskline.llm.warc import archive_pages
 
 
@@ -95,6 +96,10 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_search": op11_search,
+    "op12_variants": op12_variants,
     "op13_bpe": op13_bpe,
 }
 
@@ -190,4 +196,48 @@ SQL: dict[str, str] = {
         SELECT item_id, rank, doc_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM r WHERE score > 0)
         WHERE rank <= 20""",
+    "op12_variants": """
+        WITH RECURSIVE c AS (
+            SELECT list(code ORDER BY i) AS codes FROM (
+                SELECT i, list_reduce([i::BIGINT, 1, 2, 3, 4, 5, 6, 7, 8],
+                    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END) AS code
+                FROM range(256) AS r(i))),
+        t AS (
+            SELECT doc_id, run, count(*) AS n FROM (
+                SELECT doc_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run
+                FROM documents)
+            GROUP BY doc_id, run),
+        h AS (
+            SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || run)) AS bytes FROM t),
+        s AS (
+            SELECT run, n, xor(4294967295::BIGINT, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda k: ('0x' || substr(bytes, k, 2))::BIGINT)),
+                lambda x, b: xor(x >> 8, codes[(xor(x, b) & 255) + 1]))) AS h
+            FROM h, c),
+        w AS (
+            SELECT word, sum(n)::BIGINT AS n FROM (
+                SELECT n, CASE WHEN h % 97 = 0
+                    THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+                FROM s)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+              FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+        p AS (
+            SELECT DISTINCT word, near, near_n FROM (
+                SELECT a.word, b.word AS near, b.n AS near_n FROM d AS a JOIN d AS b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+                UNION ALL SELECT d.word, w.word, w.n FROM d JOIN w ON d.less = w.word
+                UNION ALL SELECT w.word, d.word, d.n FROM d JOIN w ON d.less = w.word)),
+        b AS (
+            SELECT word, near, near_n, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place,
+                   count(*) OVER (PARTITION BY word) AS n_near
+            FROM p),
+        f AS (
+            SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                   CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+            FROM w LEFT JOIN b ON w.word = b.word AND b.place = 1),
+        r AS (
+            SELECT word, word AS root, form AS next FROM f
+            UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.next = f.word)
+        SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON f.word = r.word AND r.next IS NULL""",
 }
