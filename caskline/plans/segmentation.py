@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from caskline.functions.labels import rank_of_label
 from caskline.functions.measures import dollars_of, from_cents, mean_dollars, ratio
-from caskline.operators.global_window import global_ntile
+from caskline.operators.global_window import ntile_by_cuts
 from caskline.plans.common import lookup
+from caskline.session import stage
 
 # Anchor date, segments, their risk factors, priorities and playbooks.
 ANCHOR = dt.date(2025, 12, 31)
@@ -79,17 +80,17 @@ def score_rfm(
     """Add r_score, f_score, m_score (quartiles 1-4), ties told apart by ``ids``.
 
     By default quartile 1 holds the most recent, most frequent and highest-spending accounts;
-    ``best_is_high=True`` numbers the quartiles the other way round.
+    ``best_is_high=True`` numbers the quartiles the other way round. ``base`` (ids and measures, a row per
+    account) is written once, since the cuts are searched in several passes over its order columns.
     """
     up, down = ("desc", "asc") if best_is_high else ("asc", "desc")
     unique = [(c, "asc") for c in ids]
-    for value, way, score in (
-        ("recency_days", up, "r_score"),
-        ("frequency", down, "f_score"),
-        ("monetary", down, "m_score"),
-    ):
-        base = global_ntile(base, 4, [(value, way), *unique], score, slices=slices)
-    return base
+    orders = {
+        "r_score": [("recency_days", up), *unique],
+        "f_score": [("frequency", down), *unique],
+        "m_score": [("monetary", down), *unique],
+    }
+    return ntile_by_cuts(stage(base, "rfm"), 4, orders, slices=slices)
 
 
 def _base(sales: DataFrame, ids: Sequence[str], anchor: dt.date) -> DataFrame:

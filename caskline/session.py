@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,14 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet to a new folder in the checkpoint folder and read it back.
+
+    Like ``materialise``, but columnar: later passes read only the columns they use. The files stay until
+    the folder is cleared.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

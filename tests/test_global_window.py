@@ -11,6 +11,8 @@ from caskline.operators.global_window import (
     global_rank,
     global_row_number,
     global_running_sum,
+    ntile_by_cuts,
+    slice_columns,
 )
 
 def native():
@@ -84,14 +86,68 @@ def test_running_sum_total_and_rank(rows, slices):
     same(sortable(got), sortable(want))
 
 
-def test_no_single_task_exchange_over_the_rows(rows):
-    """The only one-task exchanges are over the table with one row per slice."""
-    plan = global_row_number(rows, ORDER)._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("SinglePartition"):] if "SinglePartition" in plan else ""
-    assert below == "" or "keys=[_slice" in below
+@pytest.mark.parametrize("slices", [1, 5, None])
+@pytest.mark.parametrize("k", [1, 4, 7])
+def test_ntile_of_several_orders(rows, k, slices):
+    orders = {"up": [("value", "asc"), ("id", "asc")], "down": ORDER, "by_id": [("id", "desc")]}
+    want = rows.select(
+        "id",
+        "value",
+        F.ntile(k).over(Window.orderBy(F.asc("value"), F.asc("id"))).alias("up"),
+        F.ntile(k).over(native()).alias("down"),
+        F.ntile(k).over(Window.orderBy(F.desc("id"))).alias("by_id"),
+    )
+    got = ntile_by_cuts(rows, k, orders, slices=slices)
+    same(sortable(got), sortable(want))
+    assert "Exchange" not in plan_of(got.coalesce(1)).replace(plan_of(rows.coalesce(1)), "").split("Exchange RoundRobin")[0]
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(12,2)", "double", "date"])
+def test_orders_of_other_types(rows, kind):
+    cast = {"date": "date_add(date'2020-01-01', cast(value as int))"}.get(kind, f"cast(value as {kind})")
+    typed = rows.selectExpr("id", f"{cast} as value")
+    want = typed.select("id", F.ntile(5).over(native()).alias("t"), F.row_number().over(native()).alias("n"))
+    got = global_row_number(global_ntile(typed, 5, ORDER, "t", 6), ORDER, "n", 6).select("id", "t", "n")
+    same(got, want)
+
+
+def test_slices_are_even_and_the_same_on_every_run(rows):
+    (number,) = slice_columns(rows, [ORDER], 8)
+    (again,) = slice_columns(rows.repartition(3), [ORDER], 8)
+    sizes = [r["count"] for r in rows.groupBy(number.alias("s")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * len(rows.collect()) / 8
+    assert rows.where(number != again).isEmpty()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_shuffled_once_and_written_numbered(spark, rows, monkeypatch):
+    """The numbered rows come from one exchange, by slice; what is joined is one row per slice."""
+    from caskline.operators import global_window as g
+
+    written = []
+
+    def keep(df, label):
+        written.append(plan_of(df))
+        return stage(df, label)
+
+    stage = g.stage
+    monkeypatch.setattr(g, "stage", keep)
+    table = spark.createDataFrame(rows.collect(), rows.schema)
+    result = global_running_sum(table, "value", ORDER, "running", total="total", rank=("rank", ["value"]))
+    (inside,) = written
+    assert inside.count("Exchange") == 1 and "Exchange shufflepartitionidpassthrough" in inside and inside.count("Sort [") == 1
+    after = plan_of(result)
+    # The rows that are read back go straight into the join; only partial counts per slice are moved.
+    rows_side = after[after.index("BroadcastHashJoin"):].split("BroadcastExchange")[0]
+    assert "Exchange" not in rows_side and "Scan parquet" in rows_side and "ExistingRDD" not in after
 
 
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id bigint, value bigint")
     assert global_row_number(empty, ORDER).count() == 0
     assert global_rank(empty, [("value", "desc")]).count() == 0
+    assert ntile_by_cuts(empty, 4, {"t": ORDER}).count() == 0
+    assert global_running_sum(empty, "value", ORDER, rank=("r", ["value"])).count() == 0
