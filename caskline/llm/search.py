@@ -13,11 +13,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
-from caskline.llm.common import new_folder, slices, staged
+from caskline.llm.common import new_folder, slices, staged, text_bytes
 
-#: What a term is, for Spark and for UTF-8 bytes whose letters A to Z are small.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What a term is, in UTF-8 bytes whose letters A to Z are small; and for each byte whether it is part of one.
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
+_INSIDE = np.array([bool(re.match(rb"[0-9A-Za-z\x80-\xff]", bytes([b]))) for b in range(256)])
 _SMALL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Documents, and pairs of term and document, of a block: a stratum, or a part of a large one.
 BLOCK_DOCS, BLOCK_PAIRS = 256, 200_000
@@ -28,7 +28,7 @@ BANK_ITEMS, BANK_TERMS = 4096, 200_000
 #: A table of the documents' lengths up to this many rows is broadcast (16 bytes a row).
 LENGTHS = 500_000
 #: Text bytes handled at a time, and contributions to scores made at a time.
-PIECE, CHUNK = 1 << 20, 1 << 20
+PIECE, CHUNK = 1 << 20, 1 << 18
 
 
 def terms_of(text: str | None) -> Counter[bytes]:
@@ -37,6 +37,32 @@ def terms_of(text: str | None) -> Counter[bytes]:
     return Counter(_TERM.findall(data) if len(data) <= PIECE else (match.group() for match in _TERM.finditer(data)))
 
 
+def count_terms(texts: pa.Array) -> np.ndarray:
+    """The number of terms of each text, repeats counted."""
+    data, bounds = text_bytes(texts)
+    opens = np.zeros(len(data) + 1, bool)
+    opens[:-1] = _INSIDE[data]
+    inside = opens.copy()
+    opens[1:] &= ~inside[:-1]
+    firsts = bounds[:-1][np.diff(bounds) > 0]
+    opens[firsts] = inside[firsts]  # a text's first byte has none before it
+    return np.diff(np.concatenate([[0], np.cumsum(opens[:-1], dtype=np.int64)])[bounds])
+
+
+def _with_length(rows: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """Add ``_n``, the number of terms of ``_text``; rows without a term go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text", PIECE):
+            n = count_terms(batch.column("_text"))
+            some = pa.array(n > 0)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).filter(some) for c in kept), pa.array(n[n > 0])], names=[*kept, "_n"]
+            )
+
+    return rows.mapInArrow(run, rows.select(*kept).schema.add("_n", "long"))
+
+
 def normaliser(n: Column, docs: int, terms: int) -> Column:
     return F.lit(75) + F.call_function("div", F.lit(25).cast("long") * n * F.lit(docs).cast("long"), F.lit(terms).cast("long"))
 
@@ -110,9 +136,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     path = path or new_folder(spark, "lexical-index")
-    length = F.regexp_count(F.col(text_col), F.lit(TERM)).cast("long")
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), length.alias("_n")).where("_n > 0")
-    lengths = staged(rows.groupBy("_n").agg(F.count("*").alias("_docs")), "lengths")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    lengths = staged(_with_length(rows.select("_text"), []).groupBy("_n").agg(F.count("*").alias("_docs")), "lengths")
     count, total, different = lengths.agg(F.sum("_docs"), F.sum(F.col("_n") * F.col("_docs")), F.count("*")).first()
     count, total = count or 0, total or 0
     m = normaliser(F.col("_n"), count, max(total, 1))
@@ -121,7 +146,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     strata = strata.join(parts, "_m").select("_n", "_m", "_parts")
     salt = F.pmod(F.xxhash64("_id", "_text", F.spark_partition_id()), F.col("_parts"))
     dealt = (
-        rows.join(F.broadcast(strata) if different <= LENGTHS else strata, "_n")
+        _with_length(rows, ["_id", "_text"])
+        .join(F.broadcast(strata) if different <= LENGTHS else strata, "_n")
         .select("_id", "_text", "_m", salt.alias("_part"))
         .repartition("_m", "_part")
         .sortWithinPartitions("_m", "_part")

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import awkward, awkward_rows, nothing, words
 
@@ -42,6 +43,14 @@ def test_terms():
     assert s.terms_of(long) == {b"ab": s.PIECE // 4, b"cd": s.PIECE // 4}
 
 
+def test_term_counts():
+    texts = ["Ab ab-AB 3x_é É", None, "", " .,", "a", "b", " c", "d ", "-é漢 x", "a"]
+    whole = pa.array(texts, pa.string())
+    for part in (whole, whole[1:], whole[4:6], whole[:0], pa.array([None], pa.string())):
+        want = [sum(s.terms_of(t).values()) for t in part.to_pylist()]
+        assert s.count_terms(part).tolist() == want
+
+
 def test_a_block_holds_every_posting():
     counts = [Counter({b"a": 2, b"b": 1}), Counter({b"a": 1}), Counter({b"a": 2, b"c": 5})]
     block = s._block(80, "x", None, counts)
@@ -88,8 +97,6 @@ def test_no_visit_below_the_bound(spark):
     reach = {}
     for b in index.blocks(spark).collect():
         found = {c: np.array(b[c]) for c in ("dfs", "max_tfs", "run_tfs", "run_docs", "docs")} | {"n": len(b.ids)}
-        import pyarrow as pa
-
         bounds, number, place = s._bounds(bank, pa.array(b.terms), found["max_tfs"], b.m)
         scores = s._scores(bank, np.array([0]), number, place, found, b.m)
         assert scores.max() <= bounds[0]
