@@ -1,8 +1,9 @@
 """The six dimensions.
 
-Surrogate keys are dense row numbers over the natural key. Numbering a whole table costs a range
-shuffle and a checkpoint, so ``keyed=False`` leaves the key out: the analyses join on the natural
-key, which identifies the same rows.
+Surrogate keys are dense row numbers over the natural key. Numbering a whole table costs a shuffle and a
+staged table, so ``keyed=False`` leaves the key out: the analyses join on the natural key, which
+identifies the same rows. Loads that come again take their keys from a map that is kept between them
+(``caskline.operators.keys``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,15 @@ SEASONS = {"Holiday Season": (11, 12), "Summer Peak": (6, 7, 8)}
 USUAL_SEASON = "Standard"
 HOME_COUNTRY = "USA"
 
+#: The surrogate and the natural key of each dimension that has one.
+KEYS = {
+    "dim_reps": ("rep_key", "rep_src_id"),
+    "dim_accounts": ("account_key", "account_src_id"),
+    "dim_products": ("product_key", "sku_src_id"),
+    "dim_suppliers": ("supplier_key", "supplier_src_id"),
+    "dim_programs": ("program_key", "program_src_id"),
+}
+
 
 def _with_key(dim: DataFrame, key: str, natural: str, keyed: bool) -> DataFrame:
     if not keyed:

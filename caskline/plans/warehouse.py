@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from caskline.operators import dimensions as dims
 from caskline.operators import facts
+from caskline.operators.keys import keyed_dimension
 from caskline.sources.load import load_all
 from caskline.sources.publish import publish, read_published
 
@@ -34,6 +35,17 @@ def publish_by_month(sales: DataFrame, root: str) -> str:
     )
 
 
+def read_sales(
+    spark: SparkSession, root: str, first_day: dt.date | None = None, last_day: dt.date | None = None
+) -> DataFrame:
+    """The published sales of a range of days, both included; only the folders of its months are read."""
+    sales = read_published(spark, root)
+    for day, inside in ((first_day, ">="), (last_day, "<=")):
+        if day is not None:
+            sales = sales.where(f"{SALES_PARTITION} {inside} '{day:%Y-%m}' and order_date {inside} date'{day}'")
+    return sales
+
+
 def build_gold(
     spark: SparkSession,
     silver: Mapping[str, DataFrame],
@@ -48,21 +60,35 @@ def build_gold(
     """Publish six dimensions and three facts under ``out``; one audit row per table.
 
     Dimensions come first, and the facts look their keys up in the published ones, so that keys
-    agree between all tables of a build. The calendar holds all years with sales, unless both its
-    days are given.
+    agree between all tables of a build. Keys come from maps kept under ``out``/keys, so a later build
+    gives every id the key it had. The calendar holds all years with sales, unless both its days are given.
     """
 
     def gold(name: str) -> DataFrame:
         return read_published(spark, f"{out}/{name}")
 
+    def keyed(name: str, dim: DataFrame) -> DataFrame:
+        key, natural = dims.KEYS[name]
+        return keyed_dimension(spark, dim, natural, key, f"{out}/keys/{name}")
+
     audit = load_all(
         spark,
         {
-            "dim_reps": lambda: dims.dim_reps(silver["sales_reps"], as_of=as_of),
-            "dim_accounts": lambda: dims.dim_accounts(silver["accounts"]),
-            "dim_products": lambda: dims.dim_products(silver["products"], tiers=tiers),
-            "dim_suppliers": lambda: dims.dim_suppliers(silver["suppliers"]),
-            "dim_programs": lambda: dims.dim_programs(silver["supplier_programs"]),
+            "dim_reps": lambda: keyed(
+                "dim_reps", dims.dim_reps(silver["sales_reps"], as_of=as_of, keyed=False)
+            ),
+            "dim_accounts": lambda: keyed(
+                "dim_accounts", dims.dim_accounts(silver["accounts"], keyed=False)
+            ),
+            "dim_products": lambda: keyed(
+                "dim_products", dims.dim_products(silver["products"], tiers=tiers, keyed=False)
+            ),
+            "dim_suppliers": lambda: keyed(
+                "dim_suppliers", dims.dim_suppliers(silver["suppliers"], keyed=False)
+            ),
+            "dim_programs": lambda: keyed(
+                "dim_programs", dims.dim_programs(silver["supplier_programs"], keyed=False)
+            ),
             "dim_date": lambda: (
                 dims.dim_date(spark, first_day, last_day)
                 if first_day and last_day

@@ -1,8 +1,9 @@
 """Full reload of a table without a moment in which readers see it empty or half written.
 
 Every reload writes a version folder of its own under the table's root, numbered and with a random
-part, so that two writers never share one. When it is complete, a small pointer file naming it is
-written; readers take the version of the newest pointer. Nothing is renamed, so this works on object
+part, so that two writers never share one. When it is complete, its writer claims the next number by
+creating a file that must not exist yet, and writes a small pointer of that number naming the version;
+readers take the version of the highest pointer. Nothing is renamed, so this works on object
 stores as well. Old versions stay until ``prune`` removes them.
 """
 
@@ -11,9 +12,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-_VERSION, _POINTER = "version=", "_current="
+_VERSION, _POINTER, _CLAIM = "version=", "_current=", "_claim="
 
 
 class _Folder:
@@ -34,19 +36,39 @@ class _Folder:
     def touch(self, name: str) -> None:
         self._fs.create(self._new(f"{self.root}/{name}"), False).close()
 
+    def claim(self, name: str) -> bool:
+        """Create a file unless it is there already."""
+        path = self._new(f"{self.root}/{name}")
+        try:
+            self._fs.create(path, False).close()
+        except Py4JJavaError:
+            if self._fs.exists(path):
+                return False
+            raise
+        return True
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._new(f"{self.root}/{name}"), True)
 
 
 def _next_number(folder: _Folder) -> int:
-    used = [int(name.split("-")[0]) for name in folder.names(_VERSION) + folder.names(_POINTER)]
-    return max(used, default=0) + 1
+    names = folder.names(_VERSION) + folder.names(_POINTER) + folder.names(_CLAIM)
+    return max((int(name.split("-")[0]) for name in names), default=0) + 1
+
+
+def _claimed_number(folder: _Folder) -> int:
+    """A number that no other writer has, higher than those of all complete versions."""
+    number = _next_number(folder)
+    while not folder.claim(f"{_CLAIM}{number:08d}"):
+        number += 1
+    return number
 
 
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a new version of the table at ``root`` and return the version's path.
 
-    Of two reloads at a time, the one that ends last is current: pointers are numbered when written.
+    Of two reloads at a time, the one that claims its number last is current: numbers are claimed when the
+    version is complete, each by one writer.
     """
     folder = _Folder(df.sparkSession, root)
     version = f"{_next_number(folder):08d}-{uuid.uuid4().hex[:12]}"
@@ -55,7 +77,7 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    folder.touch(f"{_POINTER}{_next_number(folder):08d}-{version}")
+    folder.touch(f"{_POINTER}{_claimed_number(folder):08d}-{version}")
     return path
 
 
@@ -65,6 +87,10 @@ def _complete(folder: _Folder) -> list[str]:
     return list(dict.fromkeys(name.split("-", 1)[1] for name in pointers))
 
 
+def has_version(spark: SparkSession, root: str) -> bool:
+    return bool(_complete(_Folder(spark, root)))
+
+
 def current_path(spark: SparkSession, root: str) -> str:
     """Path of the current version."""
     complete = _complete(_Folder(spark, root))
@@ -91,5 +117,6 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         for name in folder.names(_POINTER):
             if name.split("-", 1)[1] == version:
                 folder.remove(f"{_POINTER}{name}")
+                folder.remove(f"{_CLAIM}{name.split('-')[0]}")
         folder.remove(f"{_VERSION}{version}")
     return old
