@@ -62,12 +62,31 @@ def money_percentage(numerator: Column | str, denominator: Column | str) -> Colu
     return percentage(dollars_of(numerator), dollars_of(denominator))
 
 
-def sample_stdev(count: Column, total: Column, total_of_squares: Column) -> Column:
-    """Sample standard deviation from mergeable moments; NULL for fewer than two values."""
-    n = count.cast("double")
-    s = total.cast("double")
-    spread = F.greatest(total_of_squares.cast("double") - s * s / n, F.lit(0.0))
-    return F.when(count > 1, F.sqrt(spread / (n - 1)))
+def sum_of_squares(cents: Column | str) -> Column:
+    """Aggregate: sum of squared whole numbers, exact."""
+    whole = as_column(cents).cast("decimal(18,0)")
+    return F.sum((whole * whole).cast("decimal(38,0)"))
+
+
+def merge_squares(squares: Column | str) -> Column:
+    """Aggregate: joins the sums of squares of disjoint groups; like counts and sums, they add up."""
+    return F.sum(as_column(squares)).cast("decimal(38,0)")
+
+
+def sample_stdev_dollars(count: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation, in dollars, of cents with these moments; NULL for fewer than two values.
+
+    Moments of whole numbers are whole numbers, so groups are merged by addition in any order with the
+    same result, and n * squares - total ** 2, the spread of all pairs, loses nothing where the mean is
+    large and the spread small. The variance is cut to four decimals of a squared cent. Products beyond
+    38 digits raise.
+    """
+    n, s = count.cast("decimal(18,0)"), total.cast("decimal(19,0)")
+    pairs = (n * (n - 1)).cast("decimal(38,0)")
+    spread = ((n * squares).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")).cast("decimal(38,0)")
+    scaled = (spread * F.lit(Decimal(10_000))).cast("decimal(38,0)")
+    whole = ((scaled - scaled % pairs).cast("decimal(38,0)") / pairs).cast("double")
+    return F.when(count > 1, F.sqrt(whole) / 10_000)
 
 
 def whole_division(numerator: Column, denominator: Column) -> Column:

@@ -90,8 +90,11 @@ def duplicate_keys(
         repeated = (
             tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
         )
-        # A part that is NULL shows as such, so that different keys never read alike.
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]
+        # Different keys never read alike: a NULL part is \N, and a part's own \ and | follow a \.
+        parts = [
+            F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1"), F.lit(r"\N"))
+            for c in columns
+        ]
         text = F.concat(*[p for part in parts for p in (F.lit("|"), part)][1:])
         results.append(
             repeated.select(

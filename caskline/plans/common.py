@@ -50,3 +50,30 @@ def join_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFr
     for key in keys:
         match = match & df[key].eqNullSafe(renamed[f"_{key}"])
     return df.join(renamed, match, "left").drop(*[f"_{k}" for k in keys])
+
+
+_UNIQUE = "caskline.unique"
+
+
+def state_unique(df: DataFrame, column: str, *, check: bool = True) -> DataFrame:
+    """State that no two rows of ``df`` share a value of ``column``; the column's metadata say so from here on.
+
+    Counts of distinct values of such a column are plain counts, which need no shuffle by value. Cleansing
+    makes its keys unique, and published tables keep the statement. ``check`` counts both ways first
+    and raises if they differ. Selections, filters and lookups by a unique id keep the property;
+    whoever repeats rows afterwards has to drop it (``withMetadata``).
+    """
+    if check:
+        rows, different = df.agg(F.count(column), F.count_distinct(column)).first()
+        if rows != different:
+            raise ValueError(f"{rows - different} rows repeat a value of {column}")
+    return df.withMetadata(column, {**df.schema[column].metadata, _UNIQUE: True})
+
+
+def is_unique(df: DataFrame, column: str) -> bool:
+    return bool(df.schema[column].metadata.get(_UNIQUE))
+
+
+def count_of(df: DataFrame, column: str) -> Column:
+    """Aggregate over ``df`` (or groups of it): the number of different values of ``column``."""
+    return F.count(column) if is_unique(df, column) else F.count_distinct(column)

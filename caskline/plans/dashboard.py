@@ -11,14 +11,14 @@ from caskline.functions.labels import rank_of_label, threshold_label
 from caskline.functions.measures import (
     dollars_of,
     from_cents,
-    mean_dollars,
     mean_of,
     money_percentage,
     percentage,
     ratio,
 )
+from caskline.operators.dimensions import date_attributes
 from caskline.operators.global_window import global_rank, global_running_sum
-from caskline.plans.common import join_totals, known_ids, lookup, with_dates
+from caskline.plans.common import count_of, is_unique, join_totals, known_ids, lookup, with_dates
 
 # Default thresholds and labels.
 REP_STATUS = ((400_000, "Top Performer"), (250_000, "On Track"))
@@ -33,7 +33,7 @@ def kpi_card(sales: DataFrame, accounts: DataFrame, reps: DataFrame) -> DataFram
     per_account = sales.groupBy("account_id", "rep_id").agg(
         F.min("order_date").alias("_from"),
         F.max("order_date").alias("_to"),
-        F.count_distinct("txn_id").alias("_orders"),
+        count_of(sales, "txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
         F.sum("revenue_cents").alias("_net"),
         F.sum("gross_cents").alias("_gross"),
@@ -65,17 +65,24 @@ def monthly_trend(sales: DataFrame, dates: DataFrame | None = None) -> DataFrame
     """Months with the previous month, the change, a 3-month mean and the same month last year.
 
     Months are compared by the calendar: a month without sales is missing, not skipped. The windows
-    run over months (12 rows a year), after the aggregation.
+    run over months (12 rows a year), after the aggregation. Sales are grouped by the day their month
+    starts, and the month's attributes follow from that; only a calendar of the caller's own is
+    joined to the sales first.
     """
-    months = with_dates(
-        sales, dates, "year_month", "year", "month_num", "month_name", "year_quarter", "season"
-    ).groupBy("year_month", "year", "month_num", "month_name", "year_quarter", "season").agg(
-        F.count_distinct("txn_id").alias("transactions"),
+    attributes = ("year_month", "year", "month_num", "month_name", "year_quarter", "season")
+    measures = (
+        count_of(sales, "txn_id").alias("transactions"),
         F.sum("cases_sold").alias("cases_sold"),
         from_cents(F.sum("revenue_cents")).alias("net_revenue"),
         from_cents(F.sum("margin_cents")).alias("est_margin"),
         from_cents(F.sum("discount_cents")).alias("discounts"),
     )
+    if dates is None:
+        starts = sales.groupBy(F.trunc("order_date", "month").alias("_start")).agg(*measures)
+        usual = date_attributes(F.col("_start"))
+        months = starts.select(*[usual[a].alias(a) for a in attributes], *starts.columns[1:])
+    else:
+        months = with_dates(sales, dates, *attributes).groupBy(*attributes).agg(*measures)
     by_month = Window.orderBy(F.col("year") * 12 + F.col("month_num"))
     last_three = by_month.rangeBetween(-2, 0)
     previous = F.first("net_revenue").over(by_month.rangeBetween(-1, -1))
@@ -105,7 +112,7 @@ def rep_scorecard(
     so a sale is counted once however many quota months there are.
     """
     per_account = sales.groupBy("rep_id", "account_id").agg(
-        F.count_distinct("txn_id").alias("_orders"),
+        count_of(sales, "txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
         F.sum("revenue_cents").alias("_net"),
         F.sum("margin_cents").alias("_margin"),
@@ -158,7 +165,7 @@ def rep_scorecard(
 def supplier_mix(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Suppliers by revenue with their share of all supplier revenue and their rank."""
     per_supplier = sales.groupBy("supplier_id").agg(
-        F.count_distinct("txn_id").alias("transactions"),
+        count_of(sales, "txn_id").alias("transactions"),
         F.sum("cases_sold").alias("cases_sold"),
         from_cents(F.sum("revenue_cents")).alias("net_revenue"),
         from_cents(F.sum("margin_cents")).alias("est_margin"),
@@ -200,7 +207,7 @@ def channel_split(
         with_dates(sales, dates, "year")
         .groupBy("channel", "year", "account_id", "rep_id")
         .agg(
-            F.count_distinct("txn_id").alias("_orders"),
+            count_of(sales, "txn_id").alias("_orders"),
             F.sum("cases_sold").alias("_cases"),
             F.sum("revenue_cents").alias("_net"),
             F.sum("margin_cents").alias("_margin"),
@@ -274,15 +281,35 @@ def price_tier_mix(
 
     The window runs over category labels of one channel and year, after the aggregation.
     """
-    labelled = with_dates(sales, dates, "year").join(
-        lookup(products, "sku_src_id", "sku_id", "price_tier", "category", "sub_category"), "sku_id"
-    )
-    mix = labelled.groupBy("price_tier", "category", "sub_category", "channel", "year").agg(
-        F.count_distinct("txn_id").alias("transactions"),
-        F.sum("cases_sold").alias("cases_sold"),
-        from_cents(F.sum("revenue_cents")).alias("net_revenue"),
-        from_cents(F.sum("margin_cents")).alias("est_margin"),
-        mean_dollars("per_case_cents").alias("avg_rev_per_case"),
+    labels = lookup(products, "sku_src_id", "sku_id", "price_tier", "category", "sub_category")
+    dated = with_dates(sales, dates, "year")
+    group = ["price_tier", "category", "sub_category", "channel", "year"]
+    sums = {
+        "cases_sold": "cases_sold",
+        "_net": "revenue_cents",
+        "_margin": "margin_cents",
+        "_per_case": "per_case_cents",
+    }
+    lines = F.count("per_case_cents").alias("_lines")
+    if is_unique(sales, "txn_id"):
+        # Plain counts add up, so products are folded before their labels are joined.
+        folded = dated.groupBy("sku_id", "channel", "year").agg(
+            F.count("txn_id").alias("transactions"), lines, *[F.sum(c).alias(name) for name, c in sums.items()]
+        )
+        mix = folded.join(labels, "sku_id").groupBy(*group).agg(
+            *[F.sum(name).alias(name) for name in ("transactions", "_lines", *sums)]
+        )
+    else:
+        mix = dated.join(labels, "sku_id").groupBy(*group).agg(
+            F.count_distinct("txn_id").alias("transactions"), lines, *[F.sum(c).alias(name) for name, c in sums.items()]
+        )
+    mix = mix.select(
+        *group,
+        "transactions",
+        "cases_sold",
+        from_cents("_net").alias("net_revenue"),
+        from_cents("_margin").alias("est_margin"),
+        ratio(dollars_of("_per_case"), "_lines").alias("avg_rev_per_case"),
     )
     channel_year = F.sum("cases_sold").over(Window.partitionBy("channel", "year"))
     return mix.select(
@@ -295,7 +322,7 @@ def price_tier_mix(
 def geo_density(sales: DataFrame, accounts: DataFrame) -> DataFrame:
     """Towns by revenue, with revenue per account against the mean town of the division."""
     per_account = sales.groupBy("account_id").agg(
-        F.count_distinct("txn_id").alias("_orders"),
+        count_of(sales, "txn_id").alias("_orders"),
         F.sum("cases_sold").alias("_cases"),
         F.sum("revenue_cents").alias("_net"),
         F.sum("margin_cents").alias("_margin"),

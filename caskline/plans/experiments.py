@@ -13,13 +13,15 @@ from caskline.functions.measures import (
     from_cents,
     mean_dollars,
     mean_of,
+    merge_squares,
     money_percentage,
     percentage,
     ratio,
     round_quotient,
-    sample_stdev,
+    sample_stdev_dollars,
+    sum_of_squares,
 )
-from caskline.plans.common import known_ids, lookup
+from caskline.plans.common import count_of, known_ids, lookup
 
 # Group labels and limits.
 WINNER, COMPARISON = "Winner", "Comparison"
@@ -34,15 +36,15 @@ TREATMENT, CONTROL = "Treatment", "Control"
 def ab_channel(sales: DataFrame, accounts: DataFrame) -> DataFrame:
     """Channels as test groups: size, mean and spread of sales, margin, discount, and a winner.
 
-    The spread comes from the sum and the sum of squares, because those can be merged after the
-    distinct counts have been taken per account.
+    The spread comes from the count, sum and sum of squares of whole cents: exact moments that are merged
+    after the distinct counts have been taken per account.
     """
     revenue = F.col("revenue_cents")
     per_account = sales.groupBy("channel", "account_id").agg(
-        F.count_distinct("txn_id").alias("_orders"),
+        count_of(sales, "txn_id").alias("_orders"),
         F.count(revenue).alias("_n"),
         F.sum(revenue).alias("_net"),
-        F.sum(dollars_of(revenue) * dollars_of(revenue)).alias("_net_squared"),
+        sum_of_squares(revenue).alias("_net_squared"),
         F.sum("per_case_cents").alias("_per_case"),
         F.count("per_case_cents").alias("_cases_n"),
         F.sum("margin_cents").alias("_margin"),
@@ -56,7 +58,7 @@ def ab_channel(sales: DataFrame, accounts: DataFrame) -> DataFrame:
         F.count_distinct("account_id").alias("n_accounts"),
         from_cents(F.sum("_net")).alias("total_revenue"),
         ratio(net, n).alias("avg_order_value"),
-        sample_stdev(n, net, F.sum("_net_squared")).alias("stdev_order_value"),
+        sample_stdev_dollars(n, F.sum("_net"), merge_squares("_net_squared")).alias("stdev_order_value"),
         ratio(dollars_of(F.sum("_per_case")), F.sum("_cases_n")).alias("avg_rev_per_case"),
         from_cents(F.sum("_margin")).alias("total_margin"),
         percentage(ratio(margin, n), ratio(net, n)).alias("avg_margin_pct"),
@@ -146,19 +148,25 @@ def ab_premium_mix(
     Each representative's means are kept as whole numbers with eight decimals before they are
     averaged, so that the lift does not depend on the order in which rows arrive.
     """
-    tiered = sales.join(lookup(products, "sku_src_id", "sku_id", "price_tier"), "sku_id")
-    premium_cases = F.sum(
-        F.when(F.col("price_tier").isin(*premium), F.col("cases_sold")).otherwise(0)
+    # Sums per representative and product first: the tier is then joined to those, not to every sale.
+    per_product = sales.groupBy("rep_id", "sku_id").agg(
+        F.sum("cases_sold").alias("_cases"),
+        F.sum("revenue_cents").alias("_net"),
+        F.sum("per_case_cents").alias("_per_case"),
+        F.count("per_case_cents").alias("_lines"),
+        F.sum("margin_cents").alias("_margin"),
     )
+    tiered = per_product.join(lookup(products, "sku_src_id", "sku_id", "price_tier"), "sku_id")
+    premium_cases = F.sum(F.when(F.col("price_tier").isin(*premium), F.col("_cases")).otherwise(0))
     mixes = (
         tiered.groupBy("rep_id")
         .agg(
-            F.sum("cases_sold").alias("_cases"),
+            F.sum("_cases").alias("_cases"),
             premium_cases.alias("_premium"),
-            F.sum("revenue_cents").alias("_net"),
-            F.sum("per_case_cents").alias("_per_case"),
-            F.count("per_case_cents").alias("_lines"),
-            F.sum("margin_cents").alias("_margin"),
+            F.sum("_net").alias("_net"),
+            F.sum("_per_case").alias("_per_case"),
+            F.sum("_lines").alias("_lines"),
+            F.sum("_margin").alias("_margin"),
         )
         .join(lookup(reps, "rep_src_id", "rep_id"), "rep_id")
         .withColumn("_mix", percentage("_premium", "_cases"))

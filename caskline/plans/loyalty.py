@@ -18,7 +18,7 @@ from caskline.functions.measures import (
     whole_division,
 )
 from caskline.operators.global_window import global_running_sum
-from caskline.plans.common import lookup, with_dates
+from caskline.plans.common import count_of, lookup, with_dates
 from caskline.session import materialise
 
 # Default thresholds and labels.
@@ -44,7 +44,7 @@ def customer_ltv(
 ) -> DataFrame:
     """Orders, span, volume, revenue and tier of every account under its representative."""
     lifetimes = sales.groupBy("account_id", "rep_id").agg(
-        F.count_distinct("txn_id").alias("total_orders"),
+        count_of(sales, "txn_id").alias("total_orders"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
         F.sum("cases_sold").alias("lifetime_cases"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from caskline.functions.labels import rank_of_label
 from caskline.functions.measures import dollars_of, from_cents, mean_dollars, ratio
 from caskline.operators.global_window import ntile_by_cuts
-from caskline.plans.common import lookup
+from caskline.plans.common import count_of, lookup
 from caskline.session import stage
 
 # Anchor date, segments, their risk factors, priorities and playbooks.
@@ -98,7 +98,7 @@ def _base(sales: DataFrame, ids: Sequence[str], anchor: dt.date) -> DataFrame:
         sales.groupBy(*ids)
         .agg(
             F.max("order_date").alias("_last"),
-            F.count_distinct("txn_id").alias("frequency"),
+            count_of(sales, "txn_id").alias("frequency"),
             F.sum("revenue_cents").alias("monetary"),
             F.sum("margin_cents").alias("total_margin"),
             F.count("revenue_cents").alias("_lines"),
