@@ -359,7 +359,10 @@ groups AS (
   SELECT channel AS test_group, COUNT(DISTINCT txn_id) AS n_transactions,
          COUNT(DISTINCT account_id) AS n_accounts, {dbl("SUM(revenue)")} AS total_revenue,
          {mean("revenue")} AS avg_order_value,
-         round(stddev_samp(CAST(revenue AS DOUBLE)), 4) AS stdev_order_value,
+         CASE WHEN COUNT(revenue) > 1 THEN sqrt({dbl(
+             "CAST((COUNT(revenue) * SUM(CAST(revenue * 100 AS HUGEINT) * CAST(revenue * 100 AS HUGEINT))"
+             " - SUM(CAST(revenue * 100 AS HUGEINT)) * SUM(CAST(revenue * 100 AS HUGEINT))) * 10000"
+             " // (COUNT(revenue) * (COUNT(revenue) - 1)) AS BIGINT)")}) / 10000 END AS stdev_order_value,
          {mean("rpc")} AS avg_rev_per_case, {dbl("SUM(margin)")} AS total_margin,
          {pct(mean("margin"), mean("revenue"))} AS avg_margin_pct,
          {pct("SUM(discount)", "SUM(gross)")} AS discount_rate,
@@ -849,6 +852,20 @@ def quality_sql() -> dict[str, str]:
                 count("3c", "sales_reps", "hire_date > DATE '2010-01-01'"),
             ]
         ),
+        "qc_counts": clean("sales_reps", "sales_transactions", "products", "supplier_programs")
+        + union(
+            [
+                count("1a", "sales_reps", "rep_id IS NULL"),
+                count("1b", "sales_transactions", "txn_date IS NULL"),
+                count("1c", "sales_transactions", "revenue_usd IS NULL OR revenue_usd <= 0"),
+                count("1d", "products", "price_per_case_usd IS NULL"),
+                count("1e", "supplier_programs", "goal_value IS NULL OR bonus_usd IS NULL"),
+                count("3a", "sales_transactions", "txn_date < DATE '1996-01-01' OR txn_date > DATE '2000-12-31'"),
+                count("3b", "supplier_programs", "start_date > end_date"),
+                count("3c", "sales_reps", "hire_date > DATE '2010-01-01'"),
+                count("5a", "sales_transactions", "is_valid = 0"),
+            ]
+        ),
         "qc_domains": clean("accounts", "suppliers", "rep_quota_actuals", "program_attainments")
         + union(
             [
@@ -900,15 +917,84 @@ def load_sql() -> dict[str, str]:
             "CAST(o_custkey AS VARCHAR) AS account_id", "CAST(o_custkey AS VARCHAR) || ' ' AS account_id"
         )
         + f"\nSELECT {columns} FROM raw_accounts",
-        "load_audit": """
-SELECT 'bronze' AS layer, 'sales_reps' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS ok
-FROM customer UNION ALL
-SELECT 'bronze', 'accounts', COUNT(*), 1 FROM orders UNION ALL
-SELECT 'silver', 'sales_reps', COUNT(DISTINCT c_nationkey), 1 FROM customer UNION ALL
-SELECT 'silver', 'accounts', COUNT(DISTINCT o_custkey), 1 FROM orders""",
+        # Files carry no load time: all rows of a load have the same one.
+        "load_audit": with_(*[clean_cte(feed).replace(f"{FEEDS[feed][3]} AS loaded", "0 AS loaded") for feed in FEEDS])
+        + "\n"
+        + " UNION ALL ".join(
+            [_loaded("bronze", feed, f"raw_{feed}") for feed in FEEDS]
+            + [_loaded("silver", feed, f"clean_{feed}") for feed in FEEDS]
+            + [
+                _loaded("gold", name, f"clean_{feed}", where)
+                for name, feed, where in (
+                    ("dim_reps", "sales_reps", ""),
+                    ("dim_accounts", "accounts", ""),
+                    ("dim_products", "products", ""),
+                    ("dim_suppliers", "suppliers", ""),
+                    ("dim_programs", "supplier_programs", ""),
+                    ("fact_sales", "sales_transactions", " WHERE is_valid = 1"),
+                    ("fact_quota", "rep_quota_actuals", ""),
+                    ("fact_attainment", "program_attainments", ""),
+                )
+            ]
+        )
+        + """ UNION ALL
+SELECT 'gold', 'dim_date', datediff('day', make_date(year(MIN(txn_date)), 1, 1), make_date(year(MAX(txn_date)), 12, 31)) + 1, 1
+FROM clean_sales_transactions""",
+        "load_isolated": with_(*[raw_cte(feed) for feed in FEEDS])
+        + "\n"
+        + " UNION ALL ".join(
+            f"SELECT '{feed}' AS table_name, CAST(NULL AS BIGINT) AS rows, CAST(0 AS BIGINT) AS ok, "
+            "CAST(1 AS BIGINT) AS failed, CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS BIGINT) AS one_stamp"
+            if feed in ("products", "suppliers")
+            else f"SELECT '{feed}' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS ok, CAST(0 AS BIGINT) AS failed, "
+            f"COUNT(*) AS row_count, CAST(1 AS BIGINT) AS one_stamp FROM raw_{feed}"
+            for feed in FEEDS
+        ),
+        "load_fail_fast": with_(*[clean_cte(feed) for feed in ("sales_reps", "suppliers", "products", "accounts")])
+        + """
+SELECT 'sales_reps' AS table_name, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS raised FROM clean_sales_reps WHERE rep_id % 2 = 0
+UNION ALL SELECT 'suppliers', COUNT(*), 1 FROM clean_suppliers WHERE supplier_id % 2 = 0
+UNION ALL SELECT 'products', COUNT(*), 1 FROM clean_products
+UNION ALL SELECT 'accounts', COUNT(*), 1 FROM clean_accounts""",
+        "silver_stamps": with_(*[clean_cte(feed) for feed in FEEDS])
+        + "\n"
+        + " UNION ALL ".join(
+            f"SELECT '{feed}' AS table_name, 'bronze.{feed}' AS first_source, 'bronze.{feed}' AS last_source, "
+            "DATE '2001-12-31' AS first_load, DATE '2001-12-31' AS last_load, "
+            f"COUNT(*) AS stamped FROM clean_{feed}"
+            for feed in FEEDS
+        ),
     }
 
 
+def _loaded(layer: str, name: str, table: str, where: str = "") -> str:
+    return (
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS ok FROM {table}{where}"
+    )
+
+
+# Sales as the analyses see them, from the cleansed feeds.
+SILVER_SALES = f"""
+fs AS (
+  SELECT t.*, {cents(half_up("CAST(revenue * 100 AS BIGINT)", "cases"))} AS rpc,
+         round(revenue * 0.30, 2) AS margin, round(gross * disc * 0.01, 2) AS discount
+  FROM (
+    SELECT txn_id, CASE WHEN account_id IN (SELECT account_id FROM clean_accounts) THEN account_id END AS account_id,
+           CASE WHEN rep_id IN (SELECT rep_id FROM clean_sales_reps) THEN rep_id END AS rep_id, t.sku_id,
+           t.supplier_id, channel, txn_date AS order_date, cases_sold AS cases,
+           CAST(discount_pct AS DECIMAL(5,2)) AS disc, CAST(revenue_usd AS DECIMAL(12,2)) AS revenue,
+           CAST(cases_sold * COALESCE(CAST(price_per_case_usd AS DECIMAL(10,2)), 0) AS DECIMAL(14,2)) AS gross
+    FROM clean_sales_transactions t LEFT JOIN clean_products p ON t.sku_id = p.sku_id
+    WHERE is_valid = 1) t)"""
+# Products of the cleansed feed with the tiers of the registered query.
+SILVER_PRODUCTS = """
+products AS (
+  SELECT sku_id, category, sub_category,
+         CASE WHEN price_per_case_usd < 20000 THEN 'Value' WHEN price_per_case_usd < 40000 THEN 'Mid-Range'
+              WHEN price_per_case_usd < 60000 THEN 'Premium' ELSE 'Ultra-Premium' END AS price_tier
+  FROM clean_products)"""
+
+
 def _shown(column: str, digits: int) -> str:
     # Six decimals: with more, scaling a double of this size loses its last digits.
     exact = f"round(CAST({column} AS DECIMAL(28,6)), {digits})"
@@ -1090,6 +1176,24 @@ def oracle_sql() -> dict[str, str]:
         **analyses,
         # The same analyses, read from the published fact.
         **{f"gold_{key}": analyses[key] for key in ("monthly_trend", "customer_ltv", "channel_split")},
+        "gold_trend_of_days": analyses["monthly_trend"].replace(
+            "WHERE revenue > 0 AND cases > 0",
+            "WHERE revenue > 0 AND cases > 0 AND order_date BETWEEN DATE '1996-03-10' AND DATE '1996-05-20'",
+        ),
+        # The same analyses, of the cleansed feeds.
+        **{
+            f"silver_{key}": analyses[key].replace(with_(*was), with_(*[clean_cte(feed) for feed in feeds], *now))
+            for key, was, feeds, now in (
+                ("kpi_card", [SALES], ("sales_transactions", "products", "accounts", "sales_reps"), [SILVER_SALES]),
+                ("monthly_trend", [SALES], ("sales_transactions", "products", "accounts", "sales_reps"), [SILVER_SALES]),
+                (
+                    "price_tier_mix",
+                    [SALES, PRODUCTS],
+                    ("sales_transactions", "products", "accounts", "sales_reps"),
+                    [SILVER_SALES, SILVER_PRODUCTS],
+                ),
+            )
+        },
         **star_sql(),
         **cleansing_sql(),
         **quality_sql(),

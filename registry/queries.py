@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +16,15 @@ from caskline.operators import dimensions as dims
 from caskline.operators import facts, quality
 from caskline.operators.cleanse import CLEANERS, split_supplier_programs
 from caskline.operators.global_window import global_running_sum
+from caskline.operators.keys import keyed_dimension
 from caskline.plans import dashboard, experiments, loyalty, segmentation
+from caskline.plans.common import state_unique
 from caskline.plans.presentation import formats, present
-from caskline.plans.warehouse import publish_by_month
+from caskline.plans.warehouse import build_gold, publish_by_month, read_sales
 from caskline.session import configure, ensure_checkpoint_dir, materialise
 from caskline.sources.ingest import ingest
 from caskline.sources.load import load_bronze, load_silver
-from caskline.sources.publish import read_published
+from caskline.sources.publish import has_version, publish, read_published
 from caskline.sources.schemas import ENTITIES, LOADED_AT, SOURCE
 from registry import feeds, tables
 
@@ -33,6 +35,11 @@ LTV_TIERS = ((3_000_000, "Platinum"), (2_000_000, "Gold"), (1_000_000, "Silver")
 REP_STATUS = ((95_000_000, "Top Performer"), (85_000_000, "On Track"))
 RETENTION_YEARS = (1999, 2000)
 PREMIUM_CUTPOINT = 50
+SILVER_TIERS = ((20_000, "Value"), (40_000, "Mid-Range"), (60_000, "Premium"))
+TREND_DAYS = (dt.date(1996, 3, 10), dt.date(1996, 5, 20))
+
+#: Folders of the warehouses published so far: one for each application and folder of test tables.
+_WAREHOUSES: dict[tuple[str, str], str] = {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,25 +81,73 @@ class Star:
         """Written once: programmes and attainments both read it, in several places of a plan."""
         return materialise(tables.quarter_volumes(self.spark, self.sf_dir))
 
+    @cached_property
+    def warehouse(self) -> str:
+        """The folder that this session publishes the folder's silver and gold tables in, each once."""
+        name = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if name not in _WAREHOUSES:
+            _WAREHOUSES[name] = f"{ensure_checkpoint_dir(self.spark)}/warehouse-{uuid.uuid4().hex}"
+        return _WAREHOUSES[name]
+
+    def _published(self, path: str, build: Callable[[], DataFrame], write: Callable = publish) -> DataFrame:
+        root = f"{self.warehouse}/{path}"
+        if not has_version(self.spark, root):
+            write(build(), root)
+        return read_published(self.spark, root)
+
+    def silver(self, name: str) -> DataFrame:
+        """A cleansed feed as published; its key is unique, and its sales say so."""
+
+        def build() -> DataFrame:
+            rows = CLEANERS[name](self.raw(name), loaded_at=F.lit(AS_OF))
+            return state_unique(rows, "txn_id", check=False) if name == "sales_transactions" else rows
+
+        return self._published(f"silver/{name}", build)
+
+    def silver_tables(self, *names: str) -> dict[str, DataFrame]:
+        return {name: self.silver(name) for name in names}
+
+    def silver_sales(self) -> DataFrame:
+        return facts.sales_measures(self.silver("sales_transactions"), self.silver("products"))
+
+    def dimension(self, name: str) -> DataFrame:
+        """A published dimension, its keys from the map kept beside it."""
+        builders = {
+            "dim_reps": self.reps,
+            "dim_accounts": self.accounts,
+            "dim_products": self.products,
+            "dim_suppliers": self.suppliers,
+            "dim_programs": self.programs,
+        }
+        key, natural = dims.KEYS[name]
+        return self._published(
+            f"gold/{name}",
+            lambda: keyed_dimension(self.spark, builders[name](), natural, key, f"{self.warehouse}/keys/{name}"),
+        )
+
+    def gold_sales(self, *days: dt.date) -> DataFrame:
+        self._published("gold/fact_sales", self.fact_sales, publish_by_month)
+        return read_sales(self.spark, f"{self.warehouse}/gold/fact_sales", *days)
+
     def sales(self, *header: str, priced: bool = False) -> DataFrame:
         return facts.sales_measures(
             tables.sales_transactions(self.spark, self.sf_dir, header, priced)
         )
 
     def reps(self, keyed: bool = False) -> DataFrame:
-        return dims.dim_reps(self.entity("sales_reps"), as_of=AS_OF, keyed=keyed)
+        return self.dimension("dim_reps") if keyed else dims.dim_reps(self.entity("sales_reps"), as_of=AS_OF, keyed=False)
 
     def accounts(self, keyed: bool = False) -> DataFrame:
-        return dims.dim_accounts(self.entity("accounts"), keyed=keyed)
+        return self.dimension("dim_accounts") if keyed else dims.dim_accounts(self.entity("accounts"), keyed=False)
 
     def products(self, keyed: bool = False) -> DataFrame:
-        return dims.dim_products(self.entity("products"), tiers=PRICE_TIERS, keyed=keyed)
+        return self.dimension("dim_products") if keyed else dims.dim_products(self.entity("products"), tiers=PRICE_TIERS, keyed=False)
 
     def suppliers(self, keyed: bool = False) -> DataFrame:
-        return dims.dim_suppliers(self.entity("suppliers"), keyed=keyed)
+        return self.dimension("dim_suppliers") if keyed else dims.dim_suppliers(self.entity("suppliers"), keyed=False)
 
     def programs(self, keyed: bool = False) -> DataFrame:
-        return dims.dim_programs(self.entity("supplier_programs"), keyed=keyed)
+        return self.dimension("dim_programs") if keyed else dims.dim_programs(self.entity("supplier_programs"), keyed=False)
 
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
@@ -122,9 +177,6 @@ class Star:
     def cleansed(self, name: str) -> DataFrame:
         return CLEANERS[name](self.raw(name), loaded_at=F.lit(AS_OF)).drop(LOADED_AT, SOURCE)
 
-    def cleansed_tables(self, *names: str) -> dict[str, DataFrame]:
-        return {name: self.cleansed(name) for name in names}
-
 
 def _on_star(build: Callable[[Star], DataFrame], rounded: Sequence[str] = ()) -> Query:
     return lambda spark, sf_dir: comparable(build(Star(spark, sf_dir)), rounded)
@@ -136,73 +188,146 @@ def _rejected_programs(star: Star) -> DataFrame:
 
 
 def _row_counts(star: Star) -> DataFrame:
+    """The published dimensions and facts, counted."""
     return quality.row_counts(
         {
-            "dim_reps": star.reps(),
-            "dim_accounts": star.accounts(),
-            "dim_products": star.products(),
-            "dim_suppliers": star.suppliers(),
-            "dim_programs": star.programs(),
+            **{name: star.dimension(name) for name in dims.KEYS},
             "dim_date": dims.dim_date_covering(tables.table(star.spark, star.sf_dir, "orders"), "o_orderdate"),
-            "fact_sales": star.fact_sales(),
-            "fact_quota": star.fact_quota(),
-            "fact_attainment": star.fact_attainment(),
+            "fact_sales": star.gold_sales(),
+            "fact_quota": star._published("gold/fact_quota", lambda: star.fact_quota(keyed=True)),
+            "fact_attainment": star._published("gold/fact_attainment", lambda: star.fact_attainment(keyed=True)),
         }
     )
 
 
 def _invalid_sales(star: Star) -> DataFrame:
     check = quality.validity_checks()[0]
-    rows = quality.failing_rows(star.cleansed_tables("sales_transactions"), check)
+    rows = quality.failing_rows(star.silver_tables("sales_transactions"), check)
     return rows.select("txn_id", "txn_date", "cases_sold", "revenue_usd", "is_valid").orderBy("txn_id")
 
 
 def _orphans(star: Star) -> DataFrame:
-    reps = star.cleansed("sales_reps").select("rep_id")
-    sales = quality.orphan_keys(star.cleansed("sales_transactions"), reps, ["rep_id"])
-    accounts = quality.orphan_keys(star.cleansed("accounts"), reps, ["rep_id", "account_name"])
+    reps = star.silver("sales_reps").select("rep_id")
+    sales = quality.orphan_keys(star.silver("sales_transactions"), reps, ["rep_id"])
+    accounts = quality.orphan_keys(star.silver("accounts"), reps, ["rep_id", "account_name"])
     return sales.select(
         F.lit("5c").alias("check_id"), "rep_id", F.lit(None).cast("string").alias("account_name")
     ).unionByName(accounts.select(F.lit("5d").alias("check_id"), "rep_id", "account_name"))
 
 
-def _csv_feed(star: Star, name: str) -> str:
-    """Write a raw feed as headed delimited files in the shared folder and return their path."""
-    path = f"{ensure_checkpoint_dir(star.spark)}/feeds-{uuid.uuid4().hex}/{name}"
-    writer = star.raw(name).drop(LOADED_AT).write.option("header", True).option("quote", "")
+def _csv(feed: DataFrame, folder: str, name: str) -> str:
+    """Write a raw feed as headed delimited files and return their path."""
+    path = f"{folder}/{name}"
+    writer = feed.drop(LOADED_AT).write.option("header", True).option("quote", "")
     for side in ("Leading", "Trailing"):
         writer = writer.option(f"ignore{side}WhiteSpace", False)
     writer.csv(path)
     return path
 
 
+def _new_folder(star: Star, label: str) -> str:
+    return f"{ensure_checkpoint_dir(star.spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _csv_feeds(star: Star) -> dict[str, str]:
+    """All raw feeds as delimited files, written once."""
+    paths = {name: f"{star.warehouse}/files/{name}" for name in ENTITIES}
+    for name, path in paths.items():
+        root = star.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not root.getFileSystem(star.spark._jsc.hadoopConfiguration()).exists(root):
+            _csv(star.raw(name), f"{star.warehouse}/files", name)
+    return paths
+
+
 def _ingested(star: Star) -> DataFrame:
-    return ingest(star.spark, _csv_feed(star, "accounts"), ENTITIES["accounts"]).drop(LOADED_AT)
+    return ingest(star.spark, _csv_feeds(star)["accounts"], ENTITIES["accounts"]).drop(LOADED_AT)
 
 
 def _load_audit(star: Star) -> DataFrame:
-    """Load two entities from delimited files to raw and on to cleansed tables."""
-    names = ("sales_reps", "accounts")
-    root = f"{ensure_checkpoint_dir(star.spark)}/load-{uuid.uuid4().hex}"
-    files = {name: _csv_feed(star, name) for name in names}
-    bronze = load_bronze(star.spark, files, f"{root}/bronze", parallel=2)
-    silver = load_silver(star.spark, f"{root}/bronze", f"{root}/silver", names)
+    """All eight entities from delimited files to raw and cleansed tables, then the nine gold tables."""
+    root = _new_folder(star, "load")
+    bronze = load_bronze(star.spark, _csv_feeds(star), f"{root}/bronze", parallel=4)
+    silver = load_silver(star.spark, f"{root}/bronze", f"{root}/silver")
+    cleansed = {name: read_published(star.spark, f"{root}/silver/{name}") for name in ENTITIES}
+    gold = build_gold(star.spark, cleansed, f"{root}/gold", as_of=AS_OF, tiers=PRICE_TIERS)
+    layers = (("bronze", bronze), ("silver", silver), ("gold", gold))
+    audit = [rows.withColumn("layer", F.lit(layer)) for layer, rows in layers]
+    return reduce(DataFrame.unionByName, audit).select("layer", "table_name", "rows", "ok")
+
+
+def _load_isolated(star: Star) -> DataFrame:
+    """A raw load in which one file is missing and one lacks a column: the others are loaded all the same."""
+    root = _new_folder(star, "load")
+    files = _csv_feeds(star)
+    files["products"] = f"{root}/no-such-file"
+    files["suppliers"] = _csv(star.raw("suppliers").drop("country"), root, "suppliers")
+    audit = load_bronze(star.spark, files, f"{root}/bronze", parallel=4)
+    seen = {name: has_version(star.spark, f"{root}/bronze/{name}") for name in ENTITIES}
+    counts = quality.row_counts(
+        {name: read_published(star.spark, f"{root}/bronze/{name}") for name, there in seen.items() if there}
+    )
+    stamped = star.spark.createDataFrame(
+        [(n, _raw_stamps(read_published(star.spark, f"{root}/bronze/{n}"))) for n, there in seen.items() if there],
+        "table_name string, one_stamp boolean",
+    )
     return (
-        bronze.withColumn("layer", F.lit("bronze"))
-        .unionByName(silver.withColumn("layer", F.lit("silver")))
-        .select("layer", "table_name", "rows", "ok")
+        audit.join(counts, "table_name", "left")
+        .join(stamped, "table_name", "left")
+        .select("table_name", "rows", "ok", F.col("error").isNotNull().alias("failed"), "row_count", "one_stamp")
     )
 
 
-def _gold(build: Callable[[Star, DataFrame], DataFrame]) -> Query:
-    """Publish the sales fact by month in the shared folder, and run an analysis on what is there."""
+def _raw_stamps(rows: DataFrame) -> bool:
+    """Whether every row has a load stamp and all rows of the load the same."""
+    found = rows.agg(F.count_distinct(LOADED_AT).alias("stamps"), F.count_if(F.col(LOADED_AT).isNull()).alias("without"))
+    return tuple(found.first()) == (1, 0)
+
+
+#: Entities of the load that fails, in load order, and the table it fails at.
+FAILING, FAILS_AT = ("sales_reps", "suppliers", "products", "accounts"), "products"
 
-    def run(star: Star) -> DataFrame:
-        root = f"{ensure_checkpoint_dir(star.spark)}/gold-{uuid.uuid4().hex}/fact_sales"
-        publish_by_month(star.fact_sales(), root)
-        return build(star, read_published(star.spark, root))
 
-    return _on_star(run)
+def _load_fail_fast(star: Star) -> DataFrame:
+    """A load whose third table has an id that is no number: it stops there and raises.
+
+    The tables before it are the new ones (here those of even id), it and those after it the old ones.
+    """
+    root = _new_folder(star, "load")
+    for name in FAILING:
+        raw = star.raw(name)
+        publish(raw, f"{root}/old/{name}")
+        key = ENTITIES[name].key[0]
+        even = raw.where(F.trim(key).cast("bigint") % 2 == 0)
+        publish(even.withColumn(key, F.lit("none")) if name == FAILS_AT else even, f"{root}/new/{name}")
+    load_silver(star.spark, f"{root}/old", f"{root}/silver", FAILING)
+    try:
+        load_silver(star.spark, f"{root}/new", f"{root}/silver", FAILING)
+        raised = False
+    except Exception as problem:  # noqa: BLE001  whatever Spark raises for a cast
+        raised = "none" in str(problem)
+    counts = quality.row_counts({name: read_published(star.spark, f"{root}/silver/{name}") for name in FAILING})
+    return counts.withColumn("raised", F.lit(raised))
+
+
+def _silver_stamps(star: Star) -> DataFrame:
+    """The audit columns of the cleansed tables: where rows come from and when they were loaded."""
+    per_table = [
+        rows.agg(
+            F.lit(name).alias("table_name"),
+            F.min(SOURCE).alias("first_source"),
+            F.max(SOURCE).alias("last_source"),
+            F.min(LOADED_AT).cast("date").alias("first_load"),
+            F.max(LOADED_AT).cast("date").alias("last_load"),
+            F.count(LOADED_AT).alias("stamped"),
+        )
+        for name, rows in star.silver_tables(*ENTITIES).items()
+    ]
+    return reduce(DataFrame.unionByName, per_table)
+
+
+def _all_checks() -> list[quality.Check]:
+    limits = (dt.date(1996, 1, 1), dt.date(2000, 12, 31), dt.date(2010, 1, 1))
+    return [*quality.null_checks(), *quality.range_checks(*limits), *quality.validity_checks()]
 
 
 def _running_revenue(star: Star) -> DataFrame:
@@ -298,7 +423,6 @@ def queries() -> dict[str, Query]:
             lambda s: experiments.ab_channel(
                 s.sales("account_id", "channel", priced=True), s.accounts()
             ),
-            ["stdev_order_value"],
         ),
         "ab_discount_lift": _on_star(
             lambda s: experiments.ab_discount_lift(s.sales(priced=True)),
@@ -337,18 +461,37 @@ def queries() -> dict[str, Query]:
         ),
         "attainment_behind": _on_star(lambda s: s.fact_attainment().filter("status = 'Behind'")),
         # Analyses of the published sales fact
-        "gold_monthly_trend": _gold(lambda s, fact: dashboard.monthly_trend(facts.sales_from_gold(fact))),
-        "gold_customer_ltv": _gold(
-            lambda s, fact: loyalty.customer_ltv(
-                facts.sales_from_gold(fact, s.reps(keyed=True), s.accounts(keyed=True)),
-                s.accounts(),
-                s.reps(),
+        "gold_monthly_trend": _on_star(lambda s: dashboard.monthly_trend(facts.sales_from_gold(s.gold_sales()))),
+        "gold_trend_of_days": _on_star(
+            lambda s: dashboard.monthly_trend(facts.sales_from_gold(s.gold_sales(*TREND_DAYS)))
+        ),
+        "gold_customer_ltv": _on_star(
+            lambda s: loyalty.customer_ltv(
+                facts.sales_from_gold(s.gold_sales(), s.reps(keyed=True), s.accounts(keyed=True)),
+                s.accounts(keyed=True),
+                s.reps(keyed=True),
                 tiers=LTV_TIERS,
             )
         ),
-        "gold_channel_split": _gold(
-            lambda s, fact: dashboard.channel_split(
-                facts.sales_from_gold(fact, s.reps(keyed=True), s.accounts(keyed=True)), s.accounts(), s.reps()
+        "gold_channel_split": _on_star(
+            lambda s: dashboard.channel_split(
+                facts.sales_from_gold(s.gold_sales(), s.reps(keyed=True), s.accounts(keyed=True)),
+                s.accounts(keyed=True),
+                s.reps(keyed=True),
+            )
+        ),
+        # Analyses of the published cleansed sales, whose ids are unique: counts without a shuffle by id
+        "silver_kpi_card": _on_star(
+            lambda s: dashboard.kpi_card(
+                s.silver_sales(),
+                dims.dim_accounts(s.silver("accounts"), keyed=False),
+                dims.dim_reps(s.silver("sales_reps"), as_of=AS_OF, keyed=False),
+            )
+        ),
+        "silver_monthly_trend": _on_star(lambda s: dashboard.monthly_trend(s.silver_sales())),
+        "silver_price_tier_mix": _on_star(
+            lambda s: dashboard.price_tier_mix(
+                s.silver_sales(), dims.dim_products(s.silver("products"), tiers=SILVER_TIERS, keyed=False)
             )
         ),
         # Global window operator
@@ -366,19 +509,20 @@ def queries() -> dict[str, Query]:
         # Quality checks
         "qc_nulls": _on_star(
             lambda s: quality.run_checks(
-                s.cleansed_tables("sales_reps", "sales_transactions", "products", "supplier_programs"),
+                s.silver_tables("sales_reps", "sales_transactions", "products", "supplier_programs"),
                 quality.null_checks(),
             )
         ),
         "qc_ranges": _on_star(
             lambda s: quality.run_checks(
-                s.cleansed_tables("sales_reps", "sales_transactions", "supplier_programs"),
+                s.silver_tables("sales_reps", "sales_transactions", "supplier_programs"),
                 quality.range_checks(dt.date(1996, 1, 1), dt.date(2000, 12, 31), dt.date(2010, 1, 1)),
             )
         ),
+        "qc_counts": _on_star(lambda s: quality.run_checks(s.silver_tables(*ENTITIES), _all_checks())),
         "qc_domains": _on_star(
             lambda s: quality.label_counts(
-                s.cleansed_tables("accounts", "suppliers", "rep_quota_actuals", "program_attainments"),
+                s.silver_tables("accounts", "suppliers", "rep_quota_actuals", "program_attainments"),
                 quality.LABEL_COLUMNS,
             )
         ),
@@ -396,14 +540,17 @@ def queries() -> dict[str, Query]:
             )
         ),
         "qc_invalid_sales": _on_star(_invalid_sales),
-        "qc_pct_gap": _on_star(lambda s: quality.attainment_gaps(s.cleansed("program_attainments"))),
+        "qc_pct_gap": _on_star(lambda s: quality.attainment_gaps(s.silver("program_attainments"))),
         "qc_orphans": _on_star(_orphans),
-        "qc_row_counts": _on_star(lambda s: quality.row_counts(s.cleansed_tables(*ENTITIES))),
+        "qc_row_counts": _on_star(lambda s: quality.row_counts(s.silver_tables(*ENTITIES))),
     }
     registry |= {
         # Raw files and load control
         "bronze_accounts": _on_star(_ingested),
         "load_audit": _on_star(_load_audit),
+        "load_isolated": _on_star(_load_isolated),
+        "load_fail_fast": _on_star(_load_fail_fast),
+        "silver_stamps": _on_star(_silver_stamps),
     }
     # Report texts of the analyses that are shown as text
     for name in formats(retention_years=RETENTION_YEARS):
