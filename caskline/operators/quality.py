@@ -90,9 +90,9 @@ def duplicate_keys(
         repeated = (
             tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
         )
-        # Different keys never read alike: a NULL part is \N, and a part's own \ and | follow a \.
+        # Different keys never read alike: a part's own \ and | follow a \, and so does a text NULL.
         parts = [
-            F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1"), F.lit(r"\N"))
+            F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"([\\|]|^(?=NULL$))", r"\\$1"), F.lit("NULL"))
             for c in columns
         ]
         text = F.concat(*[p for part in parts for p in (F.lit("|"), part)][1:])
