@@ -75,7 +75,13 @@ def _fly(chance: np.ndarray, size: np.ndarray, dice: np.ndarray) -> np.ndarray:
 
 
 def _land(chance: np.ndarray, size: np.ndarray, dice: np.ndarray) -> np.ndarray:
-    """Landing phase: of the rows still open (two at most), decide so that the words come nearest."""
+    """Landing phase: decide the rows still open (two at most), then repair what that costs.
+
+    An open row may be the longest one, since a step moves a row by the size difference of the other
+    two. So the words missed are made up by the decided rows of this block: as long as it brings the
+    words nearer to their total, the best of all exchanges of a taken row for another, or else of all
+    rows put in or left out, is made. Only rows that had a chance between 0 and 1 are exchanged.
+    """
     p = _fly(chance, size, dice)
     open_rows = np.flatnonzero((p > 0) & (p < 1))
     wanted = float((p[open_rows] * size[open_rows]).sum())
@@ -86,12 +92,28 @@ def _land(chance: np.ndarray, size: np.ndarray, dice: np.ndarray) -> np.ndarray:
     )
     for j, row in enumerate(open_rows):
         p[row] = best >> j & 1
+    free = (chance > 0) & (chance < 1)
+    total = float((chance * size).sum())
+    while abs(miss := total - float((p * size).sum())) >= 1:
+        out, inside = np.flatnonzero(free & (p == 0)), np.flatnonzero(free & (p == 1))
+        # A row that stays as it is stands for the one side of a mere addition or removal.
+        gain = np.append(size[out], 0.0)[:, None] - np.append(size[inside], 0.0)[None, :]
+        left = np.abs(miss - gain)
+        left[-1, -1] = np.inf
+        # Exchanges keep the number of documents; of equally good ones they come first.
+        i, j = np.unravel_index(int(np.argmin(left)), left.shape)
+        if not left[i, j] < abs(miss) - 1e-6:
+            break
+        if i < len(out):
+            p[out[i]] = 1
+        if j < len(inside):
+            p[inside[j]] = 0
     return p
 
 
 def _decide(last: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        # Longest first, so that the rows left open are short ones and landing costs few words.
+        # By size, so that the three rows of a step differ little.
         group = group.sort_values(["_size", "_order", "_row"], ascending=[False, True, True], kind="stable")
         seed = int(group["_order"].iloc[0]) % _SPAN
         dice = np.random.default_rng(seed).random(2 * len(group) + 8)
@@ -132,8 +154,9 @@ def balanced_mix(
     target is ``r`` times its words enters ``floor(r)`` times for sure, and once more with the chance
     that is left. The cube method draws these: blocks of ``block_rows`` rows of a source fly until
     two rows each are open, the open rows of a source form the blocks of the next level, and when one
-    block is left it lands. Documents and words of every source are balanced; the words of a source
-    miss its target by less than its longest document.
+    block is left it lands. Documents and words of every source are balanced; landing exchanges rows
+    of the last block until the words of the source are as near to its target as any exchange
+    brings them, within a few words where there are a few dozen documents of mixed sizes.
 
     Returns id, size, source_size, target, taken, copies. Null or empty text: size 0, taken 0. A null
     source is a source. Repeated rows are drawn one by one, and dealt over the blocks as others are. An empty table gives an empty result.

@@ -32,6 +32,51 @@ def test_words_and_documents_of_each_source_are_balanced(spark):
     assert again == {(r.doc_id, r.copies) for r in rows}
 
 
+def near_enough(rows):
+    """Every source within 1 % of its target, or within its five shortest rows."""
+    by = {}
+    for r in rows:
+        by.setdefault((r.source_size, r.target), []).append(r)
+    for (_, target), own in by.items():
+        short = sum(sorted(r.size for r in own if r.size)[:5])
+        assert abs(sum(r.taken for r in own) - target) <= max(0.01 * target, short)
+        assert all(r.taken <= 3 * r.size for r in own)
+    return by
+
+
+def test_the_test_tables_meet_their_targets(spark, larger_dir):
+    rows = balanced_mix(spark.read.parquet(f"{larger_dir}/documents.parquet")).collect()
+    assert len(near_enough(rows)) == 20
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_row_of_a_third_of_the_words(spark, seed):
+    docs = spark.range(240).selectExpr(
+        "id as doc_id",
+        f"case when id < 3 then repeat('w ', 3000) else repeat('w ', cast(1 + pmod(hash(id, {seed}), 150) as int)) end as text",
+        "concat('s', id % 3) as source",
+    )
+    rows = balanced_mix(docs).collect()
+    assert max(r.size for r in rows) * 3 > min(r.source_size for r in rows)
+    for (size, target), own in near_enough(rows).items():
+        assert abs(sum(r.copies for r in own) - len(own) * target / size) <= 0.15 * len(own) + 3
+
+
+def test_landing_decides_every_row_and_leaves_sure_ones():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 10, 200):
+        chance = np.where(rng.random(n) < 0.2, rng.integers(0, 2, n), rng.random(n))
+        size = rng.integers(1, 500, n).astype(float)
+        size[0] = 5000
+        p = mixing._land(chance, size, rng.random(2 * n + 8))
+        sure = (chance == 0) | (chance == 1)
+        assert set(p) <= {0.0, 1.0} and (p[sure] == chance[sure]).all()
+        if n == 200:
+            assert abs((p * size).sum() - (chance * size).sum()) <= 2
+
+
 def test_awkward_rows_and_empty_table(spark):
     rows = balanced_mix(awkward(spark)).collect()
     assert len(rows) == 13
