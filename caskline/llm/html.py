@@ -38,8 +38,11 @@ _ENDS = {
     "option": ({"option"}, {"select"}),
 }
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|textarea|iframe|svg|math|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    # Foreign elements may close themselves, and a tag of HTML's own ends one that stays open.
+    r"|<(?:svg|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?:svg|math)\b[^>]*>.*?(?:</(?:svg|math)\s*>|\Z|(?=</?(?:p|div|h[1-6]|[uod]l|li|d[td]|table|t[rdh]|article|section|main|aside|nav|header|footer|figure|blockquote|pre|body|html|form|br|hr|img|span)\b))"
+    r"|<(script|style|template|noscript|textarea|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>"
     r"|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -74,9 +77,9 @@ def _names(attributes: str) -> frozenset[str]:
 
 
 def _silent(source: str, begin: int, tag: str) -> int:
-    """Where the content of an element that is never text ends."""
+    """Where the content of an element that is never text ends; without an end tag it has none."""
     end = re.compile(rf"</{tag}\s*>", re.I).search(source, begin)
-    return end.end() if end else len(source)
+    return end.end() if end else begin
 
 
 def leaf_blocks(source: str | None) -> list[Block]:
@@ -85,8 +88,9 @@ def leaf_blocks(source: str | None) -> list[Block]:
     Character references are decoded, white space (line breaks and <br> too) becomes one blank, blocks
     without text are left out. A head ends at its end tag, at the first tag it may not hold or at text.
     Missing end tags are implied, stray ones ignored, comments and the
-    content of scripts, styles, templates and the like are no text. A page cut off in a tag keeps what
-    comes before it. Null: no blocks.
+    content of scripts, styles, templates and the like are no text. Drawings and formulas may close
+    themselves or end at the next HTML tag; media without an end tag hide nothing. A page cut off in a
+    tag keeps what comes before it. Null: no blocks.
     """
     blocks: list[Block] = []
     stack: list[_Open] = []
@@ -171,14 +175,31 @@ def _step(x: float, edges: Sequence[float]) -> int:
     return sum(x > e for e in edges)
 
 
+def _containers(blocks: Sequence[Block]) -> list[tuple[float, bool]]:
+    """For each block how much of the page's plain text its container holds, and whether none holds more.
+
+    Blocks with the same ancestors (but the last) and the same names around them are in one container, as
+    far as a list of leaves can tell; plain text is text that is no link, of blocks of 6 words or more.
+    """
+    held: dict[tuple, int] = {}
+    keys = [(b.tags[:-1], b.names) for b in blocks]
+    for key, b in zip(keys, blocks, strict=True):
+        held[key] = held.get(key, 0) + (len(b.text) - b.linked if b.text.count(" ") >= 5 else 0)
+    total, most = max(1, sum(held.values())), max(held.values(), default=0)
+    return [(held[key] / total, most > 0 and held[key] == most) for key in keys]
+
+
 def block_features(blocks: Sequence[Block]) -> list[list[str]]:
-    """What the field sees of each block: ancestor tags and names, own tag, and traits of the text."""
+    """What the field sees of each block: ancestor tags and names, own tag, traits of the text and of the
+    blocks beside it, and the part of the page's text that its container holds."""
     out, n = [], len(blocks)
+    held = _containers(blocks)
+    long = [_step(b.text.count(" ") + 1, (3, 10, 25)) for b in blocks]
     for k, b in enumerate(blocks):
         words = b.text.count(" ") + 1
         ends = b.text[-1]
         own = [f"has {t}" for t in set(b.tags)]
-        own += [f"name {x}" for x in b.names]
+        own += [f"name {x}" for x in b.names if " " not in x]
         own += [
             f"tag {b.tags[-1] if b.tags else ''}",
             f"words {_step(words, (1, 3, 6, 12, 25, 60))}",
@@ -187,7 +208,13 @@ def block_features(blocks: Sequence[Block]) -> list[list[str]]:
             f"commas {_step(b.text.count(',') / words, (0, 0.02, 0.08))}",
             f"place {_step((k + 0.5) / n, (0.1, 0.3, 0.7, 0.9))}",
             f"depth {min(len(b.tags), 8)}",
+            f"container {_step(held[k][0], (0.02, 0.1, 0.3, 0.6))}{' most' if held[k][1] else ''}",
+            f"before {long[k - 1] if k else 'none'}",
+            f"after {long[k + 1] if k + 1 < n else 'none'}",
+            f"linked words {_step(words, (3, 10, 25))} {b.linked > 0.5 * len(b.text)}",
         ]
+        if k:
+            own.append(f"moves {b.tags[:-1] == blocks[k - 1].tags[:-1]} {held[k][1]} {held[k - 1][1]}")
         if "©" in b.text or "copyright" in b.text.lower():
             own.append("copyright")
         out.append(own)
@@ -394,8 +421,27 @@ def labelled_by_markup(blocks: Sequence[Block]) -> list[int] | None:
     ]
 
 
+def without_names(blocks: Sequence[Block], rng: random.Random) -> list[Block]:
+    """The blocks as on a page that names its parts in no way that others do: no names, articles in plain
+    containers, and in half of the cases plain containers for all other parts too."""
+    plain = rng.choice(("div", "section", "td", ""))
+    parts = rng.random() < 0.5
+
+    def bare(b: Block) -> Block:
+        # Containers stay told apart, as they are on a page with names of its own.
+        own = frozenset({"unnamed " + " ".join(sorted(b.names))}) if b.names else frozenset()
+        tags = (plain if t in ("article", "main") else "div" if parts and t in _PARTS else t for t in b.tags)
+        return Block(b.text, tuple(t for t in tags if t), own, b.linked)
+
+    return [bare(b) for b in blocks]
+
+
+_PARTS = frozenset("nav aside header footer".split())
+
+
 def training_sequences(pages: Sequence[str], layouts: int = LAYOUTS, seed: int = 7) -> list[tuple[list[list[str]], list[int]]]:
-    """Labelled sequences from pages that mark their article: as they are, and set in other layouts."""
+    """Labelled sequences from pages that mark their article: as they are, set in other layouts, and each of
+    these again without the names."""
     out = []
     rng = random.Random(seed)
     for source in pages:
@@ -404,6 +450,7 @@ def training_sequences(pages: Sequence[str], layouts: int = LAYOUTS, seed: int =
         if labels is None:
             continue
         out.append((block_features(blocks), labels))
+        out.append((block_features(without_names(blocks, rng)), labels))
         own = [b.text for b, y in zip(blocks, labels, strict=True) if y]
         words = [w for b in blocks for w in b.text.split()][:500]
         for _ in range(layouts if own else 0):
@@ -411,6 +458,7 @@ def training_sequences(pages: Sequence[str], layouts: int = LAYOUTS, seed: int =
             made = leaf_blocks(page)
             if len(made) == len(truth):
                 out.append((block_features(made), truth))
+                out.append((block_features(without_names(made, rng)), truth))
     return out
 
 

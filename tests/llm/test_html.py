@@ -106,3 +106,57 @@ def test_training_pages_are_those_that_mark_their_article(spark, monkeypatch):
     monkeypatch.setattr(html, "training_sequences", lambda pages: seen.append(sorted(pages)) or train(pages))
     html.train_on(spark.createDataFrame(rows, "html string").repartition(3), rows=5)
     assert len(seen) == 1 and len(seen[0]) == 5 and all("article" in x.lower() or "main>" in x.lower() for x in seen[0])
+
+
+@pytest.mark.parametrize(
+    "stray",
+    ['<svg class="i"/>', "<svg viewBox='0 0 1 1' />", "<math/>", "<svg><path d='M0'/></svg>", "<svg><path d='M0'>", "<!-->", "<!--->", "<!-- x --!>",
+     '<video src="a">', "<object data=b>", "<audio>", "<canvas id=c>", "<video>no</video>", "<math><mi>x</mi></math>"],
+)
+def test_what_follows_a_stray_element_is_kept(stray):
+    page = f"<article><h1>Head</h1>{stray}<p>First part.</p><p>Second part.</p></article>"
+    assert texts(page) == ["Head", "First part.", "Second part."]
+
+
+def _paragraphs(n, seed):
+    return [" ".join(words(20, seed + j).split()).capitalize() + "." for j in range(n)]
+
+
+#: Layouts written by hand; none has a name of the lists. {h} is the heading, {p} paragraphs in the given tag.
+_MENU = "<ul>" + "".join(f'<li><a href="/{k}">Item {k}</a></li>' for k in range(5)) + "</ul>"
+_HAND = {
+    "bare body": "<body>{h}{p}</body>",
+    "div": "<body><div>{h}{p}</div></body>",
+    "section": "<body><section>{h}{p}</section></body>",
+    "table": "<body><table><tr><td>{h}{p}</td></tr></table></body>",
+    "prose": '<body><div class="prose">{h}{p}</div></body>',
+    "text": '<body><div class="text">{h}{p}</div></body>',
+    "wrapper": '<body><div class="x1"><div class="x2"><div class="x3">{h}{p}</div></div></div></body>',
+    "menu before": "<body><div class='q'>" + _MENU + "</div><div class='z'>{h}{p}</div></body>",
+    "menu after": "<body><div class='z'>{h}{p}</div><div class='q'>" + _MENU + "</div></body>",
+    "nav and footer": "<body><nav>" + _MENU + "</nav><div>{h}{p}</div><footer><p>© 2020 Some Firm</p></footer></body>",
+    "old tables": "<body><table><tr><td>" + _MENU + "</td><td>{h}{p}</td></tr></table></body>",
+    "centred": "<body><center>{h}{p}</center><hr><a href=/a>Home</a> <a href=/b>Back</a></body>",
+    "main": "<body><main>{h}{p}</main></body>",
+}
+
+
+def _by_hand(name, seed):
+    heading, own = words(5, seed).capitalize(), _paragraphs(12, seed * 50)
+    page = _HAND[name].replace("{h}", f"<h1>{heading}</h1>").replace("{p}", "".join(f"<p>{x}</p>" for x in own))
+    article = {heading, *own}
+    blocks = html.leaf_blocks(page)
+    return blocks, [int(b.text in article) for b in blocks]
+
+
+def test_layouts_that_no_list_names(spark, larger_dir):
+    field = html.train_on(spark.read.parquet(f"{larger_dir}/pages.parquet"))
+    right = total = 0
+    for name in _HAND:
+        for seed in (3, 4, 5):
+            blocks, truth = _by_hand(name, seed)
+            found = field.decode(html.block_features(blocks))
+            assert any(found), name
+            right += sum(a == b for a, b in zip(found, truth, strict=True))
+            total += len(truth)
+    assert right >= 0.95 * total
