@@ -47,9 +47,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def row_key(id_col: str, text_col: str) -> Column:
-    """A text that names a row by id and text hash; it sorts as ids from 0 do, null ids come last."""
-    number = F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit("null"))
-    return F.concat(number, F.lit(":"), F.xxhash64(text_col).cast("string"))
+    """A text that names a row by id and text hash; it sorts as ids from 0 do, null ids come last.
+
+    Other ids (texts, negative numbers) stay whole behind a tilde, so that no two ids read alike.
+    """
+    text = F.col(id_col).cast("string")
+    plain = text.rlike(r"^(0|[1-9][0-9]{0,18})\z")
+    number = F.when(plain, F.lpad(text, 20, "0")).otherwise(F.concat(F.lit("~"), text))
+    return F.concat(F.coalesce(number, F.lit("\x7f")), F.lit(":"), F.xxhash64(text_col).cast("string"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

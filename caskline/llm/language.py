@@ -81,8 +81,8 @@ def ranked(grams: np.ndarray, ranks: int) -> np.ndarray:
 def train_profiles(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", ranks: int = RANKS) -> DataFrame:
     """Count every n-gram of every text by language; the ``ranks`` most frequent make its profile.
 
-    Returns lang, rank (from 0), gram. Counts are summed inside the tasks, then by Spark. A language's
-    distinct n-grams are bounded by its alphabet, which bounds the window.
+    Returns lang, rank (from 0), gram. Counts are summed inside the tasks, then by Spark. Of a language's
+    distinct n-grams each task sends its ``ranks`` most frequent on to the window.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,9 @@ def train_profiles(labelled: DataFrame, lang_col: str = "lang", text_col: str =
         .agg(F.sum("n").alias("n"))
     )
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
-    return totals.withColumn("rank", order - 1).where(F.col("rank") < ranks).select("lang", "rank", "gram")
+    # The limit stands on the row number itself, so every task keeps its first rows only before they meet.
+    first = totals.withColumn("_place", order).where(F.col("_place") <= ranks)
+    return first.select("lang", (F.col("_place") - 1).alias("rank"), "gram")
 
 
 def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: int = RANKS) -> DataFrame:

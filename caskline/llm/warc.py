@@ -229,6 +229,10 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
     return archives.mapInArrow(rewrite, INDEX)
 
 
+#: Payload bytes that a task holds before it passes records on.
+READ_BYTES = 4 << 20
+
+
 def read_records(index: DataFrame) -> DataFrame:
     """Read records by archive, offset and length, each without inflating another.
 
@@ -238,8 +242,15 @@ def read_records(index: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, handle = None, None
+        rows: list[tuple] = []
+        held = 0
+
+        def ready() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _READ.types, strict=True)], schema=_READ)
+            rows.clear()
+            return out
+
         for batch in batches:
-            rows = []
             for path, offset, length in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if path != name:
                     if handle:
@@ -267,10 +278,13 @@ def read_records(index: DataFrame) -> DataFrame:
                         payload if fields["warc-type"] == "response" else None,
                     )
                 )
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _READ.types, strict=True)], schema=_READ
-                )
+                # By bytes, not by records: one large payload, or some small ones, at a time.
+                held += len(payload) + 200
+                if held >= READ_BYTES:
+                    yield ready()
+                    held = 0
+        if rows:
+            yield ready()
         if handle:
             handle.close()
 

@@ -111,3 +111,14 @@ def test_rows_that_repeat_id_and_text_are_compared_once(spark, monkeypatch):
     assert len(got) == len(rows)
     assert {(r.copies_id, r.n_copies, r.n_links, r.class_id) for r in got if r.doc_id in (1, 2)} == {(1, 60, 1, 1), (2, 1, 1, 1)}
     assert sorted(str(r.doc_id) for r in j.keep_one_of_each(docs).collect()) == sorted(["1", "None", *map(str, range(10, 30))])
+
+
+def test_no_two_ids_read_alike(spark):
+    from caskline.llm.common import row_key
+
+    ids = ["a" * 24 + "-1", "a" * 24 + "-2", "a", "0a", "7", "07", "-7", "null", "", None, "12345678901234567890123"]
+    rows = spark.createDataFrame([(i, "same") for i in ids], "doc_id string, text string")
+    assert rows.select(row_key("doc_id", "text")).distinct().count() == len(ids)
+    numbers = spark.createDataFrame([(i, "t") for i in (10, 9, 0, None, 10**18)], "doc_id long, text string")
+    in_order = [r.doc_id for r in numbers.orderBy(row_key("doc_id", "text")).collect()]
+    assert in_order == [0, 9, 10, 10**18, None]

@@ -1,7 +1,7 @@
 from collections import Counter
 
 import numpy as np
-from llm_cases import awkward, nothing
+from llm_cases import awkward, nothing, plan
 
 from caskline.llm import language as g
 
@@ -72,3 +72,9 @@ def test_awkward(spark):
     assert g.language_predictions(nothing(spark)).count() == 0
     unlabelled = awkward(spark).selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in g.language_predictions(unlabelled).collect()} == {"und"}
+
+
+def test_ranks_are_limited_before_they_meet(spark):
+    train = spark.createDataFrame([("x", "aa ab aa"), ("y", "zz zy zz")], "lang string, text string")
+    shown = plan(g.train_profiles(train, ranks=5))
+    assert "WindowGroupLimit" in shown and "Partial" in shown

@@ -66,3 +66,13 @@ def test_members_of_a_many_member_file_are_read(tmp_path):
 
 def test_no_pages(spark):
     assert warc.archive_pages(pages(spark, [])).count() == 0
+
+
+def test_records_are_passed_on_by_bytes(spark, monkeypatch):
+    pages = spark.createDataFrame([(k, f"http://a/{k}", f"{k} " * (50 + 400 * (k % 7))) for k in range(60)], "page_id long, url string, html string")
+    columns = ["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    rows = lambda: sorted(map(tuple, warc.archive_pages(pages).select(*columns).collect()))
+    want = rows()
+    for limit in (1, 5000):
+        monkeypatch.setattr(warc, "READ_BYTES", limit)
+        assert rows() == want and len(want) == 60
