@@ -1174,8 +1174,8 @@ def oracle_sql() -> dict[str, str]:
     analyses = analysis_sql()
     return {
         **analyses,
-        # The same analyses, read from the published fact.
-        **{f"gold_{key}": analyses[key] for key in ("monthly_trend", "customer_ltv", "channel_split")},
+        # The same analyses, read from the published gold tables.
+        **{f"gold_{key}": sql for key, sql in analyses.items() if key != "global_running_sum"},
         "gold_trend_of_days": analyses["monthly_trend"].replace(
             "WHERE revenue > 0 AND cases > 0",
             "WHERE revenue > 0 AND cases > 0 AND order_date BETWEEN DATE '1996-03-10' AND DATE '1996-05-20'",

@@ -112,12 +112,13 @@ class Star:
 
     def dimension(self, name: str) -> DataFrame:
         """A published dimension, its keys from the map kept beside it."""
+        plain = Star(self.spark, self.sf_dir)
         builders = {
-            "dim_reps": self.reps,
-            "dim_accounts": self.accounts,
-            "dim_products": self.products,
-            "dim_suppliers": self.suppliers,
-            "dim_programs": self.programs,
+            "dim_reps": plain.reps,
+            "dim_accounts": plain.accounts,
+            "dim_products": plain.products,
+            "dim_suppliers": plain.suppliers,
+            "dim_programs": plain.programs,
         }
         key, natural = dims.KEYS[name]
         return self._published(
@@ -126,9 +127,15 @@ class Star:
         )
 
     def gold_sales(self, *days: dt.date) -> DataFrame:
-        self._published("gold/fact_sales", self.fact_sales, publish_by_month)
+        self._published("gold/fact_sales", Star(self.spark, self.sf_dir).fact_sales, publish_by_month)
         return read_sales(self.spark, f"{self.warehouse}/gold/fact_sales", *days)
 
+    def gold_quota(self) -> DataFrame:
+        return self._published("gold/fact_quota", lambda: Star(self.spark, self.sf_dir).fact_quota(keyed=True))
+
+    def gold_attainment(self) -> DataFrame:
+        return self._published("gold/fact_attainment", lambda: Star(self.spark, self.sf_dir).fact_attainment(keyed=True))
+
     def sales(self, *header: str, priced: bool = False) -> DataFrame:
         return facts.sales_measures(
             tables.sales_transactions(self.spark, self.sf_dir, header, priced)
@@ -178,6 +185,60 @@ class Star:
         return CLEANERS[name](self.raw(name), loaded_at=F.lit(AS_OF)).drop(LOADED_AT, SOURCE)
 
 
+class GoldStar(Star):
+    """The star as published: sales, quotas and attainments are read from the gold facts.
+
+    ``ids`` names the dimensions whose natural ids an analysis needs beside its header.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, ids: Sequence[str] = ()):
+        super().__init__(spark, sf_dir)
+        self.ids = ids
+
+    def reps(self, keyed: bool = True) -> DataFrame:
+        return self.dimension("dim_reps")
+
+    def accounts(self, keyed: bool = True) -> DataFrame:
+        return self.dimension("dim_accounts")
+
+    def products(self, keyed: bool = True) -> DataFrame:
+        return self.dimension("dim_products")
+
+    def suppliers(self, keyed: bool = True) -> DataFrame:
+        return self.dimension("dim_suppliers")
+
+    def sales(self, *header: str, priced: bool = False) -> DataFrame:
+        return facts.sales_from_gold(
+            self.gold_sales(),
+            self.reps() if "rep_id" in header else None,
+            self.accounts() if "account_id" in header else None,
+            self.products() if "dim_products" in self.ids else None,
+            self.suppliers() if "dim_suppliers" in self.ids else None,
+        )
+
+    def entity(self, name: str) -> DataFrame:
+        """Quotas under the representative's own id."""
+        if name != "rep_quota_actuals":
+            return super().entity(name)
+        ids = self.reps().select("rep_key", F.col("rep_src_id").alias("rep_id"))
+        return self.gold_quota().join(ids, "rep_key", "left")
+
+    def fact_attainment(self, keyed: bool = True) -> DataFrame:
+        return self.gold_attainment()
+
+
+#: Analyses that need more ids than their header says.
+_IDS = {
+    "supplier_mix": ("dim_suppliers",),
+    "price_tier_mix": ("dim_products",),
+    "ab_premium_mix": ("dim_products",),
+}
+
+
+def _on_gold(name: str, build: Callable[[Star], DataFrame], rounded: Sequence[str] = ()) -> Query:
+    return lambda spark, sf_dir: comparable(build(GoldStar(spark, sf_dir, _IDS.get(name, ()))), rounded)
+
+
 def _on_star(build: Callable[[Star], DataFrame], rounded: Sequence[str] = ()) -> Query:
     return lambda spark, sf_dir: comparable(build(Star(spark, sf_dir)), rounded)
 
@@ -194,8 +255,8 @@ def _row_counts(star: Star) -> DataFrame:
             **{name: star.dimension(name) for name in dims.KEYS},
             "dim_date": dims.dim_date_covering(tables.table(star.spark, star.sf_dir, "orders"), "o_orderdate"),
             "fact_sales": star.gold_sales(),
-            "fact_quota": star._published("gold/fact_quota", lambda: star.fact_quota(keyed=True)),
-            "fact_attainment": star._published("gold/fact_attainment", lambda: star.fact_attainment(keyed=True)),
+            "fact_quota": star.gold_quota(),
+            "fact_attainment": star.gold_attainment(),
         }
     )
 
@@ -346,43 +407,43 @@ def _running_revenue(star: Star) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     full = ("txn_date", "account_id", "rep_id", "channel")
-    registry: dict[str, Query] = {
+    analyses: dict[str, tuple] = {
         # Customer loyalty
-        "customer_ltv": _on_star(
+        "customer_ltv": (
             lambda s: loyalty.customer_ltv(
                 s.sales("txn_date", "account_id", "rep_id"), s.accounts(), s.reps(), tiers=LTV_TIERS
             )
-        ),
-        "account_retention": _on_star(
+        ,),
+        "account_retention": (
             lambda s: loyalty.account_retention(
                 s.sales("txn_date", "account_id", "rep_id"),
                 s.accounts(),
                 s.reps(),
                 years=RETENTION_YEARS,
             )
-        ),
-        "revenue_pareto": _on_star(
+        ,),
+        "revenue_pareto": (
             lambda s: loyalty.revenue_pareto(s.sales("account_id"), s.accounts())
-        ),
-        "order_gaps": _on_star(
+        ,),
+        "order_gaps": (
             lambda s: loyalty.order_gaps(
                 s.sales("txn_date", "account_id", "rep_id"), s.accounts(), s.reps()
             )
-        ),
-        "discount_leakage": _on_star(
+        ,),
+        "discount_leakage": (
             lambda s: loyalty.discount_leakage(s.sales("rep_id", priced=True), s.reps()),
             ["rep_disc_rate", "company_avg", "above_avg_by", "recoverable_revenue"],
         ),
         # Dashboard
-        "kpi_card": _on_star(
+        "kpi_card": (
             lambda s: dashboard.kpi_card(
                 s.sales("txn_date", "account_id", "rep_id", priced=True), s.accounts(), s.reps()
             )
-        ),
-        "monthly_trend": _on_star(
+        ,),
+        "monthly_trend": (
             lambda s: dashboard.monthly_trend(s.sales("txn_date", priced=True))
-        ),
-        "rep_scorecard": _on_star(
+        ,),
+        "rep_scorecard": (
             lambda s: dashboard.rep_scorecard(
                 s.sales("txn_date", "account_id", "rep_id", priced=True),
                 s.accounts(),
@@ -390,47 +451,47 @@ def queries() -> dict[str, Query]:
                 s.entity("rep_quota_actuals"),
                 levels=REP_STATUS,
             )
-        ),
-        "supplier_mix": _on_star(
+        ,),
+        "supplier_mix": (
             lambda s: dashboard.supplier_mix(s.sales(priced=True), s.suppliers())
-        ),
-        "channel_split": _on_star(
+        ,),
+        "channel_split": (
             lambda s: dashboard.channel_split(s.sales(*full), s.accounts(), s.reps())
-        ),
-        "bonus_tracker": _on_star(lambda s: dashboard.bonus_tracker(s.fact_attainment())),
-        "price_tier_mix": _on_star(
+        ,),
+        "bonus_tracker": (lambda s: dashboard.bonus_tracker(s.fact_attainment()),),
+        "price_tier_mix": (
             lambda s: dashboard.price_tier_mix(
                 s.sales("txn_date", "channel"), s.products()
             )
-        ),
-        "geo_density": _on_star(
+        ,),
+        "geo_density": (
             lambda s: dashboard.geo_density(s.sales("account_id"), s.accounts()),
             ["pct_of_division_avg"],
         ),
         # Segmentation
-        "rfm_segments": _on_star(
+        "rfm_segments": (
             lambda s: segmentation.rfm_segments(
                 s.sales("txn_date", "account_id", "rep_id"), s.accounts(), s.reps(), anchor=AS_OF
             )
-        ),
-        "rfm_summary": _on_star(
+        ,),
+        "rfm_summary": (
             lambda s: segmentation.rfm_summary(
                 s.sales("txn_date", "account_id"), s.accounts(), anchor=AS_OF
             )
-        ),
+        ,),
         # Comparisons
-        "ab_channel": _on_star(
+        "ab_channel": (
             lambda s: experiments.ab_channel(
                 s.sales("account_id", "channel", priced=True), s.accounts()
             ),
         ),
-        "ab_discount_lift": _on_star(
+        "ab_discount_lift": (
             lambda s: experiments.ab_discount_lift(s.sales(priced=True)),
         ),
-        "ab_discount_roi": _on_star(
+        "ab_discount_roi": (
             lambda s: experiments.ab_discount_roi(s.sales(priced=True)),
         ),
-        "ab_premium_mix": _on_star(
+        "ab_premium_mix": (
             lambda s: experiments.ab_premium_mix(
                 s.sales("rep_id"), s.reps(), s.products(), cutpoint=PREMIUM_CUTPOINT
             ),
@@ -441,6 +502,11 @@ def queries() -> dict[str, Query]:
                 "potential_incremental_revenue",
             ],
         ),
+    }
+    registry: dict[str, Query] = {name: _on_star(*analysis) for name, analysis in analyses.items()}
+    # The same analyses of the published gold tables
+    registry |= {f"gold_{name}": _on_gold(name, *analysis) for name, analysis in analyses.items()}
+    registry |= {
         # Dimensions and facts
         "dim_reps": _on_star(lambda s: s.reps(keyed=True)),
         "dim_accounts": _on_star(lambda s: s.accounts(keyed=True)),
@@ -460,26 +526,10 @@ def queries() -> dict[str, Query]:
             )
         ),
         "attainment_behind": _on_star(lambda s: s.fact_attainment().filter("status = 'Behind'")),
-        # Analyses of the published sales fact
-        "gold_monthly_trend": _on_star(lambda s: dashboard.monthly_trend(facts.sales_from_gold(s.gold_sales()))),
+        # A range of days of the published sales
         "gold_trend_of_days": _on_star(
             lambda s: dashboard.monthly_trend(facts.sales_from_gold(s.gold_sales(*TREND_DAYS)))
         ),
-        "gold_customer_ltv": _on_star(
-            lambda s: loyalty.customer_ltv(
-                facts.sales_from_gold(s.gold_sales(), s.reps(keyed=True), s.accounts(keyed=True)),
-                s.accounts(keyed=True),
-                s.reps(keyed=True),
-                tiers=LTV_TIERS,
-            )
-        ),
-        "gold_channel_split": _on_star(
-            lambda s: dashboard.channel_split(
-                facts.sales_from_gold(s.gold_sales(), s.reps(keyed=True), s.accounts(keyed=True)),
-                s.accounts(keyed=True),
-                s.reps(keyed=True),
-            )
-        ),
         # Analyses of the published cleansed sales, whose ids are unique: counts without a shuffle by id
         "silver_kpi_card": _on_star(
             lambda s: dashboard.kpi_card(
