@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Mapping
@@ -18,8 +19,11 @@ from caskline.llm.common import slices
 #: Text bytes handled at a time inside a task, and ids decoded at a time.
 PIECE, CHUNK = 1 << 20, 1 << 16
 #: Arcs of the transducer, and whole pieces, that a worker remembers; beyond that it starts anew.
-ARCS, KNOWN = 400_000, 200_000
+ARCS, KNOWN = 400_000, 100_000
+#: Bytes that a piece's first arc reads at once.
+HEAD = 5
 _NEVER = 1 << 62
+_BYTES = [bytes((b,)) for b in range(256)]
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -67,6 +71,7 @@ class Transducer:
         self.befores: dict[tuple[tuple[bytes, int], ...], int] = {(): 0}
         self.ends_of: list[list[tuple[bytes, int]]] = [[]]
         self.before_of: dict[bytes, int] = {}
+        self.allowed: dict[tuple[int, bytes], bool] = {}
         self._clear()
 
     def check(self) -> Transducer:
@@ -87,7 +92,8 @@ class Transducer:
         start = ((b"", 0, ()),)
         self.numbers: dict[tuple[tuple[bytes, int, tuple[int, ...]], ...], int] = {start: 0}
         self.states = [start]
-        self.allowed: dict[tuple[int, bytes], bool] = {}
+        #: Where the first bytes of a piece lead, and what they write: arcs of several bytes.
+        self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
 
     def _spines(self, token: bytes) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
         """The token's first and its last part at every time of its making, each with the rank that ends it."""
@@ -118,6 +124,8 @@ class Transducer:
         """Whether no merge crosses from the token before to this one while both are made."""
         got = self.allowed.get((before, token))
         if got is None:
+            if len(self.allowed) >= self.limit:
+                self.allowed.clear()
             got = self.allowed[before, token] = not self._crossed(before, token)
         return got
 
@@ -142,13 +150,16 @@ class Transducer:
         if len(self.arcs) >= self.limit:
             self._clear()
             state = self._state(branches)
-        more, kept, opened = bytes((byte,)), [], None
+        more, kept, opened = _BYTES[byte], [], None
+        ranks, longer = self.ranks, self.longer
         for read, before, ids in branches:  # the longest first
             token = read + more
-            rank = self.ranks.get(token)
-            if rank is not None and opened is None and token not in self.unmade and self._may_follow(before, token):
-                opened = (b"", self._before(token), (*ids, rank))
-            if token in self.longer:
+            if opened is None:
+                rank = ranks.get(token)
+                # Number 0 is for tokens that any other may follow.
+                if rank is not None and token not in self.unmade and (not before or self._may_follow(before, token)):
+                    opened = (b"", self._before(token), (*ids, rank))
+            if token in longer:
                 kept.append((token, before, ids))
         if opened is None:
             raise ValueError("a byte without a token")
@@ -166,9 +177,24 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.unmade:
             return [self.ranks[piece]]
+        head = piece[:HEAD]
+        got = self.heads.get(head)
+        if got is None:
+            state, written = self._walk(0, head)
+            if len(self.heads) >= self.limit:
+                self.heads.clear()
+            # If the walk has made all states forgotten, its last one is of the new ones, as the table is.
+            got = self.heads[head] = state, tuple(written)
+        out = list(got[1])
+        state, written = self._walk(got[0], piece[HEAD:])
+        out += written
+        out += self.states[state][-1][2]
+        return out
+
+    def _walk(self, state: int, read: bytes) -> tuple[int, list[int]]:
         out: list[int] = []
-        state, arcs = 0, self.arcs
-        for byte in piece:
+        arcs = self.arcs
+        for byte in read:
             arc = arcs.get(state << 8 | byte)
             if arc is None:
                 arc = self._arc(state, byte)
@@ -176,16 +202,28 @@ class Transducer:
             state, written = arc
             if written:
                 out += written
-        out += self.states[state][-1][2]
-        return out
+        return state, out
 
 
 class Encoder:
-    """A pattern's pieces of a text through the transducer; frequent pieces are remembered whole."""
+    """A pattern's pieces of a text through the transducer; frequent pieces are remembered whole.
+
+    There are two generations of them: when the younger one is full it becomes the older, whose place it
+    takes, so a piece that keeps coming stays known.
+    """
 
     def __init__(self, transducer: Transducer, pattern: str, known: int = KNOWN):
         self.transducer, self.pattern, self.limit = transducer, regex.compile(pattern), known
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+
+    def _learn(self, piece: str) -> list[int]:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.transducer.encode(piece.encode())
+        if len(piece) < 64:
+            self.known[piece] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= PIECE:
@@ -196,13 +234,9 @@ class Encoder:
         known = self.known
         for piece in pieces:
             ids = known.get(piece)
-            if ids is None:
-                if len(known) >= self.limit:
-                    known.clear()
-                ids = self.transducer.encode(piece.encode())
-                if len(piece) < 64:
-                    known[piece] = ids
-            out += ids
+            out += self._learn(piece) if ids is None else ids
+        if len(known) >= self.limit:
+            self.known, self.older = {}, known
         return out
 
 
@@ -278,6 +312,15 @@ def _encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, id_col:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        collecting = gc.isenabled()
+        gc.disable()  # states and arcs make no circles, and there are many to look through
+        try:
+            yield from encode(batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker_encoder(name, sent, unmade, pattern)
         for batch in slices(batches, "_text", PIECE):
             found = [np.array(encoder.encode(text or ""), "<u4") for text in batch.column("_text").to_pylist()]
