@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -9,11 +10,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from caskline.llm.common import slices, staged, text_bytes, word_hashes
+from caskline.llm.common import make_folder, new_folder, open_shared, slices, staged, text_bytes, word_hashes, written_shared
 
 #: Words of half a window; a window is two halves, and windows overlap by one.
 HALF = 16
-#: Words of a benchmark passage at most, and passages that share a latent space (and a pass over the corpus).
+#: Words of a benchmark passage at most, and passages that share a latent space.
 PASSAGE, BANK = 64, 256
 #: Words in more than these shares of all documents and of all different items (three at least) carry no weight.
 COMMON, COMMON_ITEMS = 0.2, 0.05
@@ -22,6 +23,8 @@ COSINE, SURE, LIKELY = 0.4, 0.8, 0.6
 #: Passages of up to so many words are leaks where all their words stand in a row, and not otherwise.
 FEW = 8
 _PIECE = 2 << 20
+#: Numbers gathered at once, and bytes of banks that a task keeps; further banks are read for every piece of text.
+_GATHER, _KEEP = 1 << 18, 64 << 20
 
 _CODE = np.arange(256)
 _IS_WORD = ((_CODE >= 0x30) & (_CODE <= 0x39)) | ((_CODE | 0x20) >= 0x61) & ((_CODE | 0x20) <= 0x7A) | (_CODE >= 0x80)
@@ -147,8 +150,12 @@ def _in_a_row(number: np.ndarray, first: np.ndarray, items: Sequence[Item]) -> I
 
     Only places of an item's rarest word are looked at.
     """
+    if not len(items) or not len(number):
+        return
     wanted = np.array([item.words[item.rarest] for item in items])
-    at = np.flatnonzero(np.isin(number, wanted))
+    rare = np.zeros(max(int(wanted.max()), int(number.max())) + 2, bool)
+    rare[wanted] = True  # words of no item are -1 and read the last entry
+    at = np.flatnonzero(rare[number])
     at = at[np.argsort(number[at], kind="stable")]
     lows, highs = (np.searchsorted(number[at], wanted, side=side) for side in ("left", "right"))
     for k in np.flatnonzero(highs > lows).tolist():
@@ -202,90 +209,186 @@ def _items(benchmark: DataFrame, answer_col: str | None) -> tuple[list[tuple[int
     return list(out.values()), list(texts.values())
 
 
-def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], latent: np.ndarray, cosine: float) -> DataFrame:
-    """Windows of all texts whose fold-in is near an item's, with the checks of all their words, and the
-    items that stand there word by word."""
-    near_items = [item for item in items if len(item.words) > FEW]
-    queries = np.zeros((len(near_items), latent.shape[0]))
-    for k, item in enumerate(near_items):
-        np.add.at(queries[k], item.words, weight[item.words])
-    folded = queries @ latent
-    folded /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
-    # Folding a window in and comparing it with an item is a sum over its words of one number each.
-    per_word = ((weight[:, None] * latent) @ folded.T).astype(np.float32)
-    square = (weight**2).astype(np.float64)
-    heavy = weight > 0
-    kind = docs.schema[id_col].dataType.simpleString()
+@dataclass
+class Bank:
+    """Passages of one latent space: their places in the list of items, the numbers of their words, and what
+    each of these words adds to the product of a window with each passage."""
 
-    def candidates(number: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(item's place, row, first word, cosine) of windows near an item."""
+    near: np.ndarray
+    words: np.ndarray
+    per_word: np.ndarray
+
+    def write(self, path: str) -> None:
+        out = io.BytesIO()
+        for part in (self.near, self.words, self.per_word):
+            np.save(out, part)
+        with written_shared(path) as target:
+            target.write(out.getvalue())
+
+    @classmethod
+    def read(cls, path: str) -> Bank:
+        with open_shared(path) as source:
+            parts = io.BytesIO(source.read())
+        return cls(*(np.load(parts) for _ in range(3)))
+
+
+def _banks(spark, items: list[Item], weight: np.ndarray, size: int) -> list[str]:
+    """Fit a space for every ``size`` passages, on their own words only, and write it to the shared folder."""
+    near = [k for k, item in enumerate(items) if len(item.words) > FEW]
+    folder = new_folder(spark, "latent-banks")
+    make_folder(folder)
+    paths = []
+    for k in range(0, len(near), size):
+        part = np.array(near[k : k + size])
+        words = np.unique(np.concatenate([items[i].words for i in part]))
+        rows = []
+        for i in part:
+            column, times = np.unique(np.searchsorted(words, items[i].words), return_counts=True)
+            rows.append({"column": column, "weight": times * weight[words[column]]})
+        latent = randomised_svd(spark, rows, len(words), len(rows))
+        # Folding a window in and comparing it with an item is a sum over its words of one number each.
+        folded = np.stack([r["weight"] @ latent[r["column"]] / max(np.linalg.norm(r["weight"]), 1e-12) for r in rows])
+        paths.append(f"{folder}/{len(paths):06d}")
+        Bank(part, words, ((weight[words][:, None] * latent) @ folded.T).astype(np.float32)).write(paths[-1])
+    return paths
+
+
+class _Halves:
+    """Half windows of a piece of texts that hold words with weight: made once, compared with every bank."""
+
+    def __init__(self, number: np.ndarray, first: np.ndarray, weight: np.ndarray):
         at = np.flatnonzero(number >= 0)
-        at = at[heavy[number[at]]]
-        if not len(at) or not near_items:
-            return
-        number = number[at]
+        at = at[weight[number[at]] > 0]
+        self.number = number[at]
         row = np.searchsorted(first, at, side="right") - 1
-        # Halves are numbered through the batch with a gap after each text.
+        # Halves are numbered through the piece with a gap after each text.
         halves = -(-np.diff(first) // HALF) + 1
         begins = np.cumsum(halves) - halves
         half = begins[row] + (at - first[row]) // HALF
-        new = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
-        ids = half[new]
-        score = np.empty((len(new), len(near_items)), np.float32)
-        step = max(1, (4 << 20) // len(near_items))
-        ends = np.append(new[1:], len(at))
+        new = half[1:] != half[:-1]
+        self.starts = np.flatnonzero(np.concatenate([[True], new])) if len(at) else at
+        self.which = np.concatenate([[0], np.cumsum(new)]) if len(at) else at
+        ids, self.row = half[self.starts], row[self.starts]
+        self.place = first[self.row] + (ids - begins[self.row]) * HALF
+        # A window is a half and the next, if that has weight too.
+        self.joined = np.append(ids[1:] == ids[:-1] + 1, False)[: len(ids)]
+        square = weight[self.number] ** 2
+        power = np.add.reduceat(square, self.starts) if len(at) else square
+        power[:-1] += np.where(self.joined[:-1], power[1:], 0)
+        self.norm = np.sqrt(power).astype(np.float32)
+
+    def near(self, bank: Bank, vocabulary: int, cosine: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(item's place, rows, first words, cosines) of all windows near an item of the bank."""
+        own, starts = self.number, self.starts
+        slots = np.arange(len(starts))
+        if len(bank.words) < vocabulary:
+            local = np.full(vocabulary, -1, np.int32)
+            local[bank.words] = np.arange(len(bank.words), dtype=np.int32)
+            own = local[self.number]
+            held = np.flatnonzero(own >= 0)
+            own, which = own[held], self.which[held]
+            starts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])) if len(held) else held
+            slots = which[starts]
+        if not len(starts):
+            return
+        score = np.empty((len(starts), len(bank.near)), np.float32)
+        step = max(1, _GATHER // len(bank.near))
+        ends = np.append(starts[1:], len(own))
         k = 0
-        while k < len(new):
-            stop = max(k + 1, int(np.searchsorted(ends, new[k] + step, side="right")))
-            score[k:stop] = np.add.reduceat(per_word[number[new[k] : ends[stop - 1]]], new[k:stop] - new[k], axis=0)
+        while k < len(starts):
+            stop = max(k + 1, int(np.searchsorted(ends, starts[k] + step, side="right")))
+            score[k:stop] = np.add.reduceat(bank.per_word[own[starts[k] : ends[stop - 1]]], starts[k:stop] - starts[k], axis=0)
             k = stop
-        norm = np.add.reduceat(square[number], new)
-        # A window is a half and the next, if that has weight too.
-        joined = np.flatnonzero(ids[1:] == ids[:-1] + 1)
-        total, power = score.copy(), norm.copy()
-        total[joined] += score[joined + 1]
-        power[joined] += norm[joined + 1]
-        # A half at a text's start or after an empty one is a window with what stands before it.
-        near = total / np.sqrt(power)[:, None].astype(np.float32)
-        window, item = np.nonzero(near >= cosine)
-        rows = row[new[window]]
-        places = first[rows] + (ids[window] - begins[rows]) * HALF
-        yield from zip(item.tolist(), rows.tolist(), places.tolist(), near[window, item].tolist(), strict=True)
+        # A window is a half of the bank and the next; one that ends with such a half may be near too.
+        before = slots - 1
+        lone = np.flatnonzero((before >= 0) & self.joined[before] & ~np.isin(before, slots))
+        pairs = np.flatnonzero((slots[1:] == slots[:-1] + 1) & self.joined[slots[:-1]])
+        hits = [self._over(score[lone], before[lone], cosine)]
+        score[pairs] += score[pairs + 1]
+        hits.append(self._over(score, slots, cosine))
+        item, home, near = (np.concatenate(x) for x in zip(*hits, strict=True))
+        order = np.argsort(item, kind="stable")
+        item, home, near = item[order], home[order], near[order]
+        cuts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else item
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)], strict=False):
+            own = home[begin:end]
+            yield int(bank.near[item[begin]]), self.row[own], self.place[own], near[begin:end]
+
+    def _over(self, score: np.ndarray, slots: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        norm = self.norm[slots]
+        window, item = np.nonzero(score >= np.float32(cosine) * norm[:, None])
+        return item, slots[window], score[window, item] / norm[window]
+
+
+def _worth_comparing(item: Item, number: np.ndarray, low: np.ndarray, high: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Which stretches low..high of the words hold at least LIKELY of an item's words, in any order: no other
+    can have a common subsequence of that share. ``index`` is a table of zeros, given back as such."""
+    known, times = np.unique(item.words, return_counts=True)
+    index[known] = np.arange(1, len(known) + 1)
+    out = np.empty(len(low), bool)
+    for k in range(0, len(low), 4096):
+        begin, end = low[k : k + 4096, None], high[k : k + 4096, None]
+        at = begin + np.arange(int((end - begin).max()))
+        held = np.zeros((len(at), len(known) + 1), bool)
+        held[np.arange(len(at))[:, None], np.where(at < end, index[number[np.minimum(at, len(number) - 1)]], 0)] = True
+        out[k : k + 4096] = held[:, 1:] @ times >= LIKELY * len(item.words)
+    index[known] = 0
+    return out
+
+
+def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], banks: list[str], cosine: float) -> DataFrame:
+    """Windows of all texts whose fold-in is near an item's, with the checks of all their words, and the
+    items that stand there word by word. One pass over the texts, whatever the number of banks."""
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, Bank] = {}
+        index = np.zeros(len(vocabulary) + 1, np.int32)  # the last entry is for words of no item, -1
+
+        def each() -> Iterator[Bank]:
+            for path in banks:
+                bank = kept.get(path)
+                if bank is None:
+                    bank = Bank.read(path)
+                    if sum(b.per_word.nbytes for b in kept.values()) + bank.per_word.nbytes <= _KEEP:
+                        kept[path] = bank
+                yield bank
+
         for batch in slices(batches, text_col, _PIECE):
             words, first = _words(batch.column(text_col))
             number = vocabulary.numbers(words)
+            halves = _Halves(number, first, weight)
 
-            def around(own: Item, r: int, begin: int, size: int) -> np.ndarray:
+            def stretch(own: Item, r: np.ndarray, begin: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
                 slack = 2 * len(own.words)
-                here = number[max(int(first[r]), begin - slack) : min(int(first[r + 1]), begin + size + slack)]
-                return here[here >= 0]
+                return np.maximum(first[r], begin - slack), np.minimum(first[r + 1], begin + size + slack)
 
             def answered(own: Item, here: np.ndarray) -> bool:
                 return not len(own.answer) or subsequence(own.answer, here) == len(own.answer)
 
             found: dict[tuple[int, int], tuple] = {}
-            for i, r, begin, c in candidates(number, first):
-                own = near_items[i]
-                here = around(own, r, begin, 2 * HALF)
-                if len(here) < LIKELY * len(own.words):
-                    continue
-                share = subsequence(own.words, here) / len(own.words)
-                if share < LIKELY:
-                    continue
-                known = answered(own, here)
-                if share < SURE and not known:
-                    continue
-                key = (r, own.item)
-                best = (share, c, known)
-                if key not in found or best > found[key]:
-                    found[key] = best
+            for bank in each():
+                for i, r, begin, c in halves.near(bank, len(vocabulary), cosine):
+                    own = items[i]
+                    low, high = stretch(own, r, begin, 2 * HALF)
+                    for k in np.flatnonzero(_worth_comparing(own, number, low, high, index)).tolist():
+                        here = number[low[k] : high[k]]
+                        share = subsequence(own.words, here) / len(own.words)
+                        if share < LIKELY:
+                            continue
+                        known = answered(own, here)
+                        if share < SURE and not known:
+                            continue
+                        key = (int(r[k]), own.item)
+                        best = (share, float(c[k]), known)
+                        if key not in found or best > found[key]:
+                            found[key] = best
             for i, r, begin in _in_a_row(number, first, items):
                 own = items[i]
                 key = (r, own.item)
                 if key not in found or found[key][0] < 1:
-                    found[key] = (1.0, 1.0, answered(own, around(own, r, begin, len(own.words))))
+                    low, high = stretch(own, r, begin, len(own.words))
+                    found[key] = (1.0, 1.0, answered(own, number[low:high]))
             if found:
                 rows = sorted(found)
                 yield pa.RecordBatch.from_arrays(
@@ -322,8 +425,9 @@ def benchmark_leaks(
     words of the passage, also those without weight: a common subsequence with 80% of them, or with 60%
     and the answer (``answer_col``, else the item's last words) in the same order, is a leak. A passage
     whose words all stand in a row is one at any cosine (given as 1 if no window holds so much of it);
-    for passages of up to 8 words nothing else is, as a few of their words in order prove nothing. Larger benchmarks take a
-    pass over the documents for each bank; what tasks get is bounded by it.
+    for passages of up to 8 words nothing else is, as a few of their words in order prove nothing. All banks are searched in one
+    pass over the documents: a space is written to the shared folder over its own words, and tasks get the
+    words of the benchmark and read one space after the other.
 
     Returns id, item_id, cosine, lcs, answered, one row a pair. Null and empty texts and items match
     nothing, nor do items without a word. Repeated rows give one pair. Documents with
@@ -345,15 +449,6 @@ def benchmark_leaks(
     for item, words, answer in raw:
         own, last = vocabulary.numbers(words), vocabulary.numbers(answer)
         items.append(Item(item, own, last, int(np.argmin(counts[own]))))
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = spark.createDataFrame([], f"{id_col} {kind}, item_id long, cosine double, lcs double, answered boolean")
-    for k in range(0, len(items), bank):
-        part = items[k : k + bank]
-        rows = []
-        for item in (x for x in part if len(x.words) > FEW):
-            column, times = np.unique(item.words, return_counts=True)
-            rows.append({"column": column, "weight": times * weight[column]})
-        latent = randomised_svd(spark, rows, len(vocabulary), len(rows))
-        out = out.unionByName(_search(docs, id_col, text_col, vocabulary, weight, part, latent, cosine))
+    out = _search(docs, id_col, text_col, vocabulary, weight, items, _banks(spark, items, weight, bank), cosine)
     best = F.max(F.struct("lcs", "cosine", "answered")).alias("b")
     return out.groupBy(id_col, "item_id").agg(best).select(id_col, "item_id", "b.cosine", "b.lcs", "b.answered")

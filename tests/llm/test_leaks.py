@@ -120,3 +120,29 @@ def test_items_of_few_or_common_words(spark):
     bench = [(k, x, 1, "") for k, x in enumerate([*items, "zq zr zs zt zu"])]
     got = d.benchmark_leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark(spark, bench)).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(200 + k, k) for k in range(len(items))} | {(300, 4), (300, len(items))}
+
+
+def test_a_large_benchmark_takes_one_scan(spark, monkeypatch):
+    items = [words(12 + k % 30, 5000 + k, "abcdefghijklmnop") for k in range(1000)]
+    rows = [(k, " ".join([words(40, 9000 + k), items[7 * k % 1000], words(20, 9500 + k)])) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = benchmark(spark, [(k, t, 1, "") for k, t in enumerate(items)])
+    monkeypatch.setattr(d, "_KEEP", 1 << 16)  # most spaces are read again for each piece
+    found = d.benchmark_leaks(docs, bench)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, 7 * k % 1000) for k in range(200)}
+
+
+def test_stretches_left_out_have_no_long_subsequence():
+    rng = np.random.default_rng(5)
+    number = rng.integers(-1, 40, 4000).astype(np.int32)
+    index = np.zeros(41, np.int32)
+    for size in (9, 20, 60):
+        own = d.Item(1, rng.integers(0, 40, size), np.empty(0, int), 0)
+        low = rng.integers(0, 3990, 300)
+        high = np.minimum(low + rng.integers(1, 80, 300), 4000)
+        kept = d._worth_comparing(own, number, low, high, index)
+        assert not index.any() and kept.any()
+        for a, b, k in zip(low, high, kept, strict=True):
+            assert k or d.subsequence(own.words, number[a:b]) < d.LIKELY * size
