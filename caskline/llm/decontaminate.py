@@ -9,6 +9,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, LongType
 
 from caskline.llm.common import make_folder, new_folder, open_shared, slices, staged, text_bytes, word_hashes, written_shared
 
@@ -139,7 +141,7 @@ def randomised_svd(spark, passages: Sequence[np.ndarray], width: int, rank: int,
 class Item:
     """A benchmark passage: item id, numbers of its words and of its answer's, and the place of its rarest word."""
 
-    item: int
+    item: int | str
     words: np.ndarray
     answer: np.ndarray
     rarest: int
@@ -336,10 +338,11 @@ def _worth_comparing(item: Item, number: np.ndarray, low: np.ndarray, high: np.n
     return out
 
 
-def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], banks: list[str], cosine: float) -> DataFrame:
+def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary, weight: np.ndarray, items: list[Item], banks: list[str], cosine: float, item_kind: DataType) -> DataFrame:
     """Windows of all texts whose fold-in is near an item's, with the checks of all their words, and the
     items that stand there word by word. One pass over the texts, whatever the number of banks."""
     kind = docs.schema[id_col].dataType.simpleString()
+    item_type = to_arrow_type(item_kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, Bank] = {}
@@ -394,7 +397,7 @@ def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary,
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(id_col).take(pa.array([r for r, _ in rows], pa.int64())),
-                        pa.array([x for _, x in rows], pa.int64()),
+                        pa.array([x for _, x in rows], item_type),
                         pa.array([found[x][1] for x in rows], pa.float64()),
                         pa.array([found[x][0] for x in rows], pa.float64()),
                         pa.array([found[x][2] for x in rows], pa.bool_()),
@@ -402,7 +405,7 @@ def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary,
                     names=[id_col, "item_id", "cosine", "lcs", "answered"],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, item_id long, cosine double, lcs double, answered boolean")
+    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, item_id {item_kind.simpleString()}, cosine double, lcs double, answered boolean")
 
 
 def benchmark_leaks(
@@ -429,7 +432,7 @@ def benchmark_leaks(
     pass over the documents: a space is written to the shared folder over its own words, and tasks get the
     words of the benchmark and read one space after the other.
 
-    Returns id, item_id, cosine, lcs, answered, one row a pair. Null and empty texts and items match
+    Returns id, item_id, cosine, lcs, answered, one row a pair; ids may be numbers or texts. Null and empty texts and items match
     nothing, nor do items without a word. Repeated rows give one pair. Documents with
     a null id are one document. Empty tables give an empty result.
     """
@@ -449,6 +452,8 @@ def benchmark_leaks(
     for item, words, answer in raw:
         own, last = vocabulary.numbers(words), vocabulary.numbers(answer)
         items.append(Item(item, own, last, int(np.argmin(counts[own]))))
-    out = _search(docs, id_col, text_col, vocabulary, weight, items, _banks(spark, items, weight, bank), cosine)
+    item_kind = benchmark.schema["item_id"].dataType
+    item_kind = LongType() if item_kind.typeName() in ("byte", "short", "integer") else item_kind
+    out = _search(docs, id_col, text_col, vocabulary, weight, items, _banks(spark, items, weight, bank), cosine, item_kind)
     best = F.max(F.struct("lcs", "cosine", "answered")).alias("b")
     return out.groupBy(id_col, "item_id").agg(best).select(id_col, "item_id", "b.cosine", "b.lcs", "b.answered")

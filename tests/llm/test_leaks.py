@@ -146,3 +146,13 @@ def test_stretches_left_out_have_no_long_subsequence():
         assert not index.any() and kept.any()
         for a, b, k in zip(low, high, kept, strict=True):
             assert k or d.subsequence(own.words, number[a:b]) < d.LIKELY * size
+
+
+def test_ids_may_be_texts(spark):
+    item = words(30, 77, "abcdefghijklmnop")
+    docs = spark.createDataFrame([("a-1", f"{words(20, 78)} {item}", 5), ("b", words(40, 79), 6), (None, item, 7)], "name string, body string, item_id int")
+    bench = spark.createDataFrame([("x/1", item), ("x/2", words(25, 80, "abcdefghijklmnop"))], "item_id string, text string")
+    got = {(r.name, r.item_id) for r in d.benchmark_leaks(docs, bench, id_col="name", text_col="body").collect()}
+    assert got == {("a-1", "x/1"), (None, "x/1")}
+    number = spark.createDataFrame([(4, item)], "item_id int, text string")
+    assert {r.item_id for r in d.benchmark_leaks(docs, number, id_col="name", text_col="body").collect()} == {4}
