@@ -16,8 +16,9 @@ from caskline.llm.common import make_folder, new_folder, open_shared, slices, st
 
 #: Words of half a window; a window is two halves, and windows overlap by one.
 HALF = 16
-#: Words of a benchmark passage at most, and passages that share a latent space.
-PASSAGE, BANK = 64, 256
+#: Words of a benchmark passage at most, passages that share a latent space, and the space's rank at most
+#: (a quarter of its passages if they are fewer: a rank near theirs would only give the cosines of their words).
+PASSAGE, BANK, RANK = 64, 256, 64
 #: Words in more than these shares of all documents and of all different items (three at least) carry no weight.
 COMMON, COMMON_ITEMS = 0.2, 0.05
 #: Least cosine of a candidate; common subsequence that is a leak by itself; and one that is with the answer.
@@ -214,7 +215,8 @@ def _items(benchmark: DataFrame, answer_col: str | None) -> tuple[list[tuple[int
 @dataclass
 class Bank:
     """Passages of one latent space: their places in the list of items, the numbers of their words, and what
-    each of these words adds to the product of a window with each passage."""
+    each of these words adds to the product of a window with each passage: first with the passages' own words,
+    then, in further columns, with their images in the latent space."""
 
     near: np.ndarray
     words: np.ndarray
@@ -247,11 +249,16 @@ def _banks(spark, items: list[Item], weight: np.ndarray, size: int) -> list[str]
         for i in part:
             column, times = np.unique(np.searchsorted(words, items[i].words), return_counts=True)
             rows.append({"column": column, "weight": times * weight[words[column]]})
-        latent = randomised_svd(spark, rows, len(words), len(rows))
+        latent = randomised_svd(spark, rows, len(words), max(1, min(RANK, len(rows) // 4)))
         # Folding a window in and comparing it with an item is a sum over its words of one number each.
-        folded = np.stack([r["weight"] @ latent[r["column"]] / max(np.linalg.norm(r["weight"]), 1e-12) for r in rows])
+        folded = np.stack([r["weight"] @ latent[r["column"]] for r in rows])
+        folded /= np.maximum(np.linalg.norm(folded, axis=1, keepdims=True), 1e-12)
+        own = np.zeros((len(words), len(rows)))
+        for j, r in enumerate(rows):
+            own[r["column"], j] = r["weight"] / max(np.linalg.norm(r["weight"]), 1e-12)
+        per_word = weight[words][:, None] * np.concatenate([own, latent @ folded.T], axis=1)
         paths.append(f"{folder}/{len(paths):06d}")
-        Bank(part, words, ((weight[words][:, None] * latent) @ folded.T).astype(np.float32)).write(paths[-1])
+        Bank(part, words, per_word.astype(np.float32)).write(paths[-1])
     return paths
 
 
@@ -280,7 +287,8 @@ class _Halves:
         self.norm = np.sqrt(power).astype(np.float32)
 
     def near(self, bank: Bank, vocabulary: int, cosine: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(item's place, rows, first words, cosines) of all windows near an item of the bank."""
+        """(item's place, rows, first words, cosines) of all windows near an item of the bank, by their words or
+        by their images in its latent space."""
         own, starts = self.number, self.starts
         slots = np.arange(len(starts))
         if len(bank.words) < vocabulary:
@@ -293,8 +301,8 @@ class _Halves:
             slots = which[starts]
         if not len(starts):
             return
-        score = np.empty((len(starts), len(bank.near)), np.float32)
-        step = max(1, _GATHER // len(bank.near))
+        score = np.empty((len(starts), bank.per_word.shape[1]), np.float32)
+        step = max(1, _GATHER // bank.per_word.shape[1])
         ends = np.append(starts[1:], len(own))
         k = 0
         while k < len(starts):
@@ -318,7 +326,8 @@ class _Halves:
 
     def _over(self, score: np.ndarray, slots: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         norm = self.norm[slots]
-        window, item = np.nonzero(score >= np.float32(cosine) * norm[:, None])
+        near = score >= np.float32(cosine) * norm[:, None]
+        window, item = np.nonzero(np.logical_or(*np.split(near, 2, axis=1)))
         return item, slots[window], score[window, item] / norm[window]
 
 
@@ -423,8 +432,9 @@ def benchmark_leaks(
     (items, long ones cut) are TF-IDF rows over the benchmark's words; document frequencies come from all
     documents; words in over a fifth of them and in many different items carry no weight, but all words
     of a passage that would lose most of its own keep theirs. A randomised SVD gives the latent space
-    of up to ``bank`` passages; its rank is theirs, so folding in keeps cosines with them. Every window of
-    32 words of every text is folded in. Candidates of a cosine of ``cosine`` or more are checked on all
+    of up to ``bank`` passages, of a rank well below theirs, in which words that share passages come near
+    each other. Every window of 32 words of every text is folded in. Candidates of a cosine of ``cosine`` or
+    more in this space or by the words themselves are checked on all
     words of the passage, also those without weight: a common subsequence with 80% of them, or with 60%
     and the answer (``answer_col``, else the item's last words) in the same order, is a leak. A passage
     whose words all stand in a row is one at any cosine (given as 1 if no window holds so much of it);

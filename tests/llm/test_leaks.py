@@ -156,3 +156,18 @@ def test_ids_may_be_texts(spark):
     assert got == {("a-1", "x/1"), (None, "x/1")}
     number = spark.createDataFrame([(4, item)], "item_id int, text string")
     assert {r.item_id for r in d.benchmark_leaks(docs, number, id_col="name", text_col="body").collect()} == {4}
+
+
+def test_a_passage_spread_among_words_of_its_topic_is_found(spark):
+    """Its words stand too far apart for a window's own cosine, but the latent space knows the topic's words."""
+    rng = random.Random(11)
+    topic, other = (words(60, seed, "abcdefghijklmnop").split() for seed in (8001, 8002))
+    items = [" ".join(rng.sample(pool, 24)) for _ in range(20) for pool in (topic, other)]
+    wanted = items[0].split()
+    rest = [w for w in topic if w not in wanted]
+    spread = " ".join(" ".join([w, *rng.sample(rest, 3)]) for w in wanted)
+    docs = [(1, f"{words(40, 8003)} {spread} {words(40, 8004)}"), *((k, words(80, 8100 + k)) for k in range(2, 40))]
+    bench = benchmark(spark, [(k, t, 1, "") for k, t in enumerate(items)])
+    got = d.benchmark_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert (1, 0) in {(r.doc_id, r.item_id) for r in got}
+    assert [r.cosine < d.COSINE for r in got if r.item_id == 0] == [True]
