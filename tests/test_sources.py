@@ -168,3 +168,20 @@ def test_quoted_values_may_hold_the_delimiter(spark, tmp_path):
     path = tmp_path / "reps.csv"
     path.write_text('rep_id,rep_name,division,channel,hire_date,email\n1,"A, B",x,y,,z\n')
     assert ingest(spark, str(path), ENTITIES["sales_reps"], quote='"').first().rep_name == "A, B"
+
+
+def test_tasks_read_and_sort_little_at_once(spark, tmp_path):
+    """24 MB that do not compress: one split by Spark's own settings."""
+    from pyspark.sql import functions as F
+
+    from caskline.session import configure
+
+    path = str(tmp_path / "numbers")
+    spark.range(0, 3_000_000, 1, 1).select(F.xxhash64("id").alias("n")).write.parquet(path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.minPartitionNum", 1)
+    assert configure(own).read.parquet(path).rdd.getNumPartitions() == 2
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "3m")
+    assert configure(other).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "3m"
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
