@@ -80,3 +80,22 @@ def test_a_range_of_months_reads_only_its_folders(spark, tmp_path):
 def test_orphans_of_both_kinds_are_found(spark):
     found = {r.check_id for r in queries()["qc_orphans"](spark, SF_DIR).collect()}
     assert found == {"5c", "5d"}
+
+
+def test_feeds_are_written_compressed_and_only_those_asked_for(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from caskline.sources.ingest import ingest
+    from caskline.sources.schemas import ENTITIES, LOADED_AT
+    from registry.queries import _csv_feeds
+
+    columns = ENTITIES["accounts"].raw_columns
+    rows = [(" 7 ", *(f' "{c}" ' for c in columns[1:]), "later"), ("", *(None for _ in columns[1:]), None)]
+    feed = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in (*columns, LOADED_AT)))
+    star = SimpleNamespace(spark=spark, warehouse=str(tmp_path), raw=lambda name: feed)
+    path = _csv_feeds(star, "accounts")["accounts"]
+    assert [p.name for p in (tmp_path / "files").iterdir()] == ["accounts"]
+    parts = [p.name for p in (tmp_path / "files" / "accounts").glob("part-*")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
+    read = ingest(spark, path, ENTITIES["accounts"]).select(*columns).collect()
+    assert ([*rows[0][:-1]]) in [list(r) for r in read]
