@@ -20,6 +20,13 @@ MARGIN_RATE = Decimal("0.30")
 STATUS_ORDER = ("Achieved", "At Risk", "Behind")
 OTHER_STATUS_POSITION = 9
 
+#: How an id of a sale is found in its dimension: the dimension's own column of it, and the key there.
+KEY_LOOKUPS = {
+    "rep_id": ("rep_src_id", "rep_key"),
+    "account_id": ("account_src_id", "account_key"),
+    "supplier_id": ("supplier_src_id", "supplier_key"),
+}
+
 _CARRIED = ("txn_id", "rep_id", "account_id", "sku_id", "supplier_id", "channel")
 
 
@@ -71,6 +78,12 @@ def with_price(transactions: DataFrame, products: DataFrame) -> DataFrame:
     return transactions.join(products.select("sku_id", "price_per_case_usd"), "sku_id", "left")
 
 
+def key_lookup(dim: DataFrame, own_id: str) -> DataFrame:
+    """A dimension's surrogate keys by the sales' id."""
+    source_id, key = KEY_LOOKUPS[own_id]
+    return dim.select(F.col(source_id).alias(own_id), key)
+
+
 def fact_sales(
     transactions: DataFrame,
     reps_dim: DataFrame,
@@ -80,28 +93,33 @@ def fact_sales(
     *,
     margin_rate: Decimal = MARGIN_RATE,
     loaded_at: Column | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """Sales with surrogate keys; a key is NULL when the id is unknown to its dimension.
 
     ``dwh_create_date`` tells the load a row came from: ``loaded_at``, else the time of the query.
 
-    One join with the products brings both the list price and the key.
+    One join with the products brings both the list price and the key. Keys that ``transactions``
+    already carries (``KEY_LOOKUPS``) are not looked up again. Rows stay narrow until all shuffles are done:
+    money columns are derived last. With ``by_month`` rows are dealt by the month of their order
+    date before that, which saves ``publish_by_month`` a shuffle of the whole fact.
     """
     priced = products_dim.select(
         F.col("sku_src_id").alias("sku_id"), "product_key", "price_per_case_usd"
     )
+    sales = transactions.filter("is_valid").join(priced, "sku_id", "left")
+    dims = {"rep_id": reps_dim, "account_id": accounts_dim, "supplier_id": suppliers_dim}
+    for own_id, dim in dims.items():
+        if KEY_LOOKUPS[own_id][1] not in sales.columns:
+            sales = sales.join(key_lookup(dim, own_id), own_id, "left")
+    if by_month:
+        month = F.year("txn_date") * 12 + F.month("txn_date")
+        sales = sales.withColumn("_month", month).hint("rebalance", F.col("_month"))
     sales = sales_measures(
-        transactions.join(priced, "sku_id", "left"),
+        sales,
         margin_rate=margin_rate,
-        carry=["product_key"],
+        carry=["product_key", *(key for _, key in KEY_LOOKUPS.values())],
     )
-    for dim, source_id, key, own_id in (
-        (reps_dim, "rep_src_id", "rep_key", "rep_id"),
-        (accounts_dim, "account_src_id", "account_key", "account_id"),
-        (suppliers_dim, "supplier_src_id", "supplier_key", "supplier_id"),
-    ):
-        lookup = dim.select(F.col(source_id).alias(own_id), key)
-        sales = sales.join(lookup, own_id, "left")
 
     def amount(cents: str, name: str) -> Column:
         return from_cents(cents).cast("decimal(14,2)").alias(name)

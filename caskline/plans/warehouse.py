@@ -23,16 +23,22 @@ from caskline.sources.publish import publish, read_published
 SALES_PARTITION = "order_month"
 
 
-def publish_by_month(sales: DataFrame, root: str) -> str:
+def publish_by_month(sales: DataFrame, root: str, *, dealt: bool = False) -> str:
     """Publish sales in monthly folders with files of even size.
 
     The rebalance lets Spark split a large month over several files and join small ones, so that a
-    month that holds most of the sales is not written by one task.
+    month that holds most of the sales is not written by one task. ``dealt`` says that the rows come
+    so already (``fact_sales`` with ``by_month``).
     """
     monthly = sales.withColumn(SALES_PARTITION, F.date_format("order_date", "yyyy-MM"))
-    return publish(
-        monthly.hint("rebalance", F.col(SALES_PARTITION)), root, partition_by=[SALES_PARTITION]
-    )
+    if not dealt:
+        monthly = monthly.hint("rebalance", F.col(SALES_PARTITION))
+    return publish(monthly, root, partition_by=[SALES_PARTITION])
+
+
+def publish_dealt(sales: DataFrame, root: str) -> str:
+    """``publish_by_month`` of rows that are dealt by month already."""
+    return publish_by_month(sales, root, dealt=True)
 
 
 def read_sales(
@@ -101,6 +107,7 @@ def build_gold(
                 gold("dim_products"),
                 gold("dim_suppliers"),
                 margin_rate=margin_rate,
+                by_month=True,
             ),
             "fact_quota": lambda: facts.fact_quota(silver["rep_quota_actuals"], gold("dim_reps")),
             "fact_attainment": lambda: facts.fact_attainment(
@@ -112,7 +119,7 @@ def build_gold(
         },
         out,
         fail_fast=True,
-        writers={"fact_sales": publish_by_month},
+        writers={"fact_sales": publish_dealt},
     )
     return audit
 

@@ -20,7 +20,7 @@ from caskline.operators.keys import keyed_dimension
 from caskline.plans import dashboard, experiments, loyalty, segmentation
 from caskline.plans.common import state_unique
 from caskline.plans.presentation import formats, present
-from caskline.plans.warehouse import build_gold, publish_by_month, read_sales
+from caskline.plans.warehouse import build_gold, publish_dealt, read_sales
 from caskline.session import configure, ensure_checkpoint_dir, materialise
 from caskline.sources.ingest import ingest
 from caskline.sources.load import load_bronze, load_silver
@@ -127,7 +127,8 @@ class Star:
         )
 
     def gold_sales(self, *days: dt.date) -> DataFrame:
-        self._published("gold/fact_sales", Star(self.spark, self.sf_dir).fact_sales, publish_by_month)
+        plain = Star(self.spark, self.sf_dir)
+        self._published("gold/fact_sales", lambda: plain.fact_sales(by_month=True), publish_dealt)
         return read_sales(self.spark, f"{self.warehouse}/gold/fact_sales", *days)
 
     def gold_quota(self) -> DataFrame:
@@ -156,14 +157,21 @@ class Star:
     def programs(self, keyed: bool = False) -> DataFrame:
         return self.dimension("dim_programs") if keyed else dims.dim_programs(self.entity("supplier_programs"), keyed=False)
 
-    def fact_sales(self) -> DataFrame:
+    def fact_sales(self, by_month: bool = False) -> DataFrame:
+        """Representatives and accounts belong to the order, so their keys are looked up there."""
+        reps, accounts = self.reps(keyed=True), self.accounts(keyed=True)
+        header_keys = {
+            "rep_id": facts.key_lookup(reps, "rep_id"),
+            "account_id": facts.key_lookup(accounts, "account_id"),
+        }
         return facts.fact_sales(
-            tables.sales_transactions(self.spark, self.sf_dir),
-            self.reps(keyed=True),
-            self.accounts(keyed=True),
+            tables.sales_transactions(self.spark, self.sf_dir, lookups=header_keys),
+            reps,
+            accounts,
             self.products(keyed=True),
             self.suppliers(keyed=True),
             loaded_at=F.lit(AS_OF),
+            by_month=by_month,
         )
 
     def fact_attainment(self, keyed: bool = False) -> DataFrame:

@@ -6,6 +6,8 @@ Quotas, programmes and attainments do not exist in the tables and are derived fr
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -123,10 +125,17 @@ HEADER = ("txn_date", "account_id", "rep_id", "channel")
 
 
 def sales_transactions(
-    spark: SparkSession, sf_dir: str, header: tuple[str, ...] = HEADER, priced: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    header: tuple[str, ...] = HEADER,
+    priced: bool = False,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per order line, with the wanted columns of its order's ``header``.
 
+    ``lookups`` holds, for ids of the header, tables of that id and further columns, such as surrogate keys;
+    they are joined to the orders, which are fewer than the lines. An id they lack gets NULL.
+
     Headers are completed at order grain first, so lines are shuffled by order once, whatever the
     header needs from the customer; and a header column nobody asked for costs no join. List prices
     come before the header: lines are then left partitioned by order, and counting orders per
@@ -161,7 +170,11 @@ def sales_transactions(
                 _channel_of_segment().alias("channel"),
             )
             orders = orders.join(customers, "account_id")
-        lines = lines.join(orders.select("txn_id", *header), "txn_id")
+        found = []
+        for own_id, lookup in (lookups or {}).items():
+            orders = orders.join(lookup, own_id, "left")
+            found += [c for c in lookup.columns if c != own_id]
+        lines = lines.join(orders.select("txn_id", *header, *found), "txn_id")
     valid = positive_amounts(F.col("revenue_usd"), F.col("cases_sold"))
     return lines.withColumn("is_valid", valid)
 

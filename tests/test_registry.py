@@ -99,3 +99,40 @@ def test_feeds_are_written_compressed_and_only_those_asked_for(spark, tmp_path):
     assert parts and all(name.endswith(".csv.gz") for name in parts)
     read = ingest(spark, path, ENTITIES["accounts"]).select(*columns).collect()
     assert ([*rows[0][:-1]]) in [list(r) for r in read]
+
+
+@needs_tables
+def test_sales_stay_narrow_until_they_are_dealt(spark):
+    """Keys of the order's header are looked up per order, and no derived column is dealt by month."""
+    from registry.queries import Star
+
+    star = Star(spark, SF_DIR)
+    dealt = star.fact_sales(by_month=True)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[plan.index("RebalancePartitions"):]
+    assert "account_key" in before and "0.3" not in before
+    assert not {c for c in ("gross_cents", "margin_cents", "per_case_cents", "discount_cents") if c in before}
+    lines = before[: before.index("l_orderkey")]
+    assert "c_custkey" not in lines  # the customer stands below the orders, not beside the lines
+    own = {tuple(row) for row in star.fact_sales().collect()}
+    assert {tuple(row) for row in dealt.collect()} == own and own
+
+
+def test_keys_the_sales_carry_are_not_looked_up_again(spark):
+    import datetime as dt
+
+    from caskline.operators import facts
+
+    sales = spark.createDataFrame(
+        [(1, 7, 7, 7, 7, 2, 0.0, 5.0, "x", dt.date(2000, 1, 1), True, 70), (2, 8, 8, 8, 8, 2, 0.0, 5.0, "x", None, True, None)],
+        "txn_id bigint, rep_id bigint, account_id bigint, sku_id bigint, supplier_id bigint, cases_sold int, "
+        "discount_pct double, revenue_usd double, channel string, txn_date date, is_valid boolean, account_key bigint",
+    )
+    reps = spark.createDataFrame([(7, 1), (7, 2)], "rep_src_id bigint, rep_key bigint")
+    accounts = spark.createDataFrame([], "account_src_id bigint, account_key bigint")
+    products = spark.createDataFrame([(7, 3, 4.0)], "sku_src_id bigint, product_key bigint, price_per_case_usd double")
+    suppliers = spark.createDataFrame([(8, 4)], "supplier_src_id bigint, supplier_key bigint")
+    for by_month in (False, True):
+        found = facts.fact_sales(sales, reps, accounts, products, suppliers, by_month=by_month)
+        keys = found.select("txn_id", "rep_key", "account_key", "product_key", "supplier_key").collect()
+        assert sorted(map(tuple, keys), key=str) == [(1, 1, 70, 3, None), (1, 2, 70, 3, None), (2, None, None, None, 4)]
