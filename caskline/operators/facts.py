@@ -84,6 +84,11 @@ def key_lookup(dim: DataFrame, own_id: str) -> DataFrame:
     return dim.select(F.col(source_id).alias(own_id), key)
 
 
+def price_lookup(products_dim: DataFrame) -> DataFrame:
+    """The surrogate keys and list prices of products by the sales' id."""
+    return products_dim.select(F.col("sku_src_id").alias("sku_id"), "product_key", "price_per_case_usd")
+
+
 def fact_sales(
     transactions: DataFrame,
     reps_dim: DataFrame,
@@ -100,14 +105,13 @@ def fact_sales(
     ``dwh_create_date`` tells the load a row came from: ``loaded_at``, else the time of the query.
 
     One join with the products brings both the list price and the key. Keys that ``transactions``
-    already carries (``KEY_LOOKUPS``) are not looked up again. Rows stay narrow until all shuffles are done:
+    already carries (``KEY_LOOKUPS``; ``product_key`` with the price) are not looked up again. Rows stay narrow until all shuffles are done:
     money columns are derived last. With ``by_month`` rows are dealt by the month of their order
     date before that, which saves ``publish_by_month`` a shuffle of the whole fact.
     """
-    priced = products_dim.select(
-        F.col("sku_src_id").alias("sku_id"), "product_key", "price_per_case_usd"
-    )
-    sales = transactions.filter("is_valid").join(priced, "sku_id", "left")
+    sales = transactions.filter("is_valid")
+    if "product_key" not in sales.columns:
+        sales = sales.join(price_lookup(products_dim), "sku_id", "left")
     dims = {"rep_id": reps_dim, "account_id": accounts_dim, "supplier_id": suppliers_dim}
     for own_id, dim in dims.items():
         if KEY_LOOKUPS[own_id][1] not in sales.columns:

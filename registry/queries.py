@@ -159,16 +159,17 @@ class Star:
 
     def fact_sales(self, by_month: bool = False) -> DataFrame:
         """Representatives and accounts belong to the order, so their keys are looked up there."""
-        reps, accounts = self.reps(keyed=True), self.accounts(keyed=True)
-        header_keys = {
+        reps, accounts, products = self.reps(keyed=True), self.accounts(keyed=True), self.products(keyed=True)
+        lookups = {
+            "sku_id": facts.price_lookup(products),
             "rep_id": facts.key_lookup(reps, "rep_id"),
             "account_id": facts.key_lookup(accounts, "account_id"),
         }
         return facts.fact_sales(
-            tables.sales_transactions(self.spark, self.sf_dir, lookups=header_keys),
+            tables.sales_transactions(self.spark, self.sf_dir, lookups=lookups),
             reps,
             accounts,
-            self.products(keyed=True),
+            products,
             self.suppliers(keyed=True),
             loaded_at=F.lit(AS_OF),
             by_month=by_month,

@@ -133,8 +133,9 @@ def sales_transactions(
 ) -> DataFrame:
     """One row per order line, with the wanted columns of its order's ``header``.
 
-    ``lookups`` holds, for ids of the header, tables of that id and further columns, such as surrogate keys;
-    they are joined to the orders, which are fewer than the lines. An id they lack gets NULL.
+    ``lookups`` holds, for ids, tables of that id and further columns, such as surrogate keys. Those of the
+    header's ids are joined to the orders, which are fewer than the lines; those of the lines' ids come
+    before the header, while lines are narrow. An id they lack gets NULL.
 
     Headers are completed at order grain first, so lines are shuffled by order once, whatever the
     header needs from the customer; and a header column nobody asked for costs no join. List prices
@@ -157,6 +158,9 @@ def sales_transactions(
             F.col("p_partkey").alias("sku_id"), F.col("p_retailprice").alias("price_per_case_usd")
         )
         lines = with_price(lines, prices)
+    for own_id, lookup in (lookups or {}).items():
+        if own_id in lines.columns:
+            lines = lines.join(lookup, own_id, "left")
     if header:
         orders = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("txn_id"),
@@ -172,8 +176,9 @@ def sales_transactions(
             orders = orders.join(customers, "account_id")
         found = []
         for own_id, lookup in (lookups or {}).items():
-            orders = orders.join(lookup, own_id, "left")
-            found += [c for c in lookup.columns if c != own_id]
+            if own_id in header:
+                orders = orders.join(lookup, own_id, "left")
+                found += [c for c in lookup.columns if c != own_id]
         lines = lines.join(orders.select("txn_id", *header, *found), "txn_id")
     valid = positive_amounts(F.col("revenue_usd"), F.col("cases_sold"))
     return lines.withColumn("is_valid", valid)
