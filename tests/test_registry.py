@@ -136,3 +136,16 @@ def test_keys_the_sales_carry_are_not_looked_up_again(spark):
         found = facts.fact_sales(sales, reps, accounts, products, suppliers, by_month=by_month)
         keys = found.select("txn_id", "rep_key", "account_key", "product_key", "supplier_key").collect()
         assert sorted(map(tuple, keys), key=str) == [(1, 1, 70, 3, None), (1, 2, 70, 3, None), (2, None, None, None, 4)]
+
+
+def test_independent_tables_are_written_side_by_side():
+    """Jobs that wait for each other all end: they run at the same time; results keep their order."""
+    import threading
+
+    from registry.queries import SIDE_BY_SIDE, side_by_side
+
+    together = threading.Barrier(SIDE_BY_SIDE, timeout=20)
+    jobs = [lambda n=n: (together.wait(), n)[1] for n in range(SIDE_BY_SIDE)]
+    assert side_by_side(jobs) == list(range(SIDE_BY_SIDE))
+    with pytest.raises(ZeroDivisionError):
+        side_by_side([lambda: 1, lambda: 1 / 0])
