@@ -286,49 +286,110 @@ class _Halves:
         power[:-1] += np.where(self.joined[:-1], power[1:], 0)
         self.norm = np.sqrt(power).astype(np.float32)
 
-    def near(self, bank: Bank, vocabulary: int, cosine: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(item's place, rows, first words, cosines) of all windows near an item of the bank, by their words or
-        by their images in its latent space."""
-        own, starts = self.number, self.starts
-        slots = np.arange(len(starts))
-        if len(bank.words) < vocabulary:
-            local = np.full(vocabulary, -1, np.int32)
-            local[bank.words] = np.arange(len(bank.words), dtype=np.int32)
-            own = local[self.number]
-            held = np.flatnonzero(own >= 0)
-            own, which = own[held], self.which[held]
-            starts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])) if len(held) else held
-            slots = which[starts]
-        if not len(starts):
+    def near(self, bank: Bank, local: np.ndarray, cosine: float) -> Iterator[tuple[int, np.ndarray]]:
+        """(item's column, windows) of all windows near an item of the bank, by their words or by their images in
+        its latent space. ``local`` numbers the bank's words. Sums are made in another order than those of
+        ``cosines``, so a window within rounding of the limit is given too."""
+        own = local[self.number]
+        held = np.flatnonzero(own >= 0)
+        if not len(held):
             return
-        score = np.empty((len(starts), bank.per_word.shape[1]), np.float32)
-        step = max(1, _GATHER // bank.per_word.shape[1])
-        ends = np.append(starts[1:], len(own))
-        k = 0
-        while k < len(starts):
-            stop = max(k + 1, int(np.searchsorted(ends, starts[k] + step, side="right")))
-            score[k:stop] = np.add.reduceat(bank.per_word[own[starts[k] : ends[stop - 1]]], starts[k:stop] - starts[k], axis=0)
-            k = stop
+        own, which = own[held], self.which[held]
+        starts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+        slots, size = which[starts], np.diff(np.append(starts, len(own)))
+        items = len(bank.near)
+        least = np.float32(cosine) * self.norm * np.float32(1 - 1e-4) - np.float32(1e-6)
         # A window is a half of the bank and the next; one that ends with such a half may be near too.
-        before = slots - 1
-        lone = np.flatnonzero((before >= 0) & self.joined[before] & ~np.isin(before, slots))
-        pairs = np.flatnonzero((slots[1:] == slots[:-1] + 1) & self.joined[slots[:-1]])
-        hits = [self._over(score[lone], before[lone], cosine)]
-        score[pairs] += score[pairs + 1]
-        hits.append(self._over(score, slots, cosine))
-        item, home, near = (np.concatenate(x) for x in zip(*hits, strict=True))
+        paired = np.append((slots[1:] == slots[:-1] + 1) & self.joined[slots[:-1]], False)
+        before = np.maximum(slots - 1, 0)
+        lone = (slots > 0) & self.joined[before] & ~np.append(False, paired[:-1])
+        hits = []
+        step = max(16, _GATHER // bank.per_word.shape[1] // 4)
+        for k in range(0, len(starts), step):
+            m = min(step, len(starts) - k)
+            score = self._sums(bank.per_word, own, starts[k : k + m + 1], size[k : k + m + 1])
+            alone = np.flatnonzero(lone[k : k + m])
+            if len(alone):
+                hits.append(self._over(score[alone], least[before[k + alone]], before[k + alone], items))
+            follow = np.zeros_like(score[:m])
+            follow[: len(score) - 1] = score[1 : m + 1]
+            follow *= paired[k : k + m, None]
+            follow += score[:m]
+            hits.append(self._over(follow, least[slots[k : k + m]], slots[k : k + m], items))
+        item, home = (np.concatenate(x) for x in zip(*hits, strict=True))
         order = np.argsort(item, kind="stable")
-        item, home, near = item[order], home[order], near[order]
+        item, home = item[order], home[order]
         cuts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else item
         for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)], strict=False):
-            own = home[begin:end]
-            yield int(bank.near[item[begin]]), self.row[own], self.place[own], near[begin:end]
+            yield int(item[begin]), home[begin:end]
+
+    @staticmethod
+    def _sums(per_word: np.ndarray, own: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Sums of the rows of each half's words: first words of all halves, then second ones of those that have any."""
+        order = np.argsort(-size, kind="stable")
+        begins, ends = starts[order], np.searchsorted(-size[order], -np.arange(1, size.max() + 1), side="right").tolist()
+        total = per_word[own[begins]]
+        for j, end in enumerate(ends[1:], 1):
+            total[:end] += per_word[own[begins[:end] + j]]
+        out = np.empty_like(total)
+        out[order] = total
+        return out
 
-    def _over(self, score: np.ndarray, slots: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    @staticmethod
+    def _over(score: np.ndarray, least: np.ndarray, slots: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
+        near = score >= least[:, None]
+        window, item = np.divmod(np.flatnonzero(near[:, :items] | near[:, items:]), items)
+        return item, slots[window]
+
+    def cosines(self, bank: Bank, local: np.ndarray, column: int, slots: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of windows with an item's words, and whether that or the one in the latent space reaches ``cosine``."""
+        columns = [column, column + len(bank.near)]
+        bounds = np.append(self.starts, len(self.number))
+        score = np.zeros((len(slots), 2), np.float32)
+        for half, among in ((slots, np.arange(len(slots))), (slots + 1, np.flatnonzero(self.joined[slots]))):
+            half = half[among]
+            size = bounds[half + 1] - bounds[half]
+            owner = np.repeat(among, size)
+            word = local[self.number[np.arange(len(owner)) + np.repeat(bounds[half] - np.cumsum(size) + size, size)]]
+            owner, word = owner[word >= 0], word[word >= 0]
+            if len(owner):
+                opens = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                score[owner[opens]] += np.add.reduceat(bank.per_word[word[:, None], columns], opens, axis=0)
         norm = self.norm[slots]
-        near = score >= np.float32(cosine) * norm[:, None]
-        window, item = np.nonzero(np.logical_or(*np.split(near, 2, axis=1)))
-        return item, slots[window], score[window, item] / norm[window]
+        return score[:, 0] / norm, (score >= np.float32(cosine) * norm[:, None]).any(axis=1)
+
+
+class _Blocks:
+    """The words of a piece in blocks of HALF, to leave out at once most stretches that hold too few words of an item."""
+
+    def __init__(self, number: np.ndarray, vocabulary: int):
+        held = np.full(-(-len(number) // HALF) * HALF, vocabulary, np.intp)  # one more number, for words of no item
+        held[: len(number)] = np.where(number < 0, vocabulary, number)
+        self.words = np.ascontiguousarray(held.reshape(-1, HALF).T)
+        self.bit = np.zeros(vocabulary + 1, np.uint64)
+        self.mask = np.zeros(self.words.shape[1], np.uint64)
+        self.asked = np.zeros(self.words.shape[1], bool)
+
+    def may_hold(self, item: Item, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which stretches low..high lie in blocks that hold at least LIKELY of an item's words, in any order."""
+        known, times = np.unique(item.words, return_counts=True)
+        begin, end = low // HALF, (high - 1) // HALF
+        at = np.minimum(begin + np.arange(int((end - begin).max()) + 1)[:, None], end)
+        self.asked[at] = True
+        asked = np.flatnonzero(self.asked)
+        self.asked[asked] = False
+        words = np.take(self.words, asked, axis=1)
+        held = np.zeros(len(low), np.int64)
+        for k in range(0, len(known), 64):
+            some, often = known[k : k + 64], times[k : k + 64]
+            bits = np.uint64(1) << np.arange(len(some), dtype=np.uint64)
+            self.bit[some] = bits
+            self.mask[asked] = np.bitwise_or.reduce(self.bit[words], axis=0)
+            self.bit[some] = 0
+            found = np.bitwise_or.reduce(self.mask[at], axis=0)
+            for n in range(1, int(often.max()) + 1):
+                held += np.bitwise_count(found & np.bitwise_or.reduce(bits[often >= n]))
+        return held >= LIKELY * len(item.words)
 
 
 def _worth_comparing(item: Item, number: np.ndarray, low: np.ndarray, high: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -369,7 +430,7 @@ def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary,
         for batch in slices(batches, text_col, _PIECE):
             words, first = _words(batch.column(text_col))
             number = vocabulary.numbers(words)
-            halves = _Halves(number, first, weight)
+            halves, blocks = _Halves(number, first, weight), _Blocks(number, len(vocabulary))
 
             def stretch(own: Item, r: np.ndarray, begin: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
                 slack = 2 * len(own.words)
@@ -380,10 +441,18 @@ def _search(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary,
 
             found: dict[tuple[int, int], tuple] = {}
             for bank in each():
-                for i, r, begin, c in halves.near(bank, len(vocabulary), cosine):
-                    own = items[i]
-                    low, high = stretch(own, r, begin, 2 * HALF)
-                    for k in np.flatnonzero(_worth_comparing(own, number, low, high, index)).tolist():
+                local = np.full(len(vocabulary), -1, np.int32)
+                local[bank.words] = np.arange(len(bank.words), dtype=np.int32)
+                for column, slots in halves.near(bank, local, cosine):
+                    own = items[bank.near[column]]
+                    low, high = stretch(own, halves.row[slots], halves.place[slots], 2 * HALF)
+                    held = np.flatnonzero(blocks.may_hold(own, low, high))
+                    held = held[_worth_comparing(own, number, low[held], high[held], index)]
+                    if not len(held):
+                        continue
+                    c, close = halves.cosines(bank, local, column, slots[held], cosine)
+                    r, low, high, c = halves.row[slots[held[close]]], low[held[close]], high[held[close]], c[close]
+                    for k in range(len(c)):
                         here = number[low[k] : high[k]]
                         share = subsequence(own.words, here) / len(own.words)
                         if share < LIKELY:

@@ -148,6 +148,50 @@ def test_stretches_left_out_have_no_long_subsequence():
             assert k or d.subsequence(own.words, number[a:b]) < d.LIKELY * size
 
 
+def test_blocks_leave_out_only_what_the_stretch_itself_does():
+    rng = np.random.default_rng(6)
+    number = rng.integers(-1, 90, 4000).astype(np.int32)
+    blocks, index = d._Blocks(number, 90), np.zeros(91, np.int32)
+    for size in (9, 20, 60, 200):
+        own = d.Item(1, rng.integers(0, 90, size), np.empty(0, int), 0)
+        low = rng.integers(0, 3990, 300)
+        high = np.minimum(low + rng.integers(1, 300, 300), 4000)
+        kept = blocks.may_hold(own, low, high)
+        assert not (d._worth_comparing(own, number, low, high, index) & ~kept).any()
+        assert not kept.all() and not blocks.bit.any() and not blocks.asked.any()
+
+
+def test_windows_near_an_item_equal_those_of_all_sums():
+    rng = np.random.default_rng(7)
+    size, items = 60, 12
+    for known in (size, 25):  # a bank of all words, and one of some
+        number = np.where(rng.random(6000) < 0.4, rng.integers(0, size, 6000), -1).astype(np.int32)
+        first = np.array([0, 0, 700, 703, 3500, 6000])
+        weight = rng.random(size) + 0.5
+        words = np.sort(rng.permutation(size)[:known])
+        table = np.where(rng.random((known, 2 * items)) < 0.3, rng.random((known, 2 * items)), 0).astype(np.float32)
+        bank, halves = d.Bank(np.arange(items), words, table), d._Halves(number, first, weight)
+        local = np.full(size, -1, np.int32)
+        local[words] = np.arange(known)
+        got = {}
+        for column, slots in halves.near(bank, local, 0.4):
+            c, close = halves.cosines(bank, local, column, slots, 0.4)
+            got |= {(column, int(halves.place[k])): x for k, x, near in zip(slots, c, close, strict=True) if near}
+        want = {}
+        for a, b in zip(first, first[1:], strict=False):
+            parts = [number[k : min(k + d.HALF, b)] for k in range(a, b, d.HALF)]
+            for k, here in enumerate(parts):
+                if (here >= 0).any():
+                    window = np.concatenate(parts[k : k + 2])
+                    window = window[window >= 0]
+                    inside = local[window]
+                    near = table[inside[inside >= 0]].sum(axis=0, dtype=float) / np.sqrt((weight[window] ** 2).sum())
+                    at = int(a + k * d.HALF)
+                    want |= {(i, at): near[i] for i in range(items) if max(near[i], near[i + items]) >= 0.4}
+        assert got.keys() == want.keys() and len(got) > 100
+        assert all(abs(got[k] - want[k]) < 1e-5 for k in got)
+
+
 def test_ids_may_be_texts(spark):
     item = words(30, 77, "abcdefghijklmnop")
     docs = spark.createDataFrame([("a-1", f"{words(20, 78)} {item}", 5), ("b", words(40, 79), 6), (None, item, 7)], "name string, body string, item_id int")
