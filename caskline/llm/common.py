@@ -18,6 +18,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = " \t\n\x0b\x0c\r"
 
+#: Allocator settings of the Python workers. Workers of one stage are still there when the next begins; with
+#: these they give large freed blocks back at once instead of keeping them.
+LEAN_WORKERS = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "262144",
+    "MALLOC_TRIM_THRESHOLD_": "262144",
+}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Have the workers of later stages give freed memory back; a session's own settings stay."""
+    environment = spark.sparkContext.environment
+    for name, value in LEAN_WORKERS.items():
+        environment.setdefault(name, value)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a scratch one only where that is unset, as in tests."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caskline.llm.bpe import load_ranks, round_trip
-from caskline.llm.common import table
+from caskline.llm.common import lean_workers, table
 from caskline.llm.decontaminate import benchmark_leaks
 from caskline.llm.html import extract_articles
 from caskline.llm.jaccard import near_duplicates
@@ -93,6 +93,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_workers(spark)
     return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 

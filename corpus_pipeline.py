@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caskline.llm.common import row_key, staged, table
+from caskline.llm.common import lean_workers, row_key, staged, table
 from caskline.llm.decontaminate import benchmark_leaks
 from caskline.llm.jaccard import keep_one_of_each
 from caskline.llm.mixing import balanced_mix
@@ -18,24 +18,13 @@ from caskline.llm.suffixes import without_repeats
 #: A column of the stages' own while they work.
 KEY = "_corpus_row_key"
 
-#: Allocator settings of the Python workers. Workers of one stage are still there when the next begins; with
-#: these they give large freed blocks back at once instead of keeping them.
-LEAN_WORKERS = {
-    "ARROW_DEFAULT_MEMORY_POOL": "system",
-    "MALLOC_ARENA_MAX": "2",
-    "MALLOC_MMAP_THRESHOLD_": "262144",
-    "MALLOC_TRIM_THRESHOLD_": "262144",
-}
-
 
 def _lean(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """The stage with lean workers; a session's own settings stay."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        environment = spark.sparkContext.environment
-        for name, value in LEAN_WORKERS.items():
-            environment.setdefault(name, value)
+        lean_workers(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage

@@ -7,6 +7,7 @@ import pytest
 from llm_cases import awkward, awkward_rows, nothing, words
 
 from caskline.llm import search as s
+from caskline.llm.common import LEAN_WORKERS
 from caskline.llm.queries import SQL, op11_search
 from registry.compare import connect
 
@@ -120,3 +121,12 @@ def test_awkward(spark):
     texts = docs.selectExpr("concat('d', doc_id) as name", "text as body", "1 as ids", "2 as block")
     named = s.search(s.build_index(texts, "name", "body"), items, doc_col="name")
     assert {r.name for r in named.where("item_id = 1").collect()} == {"d7"}
+
+
+def test_workers_give_freed_memory_back(spark, sf_dir):
+    for name in LEAN_WORKERS:
+        spark.sparkContext.environment.pop(name, None)
+    spark.sparkContext.environment["MALLOC_ARENA_MAX"] = "3"  # a session's own setting stays
+    op11_search(spark, sf_dir)
+    assert spark.sparkContext.environment.pop("MALLOC_ARENA_MAX") == "3"
+    assert LEAN_WORKERS.items() - {("MALLOC_ARENA_MAX", "2")} <= spark.sparkContext.environment.items()
