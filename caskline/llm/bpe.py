@@ -5,11 +5,13 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
@@ -18,7 +20,7 @@ from caskline.llm.common import slices
 
 #: Text bytes handled at a time inside a task, and ids decoded at a time.
 PIECE, CHUNK = 1 << 20, 1 << 16
-#: Arcs of the transducer, and whole pieces, that a worker remembers; beyond that it starts anew.
+#: Arcs of the transducer, and whole pieces of a generation, that a worker remembers.
 ARCS, KNOWN = 400_000, 100_000
 #: Bytes that a piece's first arc reads at once.
 HEAD = 5
@@ -67,12 +69,20 @@ class Transducer:
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
             for k in range(1, len(token)):
                 self.longer.setdefault(token[:k], []).append(rank)
+        #: All tokens and their beginnings: the rank, or -1 for what is no token itself.
+        self.reads: dict[bytes, int] = dict.fromkeys(self.longer, -1) | dict(ranks)
         self.spines: dict[bytes, tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]] = {}
         self.befores: dict[tuple[tuple[bytes, int], ...], int] = {(): 0}
         self.ends_of: list[list[tuple[bytes, int]]] = [[]]
         self.before_of: dict[bytes, int] = {}
-        self.allowed: dict[tuple[int, bytes], bool] = {}
-        self._clear()
+        self.allowed: dict[int, bool] = {}
+        #: Two generations of arcs and states: when the younger one is full it becomes the older, whose place it
+        #: takes, and what is met again is taken over. Numbers of states are never given twice.
+        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.states: dict[int, tuple[tuple[bytes, int, tuple[int, ...]], ...]] = {}
+        self.numbers: dict[tuple[tuple[bytes, int, tuple[int, ...]], ...], int] = {}
+        self.made = 1
+        self._age()
 
     def check(self) -> Transducer:
         """Test every token; note those that can only be whole pieces."""
@@ -87,11 +97,10 @@ class Transducer:
             raise ValueError(f"no token for the bytes {missing}")
         return self
 
-    def _clear(self) -> None:
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
+    def _age(self) -> None:
+        self.older_arcs, self.older_states, self.older_numbers = self.arcs, self.states, self.numbers
         start = ((b"", 0, ()),)
-        self.numbers: dict[tuple[tuple[bytes, int, tuple[int, ...]], ...], int] = {start: 0}
-        self.states = [start]
+        self.arcs, self.states, self.numbers = {}, {0: start}, {start: 0}
         #: Where the first bytes of a piece lead, and what they write: arcs of several bytes.
         self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
 
@@ -120,13 +129,13 @@ class Transducer:
             self.before_of[token] = number
         return number
 
-    def _may_follow(self, before: int, token: bytes) -> bool:
+    def _may_follow(self, before: int, token: bytes, rank: int) -> bool:
         """Whether no merge crosses from the token before to this one while both are made."""
-        got = self.allowed.get((before, token))
+        got = self.allowed.get(before << 32 | rank)
         if got is None:
-            if len(self.allowed) >= self.limit:
+            if len(self.allowed) * 2 >= self.limit:
                 self.allowed.clear()
-            got = self.allowed[before, token] = not self._crossed(before, token)
+            got = self.allowed[before << 32 | rank] = not self._crossed(before, token)
         return got
 
     def _crossed(self, before: int, token: bytes) -> bool:
@@ -140,24 +149,39 @@ class Transducer:
         return False
 
     def _state(self, branches: tuple[tuple[bytes, int, tuple[int, ...]], ...]) -> int:
-        number = self.numbers.setdefault(branches, len(self.states))
-        if number == len(self.states):
-            self.states.append(branches)
+        number = self.numbers.get(branches)
+        if number is None:
+            number = self.older_numbers.get(branches)
+            if number is None:
+                number, self.made = self.made, self.made + 1
+            self._keep(number, branches)
         return number
 
+    def _keep(self, number: int, branches: tuple[tuple[bytes, int, tuple[int, ...]], ...]) -> None:
+        self.states[number] = branches
+        self.numbers[branches] = number
+
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         branches = self.states[state]
-        if len(self.arcs) >= self.limit:
-            self._clear()
-            state = self._state(branches)
+        if len(self.arcs) * 2 >= self.limit:
+            self._age()
+            self._keep(state, branches)
+        known = self.older_arcs.get(state << 8 | byte)
+        if known is not None:
+            if known[0] not in self.states:
+                self._keep(known[0], self.older_states[known[0]])
+            self.arcs[state << 8 | byte] = known
+            return known
         more, kept, opened = _BYTES[byte], [], None
-        ranks, longer = self.ranks, self.longer
+        reads, longer = self.reads, self.longer
         for read, before, ids in branches:  # the longest first
             token = read + more
+            rank = reads.get(token)
+            if rank is None:
+                continue
             if opened is None:
-                rank = ranks.get(token)
                 # Number 0 is for tokens that any other may follow.
-                if rank is not None and token not in self.unmade and (not before or self._may_follow(before, token)):
+                if rank >= 0 and token not in self.unmade and (not before or self._may_follow(before, token, rank)):
                     opened = (b"", self._before(token), (*ids, rank))
             if token in longer:
                 kept.append((token, before, ids))
@@ -183,7 +207,7 @@ class Transducer:
             state, written = self._walk(0, head)
             if len(self.heads) >= self.limit:
                 self.heads.clear()
-            # If the walk has made all states forgotten, its last one is of the new ones, as the table is.
+            # If the walk has opened a generation, its last state is of that, as the table is.
             got = self.heads[head] = state, tuple(written)
         out = list(got[1])
         state, written = self._walk(got[0], piece[HEAD:])
@@ -205,40 +229,51 @@ class Transducer:
         return state, out
 
 
-class Encoder:
-    """A pattern's pieces of a text through the transducer; frequent pieces are remembered whole.
+class _Known(dict):
+    """Ids of pieces, as bytes of little-endian 32-bit integers; a piece that is missing is learnt.
 
-    There are two generations of them: when the younger one is full it becomes the older, whose place it
+    There are two generations: when the younger one is full it becomes the older, whose place it
     takes, so a piece that keeps coming stays known.
     """
 
-    def __init__(self, transducer: Transducer, pattern: str, known: int = KNOWN):
-        self.transducer, self.pattern, self.limit = transducer, regex.compile(pattern), known
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+    def __init__(self, transducer: Transducer):
+        self.encode = transducer.encode
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.transducer.encode(piece.encode())
+            ids = array("I", self.encode(piece.encode())).tobytes()
         if len(piece) < 64:
-            self.known[piece] = ids
+            self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+
+class Encoder:
+    """A pattern's pieces of a text through the transducer; frequent pieces are remembered whole."""
+
+    def __init__(self, transducer: Transducer, pattern: str, known: int = KNOWN):
+        self.pattern, self.limit = regex.compile(pattern), known
+        self.known = _Known(transducer)
+
+    def packed(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
         if len(text) <= PIECE:
             pieces: Iterable[str] = self.pattern.findall(text)
         else:
             pieces = (match.group() for match in self.pattern.finditer(text))
-        out: list[int] = []
-        known = self.known
-        for piece in pieces:
-            ids = known.get(piece)
-            out += self._learn(piece) if ids is None else ids
-        if len(known) >= self.limit:
-            self.known, self.older = {}, known
+        out = b"".join(map(self.known.__getitem__, pieces))
+        if len(self.known) >= self.limit:
+            self.known.age()
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
 
 def _utf8_machine() -> dict[tuple[int, int], int]:
     """(state, byte) -> state. State 0 stands between characters, 1 to 3 wait for as many bytes more;
@@ -280,6 +315,49 @@ class Utf8Stream:
         return held.decode("utf-8", "replace")
 
 
+class TokenBytes:
+    """The bytes of many ids at once, from one array of all tokens."""
+
+    def __init__(self, tokens: Mapping[int, bytes]):
+        self.ids = np.array(sorted(tokens), np.int64)
+        parts = [tokens[i] for i in self.ids.tolist()]
+        self.size = np.array([len(x) for x in parts], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+
+    def of(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes, and where those of each id begin, with the end of all."""
+        place = np.searchsorted(self.ids, ids) if len(self.ids) and self.ids[-1] >= len(self.ids) else ids
+        odd = (place < 0) | (place >= len(self.ids))
+        odd[~odd] = self.ids[place[~odd]] != ids[~odd]
+        if odd.any():
+            raise KeyError(int(ids[odd][0]))
+        size = self.size[place]
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.begin[place] - bounds[:-1], size) + np.arange(bounds[-1])
+        return self.data[at].tobytes(), bounds
+
+    def texts(self, column: pa.ListArray, chunk: int = CHUNK) -> list[str]:
+        """The text of each row's ids: rows of up to ``chunk`` ids are taken together, longer ones in parts."""
+        sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        ids, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes, dtype=np.int64)
+        texts: list[str] = []
+        while (row := len(texts)) < len(ends):
+            start = int(ends[row] - sizes[row])
+            stop = max(int(np.searchsorted(ends, start + chunk, side="right")), row + 1)
+            if sizes[row] <= chunk:
+                data, bounds = self.of(ids[start : ends[stop - 1]])
+                cuts = [0, *bounds[ends[row:stop] - start].tolist()]
+                for begin, end in zip(cuts, cuts[1:], strict=False):
+                    stream = Utf8Stream()
+                    texts.append(stream.feed(data[begin:end]) + stream.end())
+            else:
+                stream = Utf8Stream()
+                parts = [stream.feed(self.of(ids[at : min(at + chunk, ends[row])])[0]) for at in range(start, ends[row], chunk)]
+                texts.append("".join([*parts, stream.end()]))
+        return texts
+
+
 _HERE: dict[tuple[str, str], Encoder] = {}
 
 
@@ -323,14 +401,15 @@ def _encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, id_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker_encoder(name, sent, unmade, pattern)
         for batch in slices(batches, "_text", PIECE):
-            found = [np.array(encoder.encode(text or ""), "<u4") for text in batch.column("_text").to_pylist()]
-            ends = np.cumsum([0, *map(len, found)])
+            found = [encoder.packed(text or "") for text in batch.column("_text").to_pylist()]
+            sizes = np.array([len(ids) // 4 for ids in found])
+            ends = np.concatenate([[0], np.cumsum(sizes)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view("<i4"))),
-                    pa.array([len(ids) for ids in found], pa.int64()),
-                    pa.array([hashlib.sha256(ids.tobytes()).hexdigest() for ids in found], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4"))),
+                    pa.array(sizes, pa.int64()),
+                    pa.array([hashlib.sha256(ids).hexdigest() for ids in found], pa.string()),
                 ],
                 names=["_id", "ids", "n_tokens", "ids_sha256"],
             )
@@ -351,16 +430,9 @@ def decode_ids(encoded: DataFrame, ranks: Mapping[bytes, int], ids_col: str = "i
     schema = encoded.select(*kept).schema.add(name, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.__getitem__
+        tokens = TokenBytes(sent.value)
         for batch in batches:
-            column = batch.column(ids_col)
-            texts = []
-            for row in range(len(column)):
-                stream = Utf8Stream()
-                ids = column[row].values
-                ids = np.empty(0, np.int32) if ids is None else ids.to_numpy(zero_copy_only=False)
-                parts = [stream.feed(b"".join(map(token, ids[at : at + CHUNK].tolist()))) for at in range(0, len(ids), CHUNK)]
-                texts.append("".join([*parts, stream.end()]))
+            texts = tokens.texts(batch.column(ids_col))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, name])
 
     return encoded.select(*kept, ids_col).mapInArrow(run, schema)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -97,6 +98,36 @@ def test_other_vocabularies_equal_the_definition(seed):
         assert transducer.encode(piece) == tight.encode(piece) == want
 
 
+def test_arcs_that_keep_coming_are_not_made_anew(ranks, monkeypatch):
+    transducer = bpe.Transducer(ranks, arcs=2000)
+    rng, made = random.Random(3), []
+    state = transducer._state
+    monkeypatch.setattr(transducer, "_state", lambda branches: made.append(branches) or state(branches))
+    common = [bytes(rng.choice(b"etaoinshr") for _ in range(12)) for _ in range(10)]
+    want = [transducer.encode(piece) for piece in common]
+    before, again = {repr(x) for x in made}, 0
+    for _ in range(200):
+        transducer.encode(bytes(rng.choice(b"bcdfgjklmpquvwxyz") for _ in range(12)))
+        made.clear()
+        assert [transducer.encode(piece) for piece in common] == want
+        again += len(made)
+    assert before and not again
+
+
+def test_chunks_of_rows_and_rows_of_chunks():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 300, "漢".encode()[:2]: 301, "漢".encode(): 70_000}
+    texts = ["", "ab漢", None, "é" * 40, "x", "漢字" * 9, "abab", ""]
+    encoder = bpe.Encoder(bpe.Transducer(ranks), r"\w+|\W+")
+    column = pa.array([None if t is None else encoder.encode(t) for t in texts], pa.list_(pa.int32()))
+    tokens = bpe.TokenBytes({rank: token for token, rank in ranks.items()})
+    for chunk in (1, 3, 8, 1000):
+        assert tokens.texts(column, chunk) == [t or "" for t in texts]
+        assert tokens.texts(column.slice(3, 3), chunk) == texts[3:6]
+    for wrong in (299, -1, 70_001):
+        with pytest.raises(KeyError):
+            tokens.of(np.array([65, wrong], np.int32))
+
+
 def test_a_token_that_its_merges_do_not_make():
     ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bcd": 257}
     transducer = bpe.Transducer(ranks).check()
