@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caskline.operators.cleanse import CLEANERS, split_supplier_programs
-from caskline.operators.dedup import dedup_latest, split_rejects
+from caskline.operators.dedup import dedup_latest, pack_text, split_rejects, unpack_text
 from caskline.sources.schemas import ENTITIES, LOADED_AT, SOURCE
 
 DAY = dt.datetime(2024, 1, 1)
@@ -178,6 +178,42 @@ def test_dedup_is_idempotent_and_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan[exchange:]
 
 
+def test_packed_texts_order_and_read_as_their_columns(spark):
+    values = [None, "", " ", "a", "a b", "\x00", "\x01", "\x02", "a\x00", "a\x01", "\x00\x01", "\x01\x01", "\x01\x02", "é"]
+    rows = [(a, b, 1) for a in values for b in values]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    found = df.select("a", "b", pack_text(["a", "b"]).alias("p"))
+    found = found.select("a", "b", "p", unpack_text("p", 0).alias("x"), unpack_text("p", 1).alias("y")).collect()
+    assert all((r.a, r.b) == (r.x, r.y) for r in found)
+    place = lambda r: [(v is not None, (v or "").encode()) for v in (r.a, r.b)]
+    assert sorted(found, key=place) == sorted(found, key=lambda r: r.p.encode())
+
+
+def test_texts_are_shuffled_packed_and_filtered_apart(spark):
+    """The shuffle holds one text for all of the tiebreak; a filter above takes no text apart again."""
+    base = {"start_date": "2024-01-01", "end_date": "2024-02-01", "supplier_id": "1"}
+    rows = raw(
+        spark,
+        "supplier_programs",
+        {"program_id": "1", "quarter": None, "division": "late"} | base,
+        {"program_id": "1", "quarter": "", "division": "early"} | base,
+        {"program_id": "2", "quarter": "\x01\x00", "division": " \x01 "} | base,
+        {"program_id": "2", "quarter": "\x01\x01", "division": "x"} | base,
+    )
+    good = split_supplier_programs(rows)[0]
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    shuffled = plan[plan.index("Exchange hashpartitioning(program_id") :]
+    assert "_packed" in shuffled and "concat_ws" in shuffled
+    assert not [line for line in plan.splitlines() if "Filter" in line and "stringsplitsql" in line]
+    assert sorted((r.program_id, r.quarter, r.division) for r in good.collect()) == [(1, None, "late"), (2, "\x01\x00", "\x01")]
+
+
+def test_a_tiebreak_that_is_not_text_stays_as_it_is(spark):
+    df = spark.createDataFrame([(1, 1, 10, "b"), (1, 1, 9, "a"), (1, 1, 9, "A")], "k int, at int, n int, v string")
+    assert [tuple(r) for r in dedup_latest(df, ["k"], "at").collect()] == [(1, 1, 9, "A")]
+    assert [tuple(r) for r in dedup_latest(df, ["k"], "at", ["v"]).select("k", "v").collect()] == [(1, "A")]
+
+
 def test_first_failed_rule_names_the_reason(spark):
     df = spark.createDataFrame([(1, 1), (None, -1), (5, None)], "a int, b int")
     good, bad = split_rejects(df, {"a": F.col("a") < 5, "b": F.col("b") > 0})

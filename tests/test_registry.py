@@ -149,3 +149,22 @@ def test_independent_tables_are_written_side_by_side():
     assert side_by_side(jobs) == list(range(SIDE_BY_SIDE))
     with pytest.raises(ZeroDivisionError):
         side_by_side([lambda: 1, lambda: 1 / 0])
+
+
+def test_raw_files_of_a_load_go_once_they_are_loaded(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from caskline.sources.publish import read_published
+    from caskline.sources.schemas import ENTITIES, LOADED_AT
+    from registry.queries import _load_raw
+
+    columns = ENTITIES["accounts"].raw_columns
+    feed = spark.createDataFrame([(*columns, None)], ", ".join(f"{c} string" for c in (*columns, LOADED_AT)))
+    star = SimpleNamespace(spark=spark, raw=lambda name: feed)
+    audit = _load_raw(star, "accounts", str(tmp_path)).collect()
+    assert [(r.table_name, r.rows, r.ok) for r in audit] == [("accounts", 1, True)]
+    assert read_published(spark, str(tmp_path / "bronze" / "accounts")).first().account_id == "account_id"
+    assert not list((tmp_path / "files").glob("*"))
+    # A load that fails leaves none either.
+    broken = _load_raw(SimpleNamespace(spark=spark, raw=lambda name: feed.drop("town")), "accounts", str(tmp_path)).collect()
+    assert broken[0].ok is False and not list((tmp_path / "files").glob("*"))

@@ -1,6 +1,7 @@
 """Reading files, publishing versions, controlling loads."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from caskline.sources.ingest import CORRUPT, ingest
 from caskline.sources.load import load_all, load_bronze, load_silver
@@ -185,3 +186,42 @@ def test_tasks_read_and_sort_little_at_once(spark, tmp_path):
     other.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "3m")
     assert configure(other).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "3m"
     assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def shuffle_files(spark):
+    import os
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """Without waiting for the driver to collect garbage; and what was cleaned can be executed again."""
+    import time
+
+    own = spark.newSession()
+    from caskline.session import configure
+
+    configure(own)
+    before = shuffle_files(own)
+    sums = own.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.sum("id").alias("s"))
+    publish(sums, str(tmp_path / "t"))
+    last = time.monotonic() + 20
+    while (left := shuffle_files(own) - before) and time.monotonic() < last:
+        time.sleep(0.2)
+    assert not left
+    assert sorted(sums.collect()) == sorted(sums.collect()) == sorted(read_published(own, str(tmp_path / "t")).collect())
+
+
+def test_attainments_meet_programmes_before_they_carry_names(spark):
+    from caskline.operators.facts import fact_attainment
+
+    entity = dict(ENTITIES["program_attainments"].clean_columns)
+    rows = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in entity.items()))
+    reps = spark.createDataFrame([], "rep_src_id bigint, rep_key bigint, rep_name string, channel string")
+    suppliers = spark.createDataFrame([], "supplier_src_id bigint, supplier_key bigint, supplier_name string, category string")
+    programs = spark.createDataFrame([], "program_src_id bigint, program_key bigint, bonus_usd decimal(12,2)")
+    facts = fact_attainment(rows, reps, suppliers, programs)
+    assert facts.columns[:3] == ["rep_key", "supplier_key", "program_key"]
+    joins = [line for line in facts._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in line]
+    assert [line.split("(")[1].split("#")[0] for line in joins] == ["rep_id", "supplier_id", "program_id"]
