@@ -44,8 +44,9 @@ _WAREHOUSES: dict[tuple[str, str], str] = {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Independent tables written at a time.
-SIDE_BY_SIDE = 4
+#: Independent tables written at a time. Each has its shuffle on disk meanwhile, so no more than it takes to
+#: keep cores busy while one's last tasks run.
+SIDE_BY_SIDE = 2
 
 
 def side_by_side(jobs: Sequence[Callable[[], object]]) -> list:

@@ -151,6 +151,26 @@ def test_independent_tables_are_written_side_by_side():
         side_by_side([lambda: 1, lambda: 1 / 0])
 
 
+def test_no_more_tables_than_two_shuffle_at_a_time():
+    import threading
+    import time
+
+    from registry.queries import side_by_side
+
+    lock, running, most = threading.Lock(), [], []
+
+    def job():
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        time.sleep(0.05)
+        with lock:
+            running.pop()
+
+    side_by_side([job] * 8)
+    assert max(most) == 2
+
+
 def test_raw_files_of_a_load_go_once_they_are_loaded(spark, tmp_path):
     from types import SimpleNamespace
 
